@@ -1,0 +1,32 @@
+"""Reliable checkpoints in the folder the cluster names."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder of the session.
+
+    ``spark.checkpoint.dir`` wins. A temporary folder is set only in local mode, where the
+    driver's disk is the executors' disk; on a cluster a missing setting is an error.
+    """
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
+    if current:
+        return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+        named = tempfile.mkdtemp(prefix="checkpoints-")
+    context.setCheckpointDir(named)
+    return named
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute the table once and go on from the stored copy."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
