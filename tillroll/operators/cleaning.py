@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions import clip, ratio_or_zero, to_moment, to_number
 from tillroll.functions.coerce import ISO_DATE
 from tillroll.operators.contracts import require_columns
-from tillroll.schema import MANDATORY_VALUES, NUMBER_COLUMNS
+from tillroll.schema import NUMBER_COLUMNS
 
 
 def coerce_types(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
@@ -27,10 +27,13 @@ def coerce_types(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
 
 def usable_row(value: Callable[[str], Column] = F.col) -> Column:
     """True for a row that cleaning keeps; ``value`` gives the coerced value of a column."""
-    complete = F.lit(True)
-    for name in MANDATORY_VALUES:
-        complete = complete & value(name).isNotNull()
-    return complete & (value("quantity_sold") > 0) & (value("price") >= 0)
+    # The comparisons are false for null as well.
+    return (
+        value("order_date").isNotNull()
+        & value("discount_percent").isNotNull()
+        & (value("quantity_sold") > 0)
+        & (value("price") >= 0)
+    )
 
 
 def usable_raw_row(raw: DataFrame, date_format: str = ISO_DATE) -> Column:

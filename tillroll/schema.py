@@ -39,9 +39,6 @@ DIMENSIONS = ["product_category", "customer_region", "payment_method"]
 
 MONEY_COLUMNS = ["total_revenue", "gross_revenue", "discount_value"]
 
-# A cleaned row always has these.
-MANDATORY_VALUES = ["order_date", "price", "discount_percent", "quantity_sold"]
-
 # Cell texts that mean "missing" in a delimited file.
 MISSING_TOKENS = [
     "",

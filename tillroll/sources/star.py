@@ -49,7 +49,7 @@ def sales_view(
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    rows = table("lineitem")
+    rows = spread(table("lineitem"), "l_orderkey")
     if needed & {"orders", "region"}:
         rows = rows.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "part" in needed:
@@ -82,6 +82,16 @@ def sales_view(
     return rows.select(*[meaning[name].alias(name) for name in wanted])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table that arrives in fewer splits than there are cores to all of them.
+
+    A small parquet file can be a single row group, which is a single task. A table that is
+    large enough to occupy the cluster comes in more splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as text, as a delimited file would give them, with recurring defects."""
     sales = sales_view(spark, sf_dir, RAW_COLUMNS)
@@ -96,4 +106,7 @@ def raw_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         for every, defect in reversed(DEFECTS.get(name, [])):
             shown = F.when(F.col("order_id") % every == 0, F.lit(defect)).otherwise(shown)
         text[name] = shown
-    return blank_missing(sales.select(*[column.alias(name) for name, column in text.items()]))
+    # One text record per row, as a scan would deliver it. Without this step Spark would push
+    # filters on parsed values below the formatting and format each value several times.
+    record = F.struct(*[column.alias(name) for name, column in text.items()])
+    return blank_missing(sales.select(F.inline(F.array(record))))
