@@ -38,34 +38,21 @@ def timestamp_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, kinds)]
 
 
-def _long_values(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Rows ``(column, value)`` for every value present."""
-    entries = [
-        F.struct(F.lit(name).alias("column"), value.cast("double").alias("value"))
-        for name, value in values.items()
-    ]
-    return df.select(F.inline(F.array(*entries))).where(
+def _long_values(df: DataFrame, values: Sequence[Column]) -> DataFrame:
+    """Rows ``(i, value)``: every value present, with the position of its column."""
+    numbers = F.array(*[value.cast("double") for value in values])
+    return df.select(F.posexplode(numbers).alias("i", "value")).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
 
 
-def _targets(
-    buckets: DataFrame, by: list[str], order: str, ranks: Column | None = None
-) -> DataFrame:
-    """Walk the buckets of each group in value order and keep those a wanted rank falls into.
-
-    ``below`` counts the values under the group, ``n`` those of one bucket.
-    """
-    window = Window.partitionBy(*by).orderBy(order)
-    reached = F.col("below") + F.sum("n").over(window)
-    walked = buckets.withColumn("reached", reached).withColumn("below", reached - F.col("n"))
-    if ranks is not None:
-        walked = walked.withColumn("rank", F.explode(ranks))
-    hit = (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("reached"))
-    return walked.where(hit).drop("reached")
+def _named(summary: DataFrame, names: Sequence[str]) -> DataFrame:
+    labels = F.array(*[F.lit(name) for name in names])
+    shown = [F.col(name) for name in summary.columns if name != "i"]
+    return summary.select(labels[F.col("i")].alias("column"), *shown)
 
 
-def _describe_long(
+def _describe_exact(
     values: DataFrame, quantiles: Sequence[float], rounds: int, steps: int
 ) -> DataFrame:
     """Moments and exact quantiles of every column in ``values``.
@@ -78,75 +65,76 @@ def _describe_long(
     flattening everything else into one bucket; the following ones cut the range seen in the
     kept bucket into ``steps`` equal parts.
     """
-    first = values.groupBy("column", F.floor(F.asinh("value") * 64).alias("bucket")).agg(
+    first = values.groupBy("i", F.floor(F.asinh("value") * 64).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("value").alias("bucket_mean"),
         F.var_samp("value").alias("bucket_var"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     )
-    whole = Window.partitionBy("column")
-    spread = F.coalesce("bucket_var", F.lit(0.0)) * (F.col("n") - 1)
-    moments = (
+    whole = Window.partitionBy("i")
+    inner = F.coalesce("bucket_var", F.lit(0.0)) * (F.col("n") - 1)
+    outer = F.col("n") * F.pow(F.col("bucket_mean") - F.col("mean"), 2)
+    counted = (
         first.withColumn("count", F.sum("n").over(whole))
         .withColumn("mean", F.sum(F.col("bucket_mean") * F.col("n")).over(whole) / F.col("count"))
+        .withColumn("squares", F.sum(inner + outer).over(whole))
+        .withColumn("std", F.sqrt(F.try_divide("squares", F.col("count") - 1)))
         .withColumn("min", F.min("low").over(whole))
         .withColumn("max", F.max("high").over(whole))
-        .withColumn(
-            "squares",
-            F.sum(spread + F.col("n") * F.pow(F.col("bucket_mean") - F.col("mean"), 2)).over(whole),
-        )
-        .withColumn("std", F.sqrt(F.try_divide("squares", F.col("count") - 1)))
         .withColumn("below", F.lit(0).cast("bigint"))
     )
     positions = [(F.col("count") - 1) * F.lit(float(q)) for q in quantiles]
-    ranks = F.array_distinct(
-        F.array(
-            *[F.floor(p).cast("bigint") + 1 for p in positions],
-            *[F.ceil(p).cast("bigint") + 1 for p in positions],
-        )
-    )
-    facts = ["column", "count", "mean", "std", "min", "max"]
-    state = _targets(moments, ["column"], "bucket", ranks).select(
-        *facts, "rank", "below", "low", "high"
-    )
+    wanted = [step(position) for position in positions for step in (F.floor, F.ceil)]
+    ranks = F.array_distinct(F.array(*[place.cast("bigint") + 1 for place in wanted]))
+    state = _keep_hit(counted.withColumn("ranks", ranks), ["i"], "bucket")
+    carried = ["i", "ranks", "below", "count", "mean", "std", "min", "max"]
     for _ in range(rounds):
         share = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
         bucket = F.coalesce(F.floor(share * steps), F.lit(0))
         finer = (
             _inside(values, state)
-            .groupBy(*facts, "rank", "below", bucket.alias("bucket"))
+            .groupBy(*carried, bucket.alias("bucket"))
             .agg(
                 F.count(F.lit(1)).alias("n"),
                 F.min("value").alias("low"),
                 F.max("value").alias("high"),
             )
         )
-        state = _targets(finer, ["column", "rank"], "bucket").select(
-            *facts, "rank", "below", "low", "high"
-        )
-    single = (
-        _inside(values, state)
-        .groupBy(*facts, "rank", "below", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    found = _targets(single, ["column", "rank"], "value")
+        state = _keep_hit(finer, ["i", "ranks"], "bucket")
+    single = _inside(values, state).groupBy(*carried, "value").agg(F.count(F.lit(1)).alias("n"))
+    found = _keep_hit(single, ["i", "ranks"], "value").withColumn("rank", F.explode("ranks"))
+    # At most two ranks per quantile are left of each column.
     at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))
+    facts = ["i", "count", "mean", "std", "min", "max"]
     ranked = found.groupBy(*facts).agg(at.alias("at"))
-    return ranked.select(
-        *facts,
-        *[_interpolated(p).alias(quantile_name(q)) for p, q in zip(positions, quantiles)],
+    cuts = [_interpolated(p).alias(quantile_name(q)) for p, q in zip(positions, quantiles)]
+    return ranked.select(*facts, *cuts)
+
+
+def _keep_hit(buckets: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Walk the buckets of a group in value order; keep those that hold a wanted rank.
+
+    ``below`` counts the values under the group and ``n`` those of a bucket. Kept buckets get
+    their own ``below`` and only the ranks that fall into them. A group has as many buckets
+    as a round makes, whatever the number of values.
+    """
+    reached = F.col("below") + F.sum("n").over(Window.partitionBy(*group).orderBy(order))
+    walked = buckets.withColumn("reached", reached).withColumn("below", reached - F.col("n"))
+    held = F.filter(
+        "ranks", lambda rank: (rank > F.col("below")) & (rank <= F.col("reached"))
     )
+    return walked.withColumn("ranks", held).where(F.size("ranks") > 0).drop("reached", "n")
 
 
 def _inside(values: DataFrame, state: DataFrame) -> DataFrame:
     """The values inside a kept bucket.
 
-    The state has at most two ranks per column and quantile and does not grow with the data,
-    so it is broadcast; a shuffle by column would put each column into one task.
+    The state has at most two buckets per column and quantile and does not grow with the
+    data, so it is broadcast; a shuffle by column would put each column into one task.
     """
     within = F.col("value").between(F.col("low"), F.col("high"))
-    return values.join(F.broadcast(state), "column").where(within)
+    return values.join(F.broadcast(state), "i").where(within)
 
 
 def _interpolated(position: Column) -> Column:
@@ -162,7 +150,7 @@ def quantile_name(quantile: float) -> str:
 
 def _describe_approx(values: DataFrame, quantiles: Sequence[float], accuracy: int) -> DataFrame:
     cuts = F.approx_percentile("value", list(quantiles), accuracy)
-    summary = values.groupBy("column").agg(
+    summary = values.groupBy("i").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
@@ -171,7 +159,7 @@ def _describe_approx(values: DataFrame, quantiles: Sequence[float], accuracy: in
         cuts.alias("cuts"),
     )
     picked = [F.col("cuts")[i].alias(quantile_name(q)) for i, q in enumerate(quantiles)]
-    return summary.select("column", "count", "mean", "std", "min", "max", *picked)
+    return summary.select("i", "count", "mean", "std", "min", "max", *picked)
 
 
 def describe_numeric(
@@ -189,10 +177,11 @@ def describe_numeric(
     adds one scan and cuts what is left for the last, value-by-value round by about
     ``steps``; raise it for very large tables. ``approx`` takes them from a sketch, in one scan.
     """
-    values = _long_values(df, {name: F.col(name) for name in numeric_columns(df)})
+    names = numeric_columns(df)
+    values = _long_values(df, [F.col(name) for name in names])
     if approx:
-        return _describe_approx(values, quantiles, accuracy)
-    return _describe_long(values, quantiles, rounds, steps)
+        return _named(_describe_approx(values, quantiles, accuracy), names)
+    return _named(_describe_exact(values, quantiles, rounds, steps), names)
 
 
 def describe_timestamps(
@@ -200,11 +189,11 @@ def describe_timestamps(
 ) -> DataFrame:
     """The same figures for date and time columns, as timestamps; a deviation is not given."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = {
-        name: F.timestamp_diff("MICROSECOND", epoch, F.col(name).cast("timestamp_ntz"))
-        for name in timestamp_columns(df)
-    }
-    summary = _describe_long(_long_values(df, seconds), quantiles, rounds, steps)
+    names = timestamp_columns(df)
+    micros = [
+        F.timestamp_diff("MICROSECOND", epoch, F.col(name).cast("timestamp_ntz")) for name in names
+    ]
+    summary = _named(_describe_exact(_long_values(df, micros), quantiles, rounds, steps), names)
     shown = ["mean", "min", *[quantile_name(q) for q in quantiles], "max"]
     return summary.select(
         "column",

@@ -68,7 +68,7 @@ def overall_totals(df: DataFrame, *measures: str) -> DataFrame:
 
 
 def _sets(df: DataFrame, measures: list[Column]) -> DataFrame:
-    """Group by each dimension and by nothing; the set and its key become two plain columns."""
+    """Group by each dimension and by nothing; the set and its key become plain columns."""
     grouped = df.groupingSets([[name] for name in DIMENSIONS] + [[]], *DIMENSIONS).agg(
         F.grouping_id().alias("set_id"), *measures
     )
@@ -101,12 +101,23 @@ def sales_totals(df: DataFrame, *measures: str) -> DataFrame:
     )
     if ORDERS not in measures:
         return totals
-    orders = _sets(rows, [_order_count()])
-    orders = orders.withColumnsRenamed({"dimension": "set_name", "key": "set_key"})
+    orders = _orders_per_key(df).withColumnsRenamed({"dimension": "set_name", "key": "set_key"})
     matched = (F.col("dimension") == F.col("set_name")) & F.col("key").eqNullSafe(F.col("set_key"))
     return totals.join(orders, matched).select("dimension", "key", *measures)
 
 
+def _orders_per_key(df: DataFrame) -> DataFrame:
+    """Distinct orders per dimension value and overall.
+
+    Each row names its keys one below the other and duplicates are removed by key and order,
+    so neither a frequent key nor a frequent order id gathers in one task.
+    """
+    keys = [F.struct(F.lit(name).alias("dimension"), F.col(name).alias("key")) for name in DIMENSIONS]
+    whole = F.struct(F.lit(OVERALL).alias("dimension"), F.lit(None).cast("string").alias("key"))
+    pairs = df.select("order_id", F.inline(F.array(*keys, whole))).distinct()
+    return pairs.groupBy("dimension", "key").agg(F.count("order_id").alias(ORDERS))
+
+
 def _merged(measure: str) -> Column:
     """A measure from partial sums and counts."""
     if measure == "row_count":
