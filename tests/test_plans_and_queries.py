@@ -1,0 +1,61 @@
+import inspect
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as driver
+from tillroll.queries.registry import all_queries
+
+SMALL = "/root/testdata/sf0.001"
+available = pytest.mark.skipif(not Path(SMALL).exists(), reason="star-schema tables not present")
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_query_has_a_counterpart():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+    for query in driver.queries().values():
+        assert len(inspect.signature(query).parameters) == 2
+
+
+@available
+def test_entry(spark):
+    assert driver.entry(spark).count() == 6
+
+
+@available
+@pytest.mark.parametrize("name", list(all_queries()))
+def test_no_python_in_any_plan(spark, name):
+    plan = physical(all_queries()[name](spark, SMALL))
+    assert "EvalPython" not in plan
+    assert "InPandas" not in plan
+    assert "CartesianProduct" not in plan
+
+
+@available
+def test_top_k_does_not_sort_everything(spark):
+    assert "TakeOrderedAndProject" in physical(driver.queries()["top_categories"](spark, SMALL))
+
+
+@available
+def test_reports_read_only_their_columns(spark):
+    plan = physical(driver.queries()["revenue_by_payment"](spark, SMALL))
+    assert "l_tax" not in plan
+    assert "c_name" not in plan
+    assert "customer.parquet" not in plan
+
+
+@available
+def test_the_spike_profile_is_aggregated_once(spark):
+    scored = driver.queries()["scored_profile"](spark, SMALL)
+    scored.collect()
+    assert "ReusedExchange" in physical(scored)
+
+
+@available
+def test_slice_dates_reach_the_scan(spark):
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in physical(
+        driver.queries()["slice_rows"](spark, SMALL)
+    )

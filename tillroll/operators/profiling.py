@@ -231,26 +231,40 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     )
 
 
+def _binned(df: DataFrame, column: str, bins: int, *extra: Column) -> DataFrame:
+    """Rows ``(bin, lo, hi, <extra>, n)``: counts per equal-width bin between the extremes.
+
+    The limits and the ``extra`` statistics are one row, attached to every value.
+    """
+    present = df.select(F.col(column).cast("double").alias("value")).where(
+        F.col("value").isNotNull()
+    )
+    limits = present.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), *extra)
+    # width_bucket puts the maximum into a bin of its own, one past the last.
+    bucket = F.least(F.width_bucket("value", "lo", "hi", F.lit(bins)), F.lit(bins).cast("bigint"))
+    single = F.lit(1).cast("bigint")
+    placed = present.crossJoin(limits).withColumn(
+        "bin", F.when(F.col("lo") == F.col("hi"), single).otherwise(bucket)
+    )
+    return placed.groupBy("bin", *limits.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def histogram(df: DataFrame, column: str = "price", bins: int = 20) -> DataFrame:
     """Equal-width bins ``(bin, low, high, n)``; the last one includes the maximum.
 
     Bins without values do not appear; a constant column has a single bin.
     """
-    value = F.col(column).cast("double")
-    present = df.select(value.alias("value")).where(F.col("value").isNotNull())
-    limits = present.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
-    bucket = F.least(F.width_bucket("value", "lo", "hi", F.lit(bins)), F.lit(bins).cast("bigint"))
-    placed = present.crossJoin(limits).withColumn(
-        "bin", F.when(F.col("lo") == F.col("hi"), F.lit(1).cast("bigint")).otherwise(bucket)
+    return (
+        _binned(df, column, bins)
+        .select(
+            "bin",
+            (F.col("lo") + width * (F.col("bin") - 1)).alias("low"),
+            (F.col("lo") + width * F.col("bin")).alias("high"),
+            "n",
+        )
+        .orderBy("bin")
     )
-    counted = placed.groupBy("bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(
-        "bin",
-        (F.col("lo") + width * (F.col("bin") - 1)).alias("low"),
-        (F.col("lo") + width * F.col("bin")).alias("high"),
-        "n",
-    ).orderBy("bin")
 
 
 def density(df: DataFrame, column: str = "price", bins: int = 20, points: int = 51) -> DataFrame:
@@ -259,27 +273,22 @@ def density(df: DataFrame, column: str = "price", bins: int = 20, points: int =
     Evaluated on the histogram bins, so the kernel runs bins x points times and not once per
     row. The bandwidth is the sample deviation times n^(-1/5).
     """
-    value = F.col(column).cast("double")
-    stats = df.agg(
-        F.count(value).alias("total"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("lo"),
-        F.max(value).alias("hi"),
-    )
-    scale = F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
-    centred = (
-        histogram(df, column, bins)
-        .select(((F.col("low") + F.col("high")) / 2).alias("centre"), "n")
-        .crossJoin(stats.withColumn("bandwidth", scale).where("bandwidth > 0"))
+    total, std = F.count("value").alias("total"), F.stddev_samp("value").alias("std")
+    span = F.col("hi") - F.col("lo")
+    bandwidth = F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
+    centres = (
+        _binned(df, column, bins, total, std)
+        .withColumn("bandwidth", bandwidth)
+        .where("bandwidth > 0")
+        .withColumn("centre", F.col("lo") + span * (F.col("bin") - 0.5) / bins)
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .withColumn("x", F.col("lo") + span / (points - 1) * F.col("point"))
     )
-    step = (F.col("hi") - F.col("lo")) / (points - 1)
-    grid = centred.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    placed = grid.withColumn("x", F.col("lo") + step * F.col("point"))
     distance = (F.col("x") - F.col("centre")) / F.col("bandwidth")
     kernel = F.col("n") * F.exp(-0.5 * distance * distance)
     norm = F.col("total") * F.col("bandwidth") * F.sqrt(2 * F.pi())
     return (
-        placed.groupBy("point", "x")
+        centres.groupBy("point", "x")
         .agg(F.sum(kernel / norm).alias("density"))
         .select("x", "density")
         .orderBy("x")

@@ -47,11 +47,14 @@ def simulate_leakage_recovery(
     totals: DataFrame | None = None,
 ) -> DataFrame:
     """Per category: leakage, rate (0 when missing, limited to [0, 1]), uplift, new revenue."""
+    return recovery_breakdown(leakage_by_category(df, totals), rates)
+
+
+def recovery_breakdown(leaks: DataFrame, rates: Mapping[str, float] | DataFrame) -> DataFrame:
+    """The same, from a ``leakage_by_category`` table that has been computed already."""
     if not isinstance(rates, DataFrame):
-        rates = rates_table(df.sparkSession, rates)
-    categories = leakage_by_category(df, totals).withColumnRenamed(
-        "discount_value", "discount_leakage"
-    )
+        rates = rates_table(leaks.sparkSession, rates)
+    categories = leaks.withColumnRenamed("discount_value", "discount_leakage")
     rate = clip(F.coalesce("recovery_rate", F.lit(0.0)), 0.0, 1.0)
     uplift = F.col("discount_leakage") * F.col("recovery_rate")
     return (

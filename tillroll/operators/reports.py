@@ -101,13 +101,13 @@ def sales_trend_over_time(df: DataFrame) -> DataFrame:
     return monthly.agg(money_sum("total_revenue").alias("total_revenue")).orderBy("year_month")
 
 
-def monthly_trend(df: DataFrame) -> DataFrame:
+def monthly_trend(df: DataFrame, months: DataFrame | None = None) -> DataFrame:
     """Revenue per month at the last day, with 0 for months without sales in between.
 
-    Each month is stretched up to the one before its successor. The window has no partition
+    ``months`` is the result of ``sales_trend_over_time`` where it is stored. Each month is stretched up to the one before its successor. The window has no partition
     key, but runs over months, of which the calendar holds fewer than 120,000.
     """
-    months = sales_trend_over_time(df)
+    months = sales_trend_over_time(df) if months is None else months
     following = F.lead("year_month").over(Window.orderBy("year_month"))
     last = F.coalesce(F.add_months(following, -1), F.col("year_month"))
     stretched = months.withColumn("last_month", last).select(
@@ -146,12 +146,13 @@ def data_quality_audit(df: DataFrame) -> DataFrame:
 
 
 def build_executive_tables(
-    df: DataFrame, totals: DataFrame | None = None
+    df: DataFrame, totals: DataFrame | None = None, months: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The six report tables as lazy plans.
 
     Pass stored ``sales_totals`` when several of them will run: four of the six are then cut
-    from that small table instead of scanning the sales rows.
+    from that small table instead of scanning the sales rows. Stored ``months`` do the same
+    for the monthly trend.
     """
     overall = None if totals is None else overall_part(totals)
     return {
@@ -159,6 +160,6 @@ def build_executive_tables(
         "category_performance": category_performance(df, totals),
         "regional_performance": regional_performance(df, totals),
         "payment_performance": payment_performance(df, totals),
-        "monthly_trend": monthly_trend(df),
+        "monthly_trend": monthly_trend(df, months),
         "data_quality_audit": data_quality_audit(df),
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,6 +98,7 @@ def schema_violations(df: DataFrame, profile: str = "full") -> DataFrame:
 
 def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
     """One row per broken rule and input row: the order id, the rule and the offending text."""
+    rules = raw_rules(df, profile)
     found = [
         F.when(
             rule.breach,
@@ -105,9 +108,11 @@ def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
                 F.col(rule.column).cast("string").alias("value"),
             ),
         )
-        for rule in raw_rules(df, profile)
+        for rule in rules
     ]
-    return df.select("order_id", F.inline(F.array_compact(F.array(*found))))
+    # Most rows are fine: leave them out before building an entry per rule.
+    broken = reduce(or_, [F.coalesce(rule.breach, F.lit(False)) for rule in rules])
+    return df.where(broken).select("order_id", F.inline(F.array_compact(F.array(*found))))
 
 
 def validate_raw_sales_data(df: DataFrame, profile: str = "full") -> DataFrame:

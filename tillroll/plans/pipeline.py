@@ -109,13 +109,14 @@ def run_pipeline(
     featured = build_features(read_clean_table(spark, paths["processed"]))
     totals = store(sales_totals(featured), f"{out_path}/shared/sales_totals")
     overall = overall_part(totals)
+    months = store(sales_trend_over_time(featured), f"{out_path}/shared/monthly_revenue")
     reports = {
         "executive_summary": build_executive_summary(featured, overall),
         "discount_opportunities": rank_discount_opportunities(featured, totals=totals),
         "actionable_recommendations": build_actionable_recommendations(featured, totals=totals),
-        "sales_trend_over_time": sales_trend_over_time(featured),
+        "sales_trend_over_time": months.orderBy("year_month"),
         "top_categories_by_sales": top_categories_by_sales(featured, totals=totals),
-        **build_executive_tables(featured, totals),
+        **build_executive_tables(featured, totals, months),
     }
     if with_profile:
         reports |= basic_eda(featured)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tillroll import __version__
 from tillroll.operators.recovery import (
+    check_default_rate,
+    recovery_breakdown,
     recovery_rates,
     recovery_totals,
-    simulate_leakage_recovery,
 )
+from tillroll.operators.reports import leakage_by_category
 from tillroll.plans.pipeline import store
 from tillroll.sources.readers import read_processed
 from tillroll.sources.writers import save_record
@@ -33,12 +35,15 @@ def run_scenario(
     """Write the breakdown per category, and its totals as a one-record summary."""
     generated_at = generated_at or datetime.now(UTC)
     sales = read_processed(spark, in_path, in_format)
-    rates = recovery_rates(sales, recovery_rate, overrides)
+    check_default_rate(recovery_rate)
     paths = {
         "breakdown": f"{out_path}/scenario_breakdown",
         "summary": f"{out_path}/scenario_summary",
     }
-    breakdown = store(simulate_leakage_recovery(sales, rates), paths["breakdown"])
+    # The sales rows are read once; rates and breakdown start from the stored categories.
+    leaks = store(leakage_by_category(sales), f"{out_path}/shared/leakage_by_category")
+    rates = recovery_rates(leaks, recovery_rate, overrides)
+    breakdown = store(recovery_breakdown(leaks, rates), paths["breakdown"])
     named = overrides if isinstance(overrides, Mapping) else {}
     listed = F.map_from_arrays(
         F.array(*[F.lit(name) for name in named]).cast("array<string>"),

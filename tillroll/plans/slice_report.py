@@ -48,7 +48,8 @@ def slice_report(
     rows = build_features(slice_sales(sales, **bounds))
     totals = settle(sales_totals(rows))
     overall = overall_part(totals)
-    breakdown = simulate_leakage_recovery(rows, recovery_rates or {}, totals)
+    rates = {} if recovery_rates is None else recovery_rates
+    breakdown = simulate_leakage_recovery(rows, rates, totals)
     return {
         "share_of_total": slice_share(sales, **bounds),
         "kpis": summarize_kpis(rows, overall),

@@ -23,6 +23,8 @@ _NEEDS = {
     "customer_region": "region",
 }
 
+SPREAD_LIMIT = 32
+
 # Every n-th order carries this defect in the raw table, per column and in order.
 DEFECTS = {
     "order_date": [(101, "invalid")],
@@ -51,15 +53,18 @@ def sales_view(
 
     rows = spread(table("lineitem"), "l_orderkey")
     if needed & {"orders", "region"}:
-        rows = rows.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        orders = table("orders")
+        if "region" in needed:
+            # Regions are brought to the orders first, so that the order lines, several times
+            # as many, are not shuffled once more by customer.
+            orders = (
+                orders.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+                .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+                .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            )
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "part" in needed:
         rows = rows.join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
-    if "region" in needed:
-        home = table("nation").join(
-            table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
-        rows = rows.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        rows = rows.join(home, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
     discount = F.col("l_discount") * 100
     discounted = F.col("p_retailprice") * (1 - discount / 100)
@@ -83,13 +88,13 @@ def sales_view(
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a table that arrives in fewer splits than there are cores to all of them.
+    """Give a small table that arrives in few splits to more cores.
 
-    A small parquet file can be a single row group, which is a single task. A table that is
-    large enough to occupy the cluster comes in more splits and is left as it is.
+    A small parquet file can be a single row group, which is a single task. A table of
+    ``SPREAD_LIMIT`` splits or more (about 4 GB at the default split size) is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_LIMIT)
+    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
 
 
 def raw_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
