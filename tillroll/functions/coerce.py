@@ -16,8 +16,9 @@ ISO_DATE = "y-M-d"
 
 def blank_missing(df: DataFrame) -> DataFrame:
     """Null out the missing-value tokens in every text column."""
+    tokens = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
     blanked = {
-        field.name: F.when(~F.col(field.name).isin(MISSING_TOKENS), F.col(field.name))
+        field.name: F.when(F.expr(f"`{field.name}` NOT IN ({tokens})"), F.col(field.name))
         for field in df.schema
         if isinstance(field.dataType, T.StringType)
     }

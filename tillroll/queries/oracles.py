@@ -95,6 +95,12 @@ PROCESSED = f"""{CLEAN}, grossed AS (
 ), {_features("grossed")}"""
 
 
+UNRATED = "* REPLACE (CASE WHEN order_id % 131 <> 0 THEN rating END AS rating)"
+PROFILED = f"""{SALES}, partly_rated AS (
+    SELECT {UNRATED} FROM sales
+), {_features("partly_rated")}"""
+
+
 def _money(column: str, condition: str = "") -> str:
     where = f" FILTER (WHERE {condition})" if condition else ""
     return f"coalesce(CAST(sum(CAST({column} AS DECIMAL(18,6))){where} AS DOUBLE), 0)"
@@ -238,7 +244,7 @@ def _quality_oracles() -> dict[str, str]:
         "quality_gates": gates(CLEAN, "clean"),
         "quality_gates_unclean": gates(RAW, "raw", "TRY_CAST({0} AS DOUBLE)"),
         "dq_audit": _with(PROCESSED, audit),
-        "column_profile": _with(PROCESSED, profile),
+        "column_profile": _with(PROFILED, profile),
     }
 
 
@@ -559,7 +565,7 @@ def _profile_oracles() -> dict[str, str]:
         return f"quantile_cont(CAST({column} AS DOUBLE), {q}::DOUBLE)"
 
     describe = "\nUNION ALL\n".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 6) AS mean,
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", round(avg({c}), 7) AS mean,
     round(stddev_samp({c}), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS "min",
     round({quartile(c, 0.25)}, 6) AS p25, round({quartile(c, 0.5)}, 6) AS p50,
     round({quartile(c, 0.75)}, 6) AS p75, round(CAST(max({c}) AS DOUBLE), 6) AS "max"
@@ -610,10 +616,10 @@ FROM featured"""
         f"SELECT *, lo + (hi - lo) / {DENSITY_POINTS - 1} * point AS x FROM grid",
     )
     return {
-        "numeric_describe": _with(PROCESSED, describe),
+        "numeric_describe": _with(PROFILED, describe),
         "timestamp_describe": _with(SALES, moments),
         "correlation_matrix": _with(
-            _cte(PROCESSED, "pairs", f"SELECT {pairs} FROM featured"), matrix
+            _cte(PROFILED, "pairs", f"SELECT {pairs} FROM featured"), matrix
         ),
         "price_histogram": _with(
             binned,

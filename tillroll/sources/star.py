@@ -25,6 +25,18 @@ _NEEDS = {
 
 SPREAD_LIMIT = 32
 
+# The columns read from each table. Naming them saves a job per table that infers the schema.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+    "l_discount double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 # Every n-th order carries this defect in the raw table, per column and in order.
 DEFECTS = {
     "order_date": [(101, "invalid")],
@@ -49,7 +61,7 @@ def sales_view(
     needed = {_NEEDS.get(name) for name in wanted}
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     rows = spread(table("lineitem"), "l_orderkey")
     if needed & {"orders", "region"}:
