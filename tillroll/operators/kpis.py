@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import money_sum, ratio_or_zero, unpivot_record
 from tillroll.operators.cleaning import row_accounting
-from tillroll.operators.features import date_bounds, in_slice
+from tillroll.operators.features import date_bounds, ensure_revenue_columns, in_slice
 from tillroll.operators.totals import (
     dimension_part,
     leakage,
@@ -132,14 +132,22 @@ def collect_product_metrics(
     """
     generated_at = generated_at or datetime.now(UTC)
     if totals is None:
-        whole = overall_totals(featured, "total_revenue", "gross_revenue", "total_orders")
-        categories = featured.agg(F.count_distinct("product_category").alias("unique_categories"))
+        # Categories are few, so counting them along with the sums ships little.
+        record = ensure_revenue_columns(featured).agg(
+            money_sum("total_revenue").alias("total_revenue"),
+            money_sum("gross_revenue").alias("gross_revenue"),
+            F.count_distinct("product_category").alias("unique_categories"),
+            F.min("order_date").alias("first_order_date"),
+            F.max("order_date").alias("last_order_date"),
+        )
+        record = record.crossJoin(overall_totals(featured, "total_orders"))
     else:
-        whole = overall_part(totals)
-        categories = dimension_part(totals, "product_category").agg(
-            F.count(F.lit(1)).alias("unique_categories")
+        categories = dimension_part(totals, "product_category")
+        record = (
+            overall_part(totals)
+            .crossJoin(categories.agg(F.count(F.lit(1)).alias("unique_categories")))
+            .crossJoin(date_bounds(featured))
         )
-    record = whole.crossJoin(categories).crossJoin(date_bounds(featured))
     for name, rows in (("raw_rows", raw), ("clean_rows", clean)):
         if isinstance(rows, int):
             record = record.withColumn(name, F.lit(rows).cast("bigint"))

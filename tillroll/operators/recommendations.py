@@ -5,13 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.totals import (
-    dimension_part,
-    leakage,
-    overall_part,
-    retained_share,
-    sales_totals,
-)
+from tillroll.operators.totals import OVERALL, leakage, retained_share, sales_totals
 
 # The texts of the recommendations, with %s for the category or payment method.
 LOW_NRR_RULE = "NRR below 90%"
@@ -28,14 +22,30 @@ NO_RISK_ACTION = "Maintain current policy and continue weekly KPI monitoring."
 NO_RISK_OWNER = "Analytics"
 
 
-def _extreme(part: DataFrame, key: str, metric: Column, carried: str) -> DataFrame:
-    """One row: the key with the smallest metric and a measure of it, null without any key.
+def _facts(totals: DataFrame) -> DataFrame:
+    """What the rules look at, as one row from one pass over the totals.
 
-    Ordering by (metric is null, metric, key) puts nulls last and settles ties by the key.
+    One pass matters: a branch per fact would let Spark prune each to its own columns and
+    scan the sales rows once per branch. An extreme is ordered by (metric is null, metric,
+    key), which puts nulls last and settles ties by the key; rows of other dimensions have a
+    null order and do not take part.
     """
-    order = F.struct(metric.isNull(), metric, F.col(key))
-    return part.agg(
-        F.min_by(key, order).alias(key), F.min_by(carried, order).alias(f"{key}_{carried}")
+
+    def whole(measure: str) -> Column:
+        value = F.max(F.when(F.col("dimension") == OVERALL, F.col(measure)))
+        return F.coalesce(value, F.lit(0.0)).alias(measure)
+
+    def first(dimension: str, metric: Column, shown: str) -> Column:
+        order = F.struct(metric.isNull(), metric, F.col("key"))
+        return F.min_by(shown, F.when(F.col("dimension") == dimension, order))
+
+    discount = -F.col("discount_value")
+    return totals.agg(
+        whole("total_revenue"),
+        whole("gross_revenue"),
+        first("product_category", discount, "key").alias("product_category"),
+        first("product_category", discount, "discount_value").alias("category_discount"),
+        first("payment_method", F.col("avg_ticket"), "key").alias("payment_method"),
     )
 
 
@@ -61,24 +71,11 @@ def build_actionable_recommendations(
 ) -> DataFrame:
     """Apply the rules to the totals; each rule that fires gives one row.
 
-    All rows of the sales table are reduced to ``sales_totals`` first; what is combined here
-    are three one-row results.
+    All rows of the sales table are reduced to ``sales_totals`` first, in one scan.
     """
     if totals is None:
         totals = sales_totals(df, "total_revenue", "gross_revenue", "discount_value", "avg_ticket")
-    whole = overall_part(totals)
     category, payment = F.col("product_category"), F.col("payment_method")
-    top_category = _extreme(
-        dimension_part(totals, "product_category"),
-        "product_category",
-        -F.col("discount_value"),
-        "discount_value",
-    )
-    weakest_payment = _extreme(
-        dimension_part(totals, "payment_method"), "payment_method", F.col("avg_ticket"), "avg_ticket"
-    )
-    facts = whole.crossJoin(top_category).crossJoin(weakest_payment)
-
     below_floor = F.when(
         retained_share() < nrr_floor,
         _recommendation(
@@ -95,7 +92,7 @@ def build_actionable_recommendations(
             "high",
             F.format_string(CATEGORY_RULE, category),
             F.format_string(CATEGORY_ACTION, category),
-            F.col("product_category_discount_value") * recovery,
+            F.col("category_discount") * recovery,
             CATEGORY_OWNER,
         ),
     )
@@ -114,7 +111,8 @@ def build_actionable_recommendations(
     )
     fired = F.array_compact(F.array(below_floor, leaking_category, small_tickets))
     return (
-        facts.select(fired.alias("fired"))
+        _facts(totals)
+        .select(fired.alias("fired"))
         .select(F.inline(F.when(F.size("fired") == 0, F.array(no_risk)).otherwise(F.col("fired"))))
         .orderBy("priority", F.desc_nulls_last("expected_impact_usd"), "decision_rule")
     )

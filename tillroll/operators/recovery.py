@@ -11,7 +11,7 @@ from tillroll.functions import clip, money_sum, ratio_or_zero
 from tillroll.operators.features import dimension_values
 from tillroll.operators.reports import leakage_by_category
 
-RATES_SCHEMA = "product_category string, recovery_rate double"
+RATES_FIELDS = "product_category: string, recovery_rate: double"
 
 
 def check_default_rate(rate: float) -> None:
@@ -20,9 +20,13 @@ def check_default_rate(rate: float) -> None:
 
 
 def rates_table(spark: SparkSession, rates: Mapping[str, float]) -> DataFrame:
-    """The rates as a table; a rates table of any size can be passed instead."""
-    rows = [(name, float(rate)) for name, rate in rates.items()]
-    return spark.createDataFrame(rows, RATES_SCHEMA)
+    """The rates as a literal table; a rates table of any size can be passed instead."""
+    entries = [
+        F.struct(F.lit(name).alias("product_category"), F.lit(float(rate)).alias("recovery_rate"))
+        for name, rate in rates.items()
+    ]
+    listed = F.array(*entries).cast(f"array<struct<{RATES_FIELDS}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(listed))
 
 
 def recovery_rates(

@@ -61,9 +61,13 @@ def dimension_totals(df: DataFrame, dimension: str, *measures: str) -> DataFrame
 
 def overall_totals(df: DataFrame, *measures: str) -> DataFrame:
     """The named measures over the whole table, always exactly one row."""
-    totals = ensure_revenue_columns(df).agg(*_additive(measures))
-    if ORDERS in measures:
-        totals = totals.crossJoin(df.agg(_order_count()))
+    orders = df.agg(_order_count()) if ORDERS in measures else None
+    additive = _additive(measures)
+    if not additive:
+        return orders
+    totals = ensure_revenue_columns(df).agg(*additive)
+    if orders is not None:
+        totals = totals.crossJoin(orders)
     return totals.select(*measures)
 
 
