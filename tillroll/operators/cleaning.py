@@ -36,17 +36,6 @@ def usable_row(value: Callable[[str], Column] = F.col) -> Column:
     )
 
 
-def usable_raw_row(raw: DataFrame, date_format: str = ISO_DATE) -> Column:
-    """The same test on rows that have not been coerced yet."""
-
-    def coerced(name: str) -> Column:
-        if name == "order_date":
-            return to_moment(raw, name, date_format)
-        return to_number(raw, name)
-
-    return usable_row(coerced)
-
-
 def clean_sales_data(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
     """Coerce, drop unusable rows, clip discount and rating, recompute price and revenue."""
     require_columns(df)
@@ -77,9 +66,8 @@ def row_accounting(raw_rows: Column, clean_rows: Column) -> dict[str, Column]:
 def retention(raw: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
     """Row accounting of cleaning ``raw``, counted in one scan of the raw table."""
     require_columns(raw)
-    counted = raw.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(usable_raw_row(raw, date_format)).alias("clean_rows"),
+    counted = coerce_types(raw, date_format).agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if(usable_row()).alias("clean_rows")
     )
     parts = row_accounting(F.col("raw_rows"), F.col("clean_rows"))
     return counted.select(*[column.alias(name) for name, column in parts.items()])

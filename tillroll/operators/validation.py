@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,21 +50,31 @@ def _domain_rules(column: str, number: Column) -> Iterable[Rule]:
         yield Rule(f"{column}_le_{high}", column, number > high)
 
 
+def parsed(name: str) -> Column:
+    """The number a raw column stands for, in a table that went through ``with_parsed``."""
+    return F.col(f"_parsed_{name}")
+
+
+def with_parsed(df: DataFrame) -> DataFrame:
+    """Add the parsed numbers as columns, so that several rules share one parse."""
+    present = [name for name in NUMBER_COLUMNS if name in df.columns]
+    return df.withColumns({f"_parsed_{name}": to_number(df, name) for name in present})
+
+
 def raw_rules(df: DataFrame, profile: str = "full") -> list[Rule]:
     """Rules for a raw table: nullability, numeric type and value domain per column.
 
-    The ``minimal`` profile needs seven columns and checks the quantity only.
+    They apply to ``with_parsed(df)``. The ``minimal`` profile needs seven columns and checks
+    the quantity only.
     """
-    quantity = Rule(
-        "quantity_sold_gt_0", "quantity_sold", to_number(df, "quantity_sold") <= 0
-    )
+    quantity = Rule("quantity_sold_gt_0", "quantity_sold", parsed("quantity_sold") <= 0)
     if profile == "minimal":
         return [quantity]
     if profile != "full":
         raise ValueError(f"unknown rule profile: {profile}")
     rules = [Rule(f"{name}_not_null", name, F.col(name).isNull()) for name in NOT_NULL]
     for name in NUMBER_COLUMNS:
-        number = to_number(df, name)
+        number = parsed(name)
         if isinstance(df.schema[name].dataType, T.StringType):
             broken = F.col(name).isNotNull() & number.isNull()
             rules.append(Rule(f"{name}_numeric", name, broken))
@@ -93,7 +101,7 @@ def schema_violations(df: DataFrame, profile: str = "full") -> DataFrame:
         )
         for rule in rules
     ]
-    return count_breaches(df, rules).select(F.inline(F.array(*entries)))
+    return count_breaches(with_parsed(df), rules).select(F.inline(F.array(*entries)))
 
 
 def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
@@ -110,9 +118,7 @@ def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
         )
         for rule in rules
     ]
-    # Most rows are fine: leave them out before building an entry per rule.
-    broken = reduce(or_, [F.coalesce(rule.breach, F.lit(False)) for rule in rules])
-    return df.where(broken).select("order_id", F.inline(F.array_compact(F.array(*found))))
+    return with_parsed(df).select("order_id", F.inline(F.array_compact(F.array(*found))))
 
 
 def validate_raw_sales_data(df: DataFrame, profile: str = "full") -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import __version__
+from tillroll.functions import to_moment
 from tillroll.functions.coerce import ISO_DATE
-from tillroll.operators.cleaning import clean_sales_data, usable_raw_row
+from tillroll.operators.cleaning import clean_sales_data, usable_row
 from tillroll.operators.contracts import enforce_raw_contract
 from tillroll.operators.features import build_features
 from tillroll.operators.kpis import build_executive_summary, collect_product_metrics
@@ -23,7 +24,14 @@ from tillroll.operators.reports import (
 )
 from tillroll.operators.spikes import alerts_from_profile, discount_profile
 from tillroll.operators.totals import overall_part, sales_totals
-from tillroll.operators.validation import gate_rules, raise_on_gate, raw_rules, violating_rows
+from tillroll.operators.validation import (
+    gate_rules,
+    parsed,
+    raise_on_gate,
+    raw_rules,
+    violating_rows,
+    with_parsed,
+)
 from tillroll.schema import CONTRACT_VERSION
 from tillroll.sources.readers import load_raw_sales_data, read_clean_table
 from tillroll.sources.writers import (
@@ -40,10 +48,14 @@ VIOLATION_MODES = ("fail", "report")
 
 def inspect_raw(raw: DataFrame, date_format: str = ISO_DATE) -> dict[str, int]:
     """Row count, usable rows and broken rules of the raw table, all from one scan."""
+
+    def value(name: str) -> Column:
+        return to_moment(raw, name, date_format) if name == "order_date" else parsed(name)
+
     counts = [F.count_if(rule.breach).alias(rule.name) for rule in raw_rules(raw)]
-    record = raw.agg(
+    record = with_parsed(raw).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_if(usable_raw_row(raw, date_format)).alias("usable_rows"),
+        F.count_if(usable_row(value)).alias("usable_rows"),
         *counts,
     )
     return record.first().asDict()
