@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from tillroll.queries.oracles import all_oracles
 from tillroll.queries.registry import all_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -15,7 +16,9 @@ def physical(df) -> str:
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
     for query in driver.queries().values():
         assert len(inspect.signature(query).parameters) == 2
 
