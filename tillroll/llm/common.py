@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,3 +37,13 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``df`` as one column ``row``, beside copies of the columns ``keys``.
+
+    Columns that an operator adds meanwhile cannot clash with columns of ``df``; ``select("row.*")``
+    gives them back.
+    """
+    whole = F.struct(*[df[f"`{name}`"] for name in df.columns])
+    return df.select(*[F.col(key) for key in keys], whole.alias("row"))

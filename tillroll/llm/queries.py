@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import simhash, toxicity
+from tillroll.llm import decontaminate, mixing, secrets, simhash, toxicity
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,18 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("text_hash")
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "text", "source", "copy", "mix_key")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -30,10 +42,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(read_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    found = [op1_simhash_groups, op9_toxicity]
+    found = [
+        op1_simhash_groups,
+        op5_decontamination,
+        op8_source_mix,
+        op9_toxicity,
+        op10_secrets,
+    ]
     return {query.__name__: query for query in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op8_source_mix": mixing.mix_sql()}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tillroll.llm.common import settle
+from tillroll.llm.common import packed, settle
 
 WORD_BITS = 17
 WORDS = 1 << WORD_BITS
@@ -303,6 +303,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score below ``THRESHOLD``, with the columns of ``docs``."""
-    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
-    scored = toxicity_scores(docs.select("doc_id", "text", whole), labels)
+    scored = toxicity_scores(packed(docs, "doc_id", "text"), labels)
     return scored.filter(F.col("score") < THRESHOLD).select("row.*")
