@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,33 @@ def packed(df: DataFrame, *keys: str) -> DataFrame:
     """
     whole = F.struct(*[df[f"`{name}`"] for name in df.columns])
     return df.select(*[F.col(key) for key in keys], whole.alias("row"))
+
+
+#: Bits of a key filter: its size is fixed, whatever the number of keys.
+FILTER_BITS = 1 << 25
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of the hashed keys in column ``key``, for a first look before an exact join.
+
+    At most ``FILTER_BITS / 64`` numbers reach the driver. With many more keys than bits, the filter
+    lets everything through and only saves less.
+    """
+    place = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = (
+        keys.select(
+            F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 AS int))").alias("bit")
+        )
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toPandas()
+    )
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def let_through(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each hashed key may be one of those behind the bitmap."""
+    place = keys & (FILTER_BITS - 1)
+    return (bits[place >> 6] >> (place & 63) & 1).astype(bool)

@@ -27,15 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import settle
+from tillroll.llm.common import key_filter, let_through, settle
 from tillroll.llm.simhash import text_hash
 
 WINDOW = 5
 COVERAGE = 0.8
 RUN_WORDS = 13
 MIN_LITERALS = 2
-#: Bits of the filter over benchmark windows: its size is fixed, whatever the benchmark's.
-FILTER_BITS = 1 << 25
 CACHE_TOKENS = 500_000
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams ton tons pound "
@@ -128,8 +126,7 @@ def _windows(bits=None):
                 keys = window_keys(words, values)
                 at = np.arange(len(keys))
                 if known is not None:
-                    place = keys & (FILTER_BITS - 1)
-                    at = np.flatnonzero(known[place >> 6] >> (place & 63) & 1)
+                    at = np.flatnonzero(let_through(known, keys))
                 if not len(at):
                     continue
                 held = [values[i : i + WINDOW] for i in at]
@@ -151,22 +148,6 @@ def _texts(df: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def _filter_words(items: DataFrame) -> np.ndarray:
-    """A bitmap of the windows' keys: at most ``FILTER_BITS / 64`` numbers reach the driver."""
-    place = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
-    words = (
-        items.select(
-            F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(key & 63 AS int))").alias("bit")
-        )
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
-    )
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out
-
-
 def _longest_run(positions: F.Column) -> F.Column:
     start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
 
@@ -198,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
         "benchmark-windows",
     )
-    bits = spark.sparkContext.broadcast(_filter_words(items.select(F.col("item_key").alias("key"))))
+    bits = spark.sparkContext.broadcast(key_filter(items.select(F.col("item_key").alias("key"))))
     hits = _texts(docs, "doc_id").mapInArrow(_windows(bits), _SCHEMA)
     met = hits.join(items, hits["key"] == items["item_key"])
     same = F.col("slots") == F.col("item_slots")

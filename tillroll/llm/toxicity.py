@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tillroll.llm.common import packed, settle
+from tillroll.llm.common import key_filter, let_through, packed, settle
 
 WORD_BITS = 17
 WORDS = 1 << WORD_BITS
@@ -91,8 +91,8 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.clear()
 
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            pairs = pair_numbers(word_numbers(text))
+        for words, label in zip(_words_of(batch), batch.column("toxic").to_pylist()):
+            pairs = pair_numbers(words)
             held[label].append(pairs)
             size += len(pairs)
             if size >= FLUSH_TOKENS:
@@ -189,7 +189,7 @@ def training_rows(labels: DataFrame) -> DataFrame:
     held = held_out(F.col("doc_id"))
     return (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held)
-        .groupBy(F.col("doc_id").alias("label_id"))
+        .groupBy(F.col("doc_id").cast("long").alias("label_id"))
         .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     )
 
@@ -199,10 +199,35 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of labelled training rows; only ids that can have a label are shuffled."""
-    able = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    texts = able.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(labels, texts["doc_id"] == labels["label_id"]).select("text", "toxic")
+    """``words`` (numbers of the words) and ``toxic`` of the texts that ``labels`` names.
+
+    A filter of fixed size drops most other texts before the join. The join is a shuffle at every
+    size, since labels grow with the corpus.
+    """
+    spark = docs.sparkSession
+    named = key_filter(labels.select(F.xxhash64("label_id").alias("key")))
+    bits = spark.sparkContext.broadcast(named)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            here = np.flatnonzero(let_through(bits.value, batch.column("key").to_numpy()))
+            chosen = batch.take(pa.array(here))
+            words = [word_numbers(x).astype(np.int32).tobytes() for x in chosen.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [chosen.column("doc_id"), pa.array(words, pa.binary())], ["doc_id", "words"]
+            )
+
+    able = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("key"), "text"
+    )
+    numbered = able.mapInArrow(number, "doc_id long, words binary")
+    return numbered.join(labels.hint("merge"), F.col("doc_id") == F.col("label_id")).select(
+        "words", "toxic"
+    )
+
+
+def _words_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int32).astype(np.int64) for x in batch.column("words").to_pylist()]
 
 
 def count_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -261,10 +286,8 @@ def calibration_features(docs: DataFrame, labels: DataFrame, shared) -> pd.DataF
         model = shared.value
         for batch in batches:
             rows = [
-                [*model.features(word_numbers(text), label), label]
-                for text, label in zip(
-                    batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
-                )
+                [*model.features(words, label), label]
+                for words, label in zip(_words_of(batch), batch.column("toxic").to_pylist())
             ]
             columns = np.array(rows, dtype=np.float64).reshape(len(rows), len(names) + 1).T
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "toxic"])
