@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing, secrets, simhash, toxicity
+from tillroll.llm import decontaminate, mixing, secrets, simhash, token_counts, toxicity
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "text", "source", "copy", "mix_key")
@@ -50,6 +57,7 @@ def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
         op5_decontamination,
+        op7_token_counts,
         op8_source_mix,
         op9_toxicity,
         op10_secrets,
