@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing, secrets, simhash, token_counts, toxicity
+from tillroll.llm import decontaminate, mixing, secrets, simhash, token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archive_captures(read_table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -56,6 +61,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
+        op4_warc,
         op5_decontamination,
         op7_token_counts,
         op8_source_mix,
@@ -66,4 +72,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_source_mix": mixing.mix_sql()}
+    return {"op4_warc": warc.records_sql(), "op8_source_mix": mixing.mix_sql()}
