@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing, secrets, simhash, token_counts, toxicity, warc
+from tillroll.llm import decontaminate, mixing, permutation_index, secrets, simhash
+from tillroll.llm import token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op6_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return permutation_index.nearest(vectors, F.col("id") % 100 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -63,6 +69,7 @@ def llm_queries() -> dict[str, Query]:
         op1_simhash_groups,
         op4_warc,
         op5_decontamination,
+        op6_permutation_index,
         op7_token_counts,
         op8_source_mix,
         op9_toxicity,
