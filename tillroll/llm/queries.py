@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing, permutation_index, secrets, simhash
+from tillroll.llm import decontaminate, mixing, permutation_index, pii, secrets, simhash
 from tillroll.llm import token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
@@ -19,6 +19,10 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.archive_captures(read_table(spark, sf_dir, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -67,6 +71,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
+        op3_personal_data,
         op4_warc,
         op5_decontamination,
         op6_permutation_index,
