@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, mixing, permutation_index, pii, secrets, simhash
+from tillroll.llm import decontaminate, licenses, mixing, permutation_index, pii, secrets, simhash
 from tillroll.llm import token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
@@ -19,6 +19,13 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in directories of source and language, as files named by their id."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.license_scan(docs, path)
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read_table(spark, sf_dir, "documents"))
 
@@ -71,6 +78,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
+        op2_license_scan,
         op3_personal_data,
         op4_warc,
         op5_decontamination,
