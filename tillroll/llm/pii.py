@@ -33,6 +33,8 @@ DOUBT = 1.0
 #: Characters of a gap that are looked at for the nearest word.
 REACH = 64
 MIN_LENGTH = 5
+#: Matches that one block of the place count holds.
+BLOCK = 256
 
 # The patterns give the leftmost non-overlapping matches of the plain ones, in time that grows
 # with the text: a start is only tried where a run begins or the last match ended, runs are taken
@@ -43,34 +45,59 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
 HINTS = {"email": "@", "ip": ".", "phone": "+"}
-OTHER = r"(?<![A-Za-z0-9])[A-Za-z]{0,8}+[0-9][A-Za-z0-9]*+(?:[-./_:][A-Za-z0-9]++)*+"
+OTHER = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9./_:-]{5})[A-Za-z]{0,8}+[0-9][A-Za-z0-9]*+(?:[-./_:][A-Za-z0-9]++)*+"
 INSTANCE = f"(?:{PHONE})|(?:{EMAIL})|(?:{CARD})|(?:{OTHER})"
 _BYTE_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"
+_PIECES = "array<struct<value:string,size:int,gap:int,head:string,tail:string>>"
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def _pieces(text: F.Column, pattern: str, wanted: F.Column | None) -> tuple[F.Column, F.Column]:
-    """Matches of a pattern, and the gaps before, between and after them."""
+def _pieces(text: F.Column, pattern: str, wanted: F.Column) -> F.Column:
+    """Matches of a pattern, each with the gap before it, and the gap after the last one."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    if wanted is None:
-        return found, gaps
-    none = F.array().cast("array<string>")
-    return F.when(wanted, found).otherwise(none), F.when(wanted, gaps).otherwise(none)
+    both = F.zip_with(
+        found,
+        gaps,
+        lambda v, g: F.struct(
+            v.alias("value"),
+            F.coalesce(F.length(v), F.lit(0)).alias("size"),
+            F.length(g).alias("gap"),
+            F.left(g, F.lit(REACH)).alias("head"),
+            F.right(g, F.lit(REACH)).alias("tail"),
+        ),
+    )
+    return F.when(wanted, both).otherwise(F.array().cast(_PIECES))
 
 
-def _located(found: F.Column, gaps: F.Column) -> F.Column:
-    """Matches with their places, in code points: lengths of gaps and matches added up."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+def _located(pieces: str) -> F.Column:
+    """Matches with their places, in code points: lengths of gaps and matches added up.
+
+    Adding to an array copies it, so matches are worked through in blocks: the time grows with
+    the number of matches, not with its square.
+    """
+    both = F.col(pieces)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(both) - 1, F.lit(0)), F.lit(BLOCK)),
+        lambda at: F.slice(both, at + 1, F.lit(BLOCK)),
+    )
+    empty = F.array().cast(_SPAN)
 
     def step(s: F.Column, x: F.Column) -> F.Column:
-        begin = s["at"] + F.length(x["gap"])
-        end = begin + F.coalesce(F.length(x["value"]), F.lit(0))
+        begin = s["at"] + x["gap"]
+        end = begin + x["size"]
         span = F.array(F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value")))
         out = F.when(x["value"].isNull(), s["out"]).otherwise(F.concat(s["out"], span))
         return F.struct(end.alias("at"), out.cast(_SPAN).alias("out"))
 
-    both = F.zip_with(found, gaps, lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
-    return F.aggregate(both, start, step)["out"]
+    def block(s: F.Column, xs: F.Column) -> F.Column:
+        size = F.aggregate(xs, F.lit(0), lambda total, x: total + x["gap"] + x["size"])
+        start = F.struct(s["at"].alias("at"), empty.alias("out"))
+        spans = F.array(F.aggregate(xs, start, step)["out"])
+        out = F.concat(s["out"], spans).cast(f"array<{_SPAN}>")
+        return F.struct((s["at"] + size).alias("at"), out.alias("out"))
+
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    return F.flatten(F.aggregate(blocks, nothing, block)["out"])
 
 
 def _digits(value: F.Column) -> F.Column:
@@ -108,8 +135,7 @@ def seed_kind(value: F.Column) -> F.Column:
 
 
 def _base_spans(kind: str) -> F.Column:
-    located = _located(F.col(f"{kind}_found"), F.col(f"{kind}_gaps"))
-    return F.filter(located, lambda s: _valid(kind, s["value"]))
+    return F.filter(_located(kind), lambda s: _valid(kind, s["value"]))
 
 
 def _scan(docs: DataFrame) -> DataFrame:
@@ -121,19 +147,15 @@ def _scan(docs: DataFrame) -> DataFrame:
     for kind in KINDS:
         hint = F.contains("text", F.lit(HINTS[kind])) if kind in HINTS else F.lit(True)
         hint = hint if kind == "email" else hint & digit
-        found, gaps = _pieces(F.col("text"), PATTERNS[kind], hint)
-        pieces += [found.alias(f"{kind}_found"), gaps.alias(f"{kind}_gaps")]
-    found, gaps = _pieces(F.col("text"), INSTANCE, digit | F.contains("text", F.lit("@")))
-    rows = rows.select("doc_id", "text_hash", *pieces, found.alias("found"), gaps.alias("gaps"))
+        pieces.append(_pieces(F.col("text"), PATTERNS[kind], hint).alias(kind))
+    wanted = digit | F.contains("text", F.lit("@"))
+    pieces.append(_pieces(F.col("text"), INSTANCE, wanted).alias("pieces"))
+    rows = rows.select("doc_id", "text_hash", *pieces)
     base = [_base_spans(kind).alias(kind) for kind in KINDS]
-    after = F.slice(F.col("gaps"), F.lit(2), F.greatest(F.size("gaps"), F.lit(1)))
-    left = F.transform(
-        "gaps", lambda g: F.lower(F.regexp_extract(F.substring(g, -REACH, REACH), r"(\S+)\s*+$", 1))
-    )
-    right = F.transform(
-        after, lambda g: F.lower(F.regexp_extract(F.substring(g, 1, REACH), r"^\s*+(\S+)", 1))
-    )
-    spans = _located(F.col("found"), F.col("gaps"))
+    left = F.transform("pieces", lambda x: F.lower(F.regexp_extract(x["tail"], r"(\S+)\s*+$", 1)))
+    after = F.slice(F.col("pieces"), F.lit(2), F.greatest(F.size("pieces"), F.lit(1)))
+    right = F.transform(after, lambda x: F.lower(F.regexp_extract(x["head"], r"^\s*+(\S+)", 1)))
+    spans = _located("pieces")
     instances = F.arrays_zip(spans.alias("span"), left.alias("left"), right.alias("right"))
     kept = F.filter(
         instances, lambda x: x["span"].isNotNull() & (F.length(x["span"]["value"]) >= MIN_LENGTH)
