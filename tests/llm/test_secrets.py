@@ -1,0 +1,88 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from tillroll.llm import secrets
+
+from cases import documents, odd_documents
+
+
+def plain_spans(text):
+    assign = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(found)]
+
+
+HAND = [
+    'password = "abcdef" PASSWD:short token="abcde" Api_Key : \'Zz9+/_.=-\' apikey=123456',
+    "AKIA" + "A" * 16 + " AKIAAKIA AKIA" + "B" * 15 + " xAKIA" + "9" * 30 + "a",
+    "0" * 24 + " " + "f" * 23 + " A" + "a" * 24 + "g é " + "0a" * 20,
+    'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### secret secret=secret=secret',
+    "ſecret = abcdefgh toKen=abcdefgh ßtoken=é", "", "nothing", "password" + " " * 5000 + "x",
+]
+
+
+def test_base_spans(spark):
+    rng = random.Random(8)
+    parts = ["password", "token", "api_key", "AKIA", "0123456789abcdef", "ABCDEFGH12345678", " ", "=", ":", '"', "x", "é", "ff", "\n"]
+    texts = HAND + ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(600)]
+    rows = secrets.secret_spans(documents(spark, texts)).orderBy("doc_id").collect()
+    for row, text in zip(rows, texts):
+        spans = plain_spans(text)
+        assert row["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest(), text
+        counts = [sum(s.startswith(kind) for s in spans) for kind in secrets.KINDS]
+        assert [row[f"n_{kind}"] for kind in secrets.KINDS] == counts
+        assert set(spans) <= set(row["spans"].split(",") if row["spans"] else [])
+
+
+def slow_cost(value):
+    """The cheapest cut by trying every span from every place (short values only)."""
+    best = [0.0] + [float("inf")] * len(value)
+    for i in range(len(value)):
+        for j in range(i + 1, len(value) + 1):
+            best[j] = min(best[j], best[i] + secrets.guess_cost(value[i:j]))
+    return best[-1]
+
+
+def test_cost_is_that_of_the_cheapest_cut():
+    rng = random.Random(9)
+    for _ in range(60):
+        value = "".join(rng.choice(["password", "qwerty", "1999-01-02", "aaa", "x", "7", "Q", "#", "abcd"]) for _ in range(3))
+        assert secrets.guess_cost(value) <= slow_cost(value) + 1e-9
+
+
+@pytest.mark.parametrize("value", ["password123", "changeme", "qwertyuiop", "aaaaaaaaaaaaaaaa", "1999-12-31", "abcdefghij", "P4ssw0rd", "your_key"])
+def test_guessable_values_are_cheap(value):
+    assert secrets.guess_cost(value) < secrets.MIN_GUESSES_LOG10
+
+
+@pytest.mark.parametrize("value", ["Xq7#vT9$zKw2", "kd83nf92mx0a", "correcthorsebatterystaple", "9f8e7d6c5b4a3f2e1d"])
+def test_random_values_are_dear(value):
+    assert secrets.guess_cost(value) >= secrets.MIN_GUESSES_LOG10
+
+
+def test_context_finds_what_patterns_do_not(spark):
+    texts = ["login pwd = Xq7#vT9$zKw2 end", "pwd = changeme", "the password is hunter", "passphrase: vT9$zKw2#Xq7", "Xq7#vT9$zKw2 alone"]
+    rows = secrets.secret_spans(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["n_guess"] for r in rows] == [1, 0, 0, 1, 0]
+    assert rows[0]["spans"] == "guess:12:24"
+
+
+def test_redaction(spark):
+    docs = documents(spark, ["a token = abcdef1 b", "clean", "x " + "0a" * 20 + " y"])
+    rows = secrets.redact_secrets(docs).orderBy("doc_id").collect()
+    assert [r["text"] for r in rows] == ["a [SECRET] b", "clean", "x [SECRET] y"]
+    assert [r["n_chars"] for r in rows] == [len(r["text"]) for r in rows]
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    assert secrets.secret_spans(docs).count() == docs.count()
+    clean = secrets.redact_secrets(docs)
+    assert clean.columns == docs.columns and clean.count() == docs.count()
+    assert next(r for r in clean.collect() if r["doc_id"] == 7)["text"].endswith("[SECRET]")
+    assert secrets.redact_secrets(odd_documents(spark, [])).count() == 0

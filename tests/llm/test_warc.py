@@ -1,0 +1,99 @@
+import gzip
+import hashlib
+import random
+from pathlib import Path
+
+import pytest
+
+from tillroll.llm import warc
+
+SCHEMA = "page_id long, url string, html string, id string, payload string, digest string"
+BIG = "<p>" + "é" * 60 + "</p>"
+PAGES = [
+    (5, "http://www.Example.com/a?x=1#top", BIG),
+    (2, "https://example.com/a?x=1", BIG),
+    (9, "http://b.example.org", BIG),
+    (3, "http://b.example.org/", "short"),
+    (4, "http://b.example.org/", "short"),
+    (1, None, None),
+    (7, "http://c.net/\r\nX: y", "a\r\n\r\nWARC/1.1\r\n\r\n" + "b" * 200),
+    (8, "http://c.net/z", ""),
+    (None, "http://c.net/none", BIG),
+    (2, "https://example.com/a?x=1", BIG),
+    (6, "http://c.net/long", "long " * 100_000),
+]
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "z", "z", "z") for r in rows], SCHEMA).repartition(3)
+
+
+def expected(rows):
+    first = {}
+    for page, _, html in rows:
+        data = (html or "").encode()
+        if page is not None and len(data) >= 100:
+            first[data] = min(page, first.get(data, page))
+    out = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        again = page is not None and data in first and first[data] != page
+        out.append(
+            (page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[data] if again else None)
+        )
+    return sorted(out, key=str)
+
+
+def test_round_trip(spark, tmp_path):
+    found = warc.archive_captures(pages_of(spark, PAGES), str(tmp_path / "w")).collect()
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in found]
+    assert sorted(got, key=str) == expected(PAGES)
+    order = [(r["url_key"], r["captured_at"]) for r in found]
+    assert order == sorted(order)
+    keys = {r["page_id"]: r["url_key"] for r in found}
+    assert keys[5] == keys[2] == "com,example)/a?x=1"
+    assert keys[9] == "org,example,b)/"
+
+
+def test_archives_hold_valid_records(spark, tmp_path):
+    path = tmp_path / "w"
+    warc.write_archives(pages_of(spark, PAGES), str(path), records_per_file=2)
+    files = sorted(Path(path).glob("*.gz"))
+    assert len(files) >= 5
+    total = 0
+    for file in files:
+        data = gzip.decompress(file.read_bytes())
+        if data:
+            assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
+            total += len(list(warc.parse_archive(data, file.name)))
+    assert total == len(PAGES)
+
+
+def test_damage_is_noticed(spark, tmp_path):
+    path = tmp_path / "w"
+    warc.write_archives(pages_of(spark, PAGES[:1]), str(path))
+    data = gzip.decompress(max(Path(path).glob("*.gz"), key=lambda f: f.stat().st_size).read_bytes())
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(data.replace(b"<p>", b"<q>"), "x"))
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 8, 17])
+def test_loser_tree_merges(k):
+    rng = random.Random(k)
+    runs = [sorted((rng.randrange(50), i, j) for j in range(rng.randrange(30))) for i in range(k)]
+    merged = list(warc.LoserTree([iter(r) for r in runs]))
+    assert merged == sorted(x for r in runs for x in r)
+
+
+def test_order_over_many_ranges(spark, tmp_path):
+    rows = [(i, f"http://h{i % 3}.net/{i % 7}", f"page {i}") for i in range(400)]
+    path = str(tmp_path / "w")
+    warc.write_archives(pages_of(spark, rows), path, records_per_file=30)
+    index = warc.capture_index(warc.read_runs(spark, path), per_range=50)
+    assert index.rdd.getNumPartitions() == 8
+    got = [(r["url_key"], r["captured_at"], r["page_id"]) for r in index.collect()]
+    assert got == sorted(got) and len(got) == 400
+
+
+def test_empty_table(spark, tmp_path):
+    assert warc.archive_captures(pages_of(spark, []), str(tmp_path / "w")).count() == 0
