@@ -1,0 +1,70 @@
+import math
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tillroll.llm import licenses
+
+from cases import odd_documents
+
+FILES = [
+    ("a/LICENSE", "Released under the MIT License."),
+    ("a/x.py", "code without any notice"),
+    ("a/b/c/y.py", "deep code"),
+    ("a/b/COPYING", "This work is licensed under the GNU General Public License, version 3."),
+    ("a/b/c/z.py", "# Licensed under the Apache License, Version 2.0.\ncode"),
+    ("ab/w.py", "not below a"),
+    ("top.py", None),
+    ("q/header.txt", " ".join(f"w{i}" for i in range(60)) + " licensed under CC BY-NC 4.0 " + " ".join(f"v{i}" for i in range(60))),
+    ("q/talk.txt", "you need a driving license to drive a truck in most countries"),
+]
+
+
+def scan(spark, files):
+    rows = [(i, p, t, "z", "z") for i, (p, t) in enumerate(files)]
+    table = spark.createDataFrame(rows, "doc_id long, path string, text string, file string, own string")
+    return {r["path"]: r for r in licenses.license_scan(table, F.col("path")).collect()}
+
+
+def test_headers_files_and_inheritance(spark):
+    got = {p: (r["license"], r["origin"]) for p, r in scan(spark, FILES).items()}
+    assert got["a/LICENSE"] == ("MIT", "file")
+    assert got["a/x.py"] == ("MIT", "inherited")
+    assert got["a/b/COPYING"] == ("GPL-3.0", "file")
+    assert got["a/b/c/y.py"] == ("GPL-3.0", "inherited")
+    assert got["a/b/c/z.py"] == ("Apache-2.0", "header")
+    for path in ("ab/w.py", "top.py", "q/talk.txt"):
+        assert got[path] == (None, None)
+
+
+def test_cosine_against_plain_python(spark):
+    lines = ["Licensed under the Apache License, Version 2.0.", "released under the mit license today", "a license of some kind", "licensed under CC BY-SA 4.0!"]
+    rows, rarity, other = licenses.template_vectors()
+    vectors = {}
+    for place, spdx, word, weight in rows:
+        vectors.setdefault((place, spdx), {})[word] = weight
+    files = spark.createDataFrame(list(enumerate(lines)), "file int, text string")
+    got = {r["file"]: (r["spdx"], r["score"]) for r in licenses.best_templates(files).collect() if not r["whole"]}
+    for i, line in enumerate(lines):
+        tf = Counter(re.findall(r"[a-z]+|[0-9]+(?:\.[0-9]+)*", line.lower()))
+        w = {t: n * rarity.get(t, other) for t, n in tf.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        best = max((sum(w.get(t, 0) * x for t, x in v.items()) / norm, -p, s) for (p, s), v in vectors.items())
+        if best[0] >= licenses.SURE:
+            assert got[i][0] == best[2] and abs(got[i][1] - best[0]) < 1e-12
+        else:
+            assert i not in got
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = licenses.license_scan(docs, F.col("source")).collect()
+    assert len(rows) == docs.count() and all(r["license"] is None for r in rows)
+    assert licenses.license_scan(odd_documents(spark, []), F.col("source")).count() == 0
+
+
+def test_no_python(spark):
+    files = spark.createDataFrame([(0, "MIT license")], "file int, text string")
+    plan = licenses.best_templates(files)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

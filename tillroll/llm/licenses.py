@@ -24,6 +24,8 @@ from tillroll.llm.common import settle
 from tillroll.llm.simhash import text_hash
 
 SURE = 0.75
+#: From here on a whole text is nothing but a license.
+FILE_SURE = 0.95
 #: Words of a window, and the step from one to the next, in lines longer than a window.
 WINDOW_WORDS = 24
 WINDOW_STEP = 8
@@ -177,7 +179,10 @@ def license_scan(files: DataFrame, path: F.Column, id_col: str = "doc_id") -> Da
         ).select(
             F.col("file.path").alias("own_path"), F.col("file.text_hash").alias("own_hash"),
             F.coalesce("whole", "header").alias("own"),
-            (F.col("whole").isNotNull() | F.col("file.path").rlike(LICENCE_NAME)).alias("is_file"),
+            (
+                F.coalesce(F.col("whole.score") >= FILE_SURE, F.lit(False))
+                | F.col("file.path").rlike(LICENCE_NAME)
+            ).alias("is_file"),
         ),
         "licenses",
     )

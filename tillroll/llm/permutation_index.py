@@ -3,10 +3,10 @@
 Each vector is represented by the order of its ``LENGTH`` nearest pivots. A block of vectors posts
 these orders into inverted files, one per pivot, which hold the place of the pivot in each vector's
 order (``LENGTH`` where it is not among them). A query reads the files of its own nearest pivots,
-adds up the differences of places (footrule distance), and takes as candidates the best ``SHARE``
-of the block and all that lie within ``MARGIN`` times the distance of the tenth best. So a dense
-cluster, whose members the pivots hardly tell apart, brings all of them. Candidates are
-reranked by their true distance.
+adds up the differences of places (footrule distance), and reranks the vectors by their true
+distance in this order, ``SHARE`` of the block at a time, until ``PATIENCE`` such portions in a row
+have brought nothing better. So a dense cluster, whose members the pivots hardly tell apart, is gone
+through as far as it helps.
 
 Every row is indexed. Queries are a stated set: they go over all rows in blocks of about
 ``QUERY_BLOCK``, each of which is broadcast with a bounded size; every block of vectors gives its
@@ -27,9 +27,9 @@ from tillroll.llm.common import settle
 
 PIVOTS = 256
 LENGTH = 192
-SHARE = 0.05
+SHARE = 0.04
 MIN_CANDIDATES = 50
-MARGIN = 1.25
+PATIENCE = 4
 QUERY_BLOCK = 4096
 INDEX_BLOCK = 16_384
 NEIGHBOURS = 10
@@ -72,16 +72,21 @@ class InvertedFiles:
         far = self.footrule(order)
         own = self.ids == query_id
         far[own] = np.iinfo(np.int32).max
-        wanted = min(len(far), max(MIN_CANDIDATES, k, math.ceil(SHARE * len(far))))
-        part = np.partition(far, (min(k, len(far)) - 1, wanted - 1))
-        limit = max(float(part[wanted - 1]), MARGIN * float(part[min(k, len(far)) - 1]))
-        near = np.flatnonzero((far <= limit) & ~own)
-        score = np.sqrt(((self.vectors[near] - query) ** 2).sum(axis=1))
-        ids = self.ids[near]
-        best = np.lexsort((ids, score))
-        _, first = np.unique(ids[best], return_index=True)  # repeated ids count once
-        best = best[np.sort(first)][:k]
-        return ids[best], score[best]
+        order = np.argsort(far, kind="stable")[: len(far) - np.count_nonzero(own)]
+        portion = max(MIN_CANDIDATES, k, math.ceil(SHARE * len(far)))
+        ids, scores, idle = np.empty(0, np.int64), np.empty(0), 0
+        for at in range(0, len(order), portion):
+            near = order[at : at + portion]
+            score = np.sqrt(((self.vectors[near] - query) ** 2).sum(axis=1))
+            every, all_ids = np.append(scores, score), np.append(ids, self.ids[near])
+            best = np.lexsort((all_ids, every))
+            _, first = np.unique(all_ids[best], return_index=True)  # repeated ids count once
+            best = best[np.sort(first)][:k]
+            idle = idle + 1 if np.array_equal(all_ids[best], ids) else 0
+            ids, scores = all_ids[best], every[best]
+            if idle == PATIENCE:
+                break
+        return ids, scores
 
 
 def _search_block(shared, k: int):
