@@ -133,3 +133,20 @@ def test_default_rate_must_be_a_share(spark, rate):
         check_default_rate(rate)
     with pytest.raises(ValueError, match="between 0 and 1"):
         recovery_rates(featured(spark, SCENARIO), rate)
+
+
+def test_repeated_and_undefined_rates_are_refused(spark):
+    rows = featured(spark, SCENARIO)
+    fields = "product_category string, recovery_rate double"
+    twice = spark.createDataFrame([("Beauty", 0.1), ("Beauty", 0.2)], fields)
+    with pytest.raises(Exception, match="Several recovery rates for category Beauty"):
+        simulate_leakage_recovery(rows, twice).collect()
+    undefined = spark.createDataFrame([("Beauty", float("nan"))], fields)
+    with pytest.raises(Exception, match="NaN for category Beauty"):
+        recovery_rates(rows, 0.05, undefined).collect()
+
+
+def test_no_rows_no_rules_but_the_first(spark):
+    rows = featured(spark, DECISION).where("false")
+    found = [(r["decision_rule"], r["expected_impact_usd"]) for r in build_actionable_recommendations(rows).collect()]
+    assert found == [("NRR below 90%", 0.0)]

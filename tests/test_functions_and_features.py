@@ -13,6 +13,8 @@ from tillroll.operators.features import (
     ensure_revenue_columns,
     slice_sales,
 )
+from tillroll.operators.profiling import correlation_matrix
+from tillroll.operators.reports import category_performance, data_quality_audit
 
 
 def parsed(spark, texts):
@@ -116,3 +118,21 @@ def test_date_bounds_and_dimension_values(spark):
         "last_order_date": datetime(2024, 3, 1),
     }
     assert values(dimension_values(table, "product_category")) == [("Electronics",), ("Home",)]
+
+
+def test_infinite_prices_count_as_missing_differences(spark):
+    """Infinity less infinity is no number: it is null, its ratios are 0, and sums leave it out."""
+    lines = [
+        "1,2024-01-15,10,Home,inf,10,2,North,Card,4.8,50,inf,inf",
+        "2,2024-01-15,10,Home,100.0,10,2,North,Card,4.8,50,90.0,180.0",
+    ]
+    rows = featured(spark, lines)
+    first = rows.where("order_id = 1").first()
+    assert first["gross_revenue"] == float("inf") and first["discount_value"] is None
+    assert (first["net_revenue_retained"], first["discount_impact_pct"]) == (0.0, 0.0)
+    category = category_performance(rows).first()
+    assert category["discount_value"] == 20.0
+    audit = {r["check"]: r["value"] for r in data_quality_audit(rows).collect()}
+    assert audit["null_values"] == 1
+    pairs = {(r["x"], r["y"]): r["r"] for r in correlation_matrix(rows, ["discount_value", "rating"]).collect()}
+    assert pairs[("discount_value", "discount_value")] is None

@@ -50,11 +50,26 @@ def test_reports_read_only_their_columns(spark):
     assert "customer.parquet" not in plan
 
 
+SPIKES = [
+    "scored_profile", "scored_profile_day", "discount_spikes_daily", "discount_spikes_region",
+    "discount_spikes_brand_month", "alert_severity_counts", "alert_run_status", "alert_export_rows",
+]
+
+
+@available
+@pytest.mark.parametrize("name", SPIKES)
+def test_the_spike_profile_is_aggregated_once(spark, name):
+    found = driver.queries()[name](spark, SMALL.replace("0.001", "0.01"))
+    found.collect()
+    final = physical(found).split("+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("lineitem.parquet") == 1
+
+
 @available
-def test_the_spike_profile_is_aggregated_once(spark):
-    scored = driver.queries()["scored_profile"](spark, SMALL)
-    scored.collect()
-    assert "ReusedExchange" in physical(scored)
+@pytest.mark.parametrize("name", ["category_performance", "correlation_matrix", "clean_sales"])
+def test_no_plan_depends_on_the_number_of_splits(spark, name):
+    assert "REPARTITION" not in physical(driver.queries()[name](spark, SMALL))
 
 
 @available

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from samples import TABLES, featured, typed, values
 from tillroll.operators import profiling
@@ -135,3 +136,19 @@ def test_basic_eda_plans(spark):
         "price_histogram",
         "price_density",
     }
+
+
+def test_a_narrow_column_with_many_values(spark):
+    """All values share the first bucket; the rounds in between cut them apart."""
+    rows = spark.range(200_000).select((F.lit(1e6) + F.col("id") * 1e-3).alias("v"))
+    (row,) = profiling.describe_numeric(rows, [0.25, 0.5]).collect()
+    assert row["p50"] == pytest.approx(1e6 + 99_999.5e-3, abs=1e-6)
+    assert row["p25"] == pytest.approx(1e6 + 49_999.75e-3, abs=1e-6)
+
+
+def test_timestamps_are_exact_for_late_dates(spark):
+    rows = spark.sql(
+        "SELECT timestamp_ntz'9999-12-31 23:59:59.999999' AS t UNION ALL SELECT timestamp_ntz'9999-12-31 23:59:59.999997'"
+    )
+    (row,) = profiling.describe_timestamps(rows, [0.5]).collect()
+    assert (row["min"].microsecond, row["p50"].microsecond, row["max"].microsecond) == (999997, 999998, 999999)

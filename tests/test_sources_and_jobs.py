@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from samples import DECISION, DIRTY, TABLES, discount_days, featured, raw, record, typed, values
-from tillroll.operators import reports, spikes
+from tillroll.operators import reports, spikes, validation
+from tillroll.plans import pipeline
 from tillroll.plans.alert_run import discount_spike_rows, run_alerts
 from tillroll.plans.pipeline import run_pipeline
 from tillroll.plans.recovery_run import run_scenario
@@ -198,8 +199,14 @@ def test_slice_report(spark, tmp_path):
     path = writers.save_processed_data(typed(spark, TABLES), str(tmp_path / "sales"))
     sales = readers.read_clean_table(spark, path)
     report = slice_report(
-        sales, start=date(2024, 1, 1), end=date(2024, 2, 12), recovery_rates={"Home": 0.5}
+        sales,
+        str(tmp_path / "report"),
+        start=date(2024, 1, 1),
+        end=date(2024, 2, 12),
+        recovery_rates={"Home": 0.5},
     )
+    stored = sorted(p.name for p in (tmp_path / "report").iterdir())
+    assert stored == ["discount_profile", "monthly_revenue", "sales_totals"]
     assert record(report["kpis"])["total_revenue"] == 276.0
     assert record(report["share_of_total"])["revenue_share_pct"] == pytest.approx(276 / 504 * 100)
     assert values(report["category_performance"]) == [
@@ -210,12 +217,79 @@ def test_slice_report(spark, tmp_path):
     assert values(report["recovery"])[0] == ("Home", 24.0, 50.0, 12.0, 108.0)
     assert values(report["discount_spikes"]) == []
     assert dict(values(report["data_quality_audit"]))["row_count"] == 2
-    empty = slice_report(sales, region="Nowhere")
+    empty = slice_report(sales, str(tmp_path / "none"), region="Nowhere")
     assert record(empty["kpis"])["total_revenue"] == 0.0
     assert values(empty["monthly_trend"]) == []
     choices = filter_choices(sales)
     assert values(choices["payment_method"]) == [("Card",), ("Pix",)]
 
 
+LONG_LINE = "7,2024-01-15,10,Home,100.0,10,2,North,Card,4.8,50,90.0,180.0,too,many"
+SHORT_LINE = "8,2024-01-15,10,Home"
+BROKEN = '9,2024-01-15,10,"Home\nand garden",100.0,10,2,North,Card,4.8,50,90.0,180.0'
+
+
+@pytest.mark.parametrize("line", [LONG_LINE, SHORT_LINE, BROKEN])
+def test_malformed_lines_stop_the_run(spark, tmp_path, line):
+    source = write_csv(tmp_path / "raw.csv", [*DECISION, line])
+    with pytest.raises(ValueError, match="row_malformed"):
+        run_pipeline(spark, source, str(tmp_path / "out"), with_profile=False)
+    assert not (tmp_path / "out" / "processed").exists()
+
+
+def test_malformed_lines_are_listed_and_counted(spark, tmp_path):
+    source = write_csv(tmp_path / "raw.csv", [*DECISION, LONG_LINE, SHORT_LINE])
+    paths = run_pipeline(
+        spark, source, str(tmp_path / "out"), on_violation="report", with_profile=False
+    )
+    listed = spark.read.parquet(paths["violations"]).where("rule = 'row_malformed'")
+    assert sorted(r["value"] for r in listed.collect()) == [LONG_LINE, SHORT_LINE]
+    metrics = json_record(paths["metrics"])
+    assert (metrics["raw_row_count"], metrics["clean_row_count"]) == (6, 4)
+    assert readers.read_clean_table(spark, paths["processed"]).count() == 4
+
+
+def test_quoted_line_breaks_are_kept_where_asked_for(spark, tmp_path):
+    source = write_csv(tmp_path / "raw.csv", [*DECISION, BROKEN])
+    paths = run_pipeline(
+        spark, source, str(tmp_path / "out"), multi_line=True, with_profile=False
+    )
+    stored = readers.read_clean_table(spark, paths["processed"])
+    assert stored.count() == 5
+    assert stored.where("product_category = 'Home\nand garden'").count() == 1
+
+
+def test_a_failed_gate_leaves_the_processed_table(spark, tmp_path, monkeypatch):
+    source = write_csv(tmp_path / "raw.csv", DECISION)
+    out = str(tmp_path / "out")
+    paths = run_pipeline(spark, source, out, with_profile=False)
+    before = sorted(values(readers.read_clean_table(spark, paths["processed"])))
+    strict = lambda value=F.col: [
+        validation.Rule("quantity_sold_too_small", "quantity_sold", value("quantity_sold") < 2)
+    ]
+    monkeypatch.setattr(validation, "gate_rules", strict)
+    monkeypatch.setattr(pipeline, "gate_rules", strict)
+    other = write_csv(tmp_path / "other.csv", DECISION[:2])
+    with pytest.raises(ValueError, match="quantity_sold_too_small"):
+        run_pipeline(spark, other, out, with_profile=False)
+    assert sorted(values(readers.read_clean_table(spark, paths["processed"]))) == before
+
+
+def test_an_unfinished_write_is_not_an_empty_table(spark, tmp_path):
+    alerts = spikes.detect_discount_spikes(discount_days(spark, [10] * 8 + [46]))
+    path = tmp_path / "alerts"
+    (path / "_temporary" / "0").mkdir(parents=True)
+    found = readers.read_or_compute(spark, str(path), ALERT_SCHEMA, lambda: alerts)
+    assert values(found) == values(alerts)
+
+
+def test_clean_csv_takes_whole_dates_only(spark, tmp_path):
+    line = "1,{},10,Home,100.0,10,2,North,Card,4.8,50,90.0,180.0"
+    dates = ["2024-01-15", "2024", "2024-01-15T10:30:00.000", "2024-01", "x"]
+    path = write_csv(tmp_path / "c.csv", [line.format(d) for d in dates])
+    got = [r["order_date"] for r in readers.read_clean_csv(spark, path).collect()]
+    assert got == [datetime(2024, 1, 15), None, datetime(2024, 1, 15, 10, 30), None, None]
+
+
 def test_raw_table_of_the_fixtures_has_the_contract_columns(spark):
     assert raw(spark, DIRTY).columns == RAW_COLUMNS

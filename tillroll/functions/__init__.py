@@ -1,5 +1,6 @@
 from tillroll.functions.coerce import blank_missing, to_moment, to_number
 from tillroll.functions.measures import (
+    a_number,
     clip,
     deviation_or_zero,
     exact_money,
@@ -9,6 +10,7 @@ from tillroll.functions.measures import (
 )
 
 __all__ = [
+    "a_number",
     "blank_missing",
     "clip",
     "deviation_or_zero",

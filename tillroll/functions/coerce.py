@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schema import MISSING_TOKENS
+from tillroll.schema import MALFORMED, MISSING_TOKENS
 
 # Spark's own cast also takes "1d", "1f" and "NaN"; a price of NaN would pass "> 0".
 NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
@@ -14,13 +14,16 @@ NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:
 ISO_DATE = "y-M-d"
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def blank_missing(df: DataFrame) -> DataFrame:
     """Null out the missing-value tokens in every text column."""
-    tokens = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
     blanked = {
-        field.name: F.when(F.expr(f"`{field.name}` NOT IN ({tokens})"), F.col(field.name))
+        field.name: F.when(~df[_quoted(field.name)].isin(MISSING_TOKENS), df[_quoted(field.name)])
         for field in df.schema
-        if isinstance(field.dataType, T.StringType)
+        if isinstance(field.dataType, T.StringType) and field.name != MALFORMED
     }
     return df.withColumns(blanked) if blanked else df
 

@@ -23,9 +23,14 @@ def money_sum(value: Column | str) -> Column:
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
-    """``numerator / denominator``, 0 where that is undefined or null."""
+    """``numerator / denominator``, 0 where that is undefined, not a number or null."""
     quotient = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-    return F.coalesce(quotient, F.lit(0.0))
+    return F.coalesce(a_number(quotient), F.lit(0.0))
+
+
+def a_number(value: Column) -> Column:
+    """The value, null where it is NaN (such as infinity less infinity)."""
+    return F.when(~F.isnan(value.cast("double")), value)
 
 
 def deviation_or_zero(value: Column | str) -> Column:
@@ -44,9 +49,12 @@ def clip(value: Column, low: float | None = None, high: float | None = None) ->
 
 
 def exact_money(df: DataFrame) -> DataFrame:
-    """Carry the money columns as DECIMAL so that totals are reproducible to the last digit."""
+    """Carry the money columns as DECIMAL so that totals are reproducible to the last digit.
+
+    What a DECIMAL cannot hold, such as infinity, becomes null.
+    """
     present = [name for name in MONEY_COLUMNS if name in df.columns]
-    return df.withColumns({name: F.col(name).cast(MONEY_TYPE) for name in present})
+    return df.withColumns({name: F.col(name).try_cast(MONEY_TYPE) for name in present})
 
 
 def unpivot_record(

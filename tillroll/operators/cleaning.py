@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import clip, ratio_or_zero, to_moment, to_number
+from tillroll.functions import a_number, clip, ratio_or_zero, to_moment, to_number
 from tillroll.functions.coerce import ISO_DATE
 from tillroll.operators.contracts import require_columns
-from tillroll.schema import NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS
+
+
+#: Limits that cleaning puts on values.
+CLIPPED = {"discount_percent": (0.0, 100.0), "rating": (0.0, 5.0)}
 
 
 def coerce_types(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
@@ -36,20 +40,26 @@ def usable_row(value: Callable[[str], Column] = F.col) -> Column:
     )
 
 
+def well_formed(df: DataFrame) -> DataFrame:
+    """Without the lines that had too few or too many fields, whose values mean nothing."""
+    if MALFORMED not in df.columns:
+        return df
+    return df.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
 def clean_sales_data(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
     """Coerce, drop unusable rows, clip discount and rating, recompute price and revenue."""
     require_columns(df)
     return (
-        coerce_types(df, date_format)
+        coerce_types(well_formed(df), date_format)
         .where(usable_row())
-        .withColumns(
-            {
-                "discount_percent": clip(F.col("discount_percent"), 0.0, 100.0),
-                "rating": clip(F.col("rating"), 0.0, 5.0),
-            }
+        .withColumns({name: clip(F.col(name), *limits) for name, limits in CLIPPED.items()})
+        .withColumn(
+            "discounted_price", a_number(F.col("price") * (1 - F.col("discount_percent") / 100))
+        )
+        .withColumn(
+            "total_revenue", a_number(F.col("discounted_price") * F.col("quantity_sold"))
         )
-        .withColumn("discounted_price", F.col("price") * (1 - F.col("discount_percent") / 100))
-        .withColumn("total_revenue", F.col("discounted_price") * F.col("quantity_sold"))
     )
 
 
@@ -66,8 +76,9 @@ def row_accounting(raw_rows: Column, clean_rows: Column) -> dict[str, Column]:
 def retention(raw: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
     """Row accounting of cleaning ``raw``, counted in one scan of the raw table."""
     require_columns(raw)
+    whole = F.col(MALFORMED).isNull() if MALFORMED in raw.columns else F.lit(True)
     counted = coerce_types(raw, date_format).agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count_if(usable_row()).alias("clean_rows")
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if(whole & usable_row()).alias("clean_rows")
     )
     parts = row_accounting(F.col("raw_rows"), F.col("clean_rows"))
     return counted.select(*[column.alias(name) for name, column in parts.items()])

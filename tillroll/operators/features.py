@@ -7,15 +7,15 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import ratio_or_zero, to_moment
+from tillroll.functions import a_number, ratio_or_zero, to_moment
 
 
 def ensure_revenue_columns(df: DataFrame) -> DataFrame:
     """Derive gross revenue and discount value where the table does not carry them."""
     if "gross_revenue" not in df.columns:
-        df = df.withColumn("gross_revenue", F.col("price") * F.col("quantity_sold"))
+        df = df.withColumn("gross_revenue", a_number(F.col("price") * F.col("quantity_sold")))
     if "discount_value" not in df.columns:
-        df = df.withColumn("discount_value", F.col("gross_revenue") - F.col("total_revenue"))
+        df = df.withColumn("discount_value", a_number(F.col("gross_revenue") - F.col("total_revenue")))
     return df
 
 
@@ -39,15 +39,12 @@ def build_features(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("order_date", to_moment(df, "order_date"))
         .withColumns(calendar)
-        .withColumn("gross_revenue", F.col("price") * F.col("quantity_sold"))
-        .withColumn("discount_value", gross - net)
+        .withColumn("gross_revenue", a_number(F.col("price") * F.col("quantity_sold")))
+        .withColumn("discount_value", a_number(gross - net))
         .withColumns(ratios)
     )
 
 
-add_derived_metrics = build_features
-
-
 def in_slice(
     df: DataFrame,
     start: date | None = None,

@@ -112,12 +112,9 @@ def metrics_summary(df: DataFrame, totals: DataFrame | None = None) -> DataFrame
     )
 
 
-revenue_metrics_v1 = metrics_summary
-
-
 def collect_product_metrics(
     raw: DataFrame | int,
-    clean: DataFrame | int,
+    clean: DataFrame | int | None,
     featured: DataFrame,
     *,
     contract_version: str = CONTRACT_VERSION,
@@ -127,8 +124,9 @@ def collect_product_metrics(
 ) -> DataFrame:
     """The product-metrics record, one row.
 
-    A row count known already may stand in for a table, and stored ``sales_totals`` leave
-    only the date bounds to be read from the featured rows.
+    A row count known already may stand in for a table. Where ``clean`` is None, ``raw`` is the
+    result of ``retention``, which counts both tables in one pass. Stored ``sales_totals`` leave only
+    the date bounds to be read from the featured rows.
     """
     generated_at = generated_at or datetime.now(UTC)
     if totals is None:
@@ -148,7 +146,15 @@ def collect_product_metrics(
             .crossJoin(categories.agg(F.count(F.lit(1)).alias("unique_categories")))
             .crossJoin(date_bounds(featured))
         )
-    for name, rows in (("raw_rows", raw), ("clean_rows", clean)):
+    counted = {"raw_rows": raw, "clean_rows": clean}
+    if clean is None:
+        counted = {}
+        record = record.crossJoin(
+            raw.select(
+                F.col("raw_row_count").alias("raw_rows"), F.col("clean_row_count").alias("clean_rows")
+            )
+        )
+    for name, rows in counted.items():
         if isinstance(rows, int):
             record = record.withColumn(name, F.lit(rows).cast("bigint"))
         else:
@@ -176,25 +182,26 @@ def _iso_day(name: str) -> Column:
 
 
 def slice_share(df: DataFrame, **bounds) -> DataFrame:
-    """Revenue and orders of a slice as a percentage of the whole table, in one scan.
+    """Revenue and orders of a slice as a percentage of the whole table.
 
-    Rows are first brought together per order, which counts both the orders of the table and
-    those of the slice without expanding the rows.
+    Sums and order counts go apart: the sums ship one row per task, the orders bare pairs of id
+    and side, which are deduplicated before the shuffle.
     """
-    inside = in_slice(df, **bounds)
-    per_order = df.groupBy("order_id").agg(
-        F.sum("total_revenue").alias("revenue"),
-        F.sum(F.when(inside, F.col("total_revenue"))).alias("slice_revenue"),
-        F.count_if(inside).alias("slice_rows"),
+    inside = F.coalesce(in_slice(df, **bounds), F.lit(False))
+    sums = df.agg(
+        money_sum("total_revenue").alias("table_revenue"),
+        money_sum(F.when(inside, F.col("total_revenue"))).alias("slice_revenue"),
     )
-    known = F.col("order_id").isNotNull()
-    sums = per_order.agg(
-        money_sum("revenue").alias("table_revenue"),
-        money_sum("slice_revenue").alias("slice_revenue"),
-        F.count_if(known).alias("table_orders"),
-        F.count_if(known & (F.col("slice_rows") > 0)).alias("slice_orders"),
+    orders = (
+        df.where(F.col("order_id").isNotNull())
+        .select("order_id", inside.alias("inside"))
+        .distinct()
+        .agg(
+            F.count_distinct("order_id").alias("table_orders"),
+            F.count_if("inside").alias("slice_orders"),
+        )
     )
-    return sums.select(
+    return sums.crossJoin(orders).select(
         "slice_revenue",
         "slice_orders",
         (ratio_or_zero(F.col("slice_revenue"), F.col("table_revenue")) * 100).alias(

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Refinements of the buckets that hold a quantile; each divides what is left by about 4096.
+ROUNDS = 2
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -40,9 +42,8 @@ def timestamp_columns(df: DataFrame) -> list[str]:
 
 def _long_values(df: DataFrame, values: Sequence[Column]) -> DataFrame:
     """Rows ``(i, value)``: every value present, with the position of its column."""
-    numbers = F.array(*[value.cast("double") for value in values])
-    return df.select(F.posexplode(numbers).alias("i", "value")).where(
-        F.col("value").isNotNull() & ~F.isnan("value")
+    return df.select(F.posexplode(F.array(*values)).alias("i", "value")).where(
+        F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))
     )
 
 
@@ -108,7 +109,10 @@ def _describe_exact(
     at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))
     facts = ["i", "count", "mean", "std", "min", "max"]
     ranked = found.groupBy(*facts).agg(at.alias("at"))
-    cuts = [_interpolated(p).alias(quantile_name(q)) for p, q in zip(positions, quantiles)]
+    integral = isinstance(values.schema["value"].dataType, T.LongType)
+    cuts = [
+        _interpolated(p, integral).alias(quantile_name(q)) for p, q in zip(positions, quantiles)
+    ]
     return ranked.select(*facts, *cuts)
 
 
@@ -117,7 +121,8 @@ def _keep_hit(buckets: DataFrame, group: list[str], order: str) -> DataFrame:
 
     ``below`` counts the values under the group and ``n`` those of a bucket. Kept buckets get
     their own ``below`` and only the ranks that fall into them. A group has as many buckets
-    as a round makes, whatever the number of values.
+    as a round makes; in the last round, which walks single values, as many as the rounds before
+    left in one bucket.
     """
     reached = F.col("below") + F.sum("n").over(Window.partitionBy(*group).orderBy(order))
     walked = buckets.withColumn("reached", reached).withColumn("below", reached - F.col("n"))
@@ -137,11 +142,13 @@ def _inside(values: DataFrame, state: DataFrame) -> DataFrame:
     return values.join(F.broadcast(state), "i").where(within)
 
 
-def _interpolated(position: Column) -> Column:
+def _interpolated(position: Column, integral: bool) -> Column:
+    """Between the two neighbours; of integers the lower one's distance is cut to whole steps."""
     lower, upper = F.floor(position), F.ceil(position)
     low = F.element_at("at", lower.cast("bigint") + 1)
     high = F.element_at("at", upper.cast("bigint") + 1)
-    return low + (high - low) * (position - lower)
+    step = (high - low) * (position - lower)
+    return low + (F.floor(step).cast("bigint") if integral else step)
 
 
 def quantile_name(quantile: float) -> str:
@@ -168,7 +175,7 @@ def describe_numeric(
     *,
     approx: bool = False,
     accuracy: int = 10_000,
-    rounds: int = 1,
+    rounds: int = ROUNDS,
     steps: int = 4096,
 ) -> DataFrame:
     """Count, mean, deviation, min, quantiles and max of every numeric column.
@@ -178,22 +185,29 @@ def describe_numeric(
     ``steps``; raise it for very large tables. ``approx`` takes them from a sketch, in one scan.
     """
     names = numeric_columns(df)
-    values = _long_values(df, [F.col(name) for name in names])
+    values = _long_values(df, [F.col(name).cast("double") for name in names])
     if approx:
         return _named(_describe_approx(values, quantiles, accuracy), names)
     return _named(_describe_exact(values, quantiles, rounds, steps), names)
 
 
 def describe_timestamps(
-    df: DataFrame, quantiles: Sequence[float] = QUARTILES, *, rounds: int = 1, steps: int = 4096
+    df: DataFrame, quantiles: Sequence[float] = QUARTILES, *, rounds: int = ROUNDS, steps: int = 4096
 ) -> DataFrame:
-    """The same figures for date and time columns, as timestamps; a deviation is not given."""
+    """The same figures for date and time columns, as timestamps; a deviation is not given.
+
+    Times are carried as whole microseconds, which are exact for every date; only the mean is
+    rounded to what a double holds.
+    """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     names = timestamp_columns(df)
     micros = [
         F.timestamp_diff("MICROSECOND", epoch, F.col(name).cast("timestamp_ntz")) for name in names
     ]
     summary = _named(_describe_exact(_long_values(df, micros), quantiles, rounds, steps), names)
+    # Rounded to a double, a mean of late dates could leave their range.
+    mean = F.greatest(F.least(F.col("mean").cast("bigint"), "max"), "min")
+    summary = summary.withColumn("mean", mean)
     shown = ["mean", "min", *[quantile_name(q) for q in quantiles], "max"]
     return summary.select(
         "column",
@@ -216,9 +230,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     values = F.array(*[F.col(name).cast("double") for name in names])
     left = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "a"))
     pairs = (
-        left.where(F.col("a").isNotNull())
+        left.where(F.col("a").isNotNull() & ~F.isnan("a"))
         .select("i", "a", F.posexplode("v").alias("j", "b"))
-        .where((F.col("i") <= F.col("j")) & F.col("b").isNotNull())
+        .where((F.col("i") <= F.col("j")) & F.col("b").isNotNull() & ~F.isnan("b"))
     )
     spread = F.stddev_samp("a") * F.stddev_samp("b")
     upper = pairs.groupBy("i", "j").agg(F.try_divide(F.covar_samp("a", "b"), spread).alias("r"))
@@ -237,7 +251,7 @@ def _binned(df: DataFrame, column: str, bins: int, *extra: Column) -> DataFrame:
     The limits and the ``extra`` statistics are one row, attached to every value.
     """
     present = df.select(F.col(column).cast("double").alias("value")).where(
-        F.col("value").isNotNull()
+        F.col("value").isNotNull() & ~F.isnan("value")
     )
     limits = present.agg(F.min("value").alias("lo"), F.max("value").alias("hi"), *extra)
     # width_bucket puts the maximum into a bin of its own, one past the last.
@@ -295,12 +309,12 @@ def density(df: DataFrame, column: str = "price", bins: int = 20, points: int =
     )
 
 
-def basic_eda(df: DataFrame) -> dict[str, DataFrame]:
-    """The exploratory profile of a sales table as lazy plans."""
+def basic_eda(df: DataFrame, rounds: int = ROUNDS) -> dict[str, DataFrame]:
+    """The exploratory profile of a sales table as lazy plans; ``rounds`` as in ``describe_numeric``."""
     return {
         "column_profile": column_profile(df),
-        "numeric_describe": describe_numeric(df),
-        "timestamp_describe": describe_timestamps(df),
+        "numeric_describe": describe_numeric(df, rounds=rounds),
+        "timestamp_describe": describe_timestamps(df, rounds=rounds),
         "correlation_matrix": correlation_matrix(df),
         "price_histogram": histogram(df, "price"),
         "price_density": density(df, "price"),

@@ -29,6 +29,25 @@ def rates_table(spark: SparkSession, rates: Mapping[str, float]) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(listed))
 
 
+def unique_rates(rates: DataFrame) -> DataFrame:
+    """The rates, one row per category; a repeated category or a rate of NaN is an error.
+
+    The check is part of the plan, so that a table of any size is checked where it is used.
+    """
+    grouped = rates.groupBy("product_category").agg(
+        F.min("recovery_rate").alias("rate"), F.count(F.lit(1)).alias("times")
+    )
+    named = F.coalesce("product_category", F.lit("null"))
+    repeated = F.raise_error(F.concat(F.lit("Several recovery rates for category "), named))
+    undefined = F.raise_error(F.concat(F.lit("The recovery rate is NaN for category "), named))
+    checked = (
+        F.when(F.col("times") > 1, repeated.cast("double"))
+        .when(F.isnan("rate"), undefined.cast("double"))
+        .otherwise(F.col("rate"))
+    )
+    return grouped.select("product_category", checked.alias("recovery_rate"))
+
+
 def recovery_rates(
     df: DataFrame, default_rate: float, overrides: Mapping[str, float] | DataFrame | None = None
 ) -> DataFrame:
@@ -40,7 +59,7 @@ def recovery_rates(
     if not isinstance(overrides, DataFrame):
         overrides = rates_table(df.sparkSession, overrides)
     rate = F.coalesce("recovery_rate", F.lit(float(default_rate)))
-    return categories.join(overrides, "product_category", "left").select(
+    return categories.join(unique_rates(overrides), "product_category", "left").select(
         "product_category", rate.alias("recovery_rate")
     )
 
@@ -62,7 +81,7 @@ def recovery_breakdown(leaks: DataFrame, rates: Mapping[str, float] | DataFrame)
     rate = clip(F.coalesce("recovery_rate", F.lit(0.0)), 0.0, 1.0)
     uplift = F.col("discount_leakage") * F.col("recovery_rate")
     return (
-        categories.join(rates, "product_category", "left")
+        categories.join(unique_rates(rates), "product_category", "left")
         .withColumn("recovery_rate", rate)
         .withColumn("expected_uplift", uplift)
         .withColumn("simulated_revenue", F.col("total_revenue") + F.col("expected_uplift"))

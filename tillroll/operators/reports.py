@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import money_sum, ratio_or_zero, unpivot_record
 from tillroll.operators.kpis import kpi_summary
@@ -121,19 +122,40 @@ def monthly_trend(df: DataFrame, months: DataFrame | None = None) -> DataFrame:
     ).orderBy("month_end")
 
 
+def _is_missing(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    missing = column.isNull()
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        missing = missing | F.isnan(column)
+    return missing.cast("bigint")
+
+
 def data_quality_audit(df: DataFrame) -> DataFrame:
-    """Row count, nulls over all columns, repeated order ids and values out of range."""
-    nulls = sum((F.col(name).isNull().cast("bigint") for name in df.columns), F.lit(0))
-    counts = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(nulls), F.lit(0)).alias("null_values"),
-        F.count_if(~F.col("discount_percent").between(0, 100)).alias("discount_out_of_range"),
-        F.count_if(~F.col("rating").between(0, 5)).alias("rating_out_of_range"),
+    """Row count, nulls (and NaN) over all columns, repeated order ids and values out of range.
+
+    Rows are first summed up per order id, which reads the table once; a null id is one value
+    like any other.
+    """
+    missing = sum((_is_missing(field) for field in df.schema), F.lit(0))
+    per_order = df.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(missing).alias("missing"),
+        F.count_if(~F.col("discount_percent").between(0, 100)).alias("discount_out"),
+        F.count_if(~F.col("rating").between(0, 5)).alias("rating_out"),
+    )
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+    sums = per_order.agg(
+        F.count(F.lit(1)).alias("ids"), *map(total, ("rows", "missing", "discount_out", "rating_out"))
     )
-    # Wrapped in a struct, the null id counts as one value like any other.
-    ids = df.agg(F.count_distinct(F.struct("order_id")).alias("distinct_ids"))
-    record = counts.crossJoin(ids).withColumn(
-        "duplicated_order_id", F.col("row_count") - F.col("distinct_ids")
+    record = sums.select(
+        F.col("rows").alias("row_count"),
+        F.col("missing").alias("null_values"),
+        (F.col("rows") - F.col("ids")).alias("duplicated_order_id"),
+        F.col("discount_out").alias("discount_out_of_range"),
+        F.col("rating_out").alias("rating_out_of_range"),
     )
     checks = [
         "row_count",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions import clip, deviation_or_zero, money_sum, ratio_or_zero, to_moment
 from tillroll.operators.features import ensure_revenue_columns
+from tillroll.schema import ALERT_SCHEMA
 
 # Upper z limits of the first two severities.
 MEDIUM_LIMIT = 3.5
@@ -50,11 +51,12 @@ def score_profile(profile: DataFrame, key: str = "product_category") -> DataFram
     """Attach each key's baseline, the z-score and the estimated leakage to every moment.
 
     The baseline is aggregated and joined back. A window over the key would hold all moments
-    of one key in one task, and with exact timestamps their number has no limit. The filter
-    on the baseline side drops nothing that counts (a moment without a mean discount adds
-    nothing to the statistics), but it reads the revenue sum, so both sides of the join need
-    the same aggregate and Spark runs that shuffle once for both.
+    of one key in one task, and with exact timestamps their number has no limit. Both sides
+    read the revenue sum, whatever columns are asked for later: then both need the same aggregate,
+    and Spark runs that shuffle once. The filter of the baseline drops nothing that counts (a
+    moment without a mean discount adds nothing to the statistics); the other one is always true.
     """
+    moments = profile.where(F.col("gross_revenue") >= F.lit(float("-inf")))
     measured = F.col("avg_discount_percent").isNotNull() | (F.col("gross_revenue") != 0)
     baseline = (
         profile.where(measured)
@@ -67,7 +69,7 @@ def score_profile(profile: DataFrame, key: str = "product_category") -> DataFram
     )
     gap = F.col("avg_discount_percent") - F.col("baseline_mean")
     return (
-        profile.join(baseline, key, "left")
+        moments.join(baseline, key, "left")
         .withColumn("obs_count", F.coalesce("obs_count", F.lit(0)))
         .withColumn("z_score", ratio_or_zero(gap, F.col("baseline_std")))
         .withColumn("estimated_leakage_usd", F.col("gross_revenue") * (clip(gap, low=0.0) / 100.0))
@@ -125,17 +127,8 @@ def alerts_from_profile(
     )
     rank = F.array_position(F.array(*map(F.lit, ("critical", "high", "medium"))), F.col("severity"))
     first = F.asc(rank) if by_rank else F.desc("severity")
-    return alerts.select(
-        "order_date",
-        key,
-        "avg_discount_percent",
-        "baseline_mean",
-        "baseline_std",
-        "z_score",
-        "gross_revenue",
-        "estimated_leakage_usd",
-        "severity",
-    ).orderBy(first, F.desc_nulls_last("estimated_leakage_usd"), key, "order_date")
+    names = [key if name == "product_category" else name for name in ALERT_SCHEMA.names]
+    return alerts.select(*names).orderBy(first, F.desc_nulls_last("estimated_leakage_usd"), key, "order_date")
 
 
 def severity_counts(alerts: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions import to_number
 from tillroll.operators.contracts import require_columns
-from tillroll.schema import NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS
 
 NOT_NULL = [
     "order_id",
@@ -73,6 +73,8 @@ def raw_rules(df: DataFrame, profile: str = "full") -> list[Rule]:
     if profile != "full":
         raise ValueError(f"unknown rule profile: {profile}")
     rules = [Rule(f"{name}_not_null", name, F.col(name).isNull()) for name in NOT_NULL]
+    if MALFORMED in df.columns:
+        rules.insert(0, Rule("row_malformed", MALFORMED, F.col(MALFORMED).isNotNull()))
     for name in NUMBER_COLUMNS:
         number = parsed(name)
         if isinstance(df.schema[name].dataType, T.StringType):
@@ -105,7 +107,11 @@ def schema_violations(df: DataFrame, profile: str = "full") -> DataFrame:
 
 
 def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
-    """One row per broken rule and input row: the order id, the rule and the offending text."""
+    """One row per broken rule and input row: the order id, the rule and the offending text.
+
+    Of a malformed line the text is the whole line, which also names it.
+    """
+    require_columns(df, MINIMAL_COLUMNS) if profile == "minimal" else require_columns(df)
     rules = raw_rules(df, profile)
     found = [
         F.when(
@@ -130,14 +136,18 @@ def validate_raw_sales_data(df: DataFrame, profile: str = "full") -> DataFrame:
     return df
 
 
-def gate_rules() -> list[Rule]:
-    """Gates of a cleaned table, in the order in which they are reported."""
-    discount, rating = F.col("discount_percent"), F.col("rating")
+def gate_rules(value: Callable[[str], Column] = F.col) -> list[Rule]:
+    """Gates of a cleaned table, in the order in which they are reported.
+
+    ``value`` gives the cleaned value of a column, for gates that are counted before the clean
+    table is written.
+    """
+    discount, rating = value("discount_percent"), value("rating")
     return [
         Rule("discount_percent_out_of_range", "discount_percent", ~discount.between(0, 100)),
         Rule("rating_out_of_range", "rating", ~rating.between(0, 5)),
-        Rule("quantity_sold_not_positive", "quantity_sold", F.col("quantity_sold") <= 0),
-        Rule("price_negative", "price", F.col("price") < 0),
+        Rule("quantity_sold_not_positive", "quantity_sold", value("quantity_sold") <= 0),
+        Rule("price_negative", "price", value("price") < 0),
     ]
 
 

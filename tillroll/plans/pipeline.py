@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import __version__
-from tillroll.functions import to_moment
+from tillroll.functions import clip, to_moment
 from tillroll.functions.coerce import ISO_DATE
-from tillroll.operators.cleaning import clean_sales_data, usable_row
+from tillroll.operators.cleaning import CLIPPED, clean_sales_data, usable_row
 from tillroll.operators.contracts import enforce_raw_contract
 from tillroll.operators.features import build_features
 from tillroll.operators.kpis import build_executive_summary, collect_product_metrics
@@ -32,7 +32,7 @@ from tillroll.operators.validation import (
     violating_rows,
     with_parsed,
 )
-from tillroll.schema import CONTRACT_VERSION
+from tillroll.schema import CONTRACT_VERSION, MALFORMED
 from tillroll.sources.readers import load_raw_sales_data, read_clean_table
 from tillroll.sources.writers import (
     export_contract_snapshot,
@@ -46,29 +46,29 @@ from tillroll.sources.writers import (
 VIOLATION_MODES = ("fail", "report")
 
 
-def inspect_raw(raw: DataFrame, date_format: str = ISO_DATE) -> dict[str, int]:
-    """Row count, usable rows and broken rules of the raw table, all from one scan."""
+def inspect_raw(raw: DataFrame, date_format: str = ISO_DATE) -> dict:
+    """Row count, usable rows, broken rules and failed gates, all from one scan of the raw table.
+
+    The gates look at the values that cleaning would keep, so they are known before anything is
+    written.
+    """
 
     def value(name: str) -> Column:
         return to_moment(raw, name, date_format) if name == "order_date" else parsed(name)
 
-    counts = [F.count_if(rule.breach).alias(rule.name) for rule in raw_rules(raw)]
+    def cleaned(name: str) -> Column:
+        return clip(value(name), *CLIPPED[name]) if name in CLIPPED else value(name)
+
+    whole = F.col(MALFORMED).isNull() if MALFORMED in raw.columns else F.lit(True)
+    usable = whole & usable_row(value)
+    rules = [F.count_if(rule.breach).alias(rule.name) for rule in raw_rules(raw)]
+    gates = [F.count_if(usable & rule.breach).alias(rule.name) for rule in gate_rules(cleaned)]
     record = with_parsed(raw).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(usable_row(value)).alias("usable_rows"),
-        *counts,
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.struct(F.count_if(usable).alias("row_count"), *gates).alias("gates"),
+        F.struct(*rules).alias("rules"),
     )
-    return record.first().asDict()
-
-
-def clean_and_store(raw: DataFrame, path: str, date_format: str = ISO_DATE) -> None:
-    """Write the clean table; the quality gates are counted by the write itself."""
-    gates = Observation("quality gates")
-    counts = [F.count_if(rule.breach).alias(rule.name) for rule in gate_rules()]
-    clean = clean_sales_data(raw, date_format)
-    observed = clean.observe(gates, F.count(F.lit(1)).alias("row_count"), *counts)
-    save_processed_data(observed, path)
-    raise_on_gate(gates.get)
+    return record.first().asDict(recursive=True)
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -83,6 +83,7 @@ def run_pipeline(
     out_path: str,
     *,
     on_violation: str = "fail",
+    multi_line: bool = False,
     date_format: str = ISO_DATE,
     with_profile: bool = True,
     pipeline_version: str = __version__,
@@ -92,7 +93,9 @@ def run_pipeline(
 
     The raw table is scanned twice (inspection and cleaning write). The reports read the
     stored clean table; those that need per-dimension totals share one stored result.
-    With ``on_violation="report"`` broken rules are written down and the run goes on.
+    With ``on_violation="report"`` broken rules are written down and the run goes on. The quality
+    gates come before the clean table is replaced. ``multi_line`` is for files with line breaks
+    inside quotes.
     """
     if on_violation not in VIOLATION_MODES:
         raise ValueError(f"on_violation must be one of {', '.join(VIOLATION_MODES)}")
@@ -103,20 +106,19 @@ def run_pipeline(
         "metrics": f"{out_path}/metrics",
         "alerts": f"{out_path}/alerts",
     }
-    raw = load_raw_sales_data(spark, in_path)
+    raw = load_raw_sales_data(spark, in_path, multi_line)
     enforce_raw_contract(raw)
     counts = inspect_raw(raw, date_format)
-    raw_rows, clean_rows = counts.pop("row_count"), counts.pop("usable_rows")
-    broken = {name: count for name, count in counts.items() if count}
+    raw_rows, clean_rows = counts["raw_rows"], counts["gates"]["row_count"]
+    broken = {name: count for name, count in counts["rules"].items() if count}
     if broken and on_violation == "fail":
         listing = ", ".join(f"{name}: {count}" for name, count in broken.items())
         raise ValueError(f"Raw data failed the schema check ({listing})")
     if broken:
         paths["violations"] = save_table(violating_rows(raw), f"{out_path}/violations")
-    if not clean_rows:
-        raise_on_gate({"row_count": 0})
+    raise_on_gate(counts["gates"])
     export_contract_snapshot(spark, paths["contract"], CONTRACT_VERSION)
-    clean_and_store(raw, paths["processed"], date_format)
+    save_processed_data(clean_sales_data(raw, date_format), paths["processed"])
 
     featured = build_features(read_clean_table(spark, paths["processed"]))
     totals = store(sales_totals(featured), f"{out_path}/shared/sales_totals")

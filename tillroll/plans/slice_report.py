@@ -14,16 +14,18 @@ from tillroll.operators.recovery import recovery_display, simulate_leakage_recov
 from tillroll.operators.reports import (
     build_executive_tables,
     revenue_by,
+    sales_trend_over_time,
     top_categories_by_sales,
 )
-from tillroll.operators.spikes import detect_discount_spikes
+from tillroll.operators.spikes import alerts_from_profile, discount_profile
 from tillroll.operators.totals import overall_part, sales_totals
-from tillroll.plans.checkpoints import settle
+from tillroll.plans.pipeline import store
 from tillroll.schema import DIMENSIONS
 
 
 def slice_report(
     sales: DataFrame,
+    out_path: str,
     *,
     start: date | None = None,
     end: date | None = None,
@@ -32,11 +34,12 @@ def slice_report(
     payment: str | None = None,
     recovery_rates: Mapping[str, float] | DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The report tables of a slice as lazy plans.
+    """The report tables of a slice.
 
-    ``sales`` is the processed table as stored, so that the slice prunes its partitions. The
-    per-dimension totals of the slice are computed once and checkpointed, and most tables are
-    cut from them; the slice itself, which may be large, is not kept.
+    ``sales`` is the processed table as stored, so that the slice prunes its partitions. Totals per
+    dimension, revenue per month and the discount profile of the slice are stored under
+    ``out_path``, one scan each, and all tables but the share and the audit are lazy plans over them;
+    the slice itself, which may be large, is not kept.
     """
     bounds = {
         "start": start,
@@ -46,7 +49,9 @@ def slice_report(
         "payment": payment,
     }
     rows = build_features(slice_sales(sales, **bounds))
-    totals = settle(sales_totals(rows))
+    totals = store(sales_totals(rows), f"{out_path}/sales_totals")
+    months = store(sales_trend_over_time(rows), f"{out_path}/monthly_revenue")
+    profile = store(discount_profile(rows), f"{out_path}/discount_profile")
     overall = overall_part(totals)
     rates = {} if recovery_rates is None else recovery_rates
     breakdown = simulate_leakage_recovery(rows, rates, totals)
@@ -57,9 +62,9 @@ def slice_report(
         "revenue_by_payment": revenue_by(rows, "payment_method", totals),
         "top_categories": top_categories_by_sales(rows, totals=totals),
         "recommendations": build_actionable_recommendations(rows, totals=totals),
-        "discount_spikes": detect_discount_spikes(rows),
+        "discount_spikes": alerts_from_profile(profile),
         "recovery": recovery_display(breakdown),
-        **build_executive_tables(rows, totals),
+        **build_executive_tables(rows, totals, months),
     }
 
 

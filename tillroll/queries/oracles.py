@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tillroll.queries.registry import (
+    BUNDLE_COLUMNS,
     DEFAULT_RATE,
     DENSITY_POINTS,
+    GENERATED_AT,
     HISTOGRAM_BINS,
     OVERRIDES,
     PROFILE_COLUMNS,
@@ -50,6 +52,11 @@ def _raw_column(name: str) -> str:
 
 RAW = f"{SALES}, raw AS (SELECT {', '.join(map(_raw_column, RAW_COLUMNS))} FROM sales)"
 
+def _number(value: str) -> str:
+    """The value, null where it is NaN."""
+    return f"CASE WHEN NOT isnan({value}) THEN {value} END"
+
+
 CLEAN = f"""{RAW}, typed AS (
     SELECT TRY_CAST(order_id AS DOUBLE) AS order_id,
            TRY_CAST(order_date AS TIMESTAMP) AS order_date,
@@ -69,8 +76,8 @@ CLEAN = f"""{RAW}, typed AS (
     WHERE order_date IS NOT NULL AND price >= 0 AND discount_percent IS NOT NULL
       AND quantity_sold > 0
 ), clean AS (
-    SELECT *, price * (1 - discount_percent / 100) AS discounted_price,
-           price * (1 - discount_percent / 100) * quantity_sold AS total_revenue
+    SELECT *, {_number("price * (1 - discount_percent / 100)")} AS discounted_price,
+           {_number("price * (1 - discount_percent / 100) * quantity_sold")} AS total_revenue
     FROM kept
 )"""
 
@@ -81,16 +88,18 @@ def _features(source: str) -> str:
            monthname(order_date) AS month_name, quarter(order_date) AS quarter,
            dayname(order_date) AS day_of_week,
            coalesce(isodow(order_date) >= 6, false) AS is_weekend,
-           coalesce(total_revenue / nullif(gross_revenue, 0), 0) AS net_revenue_retained,
-           coalesce(total_revenue / nullif(quantity_sold, 0), 0) AS revenue_per_unit,
-           coalesce(discount_value / nullif(gross_revenue, 0), 0) * 100 AS discount_impact_pct
+           coalesce({_number("total_revenue / nullif(gross_revenue, 0)")}, 0)
+             AS net_revenue_retained,
+           coalesce({_number("total_revenue / nullif(quantity_sold, 0)")}, 0) AS revenue_per_unit,
+           coalesce({_number("discount_value / nullif(gross_revenue, 0)")}, 0) * 100
+             AS discount_impact_pct
     FROM {source}
 )"""
 
 
 PROCESSED = f"""{CLEAN}, grossed AS (
     SELECT *, price * quantity_sold AS gross_revenue,
-           price * quantity_sold - total_revenue AS discount_value
+           {_number("price * quantity_sold - total_revenue")} AS discount_value
     FROM clean
 ), {_features("grossed")}"""
 
@@ -103,11 +112,11 @@ PROFILED = f"""{SALES}, partly_rated AS (
 
 def _money(column: str, condition: str = "") -> str:
     where = f" FILTER (WHERE {condition})" if condition else ""
-    return f"coalesce(CAST(sum(CAST({column} AS DECIMAL(18,6))){where} AS DOUBLE), 0)"
+    return f"coalesce(CAST(sum(TRY_CAST({column} AS DECIMAL(18,6))){where} AS DOUBLE), 0)"
 
 
 def _mean_money(column: str) -> str:
-    return f"round({_money(column)} / count({column}), 6)"
+    return f"round({_money(column)} / count(TRY_CAST({column} AS DECIMAL(18,6))), 6)"
 
 
 def _ratio(numerator: str, denominator: str) -> str:
@@ -145,6 +154,19 @@ SLICE_CONDITION = (
 )
 
 
+def _spark_type(column: str) -> str:
+    """The type Spark shows for a column of the featured sales table."""
+    if column in ("order_id", "product_id"):
+        return "bigint"
+    if column in ("product_category", "customer_region", "payment_method", "month_name"):
+        return "string"
+    if column in ("year", "month", "quarter"):
+        return "int"
+    return {"order_date": "timestamp_ntz", "day_of_week": "string", "is_weekend": "boolean"}.get(
+        column, "double"
+    )
+
+
 def _quality_oracles() -> dict[str, str]:
     not_null = [
         "order_id",
@@ -228,8 +250,8 @@ def _quality_oracles() -> dict[str, str]:
     coalesce(CAST(c AS DOUBLE) / nullif(r, 0), 0) AS row_retention_rate
     FROM (SELECT count(*) AS r FROM raw) CROSS JOIN (SELECT count(*) AS c FROM clean)"""
     profile = "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS non_null_count, count(*) AS row_count "
-        "FROM featured"
+        f"SELECT '{c}' AS \"column\", '{_spark_type(c)}' AS type, count({c}) AS non_null_count, "
+        "count(*) AS row_count FROM featured"
         for c in frame
     )
     return {
@@ -270,7 +292,7 @@ def _kpi_oracles() -> dict[str, str]:
         ("expected_uplift_5pct_recovery", "(gross - net) * 0.05::DOUBLE"),
     ]
     metrics = f"""SELECT '1.0.0' AS metrics_version, '1.0.0' AS contract_version,
-    'unknown' AS pipeline_version, r AS raw_row_count, c AS clean_row_count,
+    'unknown' AS pipeline_version, '{GENERATED_AT.isoformat()}' AS generated_at_utc, r AS raw_row_count, c AS clean_row_count,
     r - c AS rows_dropped, coalesce(CAST(c AS DOUBLE) / nullif(r, 0), 0) AS row_retention_rate,
     net AS total_revenue, gross AS gross_revenue, gross - net AS discount_leakage,
     {_ratio("net", "gross")} AS north_star_nrr, orders AS unique_orders,
@@ -349,13 +371,11 @@ def _report_oracles() -> dict[str, str]:
     {_money("total_revenue")} AS total_revenue, {_money("discount_value")} AS discount_value
     FROM sales WHERE product_category IS NOT NULL GROUP BY product_category""",
     )
-    sparse = """product_category = 'ECONOMY' AND customer_region = 'AFRICA'
-    AND payment_method = '5-LOW' AND year(order_date) IN (1995, 1996, 1998, 2001)"""
     filled = _cte(
         SALES,
         "m",
         f"""SELECT last_day(order_date) AS me, {_money("total_revenue")} AS r FROM sales
-    WHERE order_date IS NOT NULL AND {sparse} GROUP BY 1""",
+    WHERE order_date IS NOT NULL GROUP BY 1""",
     )
     filled = _cte(
         filled,
@@ -375,7 +395,22 @@ def _report_oracles() -> dict[str, str]:
     FROM leaks LEFT JOIN rates USING (product_category)""",
     )
     uplift = "discount_leakage * recovery_rate"
+    scenario = _cte(
+        f"{leaks}, {rates}",
+        "b",
+        f"""SELECT product_category, gross_revenue, total_revenue,
+    discount_value AS discount_leakage,
+    CAST(least(greatest(coalesce(rate, {DEFAULT_RATE}), 0), 1) AS DOUBLE) AS recovery_rate
+    FROM leaks LEFT JOIN rates USING (product_category)""",
+    )
     return {
+        "executive_bundle": _bundle(SALES),
+        "slice_bundle": _bundle(f"{SALES}, part AS (SELECT * FROM sales WHERE {SLICE_CONDITION})", "part"),
+        "scenario_run": _with(
+            scenario,
+            f"""SELECT *, round({uplift}, 6) AS expected_uplift,
+    round(total_revenue + {uplift}, 6) AS simulated_revenue FROM b""",
+        ),
         "category_performance": _with(
             SALES,
             f"""SELECT product_category, {_money("total_revenue")} AS total_revenue,
@@ -420,6 +455,13 @@ def _report_oracles() -> dict[str, str]:
         ),
         "recommendations": _recommendations(0.9),
         "recommendations_low_nrr": _recommendations(0.96),
+        "recommendations_no_risk": _with(
+            SALES,
+            """SELECT 'low' AS priority, 'No material risk detected' AS decision_rule,
+    'Maintain current policy and continue weekly KPI monitoring.' AS recommended_action,
+    0.0::DOUBLE AS expected_impact_usd, 'Analytics' AS owner_area
+FROM sales HAVING count(*) > 0""",
+        ),
         "scenario_rates": _with(
             f"{SALES}, {rates}",
             f"""SELECT product_category,
@@ -448,6 +490,73 @@ def _report_oracles() -> dict[str, str]:
     }
 
 
+def _bundle(base: str, source: str = "sales") -> str:
+    """The six report tables as rows of table, key, metric and value."""
+
+    def long(table: str, key: str, measures: dict[str, str], tail: str) -> list[str]:
+        return [
+            f"SELECT '{table}' AS \"table\", CAST({key} AS VARCHAR) AS key, '{name}' AS metric, "
+            f"round(CAST({value} AS DOUBLE), 6) AS value FROM {tail}"
+            for name, value in measures.items()
+        ]
+
+    net, orders = _money("total_revenue"), "count(DISTINCT order_id)"
+    ticket = {"total_revenue": net, "total_orders": orders, "avg_ticket": _mean_money("total_revenue")}
+    category = {
+        "total_revenue": net,
+        "total_units": _money("quantity_sold"),
+        "total_orders": orders,
+        "avg_rating": "avg(rating)",
+        "discount_value": _money("discount_value"),
+    }
+    kpis = {
+        "total_revenue": "net",
+        "total_orders": "orders",
+        "total_units": "trunc(units)",
+        "avg_ticket": _ratio("net", "orders"),
+        "avg_rating": "rating",
+        "north_star_nrr": _ratio("net", "gross"),
+    }
+    nulls = " + ".join(f"(count(*) - count({c}))" for c in BUNDLE_COLUMNS)
+    audit = {
+        "row_count": "count(*)",
+        "null_values": nulls,
+        "duplicated_order_id": f"count(*) - {orders}",
+        "discount_out_of_range": "count(*) FILTER (WHERE NOT discount_percent BETWEEN 0 AND 100)",
+        "rating_out_of_range": "count(*) FILTER (WHERE NOT rating BETWEEN 0 AND 5)",
+    }
+    base = _cte(base, "t", f"{TOTALS} FROM {source}")
+    base = _cte(
+        base,
+        "m",
+        f"""SELECT last_day(order_date) AS me, {net} AS r FROM {source}
+    WHERE order_date IS NOT NULL GROUP BY 1""",
+    )
+    base = _cte(
+        base,
+        "calendar",
+        """SELECT last_day(CAST(unnest(generate_series(date_trunc('month', a),
+        date_trunc('month', z), INTERVAL 1 MONTH)) AS DATE)) AS month_end
+    FROM (SELECT min(me) AS a, max(me) AS z FROM m)""",
+    )
+    rows = []
+    for name, value in kpis.items():
+        rows += long("kpi_summary", f"'{name}'", {"value": value}, "t")
+    for table, key, measures in (
+        ("category_performance", "product_category", category),
+        ("regional_performance", "customer_region", ticket),
+        ("payment_performance", "payment_method", ticket),
+    ):
+        rows += long(table, key, measures, f"{source} WHERE {key} IS NOT NULL GROUP BY {key}")
+    rows += long(
+        "monthly_trend", "month_end", {"total_revenue": "coalesce(r, 0)"},
+        "calendar LEFT JOIN m ON month_end = me",
+    )
+    for name, value in audit.items():
+        rows += long("data_quality_audit", f"'{name}'", {"value": value}, source)
+    return _with(base, "\nUNION ALL\n".join(rows))
+
+
 def _recommendations(floor: float) -> str:
     base = _cte(
         PROCESSED,
@@ -541,6 +650,10 @@ def _alert_oracles() -> dict[str, str]:
             _scored("customer_region", by_month),
             f"SELECT customer_region, order_date, {SHOWN}, n AS obs_count FROM scored",
         ),
+        "scored_profile_day": _with(
+            _scored("payment_method", "CAST(date_trunc('day', order_date) AS TIMESTAMP)"),
+            f"SELECT payment_method, order_date, {SHOWN}, n AS obs_count FROM scored",
+        ),
         "discount_spikes_daily": alerts(category, "product_category"),
         "discount_spikes_region": alerts(region, "customer_region"),
         "discount_spikes_brand_month": alerts(brand, "product_brand"),
@@ -574,6 +687,7 @@ FROM featured"""
     )
     micros = "epoch_us(order_date)"
     moments = f"""SELECT 'order_date' AS "column", count(order_date) AS "count",
+    date_trunc('minute', make_timestamp(CAST(avg({micros}) AS BIGINT))) AS mean,
     min(order_date) AS "min",
     make_timestamp(CAST({quartile(micros, 0.25)} AS BIGINT)) AS p25,
     make_timestamp(CAST({quartile(micros, 0.5)} AS BIGINT)) AS p50,

@@ -8,7 +8,7 @@ The operators themselves do neither.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ SLICE = {
     "end": date(1998, 10, 31),
     "region": "ASIA",
 }
-SPARSE_SLICE = {"category": "ECONOMY", "region": "AFRICA", "payment": "5-LOW"}
+GENERATED_AT = datetime(2024, 1, 1, tzinfo=UTC)
 OVERRIDES = {"STANDARD": 0.2, "LARGE": 1.5, "SMALL": -0.1, "ABSENT": 0.7}
 DEFAULT_RATE = 0.05
 PROFILE_COLUMNS = [
@@ -51,10 +51,12 @@ PROFILE_COLUMNS = [
     "revenue_per_unit",
     "discount_impact_pct",
 ]
+BUNDLE_EXTRA = ["order_id", "order_date", "discount_percent", "rating", *DIMENSIONS]
 HISTOGRAM_BINS = 20
 DENSITY_POINTS = 51
 
 MEASURES = ["price", "quantity_sold", "total_revenue"]
+BUNDLE_COLUMNS = [*BUNDLE_EXTRA, *MEASURES, "gross_revenue", "discount_value"]
 
 
 def _sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -144,9 +146,8 @@ def executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_sales_view(spark, sf_dir)
-    clean = clean_sales_data(raw)
-    featured = exact_money(fe.build_features(clean))
-    return kpis.collect_product_metrics(raw, clean, featured).drop("generated_at_utc")
+    featured = exact_money(fe.build_features(clean_sales_data(raw)))
+    return kpis.collect_product_metrics(retention(raw), None, featured, generated_at=GENERATED_AT)
 
 
 def summary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,9 +215,41 @@ def monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_trend_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _sales(spark, sf_dir, "order_date", *DIMENSIONS)
-    odd_years = F.year("order_date").isin(1995, 1996, 1998, 2001)
-    return reports.monthly_trend(fe.slice_sales(rows, **SPARSE_SLICE).where(odd_years))
+    return reports.monthly_trend(_sales(spark, sf_dir, "order_date"))
+
+
+def _bundle(rows: DataFrame) -> DataFrame:
+    """The six report tables as rows of table, key, metric and value."""
+    keys = {
+        "kpi_summary": "metric",
+        "category_performance": "product_category",
+        "regional_performance": "customer_region",
+        "payment_performance": "payment_method",
+        "monthly_trend": "month_end",
+        "data_quality_audit": "check",
+    }
+    out = None
+    for name, table in reports.build_executive_tables(rows, tt.sales_totals(rows)).items():
+        measures = [c for c in table.columns if c != keys[name]]
+        entries = [
+            F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), 6).alias("value"))
+            for c in measures
+        ]
+        part = table.select(
+            F.lit(name).alias("table"),
+            F.col(keys[name]).cast("string").alias("key"),
+            F.inline(F.array(*entries)),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def executive_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bundle(_sales(spark, sf_dir, *BUNDLE_EXTRA))
+
+
+def slice_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bundle(fe.slice_sales(_sales(spark, sf_dir, *BUNDLE_EXTRA), **SLICE))
 
 
 def top_discount_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,6 +292,12 @@ def scored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_alerts(spikes.score_profile(profile, "customer_region"))
 
 
+def scored_profile_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _spike_rows(spark, sf_dir, "payment_method")
+    profile = spikes.discount_profile(rows, "payment_method", "day")
+    return _shown_alerts(spikes.score_profile(profile, "payment_method"))
+
+
 def discount_spikes_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _spike_rows(spark, sf_dir, "product_category")
     return _shown_alerts(spikes.detect_discount_spikes(rows))
@@ -306,6 +345,21 @@ def recommendations_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommendations.build_actionable_recommendations(rows)
 
 
+def recommendations_no_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No discount, no category and no payment method: no rule has anything to say."""
+    rows = _sales(spark, sf_dir, "order_id", *DIMENSIONS)
+    nothing = F.lit(None).cast("string")
+    calm = rows.withColumns(
+        {
+            "total_revenue": F.col("gross_revenue"),
+            "discount_value": F.col("gross_revenue") - F.col("gross_revenue"),
+            "product_category": nothing,
+            "payment_method": nothing,
+        }
+    )
+    return recommendations.build_actionable_recommendations(calm)
+
+
 def recommendations_low_nrr(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_money(_processed(spark, sf_dir))
     return recommendations.build_actionable_recommendations(rows, nrr_floor=0.96)
@@ -329,13 +383,21 @@ def scenario_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(shown, "expected_uplift", "simulated_revenue")
 
 
+def scenario_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rate for every category from default and overrides, then the breakdown at these rates."""
+    rows = _sales(spark, sf_dir, "product_category")
+    rates = recovery.recovery_rates(rows, DEFAULT_RATE, OVERRIDES)
+    breakdown = recovery.simulate_leakage_recovery(rows, rates)
+    return _rounded(breakdown, "expected_uplift", "simulated_revenue")
+
+
 def scenario_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = recovery.recovery_totals(_breakdown(spark, sf_dir))
     return _rounded(_rounded(record, *record.columns, places=4), "baseline_nrr", "simulated_nrr")
 
 
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.column_profile(_profiled(spark, sf_dir)).drop("type")
+    return profiling.column_profile(_profiled(spark, sf_dir))
 
 
 def numeric_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,7 +409,9 @@ def numeric_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timestamp_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales_view(spark, sf_dir, ["order_date"])
-    return profiling.describe_timestamps(rows).drop("mean")
+    # The mean is a sum of doubles; seconds of it differ with the order of the rows.
+    summary = profiling.describe_timestamps(rows)
+    return summary.withColumn("mean", F.date_trunc("minute", "mean").cast("timestamp_ntz"))
 
 
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,6 +466,7 @@ def all_queries() -> dict[str, Query]:
         "payment_ticket_ranking": payment_ticket_ranking,
         "discount_profile": discount_profile,
         "scored_profile": scored_profile,
+        "scored_profile_day": scored_profile_day,
         "discount_spikes_daily": discount_spikes_daily,
         "discount_spikes_region": discount_spikes_region,
         "discount_spikes_brand_month": discount_spikes_brand_month,
@@ -410,6 +475,10 @@ def all_queries() -> dict[str, Query]:
         "alert_export_rows": alert_export_rows,
         "recommendations": recommendations_default,
         "recommendations_low_nrr": recommendations_low_nrr,
+        "recommendations_no_risk": recommendations_no_risk,
+        "executive_bundle": executive_bundle,
+        "slice_bundle": slice_bundle,
+        "scenario_run": scenario_run,
         "scenario_rates": scenario_rates,
         "scenario_breakdown": scenario_breakdown,
         "scenario_display": scenario_display,

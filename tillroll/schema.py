@@ -21,20 +21,13 @@ RAW_COLUMNS = [
     "total_revenue",
 ]
 
-NUMBER_COLUMNS = [
-    "order_id",
-    "product_id",
-    "price",
-    "discount_percent",
-    "quantity_sold",
-    "rating",
-    "review_count",
-    "discounted_price",
-    "total_revenue",
-]
-
 TEXT_COLUMNS = ["product_category", "customer_region", "payment_method"]
 
+NUMBER_COLUMNS = [name for name in RAW_COLUMNS if name not in ("order_date", *TEXT_COLUMNS)]
+
+#: Holds the whole line of a delimited file where it has too few or too many fields.
+MALFORMED = "_malformed_line"
+
 DIMENSIONS = ["product_category", "customer_region", "payment_method"]
 
 MONEY_COLUMNS = ["total_revenue", "gross_revenue", "discount_value"]
@@ -78,12 +71,11 @@ METRICS_REQUIRED_FIELDS = [
     "total_revenue",
 ]
 
+# Versions and text of the contract.
 CONTRACT_VERSION = "1.0.0"
 METRICS_VERSION = "1.0.0"
 CONTRACT_DESCRIPTION = "Raw sales dataset contract expected by preprocessing pipeline."
 
-RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
-
 
 def _clean_type(name: str) -> T.DataType:
     if name == "order_date":

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import blank_missing, to_number
-from tillroll.schema import NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS
+
+
+#: A whole date, with or without a time: Spark's cast alone would also take "2024".
+STORED_MOMENT = r"^\d{4,6}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?Z?)?$"
 
 
 def _missing_path(error: AnalysisException) -> bool:
@@ -22,7 +26,9 @@ def _text_table(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
 
     Without type inference only the header of one file is read up front. Reading with that
     header and without ``enforceSchema`` makes Spark compare the header of every other file
-    to it, so that files with another column order are refused and not misread.
+    to it, so that files with another column order are refused and not misread. A line with too
+    few or too many fields keeps its text in ``MALFORMED``; all fields are parsed for that,
+    whatever columns are asked for.
     """
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
     try:
@@ -31,14 +37,17 @@ def _text_table(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         if _missing_path(error):
             raise FileNotFoundError(f"Raw sales data not found: {path}") from error
         raise
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
+    kept = {"columnNameOfCorruptRecord": MALFORMED, "columnPruning": False, "enforceSchema": False}
+    return spark.read.options(**options, **kept).schema(schema).csv(path)
 
 
 def load_raw_sales_data(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The raw table: all columns as text, missing-value tokens as null.
 
-    ``multi_line`` allows line breaks inside quotes, but such files cannot be split.
+    Lines with too few or too many fields are marked in column ``MALFORMED``. ``multi_line`` allows
+    line breaks inside quotes, but such files cannot be split; without it, the parts of such a line
+    are malformed lines.
     """
     return blank_missing(_text_table(spark, path, multi_line))
 
@@ -47,8 +56,14 @@ def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
     """A processed table kept as delimited text, with the clean types restored."""
     text = load_raw_sales_data(spark, path, multi_line)
     typed = {name: to_number(text, name) for name in NUMBER_COLUMNS if name in text.columns}
-    typed["order_date"] = F.col("order_date").try_cast("timestamp_ntz")
-    return text.withColumns(typed)
+    whole = F.when(F.col("order_date").rlike(STORED_MOMENT), F.col("order_date"))
+    typed["order_date"] = whole.try_cast("timestamp_ntz")
+    broken = F.raise_error(F.concat(F.lit("Malformed line in the processed table: "), F.col(MALFORMED)))
+    # Joined to a column that every reader needs, so that the check is not pruned away.
+    typed["order_id"] = F.when(F.col(MALFORMED).isNotNull(), broken.cast("double")).otherwise(
+        typed.get("order_id", F.col("order_id"))
+    )
+    return text.withColumns(typed).drop(MALFORMED)
 
 
 def read_clean_table(spark: SparkSession, path: str) -> DataFrame:
@@ -72,10 +87,9 @@ def read_processed(spark: SparkSession, path: str, file_format: str = "parquet")
 def read_or_compute(
     spark: SparkSession, path: str, schema: T.StructType, compute: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The stored table if the path exists, otherwise the plan that computes it."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if _missing_path(error):
-            return compute()
-        raise
+    """The stored table if a finished write left one, otherwise the plan that computes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop_path):
+        return compute()
+    return spark.read.schema(schema).parquet(path)

@@ -23,8 +23,6 @@ _NEEDS = {
     "customer_region": "region",
 }
 
-SPREAD_LIMIT = 32
-
 # The columns read from each table. Naming them saves a job per table that infers the schema.
 TABLES = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
@@ -40,7 +38,7 @@ TABLES = {
 # Every n-th order carries this defect in the raw table, per column and in order.
 DEFECTS = {
     "order_date": [(101, "invalid")],
-    "price": [(103, "-5"), (139, "abc")],
+    "price": [(103, "-5"), (139, "abc"), (149, "inf")],
     "quantity_sold": [(107, "0")],
     "discount_percent": [(109, "120"), (113, "-20")],
     "rating": [(127, "7"), (131, "N/A")],
@@ -63,7 +61,7 @@ def sales_view(
     def table(name: str) -> DataFrame:
         return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    rows = spread(table("lineitem"), "l_orderkey")
+    rows = table("lineitem")
     if needed & {"orders", "region"}:
         orders = table("orders")
         if "region" in needed:
@@ -99,16 +97,6 @@ def sales_view(
     return rows.select(*[meaning[name].alias(name) for name in wanted])
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small table that arrives in few splits to more cores.
-
-    A small parquet file can be a single row group, which is a single task. A table of
-    ``SPREAD_LIMIT`` splits or more (about 4 GB at the default split size) is left as it is.
-    """
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_LIMIT)
-    return df.repartition(tasks, key) if df.rdd.getNumPartitions() < tasks else df
-
-
 def raw_sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows as text, as a delimited file would give them, with recurring defects."""
     sales = sales_view(spark, sf_dir, RAW_COLUMNS)

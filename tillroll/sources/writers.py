@@ -47,11 +47,12 @@ def save_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
 def save_reports(
     tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet"
 ) -> dict[str, str]:
-    """Write each report to ``path/name``, one file each: reports are small after aggregation."""
-    return {
-        name: save_table(table.coalesce(1), f"{path}/{name}", file_format)
-        for name, table in tables.items()
-    }
+    """Write each report to ``path/name``.
+
+    Spark merges small partitions by their measured size, so a small report is one file, and one
+    that grows with the number of categories is not forced through one task.
+    """
+    return {name: save_table(table, f"{path}/{name}", file_format) for name, table in tables.items()}
 
 
 def export_discount_spike_alerts(alerts: DataFrame, path: str, file_format: str = "parquet") -> str:
