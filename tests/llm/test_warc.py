@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import io
 import random
 from pathlib import Path
 
@@ -65,7 +66,7 @@ def test_archives_hold_valid_records(spark, tmp_path):
         data = gzip.decompress(file.read_bytes())
         if data:
             assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
-            total += len(list(warc.parse_archive(data, file.name)))
+            total += len(list(warc.parse_archive(io.BytesIO(data), file.name)))
     assert total == len(PAGES)
 
 
@@ -73,8 +74,9 @@ def test_damage_is_noticed(spark, tmp_path):
     path = tmp_path / "w"
     warc.write_archives(pages_of(spark, PAGES[:1]), str(path))
     data = gzip.decompress(max(Path(path).glob("*.gz"), key=lambda f: f.stat().st_size).read_bytes())
-    with pytest.raises(ValueError):
-        list(warc.parse_archive(data.replace(b"<p>", b"<q>"), "x"))
+    for damaged in (data.replace(b"<p>", b"<q>"), data[:-3], data[:200], b"x" + data):
+        with pytest.raises(ValueError):
+            list(warc.parse_archive(io.BytesIO(damaged), "x"))
 
 
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 8, 17])

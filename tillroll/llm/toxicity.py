@@ -195,7 +195,8 @@ def training_rows(labels: DataFrame) -> DataFrame:
 
 
 def held_out(doc_id: F.Column) -> F.Column:
-    return F.crc32(doc_id.cast("string")) % 3 == 1
+    """Whether a row is kept from training; a row without an id has no label and is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:

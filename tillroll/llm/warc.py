@@ -14,10 +14,11 @@ is one globally ordered capture history.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -153,32 +154,45 @@ def _page_number(uri: str) -> int | None:
     return None if name == "none" else int(name)
 
 
-def parse_archive(data: bytes, name: str) -> Iterator[tuple]:
-    """The records of one uncompressed archive, in the order of ``CAPTURE_SCHEMA``."""
+def _headers(stream: BinaryIO) -> tuple[str, dict[str, str], int]:
+    """First line, fields and length of a header block; an empty first line at the end."""
+    first = stream.readline()
+    length, fields = len(first), {}
+    while first and (line := stream.readline()) != b"\r\n":
+        if not line:
+            raise ValueError("the archive ends within a header")
+        length += len(line)
+        name, value = line.decode("utf-8").rstrip("\r\n").split(": ", 1)
+        fields[name] = value
+    return first.decode("utf-8").rstrip("\r\n"), fields, length + 2
+
+
+def parse_archive(stream: BinaryIO, name: str) -> Iterator[tuple]:
+    """The records of one archive, in the order of ``CAPTURE_SCHEMA``; one record is held at a time."""
     at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        lines = data[at:head_end].decode("utf-8").split("\r\n")
-        if lines[0] != "WARC/1.1":
+    while True:
+        version, head, head_size = _headers(stream)
+        if not version:
+            return
+        if version != "WARC/1.1":
             raise ValueError(f"{name}: no WARC record at {at}")
-        head = dict(line.split(": ", 1) for line in lines[1:])
-        block_at = head_end + 4
-        block_end = block_at + int(head["Content-Length"])
-        http_end = data.index(b"\r\n\r\n", block_at) + 4
-        http = dict(x.split(": ", 1) for x in data[block_at : http_end - 4].decode().split("\r\n")[1:])
+        block_size = int(head["Content-Length"])
+        _, http, http_size = _headers(stream)
+        payload = stream.read(block_size - http_size)
         digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
         size = int(http["Content-Length"])
         if head["WARC-Type"] == "response":
-            payload = memoryview(data)[http_end:block_end]
             if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"{name}: payload at {http_end} is not what its header says")
+                raise ValueError(f"{name}: the payload at {at} is not what its header says")
+        if stream.read(4) != b"\r\n\r\n":
+            raise ValueError(f"{name}: the record at {at} does not end where it should")
         refers = head.get("WARC-Refers-To")
         yield (
             _page_number(head["WARC-Record-ID"]), head["WARC-Target-URI"], head["X-Url-Key"],
             head["WARC-Date"], head["WARC-Type"], size, digest,
             _page_number(refers) if refers else None, name, at,
         )
-        at = block_end + 4
+        at += head_size + block_size + 4
 
 
 def _order(row: tuple) -> tuple:
@@ -189,8 +203,8 @@ def _order(row: tuple) -> tuple:
 def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-            data = zlib.decompress(memoryview(content.as_buffer()), 31)
-            rows = sorted(parse_archive(data, path.rpartition("/")[2]), key=_order)
+            with gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer())) as stream:
+                rows = sorted(parse_archive(stream, path.rpartition("/")[2]), key=_order)
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows), _FIELDS)], schema=_ARROW
