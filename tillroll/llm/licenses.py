@@ -206,3 +206,69 @@ def license_scan(files: DataFrame, path: F.Column, id_col: str = "doc_id") -> Da
 def _directory(path: F.Column) -> F.Column:
     """The part before the last slash, without slashes at its ends; '' is the root."""
     return F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]*$", 1), r"^/+|/+$", "")
+
+
+def scan_sql(table: str, path: str, places: int) -> str:
+    """The rows of ``license_scan`` for DuckDB, with the score rounded to ``places``."""
+    rows, rarity, other = template_vectors()
+    vectors = ", ".join(f"({place}, '{spdx}', '{word}', {weight!r}::DOUBLE)" for place, spdx, word, weight in rows)
+    known = ", ".join(f"('{word}', {value!r}::DOUBLE)" for word, value in sorted(rarity.items()))
+    words = f"regexp_extract_all(lower({{0}}), '{_WORD}')".format
+    below = f"regexp_replace(regexp_extract({{0}}, '^(.*)/[^/]*$', 1), '^/+|/+$', '', 'g')".format
+    return f"""
+WITH vectors(template, spdx, word, weight) AS (VALUES {vectors}),
+known(word, rarity) AS (VALUES {known}),
+named AS (
+  SELECT doc_id, {path} AS path, coalesce(text, '') AS text, {below(path)} AS directory FROM {table}
+),
+cued AS (SELECT DISTINCT path, text FROM named WHERE regexp_matches(text, '{CUE}')),
+lines AS (
+  SELECT path, text, generate_subscripts(l, 1) AS line, unnest(l) AS content
+  FROM (SELECT path, text, string_split_regex(text, '\r\n|[\n\r]') AS l FROM cued)
+),
+windows AS (
+  SELECT path, text, line, w,
+    unnest(range(0, greatest(len(w) - {WINDOW_WORDS} + {WINDOW_STEP} - 1, 0) + 1, {WINDOW_STEP})) AS start
+  FROM (SELECT *, {words("content")} AS w FROM lines WHERE regexp_matches(content, '{CUE}'))
+),
+parts AS (
+  SELECT path, text, line || ':' || start AS part, false AS whole,
+    list_slice(w, start + 1, start + {WINDOW_WORDS}) AS w FROM windows
+  UNION ALL SELECT path, text, 'whole', true, {words("text")} FROM cued
+),
+terms AS (
+  SELECT path, text, part, whole, word, count(*) AS tf
+  FROM (SELECT path, text, part, whole, unnest(w) AS word FROM parts) GROUP BY ALL
+),
+weighed AS (
+  SELECT t.*, tf * coalesce(rarity, {other!r}::DOUBLE) AS w FROM terms t LEFT JOIN known USING (word)
+),
+norms AS (SELECT path, text, part, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+scored AS (
+  SELECT path, text, whole, template, spdx, sum(w * weight) / any_value(norm) AS score
+  FROM weighed JOIN norms USING (path, text, part) JOIN vectors USING (word)
+  GROUP BY path, text, part, whole, template, spdx
+  HAVING sum(w * weight) / any_value(norm) >= {SURE}
+),
+best AS (
+  SELECT path, text, whole, arg_max(spdx, (score, -template)) AS spdx, max(score) AS score
+  FROM scored GROUP BY ALL
+),
+own AS (
+  SELECT path, text, coalesce(max(CASE WHEN whole THEN score END), max(score)) AS score,
+    coalesce(max(CASE WHEN whole THEN spdx END), max(spdx)) AS spdx,
+    coalesce(max(CASE WHEN whole THEN score END) >= {FILE_SURE}, false)
+      OR regexp_matches(path, '{LICENCE_NAME}') AS is_file
+  FROM best GROUP BY path, text
+),
+homes AS (SELECT {below("path")} AS home, min(spdx) AS spdx FROM own WHERE is_file GROUP BY ALL),
+inherited AS (
+  SELECT directory, arg_max(spdx, length(home)) AS inherited
+  FROM (SELECT DISTINCT directory FROM named) JOIN homes
+    ON home = '' OR directory = home OR starts_with(directory, home || '/') GROUP BY ALL
+)
+SELECT doc_id, path, coalesce(spdx, inherited) AS license, round(score, {places}) AS score,
+  CASE WHEN is_file THEN 'file' WHEN spdx IS NOT NULL THEN 'header'
+       WHEN inherited IS NOT NULL THEN 'inherited' END AS origin
+FROM named LEFT JOIN own USING (path, text) LEFT JOIN inherited USING (directory)
+"""

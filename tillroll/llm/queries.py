@@ -12,6 +12,8 @@ from tillroll.llm import token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Cosines are rounded for comparison with SQL, which adds up in another order.
+SCORE_PLACES = 9
 
 
 def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +25,8 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents lie in directories of source and language, as files named by their id."""
     docs = read_table(spark, sf_dir, "documents")
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licenses.license_scan(docs, path)
+    found = licenses.license_scan(docs, path)
+    return found.withColumn("score", F.round("score", SCORE_PLACES))
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,4 +95,9 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_warc": warc.records_sql(), "op8_source_mix": mixing.mix_sql()}
+    path = "source || '/' || lang || '/' || doc_id || '.txt'"
+    return {
+        "op2_license_scan": licenses.scan_sql("documents", path, SCORE_PLACES),
+        "op4_warc": warc.records_sql(),
+        "op8_source_mix": mixing.mix_sql(),
+    }
