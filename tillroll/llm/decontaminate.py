@@ -234,3 +234,80 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (text_hash("text") == bad["bad_hash"])
     return docs.join(bad, same, "left_anti")
+
+
+def _windows_sql(name: str, table: str, id_col: str) -> str:
+    """CTEs that end in ``<name>``: a row per window with key, place, count and slot values."""
+    units = ", ".join(f"'{unit}'" for unit in sorted(UNITS))
+    spread = f"OVER (PARTITION BY id, text ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)"
+    return f"""
+{name}_tokens AS (
+  SELECT id, text, unnest(l) AS token, generate_subscripts(l, 1) AS i
+  FROM (SELECT DISTINCT {id_col} AS id, text,
+    regexp_extract_all(text, '\\p{{L}}+|[0-9]+(?:[.,][0-9]+)*|[.!?:\n]') AS l FROM {table})
+),
+{name}_kinds AS (
+  SELECT *, CASE WHEN token IN ('.', '!', '?', ':', chr(10)) THEN 'mark'
+    WHEN regexp_matches(token, '^[0-9]') THEN 'number' WHEN lower(token) IN ({units}) THEN 'unit'
+    WHEN regexp_matches(token, '^\\p{{Lu}}[^\\p{{Lu}}]+$') THEN 'title' ELSE 'plain' END AS kind
+  FROM {name}_tokens
+),
+{name}_slots AS (
+  SELECT *, CASE WHEN kind = 'number' THEN 1 WHEN kind = 'unit' AND before = 'number' THEN 2
+    WHEN kind = 'title' AND before <> 'mark' THEN 3 ELSE 0 END AS slot
+  FROM (SELECT *, lag(kind, 1, 'mark') OVER (PARTITION BY id, text ORDER BY i) AS before FROM {name}_kinds)
+),
+{name}_words AS (
+  SELECT id, text, CASE WHEN slot > 0 THEN '<' || slot || '>' ELSE lower(token) END AS word,
+    CASE WHEN slot > 0 THEN lower(token) ELSE '' END AS value,
+    row_number() OVER (PARTITION BY id, text ORDER BY i) - 1 AS pos,
+    count(*) OVER (PARTITION BY id, text) AS n
+  FROM {name}_slots WHERE kind <> 'mark'
+),
+{name} AS (
+  SELECT id, text, pos, n - least(n, {WINDOW}) + 1 AS n_windows, vals,
+    array_to_string(ws, ' ') || CASE WHEN len(list_filter(vals, lambda v: v = '')) < {MIN_LITERALS}
+      THEN '|' || array_to_string(vals, ' ') ELSE '' END AS key
+  FROM (SELECT *, list(word) {spread} AS ws, list(value) {spread} AS vals FROM {name}_words)
+  WHERE pos <= n - least(n, {WINDOW})
+)"""
+
+
+def contaminated_sql(docs: str = "documents", benchmark: str = "benchmark") -> str:
+    """The rows of ``contaminated`` (without the text hash) for DuckDB."""
+    pair = "id, text, item_id, item_text, n_windows"
+    return f"""
+WITH {_windows_sql("d", docs, "doc_id")}, {_windows_sql("b", benchmark, "item_id")},
+met AS (
+  SELECT d.id, d.text, b.id AS item_id, b.text AS item_text, b.n_windows, b.pos, d.pos - b.pos AS shift,
+    b.vals = d.vals AS same, b.vals AS was, d.vals AS now
+  FROM d JOIN b USING (key)
+),
+agreeing AS (
+  SELECT {pair}, shift, count(DISTINCT w) = count(DISTINCT (w, v)) AS agree
+  FROM (SELECT {pair}, shift, unnest(was) AS w, unnest(now) AS v FROM met) WHERE w <> ''
+  GROUP BY ALL
+),
+found AS (
+  SELECT DISTINCT {pair}, shift, pos, same FROM met LEFT JOIN agreeing
+    USING (id, text, item_id, item_text, n_windows, shift)
+  WHERE same OR coalesce(agree, true)
+),
+islands AS (
+  SELECT *, pos - row_number() OVER (PARTITION BY {pair}, shift ORDER BY pos) AS island FROM found
+),
+runs AS (
+  SELECT {pair}, max(size) AS run FROM (
+    SELECT {pair}, shift, island, count(*) AS size FROM islands GROUP BY ALL
+  ) GROUP BY ALL
+),
+whole AS (
+  SELECT {pair}, count(DISTINCT pos) AS n, count(DISTINCT pos) FILTER (WHERE same) AS n_same
+  FROM found GROUP BY ALL
+)
+SELECT id AS doc_id, item_id, n_windows::INT AS n_windows, n::INT AS n_matched, n / n_windows AS coverage,
+  (run + {WINDOW - 1})::INT AS run_words,
+  CASE WHEN n = n_same THEN 'verbatim' ELSE 'reparameterised' END AS kind
+FROM whole JOIN runs USING (id, text, item_id, item_text, n_windows)
+WHERE n / n_windows >= {COVERAGE} OR run + {WINDOW - 1} >= {RUN_WORDS}
+"""

@@ -99,5 +99,6 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op2_license_scan": licenses.scan_sql("documents", path, SCORE_PLACES),
         "op4_warc": warc.records_sql(),
+        "op5_decontamination": decontaminate.contaminated_sql(),
         "op8_source_mix": mixing.mix_sql(),
     }
