@@ -124,7 +124,6 @@ def tree_links(
     """Links ``(left item, right item)`` whose closure equals that of all pairs within ``limit``.
 
     Items of the right tree count on from those of the left one, unless both are the same tree.
-
     """
     own = left is right
     shift = 0 if own else len(left.levels[0][0])
