@@ -99,3 +99,33 @@ def test_order_over_many_ranges(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert warc.archive_captures(pages_of(spark, []), str(tmp_path / "w")).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string", "struct<x:int>"])
+def test_null_or_odd_dates_lose_no_record(spark, tmp_path, kind):
+    pages = pages_of(spark, PAGES).repartition(1)
+    dates = {
+        "string": "CASE WHEN page_id = 9 THEN 'yesterday' END",
+        "struct<x:int>": "named_struct('x', 1)",
+    }
+    dated = dates.get(kind, f"CASE WHEN page_id IN (6, 9) THEN cast('2020-02-03 04:05:06' AS {kind}) END")
+    found = warc.archive_captures(pages.selectExpr("*", f"{dated} AS captured_at"), str(tmp_path / "w")).collect()
+    got = [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in found]
+    assert sorted(got, key=str) == expected(PAGES)
+    days = {r["page_id"]: r["captured_at"] for r in found}
+    assert days[9] == ("2020-02-03T04:05:06Z" if kind.startswith("timestamp") else "2024-01-01T00:00:09Z")
+    assert days[5] == "2024-01-01T00:00:05Z" and days[None] == "2024-01-01T00:00:00Z"
+
+
+def test_blank_version_line_is_no_end():
+    assert list(warc.parse_archive(io.BytesIO(b""), "x")) == []
+    for damaged in (b"\r\n\r\n", b"\n", b"\r\n\r\nWARC/1.1\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse_archive(io.BytesIO(damaged), "x"))
+
+
+def test_records_that_vanish_are_an_error(spark, tmp_path, monkeypatch):
+    read = warc.read_runs
+    monkeypatch.setattr(warc, "read_runs", lambda *a: read(*a).filter("page_id <> 9"))
+    with pytest.raises(ValueError, match="written"):
+        warc.archive_captures(pages_of(spark, PAGES), str(tmp_path / "w"))

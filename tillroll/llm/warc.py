@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tillroll.llm.common import scratch_path, settle
 
@@ -117,10 +118,13 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
     A null html is an empty payload, a null url an empty one. Records of fewer than ``MIN_REVISIT``
     bytes, and rows without an id, are responses; so are rows that repeat the first record with
     its id. An empty table gives an archive folder without records. Other columns are ignored.
+    Where captured_at is null or no timestamp, the id gives the date.
     """
     step = F.pmod(F.coalesce(F.col("page_id"), F.lit(0)).cast("long"), F.lit(EPOCH_SPAN))
     seconds = F.unix_timestamp(F.lit(EPOCH)) + step
-    date = F.col("captured_at") if "captured_at" in pages.columns else F.timestamp_seconds(seconds)
+    date = F.timestamp_seconds(seconds)
+    if isinstance({f.name: f.dataType for f in pages.schema.fields}.get("captured_at"), (TimestampType, TimestampNTZType)):
+        date = F.coalesce(F.col("captured_at").cast("timestamp"), date)
     rows = pages.select(
         F.col("page_id").cast("long").alias("id"),
         "url",
@@ -155,10 +159,12 @@ def _page_number(uri: str) -> int | None:
 
 
 def _headers(stream: BinaryIO) -> tuple[str, dict[str, str], int]:
-    """First line, fields and length of a header block; an empty first line at the end."""
+    """First line, fields and length of a header block; length 0 at the end of the stream only."""
     first = stream.readline()
+    if not first:
+        return "", {}, 0
     length, fields = len(first), {}
-    while first and (line := stream.readline()) != b"\r\n":
+    while first.strip() and (line := stream.readline()) != b"\r\n":
         if not line:
             raise ValueError("the archive ends within a header")
         length += len(line)
@@ -172,7 +178,7 @@ def parse_archive(stream: BinaryIO, name: str) -> Iterator[tuple]:
     at = 0
     while True:
         version, head, head_size = _headers(stream)
-        if not version:
+        if not head_size:
             return
         if version != "WARC/1.1":
             raise ValueError(f"{name}: no WARC record at {at}")
@@ -276,7 +282,11 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def capture_index(runs: DataFrame, per_range: int = CAPTURES_PER_RANGE) -> DataFrame:
     """All captures in order of URL key, timestamp and id, over ranges that follow one another."""
     stored = settle(runs, "capture-runs")
-    ranges = max(1, math.ceil(stored.count() / per_range))
+    return _merged(stored, stored.count(), per_range)
+
+
+def _merged(stored: DataFrame, captures: int, per_range: int) -> DataFrame:
+    ranges = max(1, math.ceil(captures / per_range))
     dealt = stored.repartitionByRange(ranges, "url_key", "captured_at", "page_id", "record_offset")
     return dealt.mapInArrow(_merge_runs, CAPTURE_SCHEMA)
 
@@ -286,7 +296,11 @@ def archive_captures(pages: DataFrame, path: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     path = path or scratch_path(spark, "archives")
     write_archives(pages, path)
-    return capture_index(read_runs(spark, path))
+    runs = settle(read_runs(spark, path), "capture-runs")
+    written, read = pages.count(), runs.count()
+    if written != read:
+        raise ValueError(f"{written} pages were written to {path}, and {read} records read")
+    return _merged(runs, read, CAPTURES_PER_RANGE)
 
 
 def records_sql(table: str = "pages") -> str:
