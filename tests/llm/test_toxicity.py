@@ -87,3 +87,17 @@ def test_odd_rows(spark):
     none = toxicity.toxicity_scores(docs, labels_of(spark, []))
     assert {r["score"] for r in none.collect()} == {0.0}
     assert toxicity.toxicity_scores(odd_documents(spark, []), labels).count() == 0
+
+
+def test_every_word_and_pair_has_counts_of_its_own(spark, monkeypatch):
+    """More words than any fixed range of numbers; each, and each pair of them, is counted alone."""
+    monkeypatch.setattr(toxicity, "FREQUENT_PAIR", 1)
+    texts = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(150_000)]
+    texts = [" ".join(texts[i : i + 500]) for i in range(0, len(texts), 500)]
+    train = [i for i in range(len(texts)) if not held(i)]
+    labels = labels_of(spark, [(i, 1, i % 2) for i in train])
+    got = toxicity.count_model(documents(spark, texts), toxicity.training_rows(labels)).toPandas()
+    words = got[got["kind"] == "word"]
+    pairs = got[got["kind"] == "pair"]
+    assert len(words) == len(pairs) == 500 * len(train)
+    assert set(words["ordinary"] + words["toxic"]) == set(pairs["ordinary"] + pairs["toxic"]) == {1}
