@@ -81,3 +81,12 @@ def test_query_blocks(spark, monkeypatch):
     for r in sorted(found, key=lambda r: r["rank"]):
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert got == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_one_row_of_odd_length_does_not_drop_the_others(spark):
+    """Each row in turn has an odd length, so the one with the smallest hash has it once."""
+    for odd in range(0, 6):
+        rows = [(i * 100, [1.0] * 3 if i == odd else [float(i), 1.0]) for i in range(6)]
+        found = permutation_index.nearest(table(spark, rows), F.col("id") % 100 == 0).collect()
+        assert {r["query_id"] for r in found} == {i * 100 for i in range(6) if i != odd}
+        assert len(found) == 5 * 4

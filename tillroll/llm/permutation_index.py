@@ -136,19 +136,20 @@ def nearest(
 
     ``is_query`` is a condition on column ``id``. Score is the Euclidean distance of the vectors in
     double precision; ties go to the smaller id. Rows without an id and vectors that are null, zero,
-    or hold null or non-finite numbers take no part, nor do vectors of another length than the
-    pivots'. Rows with equal ids count once, with the smallest distance. Fewer candidates than ``k``
+    or hold null or non-finite numbers take no part, nor do vectors of another length than
+    most usable rows have (of two such lengths, the greater). Rows with equal ids count once, with the smallest distance. Fewer candidates than ``k``
     give fewer rows, and tables without a query none. Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    lengths = rows.groupBy(F.size("vec").alias("length")).count()
+    most = lengths.orderBy(F.desc("count"), F.desc("length")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not chosen:
+    if most is None:
         return empty
-    length = len(chosen[0]["vec"])
-    pivots = np.unique(_matrix([row for row in chosen if len(row["vec"]) == length]), axis=0)
-    rows = rows.filter(F.size("vec") == length)
+    rows = rows.filter(F.size("vec") == most["length"])
+    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    pivots = np.unique(_matrix(chosen), axis=0)
     queries = settle(rows.filter(is_query).groupBy("id").agg(F.min("vec").alias("vec")), "queries")
     blocks = math.ceil(queries.count() / QUERY_BLOCK)
     parts = []
