@@ -21,7 +21,7 @@ def test_stages_in_order():
 def test_registered():
     names = set(driver.queries())
     assert set(llm_queries()) | {"pipeline"} <= names
-    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in llm_queries()} == set(range(1, 14))
     assert set(llm_oracles()) <= set(llm_queries())
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, licenses, mixing, permutation_index, pii, secrets, simhash
+from tillroll.llm import decontaminate, fill_in_middle, licenses, mixing, permutation_index, pii, secrets, simhash
 from tillroll.llm import token_counts, toxicity, warc
 from tillroll.llm.common import read_table
 
@@ -78,6 +78,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_in_middle.fill_in_middle(docs)
+    return made.select(
+        "doc_id",
+        "infill.n",
+        "infill.form",
+        "infill.prefix_chars",
+        "infill.middle_chars",
+        "infill.output_sha256",
+        fill_in_middle.restored_digest("infill.output", "infill.form").alias("restored_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
@@ -90,6 +104,7 @@ def llm_queries() -> dict[str, Query]:
         op8_source_mix,
         op9_toxicity,
         op10_secrets,
+        op11_fill_in_middle,
     ]
     return {query.__name__: query for query in found}
 
@@ -101,4 +116,5 @@ def llm_oracles() -> dict[str, str]:
         "op4_warc": warc.records_sql(),
         "op5_decontamination": decontaminate.contaminated_sql(),
         "op8_source_mix": mixing.mix_sql(),
+        "op11_fill_in_middle": fill_in_middle.infill_sql(),
     }
