@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, fill_in_middle, licenses, mixing, permutation_index, pii, secrets, simhash
-from tillroll.llm import token_counts, toxicity, warc
+from tillroll.llm import token_counts, toxicity, warc, whitening
 from tillroll.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     found = [
         op1_simhash_groups,
@@ -105,6 +109,7 @@ def llm_queries() -> dict[str, Query]:
         op9_toxicity,
         op10_secrets,
         op11_fill_in_middle,
+        op13_whitening,
     ]
     return {query.__name__: query for query in found}
 
