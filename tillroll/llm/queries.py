@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, fill_in_middle, licenses, mixing, permutation_index, pii, secrets, simhash
+from tillroll.llm import decontaminate, fill_in_middle, licenses, mixing, permutation_index, pii, repeats, secrets, simhash
 from tillroll.llm import token_counts, toxicity, warc, whitening
 from tillroll.llm.common import read_table
 
@@ -92,6 +92,17 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -109,6 +120,7 @@ def llm_queries() -> dict[str, Query]:
         op9_toxicity,
         op10_secrets,
         op11_fill_in_middle,
+        op12_repeated_passages,
         op13_whitening,
     ]
     return {query.__name__: query for query in found}
