@@ -14,7 +14,8 @@ document or the same one.
    those between them. Suffixes that begin in different columns cannot be equal passages, so that a
    round reads and writes one column in sequence, not the whole transform.
 3. A passage whose suffix shares ``LENGTH`` symbols with a neighbour is repeated, and so is every
-   passage of a stretch that occurs more than once: equal stretches are one document of a collection.
+   passage of a stretch that occurs more than once: equal stretches are one document of a collection,
+   and a collection of one document needs no rounds.
 4. Collections are worked through in blocks of a bounded number of documents. An anchor with more
    than ``MOST`` different stretches is split: narrower stretches share more than the anchor, and are
    laid together by all that they share, down to single passages, of which only equal ones meet.
@@ -156,54 +157,44 @@ def _count_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _candidates(bits):
+    """The stretches whose anchor may occur elsewhere, with a hash of what they hold."""
+
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = stretches_of(_bodies(batch))
+            texts = _bodies(batch)
+            found = stretches_of(texts)
             here = let_through(bits.value, found["anchor"])
-            columns = {name: values[here] for name, values in found.items()}
-            numbers = columns.pop("number")
-            rows = batch.column("row_id").to_numpy()[numbers]
-            yield pa.RecordBatch.from_pydict({"row_id": rows, **columns})
+            number, start, passages, col, anchor = (values[here] for values in found.values())
+            stops = start + passages + LENGTH - 1
+            hashes = (
+                xxhash.xxh3_64_intdigest(texts[i][a:b]) - (1 << 63)
+                for i, a, b in zip(number.tolist(), start.tolist(), stops.tolist())
+            )
+            rows = batch.column("row_id").to_numpy()[number]
+            held = np.fromiter(hashes, np.int64, len(rows))
+            columns = [rows, start, passages, col, anchor, held]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], CANDIDATE_COLUMNS)
 
     return candidates
 
 
-STRETCHES = (
-    "row_id long, start long, content_key binary, grp long, col long, content binary, n long"
-)
+CANDIDATE_COLUMNS = ["row_id", "start", "passages", "col", "grp", "key"]
+CANDIDATES = ", ".join(f"{name} long" for name in CANDIDATE_COLUMNS)
+CONTENTS = "grp long, key long, col long, n long, content binary"
+CONTENT_COLUMNS = ["grp", "key", "col", "n", "content"]
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where each stretch is (row_id set), and, once a batch, what it holds and how often (row_id null)."""
-    schema = pa.schema(
-        [("row_id", pa.int64()), ("start", pa.int64()), ("content_key", pa.binary()), ("grp", pa.int64()),
-         ("col", pa.int64()), ("content", pa.binary()), ("n", pa.int64())]
-    )
+    """The bytes of the stretches that are listed for each text."""
+    kinds = [*[pa.int64()] * 4, pa.binary()]
     for batch in batches:
-        held: dict[bytes, list] = {}
-        rows, starts, keys = [], [], []
-        lists = batch.column("found").to_pylist()
-        for row, text, found in zip(batch.column("row_id").to_pylist(), _bodies(batch), lists):
-            for f in found:
-                content = text[f["start"] : f["start"] + f["passages"] + LENGTH - 1]
-                key = xxhash.xxh3_128_digest(content)
-                rows.append(row)
-                starts.append(f["start"])
-                keys.append(key)
-                if key in held:
-                    held[key][3] += 1
-                else:
-                    held[key] = [f["anchor"], f["col"], content, 1]
-        n, m = len(rows), len(held)
-        grp, col, content, counts = zip(*held.values()) if held else ((), (), (), ())
-        yield pa.RecordBatch.from_pydict(
-            {
-                "row_id": rows + [None] * m, "start": starts + [None] * m, "content_key": keys + list(held),
-                "grp": [None] * n + list(grp), "col": [None] * n + list(col),
-                "content": [None] * n + list(content), "n": [None] * n + list(counts),
-            },
-            schema,
-        )
+        out = [
+            (f["grp"], f["key"], f["col"], f["n"], text[f["start"] : f["start"] + f["passages"] + LENGTH - 1])
+            for text, found in zip(_bodies(batch), batch.column("found").to_pylist())
+            for f in found
+        ]
+        columns = zip(*out) if out else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], CONTENT_COLUMNS)
 
 
 def insert_columns(
@@ -253,7 +244,7 @@ def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
     return out
 
 
-FLAGS = "content_key binary, place long, flags binary"
+FLAGS = "grp long, key long, place long, flags binary"
 
 
 def _columnwise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,112 +252,103 @@ def _columnwise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
 
     def close(rows: list[tuple]) -> pa.RecordBatch:
-        keys, groups, cols, contents, counts = zip(*rows)
+        groups, keys, cols, counts, contents = zip(*rows)
         # Few numbers, in the same order, instead of hashes.
         _, number, size = np.unique(np.array(groups), return_inverse=True, return_counts=True)
-        n = np.array(counts)
-        open_ = np.bincount(number, n == 1, len(size)) > 0
-        todo = np.flatnonzero((size > 1)[number] & open_[number])
+        n, cols = np.array(counts), np.array(cols)
+        once = np.bincount(number, n == 1, len(size)) > 0
+        todo = np.flatnonzero((size > 1)[number] & once[number])
         todo = todo[np.argsort(number[todo], kind="stable")]
-        cols = np.array(cols)
         found = insert_columns([contents[i] for i in todo], cols[todo], number[todo])
-        out_keys, out_flags = [], []
-        for i in np.flatnonzero(n > 1).tolist():
-            out_keys.append(keys[i])
-            out_flags.append(b"\x01" * (len(contents[i]) - LENGTH + 1))
-        alone = (n[todo] == 1) & found.any(axis=1)
-        for i, row in zip(todo[alone].tolist(), found[alone]):
-            at = cols[i] + PLACES - 1
-            out_keys.append(keys[i])
-            out_flags.append(row[at : at + len(contents[i]) - LENGTH + 1].tobytes())
+        flags = {i: b"\x01" * (len(contents[i]) - LENGTH + 1) for i in np.flatnonzero(n > 1).tolist()}
+        for i, row in zip(todo.tolist(), found):
+            if i not in flags and row.any():
+                at = cols[i] + PLACES - 1
+                flags[i] = row[at : at + len(contents[i]) - LENGTH + 1].tobytes()
+        columns = [[groups[i] for i in flags], [keys[i] for i in flags], [0] * len(flags)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(out_keys, pa.binary()), pa.array([0] * len(out_keys), pa.int64()), pa.array(out_flags, pa.binary())],
-            ["content_key", "place", "flags"],
+            [*[pa.array(c, pa.int64()) for c in columns], pa.array(flags.values(), pa.binary())],
+            ["grp", "key", "place", "flags"],
         )
 
     for batch in batches:
-        held += zip(*(batch.column(c).to_pylist() for c in ("content_key", "grp", "col", "content", "n")))
+        held += zip(*(batch.column(c).to_pylist() for c in CONTENT_COLUMNS))
         if len(held) >= BLOCK:
-            last = held[-1][1]
-            stop = next(i for i in range(len(held) - 1, -1, -1) if held[i][1] != last or not i)
-            whole, held = held[: stop + 1], held[stop + 1 :]
+            # The last group may go on in the next batch.
+            stop = len(held)
+            while stop and held[stop - 1][0] == held[-1][0]:
+                stop -= 1
             if stop:
-                yield close(whole)
-            else:
-                held = whole + held
+                yield close(held[:stop])
+                held = held[stop:]
     if held:
         yield close(held)
 
 
-PIECES = "content_key binary, place long, piece_key binary, grp long, col long, content binary, n long"
+PIECE_COLUMNS = ["whole_grp", "whole_key", "place", "n", "grp", "key", "col", "content"]
+PIECES = ", ".join([*[f"{name} long" for name in PIECE_COLUMNS[:-1]], "content binary"])
 
 
 def _narrower(width: int):
     """Stretches of at most ``width`` passages, grouped by all the bytes that these can share."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [*[pa.int64()] * 7, pa.binary()]
         for batch in batches:
             out = []
-            columns = (batch.column(c).to_pylist() for c in ("content_key", "grp", "col", "content", "n"))
-            for key, grp, col, content, n in zip(*columns):
+            for grp, key, col, n, content in zip(*(batch.column(c).to_pylist() for c in CONTENT_COLUMNS)):
                 last = col + len(content) - LENGTH
                 for cell in range((col + PLACES - 1) // width, (last + PLACES - 1) // width + 1):
                     begin = cell * width - PLACES + 1
                     end = begin + width - 1
                     low, high = max(col, begin), min(last, end)
                     piece = content[low - col : high - col + LENGTH]
-                    core = content[end - col : begin - col + LENGTH]
-                    group = xxhash.xxh3_64_intdigest(struct.pack("<qq", grp, cell) + core) - (1 << 63)
-                    out.append((key, low - col, xxhash.xxh3_128_digest(piece), group, low, piece, n))
-            columns = list(zip(*out)) if out else [()] * 7
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds)],
-                ["content_key", "place", "piece_key", "grp", "col", "content", "n"],
-            )
+                    core = struct.pack("<qq", grp, cell) + content[end - col : begin - col + LENGTH]
+                    group, held = (xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in (core, piece))
+                    out.append((grp, key, low - col, n, group, held, low, piece))
+            columns = zip(*out) if out else [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], PIECE_COLUMNS)
 
     return split
 
 
-def _distinct(rows: DataFrame, key: str) -> DataFrame:
-    first = [F.first(c).alias(c) for c in ("grp", "col", "content")]
-    return rows.groupBy(F.col(key).alias("content_key")).agg(*first, F.sum("n").alias("n"))
-
-
 def repeated_passages(contents: DataFrame, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
-    """``content_key, place, flags`` of the repeated passages of stored, distinct stretches."""
+    """``grp, key, place, flags`` of the repeated passages of stored, distinct stretches."""
     hot = settle(contents.groupBy("grp").count().filter(F.col("count") > MOST).select("grp"), "hot-anchors")
     crowded = widths and not hot.isEmpty()
     plain = contents.join(hot, "grp", "left_anti") if crowded else contents
     found = (
-        plain.select("content_key", "grp", "col", "content", "n")
-        .repartition("grp")
-        .sortWithinPartitions("grp")
-        .mapInArrow(_columnwise, FLAGS)
+        plain.select(*CONTENT_COLUMNS).repartition("grp").sortWithinPartitions("grp").mapInArrow(_columnwise, FLAGS)
     )
     if not crowded:
         return found
-    dense = contents.join(hot, "grp", "left_semi").select("content_key", "grp", "col", "content", "n")
+    dense = contents.join(hot, "grp", "left_semi").select(*CONTENT_COLUMNS)
     pieces = settle(dense.mapInArrow(_narrower(widths[0]), PIECES), "narrow-stretches")
-    below = repeated_passages(settle(_distinct(pieces, "piece_key"), "distinct-narrow-stretches"), widths[1:])
-    below = below.select(F.col("content_key").alias("piece_key"), F.col("place").alias("further"), "flags")
-    up = pieces.select("content_key", "place", "piece_key").join(below, "piece_key")
-    return found.union(up.select("content_key", (F.col("place") + F.col("further")).alias("place"), "flags"))
-
-
-def _spans(found: list[dict]) -> list[dict]:
-    """The maximal runs of bytes that the flagged passages cover."""
-    starts = [
-        f["start"] + f["place"] + np.flatnonzero(np.frombuffer(f["flags"], np.uint8)) for f in found or ()
-    ]
-    if not starts:
+    first = [F.first(c).alias(c) for c in ("col", "content")]
+    distinct = pieces.groupBy("grp", "key").agg(*first, F.sum("n").alias("n"))
+    below = repeated_passages(settle(distinct, "distinct-narrow-stretches"), widths[1:])
+    below = below.withColumnRenamed("place", "further")
+    up = pieces.select("whole_grp", "whole_key", "place", "grp", "key").join(below, ["grp", "key"])
+    place = F.col("place") + F.col("further")
+    return found.union(up.select("whole_grp", "whole_key", place, "flags"))
+
+
+def _spans(found: list[dict] | None) -> list[dict]:
+    """The maximal runs of bytes that the repeated passages cover; without flags all of a stretch are."""
+    parts = []
+    for f in found or ():
+        if f["flags"] is None:
+            parts.append((f["start"], f["start"] + f["passages"] - 1))
+        else:
+            edges = np.flatnonzero(np.diff(np.frombuffer(f["flags"], np.int8), prepend=0, append=0))
+            parts += zip((f["start"] + edges[::2]).tolist(), (f["start"] + edges[1::2] - 1).tolist())
+    if not parts:
         return []
-    places = np.unique(np.concatenate(starts))
-    opens = np.flatnonzero(np.diff(places, prepend=places[0] - LENGTH - 1) > LENGTH)
-    closes = np.append(opens[1:], len(places)) - 1
-    return [
-        {"start": s, "end": e + LENGTH} for s, e in zip(places[opens].tolist(), places[closes].tolist())
-    ]
+    first, last = np.array(sorted(parts)).T
+    reach = np.maximum.accumulate(last) + LENGTH
+    opens = np.flatnonzero(np.append(True, first[1:] > reach[:-1]))
+    closes = np.append(opens[1:], len(first)) - 1
+    return [{"start": s, "end": e} for s, e in zip(first[opens].tolist(), reach[closes].tolist())]
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,6 +367,17 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _rows_among(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows that ``named`` may hold, by a filter of fixed size, so that a join need not shuffle all of them."""
+    bits = rows.sparkSession.sparkContext.broadcast(key_filter(named.select(F.xxhash64("row_id").alias("key"))))
+
+    def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(let_through(bits.value, batch.column("key").to_numpy()))).drop_columns("key")
+
+    return rows.withColumn("key", F.xxhash64("row_id")).mapInArrow(among, rows.schema)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of each row: the repeated runs of bytes and the bytes outside them.
 
@@ -409,25 +402,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "repeated-anchors"
     )
     bits = spark.sparkContext.broadcast(key_filter(repeated.select(F.col("anchor").alias("key"))))
-    some = rows.select("row_id", "body").mapInArrow(
-        _candidates(bits), "row_id long, start long, passages long, col long, anchor long"
+    stretches = settle(rows.select("row_id", "body").mapInArrow(_candidates(bits), CANDIDATES), "stretches")
+    one = [F.first(c).alias(c) for c in ("row_id", "start", "passages", "col")]
+    distinct = settle(
+        stretches.groupBy("grp", "key").agg(F.count(F.lit(1)).alias("n"), *one), "distinct-stretches"
     )
-    listed = (
-        some.join(repeated, "anchor", "left_semi")
+    # Only where different stretches share an anchor need their bytes be looked at.
+    open_ = distinct.groupBy("grp").agg(F.count("key").alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
+    open_ = settle(open_.filter("kinds > 1 AND single > 0").select("grp"), "shared-anchors")
+    wanted = settle(
+        distinct.join(open_, "grp", "left_semi")
         .groupBy("row_id")
-        .agg(F.collect_list(F.struct("start", "passages", "col", "anchor")).alias("found"))
+        .agg(F.collect_list(F.struct("grp", "key", "col", "n", "start", "passages")).alias("found")),
+        "wanted-stretches",
     )
-    stretches = settle(
-        rows.select("row_id", "body").join(listed, "row_id").mapInArrow(_cut_out, STRETCHES), "stretches"
+    contents = settle(
+        _rows_among(rows.select("row_id", "body"), wanted).join(wanted, "row_id").mapInArrow(_cut_out, CONTENTS),
+        "contents",
     )
-    contents = settle(_distinct(stretches.filter("row_id IS NULL"), "content_key"), "distinct-stretches")
-    flags = settle(repeated_passages(contents), "repeated-passages")
+    flags = repeated_passages(contents).select("grp", "key", "place", "flags")
+    whole = distinct.filter("n > 1").select("grp", "key", F.lit(0).alias("place"), F.lit(None).cast("binary").alias("flags"))
     marks = (
-        stretches.filter("row_id IS NOT NULL")
-        .select("row_id", "start", "content_key")
-        .join(flags, "content_key")
+        stretches.select("grp", "key", "row_id", "start", "passages")
+        .join(whole.union(flags), ["grp", "key"])
         .groupBy("row_id")
-        .agg(F.collect_list(F.struct("start", "place", "flags")).alias("found"))
+        .agg(F.collect_list(F.struct((F.col("start") + F.col("place")).alias("start"), "passages", "flags")).alias("found"))
     )
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     return rows.join(marks, "row_id", "left").select("doc_id", "body", "found").mapInArrow(_removed, schema)
