@@ -34,6 +34,8 @@ def test_no_python_in_any_plan(spark, name):
     plan = physical(all_queries()[name](spark, SMALL))
     assert "EvalPython" not in plan
     assert "InPandas" not in plan
+    # Its sums of products are matrices, which no built-in aggregate holds.
+    assert ("InArrow" in plan) == (name == "correlation_matrix")
     assert "CartesianProduct" not in plan
 
 
@@ -50,6 +52,14 @@ def test_reports_read_only_their_columns(spark):
     assert "customer.parquet" not in plan
 
 
+@available
+def test_the_audit_shuffles_bare_order_ids(spark):
+    plan = physical(driver.queries()["dq_audit"](spark, SMALL)).split("+- == Initial Plan ==")[0]
+    keyed = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_id" in line]
+    partial = [line for line in plan.splitlines() if "HashAggregate(keys=[order_id" in line]
+    assert keyed and partial and all("functions=[]" in line for line in partial)
+
+
 SPIKES = [
     "scored_profile", "scored_profile_day", "discount_spikes_daily", "discount_spikes_region",
     "discount_spikes_brand_month", "alert_severity_counts", "alert_run_status", "alert_export_rows",

@@ -36,8 +36,18 @@ def test_describe_fixture(spark):
     assert (price["min"], price["p25"], price["p50"], price["p75"], price["max"]) == (80, 90, 100, 110, 120)
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 3])
-def test_exact_quantiles_agree_with_brute_force(spark, rounds):
+@pytest.mark.parametrize(
+    "settings",
+    [
+        {},
+        {"GATHERED": 40},  # brackets are sketched again
+        {"GATHERED": 3, "SKETCH_SIZE": 8, "MARGIN": 0.0},  # many brackets miss their rank and move
+        {"SKETCH_SIZE": 8, "MARGIN": 1e-6},
+    ],
+)
+def test_exact_quantiles_agree_with_brute_force(spark, settings, monkeypatch):
+    for name, value in settings.items():
+        monkeypatch.setattr(profiling, name, value)
     draw = random.Random(11)
     size = 3001
     columns = {
@@ -50,7 +60,7 @@ def test_exact_quantiles_agree_with_brute_force(spark, rounds):
         "integers": [float(draw.randrange(50)) for _ in range(size)],
     }
     quantiles = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
-    found = described(numbers(spark, **columns), quantiles=quantiles, rounds=rounds, steps=16)
+    found = described(numbers(spark, **columns), quantiles=quantiles)
     assert set(found) == set(columns)
     for name, column in columns.items():
         present = [v for v in column if v is not None]
@@ -113,6 +123,28 @@ def test_histogram(spark):
     assert values(profiling.histogram(table.where("false"), "price", 5)) == []
 
 
+def test_automatic_bins(spark):
+    rng = np.random.default_rng(2)
+    for column in (rng.normal(size=3000), rng.exponential(size=500), np.repeat([1.0, 2.0, 9.0], [90, 5, 5])):
+        table = numbers(spark, price=column.tolist())
+        width = 2 * np.subtract(*np.quantile(column, [0.75, 0.25])) / len(column) ** (1 / 3)
+        bins = math.ceil(max(np.ptp(column) / width if width else 0, math.log2(len(column)) + 1))
+        assert profiling.automatic_bins(table, "price") == bins
+        assert sum(n for *_, n in values(profiling.histogram(table, "price"))) == len(column)
+        assert max(b for b, *_ in values(profiling.histogram(table, "price"))) == bins
+    assert profiling.automatic_bins(numbers(spark, price=[4.0, 4.0]), "price") == 1
+    assert profiling.automatic_bins(numbers(spark, price=[None]), "price") == 1
+    assert profiling.automatic_bins(numbers(spark, price=[1.0, float("inf")]), "price") == 1
+    assert len(values(profiling.histogram(numbers(spark, price=column.tolist()), "price", 3))) <= 3
+
+
+def test_an_explicit_bandwidth_wins(spark):
+    table = numbers(spark, price=[0.0, 1.0, 2.0, 3.0])
+    wide, narrow = (values(profiling.density(table, "price", 4, 5, b)) for b in (50.0, 0.5))
+    assert max(d for _, d in wide) < 0.02 < 0.1 < max(d for _, d in narrow)
+    assert values(profiling.density(numbers(spark, price=[4.0, 4.0]), "price", 4, 5, 1.0)) == []
+
+
 def test_density_integrates_to_about_one(spark):
     draw = random.Random(3)
     table = numbers(spark, price=[draw.gauss(100, 5) for _ in range(2000)])
@@ -139,13 +171,78 @@ def test_basic_eda_plans(spark):
 
 
 def test_a_narrow_column_with_many_values(spark):
-    """All values share the first bucket; the rounds in between cut them apart."""
+    """Values of many digits lie close together."""
     rows = spark.range(200_000).select((F.lit(1e6) + F.col("id") * 1e-3).alias("v"))
     (row,) = profiling.describe_numeric(rows, [0.25, 0.5]).collect()
     assert row["p50"] == pytest.approx(1e6 + 99_999.5e-3, abs=1e-6)
     assert row["p25"] == pytest.approx(1e6 + 49_999.75e-3, abs=1e-6)
 
 
+def test_two_scans_are_enough(spark, monkeypatch):
+    scans = []
+    counted = profiling._next_scan
+    monkeypatch.setattr(profiling, "_next_scan", lambda *a: scans.append(1) or counted(*a))
+    rows = spark.range(1_000_000).select(F.rand(5).alias("v"), F.randn(6).alias("w"), (F.col("id") % 7).alias("ties"))
+    found = described(rows, quantiles=[0.01, 0.5, 0.99])
+    assert len(scans) == 1 and found["ties"]["p50"] == 3
+    assert found["v"]["p50"] == pytest.approx(0.5, abs=0.01)
+    described(rows, approx=True)
+    assert len(scans) == 1
+
+
+def test_quantiles_out_of_range(spark):
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        profiling.describe_numeric(numbers(spark, a=[1.0]), [1.5])
+
+
+def test_describe_odd_values(spark):
+    inf = float("inf")
+    found = described(numbers(spark, a=[1.0, inf, -inf, 2.0, float("nan")], b=[0.0, -0.0, 0.0, None, 1.0]))
+    assert found["a"]["count"] == 4 and (found["a"]["min"], found["a"]["p50"], found["a"]["max"]) == (-inf, 1.5, inf)
+    assert found["b"]["p50"] == 0 and found["b"]["max"] == 1
+    assert described(numbers(spark, a=[1.0]).where("false")) == {}
+    assert profiling.describe_numeric(spark.createDataFrame([("x",)], "s string")).columns[:2] == ["column", "count"]
+
+
+def test_the_mean_of_times_is_exact(spark):
+    rows = spark.sql("SELECT timestamp_ntz'9999-12-31 23:59:59.999999' - make_dt_interval(0, 0, 0, id / 1e6) AS t FROM range(3)")
+    (row,) = profiling.describe_timestamps(rows).collect()
+    assert (row["mean"].second, row["mean"].microsecond) == (59, 999998)
+
+
+def test_correlations_of_many_columns(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 105)).cumsum(axis=1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 2.5
+    x[3, 9] = np.inf
+    table = spark.createDataFrame([tuple(map(float, row)) for row in x], ", ".join(f"c{i} double" for i in range(105)))
+    found = {(r["x"], r["y"]): r["r"] for r in profiling.correlation_matrix(table).collect()}
+    assert len(found) == 105 * 105
+    for i, j in [(0, 1), (4, 3), (0, 104), (104, 103), (50, 50), (12, 90)]:
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert found[f"c{i}", f"c{j}"] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
+    assert all(found["c7", f"c{j}"] is None for j in range(105))
+    met = ~np.isnan(x[3])  # the row with the infinite value counts only where the other one has a value
+    assert all((found[f"c{j}", "c9"] is None) == bool(met[j] or j == 7) for j in range(105) if j != 9)
+
+
+def test_correlations_merge_over_tasks(spark):
+    """Large offsets do not cancel, and a column may vary in one task only, or only where another has no value."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=900)
+    y = 0.5 * x + rng.normal(size=900)
+    rows = [(float(1e9 + a), float(b), 1.0 if i else 2.0, 0.1 if i % 3 else float(i), None if i % 3 == 0 else float(b))
+            for i, (a, b) in enumerate(zip(x, y))]
+    table = spark.createDataFrame(rows, "x double, y double, once double, s double, t double").repartition(7)
+    found = {(r["x"], r["y"]): r["r"] for r in profiling.correlation_matrix(table).collect()}
+    assert found["x", "y"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+    assert found["once", "y"] == pytest.approx(np.corrcoef([r[2] for r in rows], y)[0, 1])
+    assert found["s", "t"] is None and found["s", "y"] is not None
+    assert values(profiling.correlation_matrix(table.where("false"))) == []
+    assert values(profiling.correlation_matrix(spark.createDataFrame([("a",)], "s string"))) == []
+
+
 def test_timestamps_are_exact_for_late_dates(spark):
     rows = spark.sql(
         "SELECT timestamp_ntz'9999-12-31 23:59:59.999999' AS t UNION ALL SELECT timestamp_ntz'9999-12-31 23:59:59.999997'"

@@ -14,14 +14,14 @@ NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:
 ISO_DATE = "y-M-d"
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
 def blank_missing(df: DataFrame) -> DataFrame:
     """Null out the missing-value tokens in every text column."""
     blanked = {
-        field.name: F.when(~df[_quoted(field.name)].isin(MISSING_TOKENS), df[_quoted(field.name)])
+        field.name: F.when(~df[quoted(field.name)].isin(MISSING_TOKENS), df[quoted(field.name)])
         for field in df.schema
         if isinstance(field.dataType, T.StringType) and field.name != MALFORMED
     }

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions.coerce import quoted
+from tillroll.operators.correlation import pairwise_correlations
+
 QUARTILES = (0.25, 0.5, 0.75)
-#: Refinements of the buckets that hold a quantile; each divides what is left by about 4096.
-ROUNDS = 2
+#: Size of a sketch; it misses a rank by less than ``MARGIN`` of the rows in all but rare cases.
+SKETCH_SIZE = 4096
+MARGIN = 0.002
+#: Ranks that are looked up in a sketch of the inside of a bracket.
+SPREAD = [i / 500 for i in range(501)]
+#: Bins that are found without being asked for, at most.
+MOST_BINS = 10_000
+#: Values of a bracket that are gathered at most, about.
+GATHERED = 20_000
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -40,209 +52,247 @@ def timestamp_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, kinds)]
 
 
-def _long_values(df: DataFrame, values: Sequence[Column]) -> DataFrame:
-    """Rows ``(i, value)``: every value present, with the position of its column."""
-    return df.select(F.posexplode(F.array(*values)).alias("i", "value")).where(
-        F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))
-    )
-
-
-def _named(summary: DataFrame, names: Sequence[str]) -> DataFrame:
-    labels = F.array(*[F.lit(name) for name in names])
-    shown = [F.col(name) for name in summary.columns if name != "i"]
-    return summary.select(labels[F.col("i")].alias("column"), *shown)
-
-
-def _describe_exact(
-    values: DataFrame, quantiles: Sequence[float], rounds: int, steps: int
-) -> DataFrame:
-    """Moments and exact quantiles of every column in ``values``.
-
-    A quantile sits at one or two ranks of the sorted column. The ranks are found without
-    sorting: count values per bucket, keep the bucket that holds the rank, count again in
-    finer buckets inside it, and so on, until the last round counts single values. Only
-    counts are shuffled, so memory does not grow with the number of distinct values as it
-    does for ``percentile``. The first buckets are logarithmic, which keeps outliers from
-    flattening everything else into one bucket; the following ones cut the range seen in the
-    kept bucket into ``steps`` equal parts.
-    """
-    first = values.groupBy("i", F.floor(F.asinh("value") * 64).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("value").alias("bucket_mean"),
-        F.var_samp("value").alias("bucket_var"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
-    whole = Window.partitionBy("i")
-    inner = F.coalesce("bucket_var", F.lit(0.0)) * (F.col("n") - 1)
-    outer = F.col("n") * F.pow(F.col("bucket_mean") - F.col("mean"), 2)
-    counted = (
-        first.withColumn("count", F.sum("n").over(whole))
-        .withColumn("mean", F.sum(F.col("bucket_mean") * F.col("n")).over(whole) / F.col("count"))
-        .withColumn("squares", F.sum(inner + outer).over(whole))
-        .withColumn("std", F.sqrt(F.try_divide("squares", F.col("count") - 1)))
-        .withColumn("min", F.min("low").over(whole))
-        .withColumn("max", F.max("high").over(whole))
-        .withColumn("below", F.lit(0).cast("bigint"))
-    )
-    positions = [(F.col("count") - 1) * F.lit(float(q)) for q in quantiles]
-    wanted = [step(position) for position in positions for step in (F.floor, F.ceil)]
-    ranks = F.array_distinct(F.array(*[place.cast("bigint") + 1 for place in wanted]))
-    state = _keep_hit(counted.withColumn("ranks", ranks), ["i"], "bucket")
-    carried = ["i", "ranks", "below", "count", "mean", "std", "min", "max"]
-    for _ in range(rounds):
-        share = F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low"))
-        bucket = F.coalesce(F.floor(share * steps), F.lit(0))
-        finer = (
-            _inside(values, state)
-            .groupBy(*carried, bucket.alias("bucket"))
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                F.min("value").alias("low"),
-                F.max("value").alias("high"),
-            )
-        )
-        state = _keep_hit(finer, ["i", "ranks"], "bucket")
-    single = _inside(values, state).groupBy(*carried, "value").agg(F.count(F.lit(1)).alias("n"))
-    found = _keep_hit(single, ["i", "ranks"], "value").withColumn("rank", F.explode("ranks"))
-    # At most two ranks per quantile are left of each column.
-    at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))
-    facts = ["i", "count", "mean", "std", "min", "max"]
-    ranked = found.groupBy(*facts).agg(at.alias("at"))
-    integral = isinstance(values.schema["value"].dataType, T.LongType)
-    cuts = [
-        _interpolated(p, integral).alias(quantile_name(q)) for p, q in zip(positions, quantiles)
-    ]
-    return ranked.select(*facts, *cuts)
-
-
-def _keep_hit(buckets: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Walk the buckets of a group in value order; keep those that hold a wanted rank.
+@dataclass
+class _Rank:
+    """The search for the value at one rank of a sorted column.
 
-    ``below`` counts the values under the group and ``n`` those of a bucket. Kept buckets get
-    their own ``below`` and only the ranks that fall into them. A group has as many buckets
-    as a round makes; in the last round, which walks single values, as many as the rounds before
-    left in one bucket.
+    The value lies between ``low`` and ``high``, both of which occur in the column; about
+    ``inside`` values lie strictly between them.
     """
-    reached = F.col("below") + F.sum("n").over(Window.partitionBy(*group).orderBy(order))
-    walked = buckets.withColumn("reached", reached).withColumn("below", reached - F.col("n"))
-    held = F.filter(
-        "ranks", lambda rank: (rank > F.col("below")) & (rank <= F.col("reached"))
-    )
-    return walked.withColumn("ranks", held).where(F.size("ranks") > 0).drop("reached", "n")
-
 
-def _inside(values: DataFrame, state: DataFrame) -> DataFrame:
-    """The values inside a kept bucket.
-
-    The state has at most two buckets per column and quantile and does not grow with the
-    data, so it is broadcast; a shuffle by column would put each column into one task.
-    """
-    within = F.col("value").between(F.col("low"), F.col("high"))
-    return values.join(F.broadcast(state), "i").where(within)
-
-
-def _interpolated(position: Column, integral: bool) -> Column:
+    column: int
+    rank: int
+    low: object
+    high: object
+    inside: float
+    found: object = None
+
+
+def _numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns as doubles v0, v1, ..., without NaN."""
+    doubles = {f"v{i}": F.col(quoted(name)).cast("double") for i, name in enumerate(names)}
+    return df.select(*[F.when(~F.isnan(value), value).alias(name) for name, value in doubles.items()])
+
+
+def _sketched(value: Column, kind: str, ranks: Sequence[float]) -> Column:
+    """About the values at these ranks, from 0 to 1, out of a sketch of fixed size; null without values."""
+    make = getattr(F, f"kll_sketch_agg_{kind}")
+    cut = getattr(F, f"kll_sketch_get_quantile_{kind}")
+    places = F.array(*[F.lit(float(rank)) for rank in ranks])
+    return F.when(F.count(value) > 0, cut(make(value, F.lit(SKETCH_SIZE)), places))
+
+
+def _around(rank: float) -> list[float]:
+    return [max(rank - MARGIN, 0.0), min(rank + MARGIN, 1.0)]
+
+
+def _first_scan(values: DataFrame, kind: str, quantiles: Sequence[float], exact: bool) -> list[dict]:
+    """Moments of every column, and for each quantile the bracket it lies in or, inexact, its value."""
+    ranks = [place for q in quantiles for place in (_around(q) if exact else [q])]
+    record = []
+    for name in values.columns:
+        value = F.col(name)
+        total = F.sum(value.cast("decimal(20,0)")) if kind == "bigint" else F.avg(value)
+        facts = {
+            "count": F.count(value),
+            "mean": total,
+            "std": F.stddev_samp(value),
+            "min": F.min(value),
+            "max": F.max(value),
+            "cuts": _sketched(value, kind, ranks) if ranks else F.array(),
+        }
+        record.append(F.struct(*[fact.alias(key) for key, fact in facts.items()]).alias(name))
+    row = values.agg(*record).first()
+    return [row[name].asDict() for name in values.columns]
+
+
+def _next_scan(values: DataFrame, kind: str, brackets: list[_Rank]) -> list[tuple]:
+    """Per bracket: how many values lie below, on its ends and inside, and those inside, or a sketch of them."""
+    record = []
+    for number, bracket in enumerate(brackets):
+        value, low, high = F.col(f"v{bracket.column}"), F.lit(bracket.low), F.lit(bracket.high)
+        inside = F.when((value > low) & (value < high), value)
+        few = bracket.inside <= GATHERED
+        shown = F.collect_list(inside) if few else _sketched(inside, kind, SPREAD)
+        record += [
+            F.count_if(value < low).alias(f"below{number}"),
+            F.count_if(value == low).alias(f"at{number}"),
+            F.count(inside).alias(f"inside{number}"),
+            F.count_if(value == high).alias(f"end{number}"),
+            shown.alias(f"shown{number}"),
+        ]
+    row = values.agg(*record).first()
+    return [row[5 * number : 5 * number + 5] for number in range(len(brackets))]
+
+
+def _narrowed(rank: _Rank, scan: tuple, fact: dict) -> None:
+    """Find the value of the rank in what a scan has shown, or a bracket that is sure to hold it."""
+    below, at, inside, end, shown = scan
+    if rank.low == rank.high:
+        end = 0
+    place = rank.rank - below
+    if place <= 0:
+        rank.low, rank.high, rank.inside = fact["min"], rank.low, below
+    elif place <= at:
+        rank.found = rank.low
+    elif place <= at + inside:
+        place -= at
+        if rank.inside <= GATHERED:
+            rank.found = sorted(shown)[place - 1]
+        else:
+            # The ends of the sketch are the least and the greatest value inside.
+            low = [cut for part, cut in zip(SPREAD, shown) if part <= place / inside - MARGIN]
+            high = [cut for part, cut in zip(SPREAD, shown) if part >= place / inside + MARGIN]
+            rank.low, rank.high = (low or shown)[-1 if low else 0], (high or shown)[0 if high else -1]
+            rank.inside = inside * (2 / (len(SPREAD) - 1) + 2 * MARGIN)
+    elif place <= at + inside + end:
+        rank.found = rank.high
+    else:
+        above = fact["count"] - below - at - inside - end
+        rank.low, rank.high, rank.inside = rank.high, fact["max"], above
+
+
+def _ranks_found(values: DataFrame, kind: str, facts: list[dict], quantiles: Sequence[float]) -> dict:
+    """The values at the one or two ranks on which each quantile of each column lies."""
+    searched: dict[tuple[int, int], _Rank] = {}
+    for column, fact in enumerate(facts):
+        for number, q in enumerate(quantiles if fact["count"] else ()):
+            position = (fact["count"] - 1) * q
+            low, high = fact["cuts"][2 * number : 2 * number + 2]
+            for place in {math.floor(position), math.ceil(position)}:
+                inside = fact["count"] * 2 * MARGIN
+                rank = _Rank(column, place + 1, low, high, inside)
+                searched.setdefault((column, place + 1), rank)
+    while open_ := [rank for rank in searched.values() if rank.found is None]:
+        shared = {(rank.column, rank.low, rank.high): rank for rank in open_}
+        scans = dict(zip(shared, _next_scan(values, kind, list(shared.values()))))
+        for rank in open_:
+            # Of ranks with one bracket the last one said what was gathered.
+            rank.inside = shared[rank.column, rank.low, rank.high].inside
+        for rank in open_:
+            _narrowed(rank, scans[rank.column, rank.low, rank.high], facts[rank.column])
+    return {key: rank.found for key, rank in searched.items()}
+
+
+def _interpolated(values: dict, column: int, count: int, quantile: float, integral: bool) -> object:
     """Between the two neighbours; of integers the lower one's distance is cut to whole steps."""
-    lower, upper = F.floor(position), F.ceil(position)
-    low = F.element_at("at", lower.cast("bigint") + 1)
-    high = F.element_at("at", upper.cast("bigint") + 1)
-    step = (high - low) * (position - lower)
-    return low + (F.floor(step).cast("bigint") if integral else step)
+    position = (count - 1) * quantile
+    low, high = (values[column, place + 1] for place in (math.floor(position), math.ceil(position)))
+    if low == high:
+        return low
+    step = (high - low) * (position - math.floor(position))
+    return low + (math.floor(step) if integral else step)
 
 
 def quantile_name(quantile: float) -> str:
     return f"p{quantile * 100:g}".replace(".", "_")
 
 
-def _describe_approx(values: DataFrame, quantiles: Sequence[float], accuracy: int) -> DataFrame:
-    cuts = F.approx_percentile("value", list(quantiles), accuracy)
-    summary = values.groupBy("i").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        cuts.alias("cuts"),
-    )
-    picked = [F.col("cuts")[i].alias(quantile_name(q)) for i, q in enumerate(quantiles)]
-    return summary.select("i", "count", "mean", "std", "min", "max", *picked)
+def _described(
+    values: DataFrame, names: Sequence[str], kind: str, quantiles: Sequence[float], approx: bool = False
+) -> list[dict]:
+    """Moments and quantiles of every column that has a value.
+
+    A quantile sits at one or two ranks of the sorted column. The first scan takes the moments and a
+    sketch of fixed size, which brackets these ranks; the second counts what lies below each bracket
+    and on its ends, and gathers the few values inside. Where these would be more than ``GATHERED``
+    (above some millions of rows), a scan sketches them instead, and the bracket shrinks by two orders;
+    where the rank lies outside, the bracket moves. Counts decide, so the result is exact. Each scan is
+    one aggregate over whole columns: nothing is shuffled but one buffer per task, no values are sorted,
+    and one row reaches the driver.
+    """
+    if not names:
+        return []
+    facts = _first_scan(values, kind, quantiles, not approx)
+    ranks = {} if approx else _ranks_found(values, kind, facts, quantiles)
+    out = []
+    for column, (name, fact) in enumerate(zip(names, facts)):
+        if fact["count"]:
+            cuts = fact.pop("cuts")
+            if not approx:
+                cuts = [
+                    _interpolated(ranks, column, fact["count"], q, kind == "bigint") for q in quantiles
+                ]
+            out.append({"column": name, **fact} | dict(zip(map(quantile_name, quantiles), cuts)))
+    return out
+
+
+def _checked_quantiles(quantiles: Sequence[float]) -> list[float]:
+    wrong = [q for q in quantiles if not 0 <= q <= 1]
+    if wrong:
+        raise ValueError(f"quantiles must lie between 0 and 1: {wrong}")
+    return list(dict.fromkeys(quantiles))
 
 
 def describe_numeric(
-    df: DataFrame,
-    quantiles: Sequence[float] = QUARTILES,
-    *,
-    approx: bool = False,
-    accuracy: int = 10_000,
-    rounds: int = ROUNDS,
-    steps: int = 4096,
+    df: DataFrame, quantiles: Sequence[float] = QUARTILES, *, approx: bool = False
 ) -> DataFrame:
-    """Count, mean, deviation, min, quantiles and max of every numeric column.
+    """Count, mean, deviation, min, max and quantiles of every numeric column.
 
-    Quantiles interpolate linearly between neighbours and are exact. Each of the ``rounds``
-    adds one scan and cuts what is left for the last, value-by-value round by about
-    ``steps``; raise it for very large tables. ``approx`` takes them from a sketch, in one scan.
+    Quantiles interpolate linearly between neighbours and are exact; ``approx`` takes them from the
+    sketch alone, in one scan. The figures are computed when this is called (two scans of the table,
+    three above some millions of rows); the result holds one row per column with a value.
     """
-    names = numeric_columns(df)
-    values = _long_values(df, [F.col(name).cast("double") for name in names])
-    if approx:
-        return _named(_describe_approx(values, quantiles, accuracy), names)
-    return _named(_describe_exact(values, quantiles, rounds, steps), names)
+    names, quantiles = numeric_columns(df), _checked_quantiles(quantiles)
+    rows = _described(_numbers(df, names), names, "double", quantiles, approx)
+    shown = ["mean", "std", "min", "max", *map(quantile_name, quantiles)]
+    schema = ", ".join(["column string", "count long", *[f"`{name}` double" for name in shown]])
+    listed = [tuple(row[name] for name in ("column", "count", *shown)) for row in rows]
+    return df.sparkSession.createDataFrame(listed, schema)
 
 
-def describe_timestamps(
-    df: DataFrame, quantiles: Sequence[float] = QUARTILES, *, rounds: int = ROUNDS, steps: int = 4096
-) -> DataFrame:
+def describe_timestamps(df: DataFrame, quantiles: Sequence[float] = QUARTILES) -> DataFrame:
     """The same figures for date and time columns, as timestamps; a deviation is not given.
 
-    Times are carried as whole microseconds, which are exact for every date; only the mean is
-    rounded to what a double holds.
+    Times are carried as whole microseconds, which are exact for every date; the mean comes from an
+    exact sum and is cut to whole microseconds.
     """
+    quantiles = _checked_quantiles(quantiles)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     names = timestamp_columns(df)
     micros = [
-        F.timestamp_diff("MICROSECOND", epoch, F.col(name).cast("timestamp_ntz")) for name in names
+        F.timestamp_diff("MICROSECOND", epoch, F.col(quoted(name)).cast("timestamp_ntz")).alias(f"v{i}")
+        for i, name in enumerate(names)
     ]
-    summary = _named(_describe_exact(_long_values(df, micros), quantiles, rounds, steps), names)
-    # Rounded to a double, a mean of late dates could leave their range.
-    mean = F.greatest(F.least(F.col("mean").cast("bigint"), "max"), "min")
-    summary = summary.withColumn("mean", mean)
-    shown = ["mean", "min", *[quantile_name(q) for q in quantiles], "max"]
-    return summary.select(
-        "column",
-        "count",
-        *[
-            F.timestamp_add("MICROSECOND", F.col(name).cast("bigint"), epoch).alias(name)
-            for name in shown
-        ],
-    )
+    shown = ["mean", "min", *map(quantile_name, quantiles), "max"]
+    listed = []
+    for row in _described(df.select(*micros), names, "bigint", quantiles):
+        row["mean"] = int(row["mean"]) // row["count"]
+        listed.append((row["column"], row["count"], *[row[name] for name in shown]))
+    schema = ", ".join(["column string", "count long", *[f"`{name}` long" for name in shown]])
+    found = df.sparkSession.createDataFrame(listed, schema)
+    return found.withColumns({name: F.timestamp_add("MICROSECOND", name, epoch) for name in shown})
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, over rows where both are present.
 
-    Long form ``(x, y, r)``, both triangles and the diagonal; a constant column gives null.
-    Each row is spread into its column pairs, which partial aggregation folds to one buffer
-    per pair and task. One aggregate with an expression per pair compiles far too large.
+    Long form ``(x, y, r)``, both triangles and the diagonal; a constant column gives null, and so
+    does a pair with an infinite value. A table without rows or numeric columns gives no rows.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    values = F.array(*[F.col(name).cast("double") for name in names])
-    left = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "a"))
-    pairs = (
-        left.where(F.col("a").isNotNull() & ~F.isnan("a"))
-        .select("i", "a", F.posexplode("v").alias("j", "b"))
-        .where((F.col("i") <= F.col("j")) & F.col("b").isNotNull() & ~F.isnan("b"))
-    )
-    spread = F.stddev_samp("a") * F.stddev_samp("b")
-    upper = pairs.groupBy("i", "j").agg(F.try_divide(F.covar_samp("a", "b"), spread).alias("r"))
-    labels = F.array(*[F.lit(name) for name in names])
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    )
-    return upper.select("r", F.inline(both)).select(
-        labels[F.col("i")].alias("x"), labels[F.col("j")].alias("y"), "r"
-    )
+    if not names:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+    return pairwise_correlations(df, names)
+
+
+def automatic_bins(df: DataFrame, column: str) -> int:
+    """The number of bins for the values of a column: the larger one of two rules.
+
+    Freedman-Diaconis makes bins of width ``2 * IQR / n^(1/3)``, Sturges ``log2(n) + 1`` of them; the
+    latter also holds where the quartiles coincide. A column that does not vary, or not finitely, has
+    one bin, and no column more than ``MOST_BINS``. Quartiles are exact, from the scans of
+    ``describe_numeric``.
+    """
+    found = _described(_numbers(df, [column]), [column], "double", (0.25, 0.75))
+    if not found:
+        return 1
+    count, spread = found[0]["count"], found[0]["max"] - found[0]["min"]
+    if not 0 < spread < math.inf:
+        return 1
+    width = 2 * (found[0]["p75"] - found[0]["p25"]) / count ** (1 / 3)
+    by_width = spread / width if width > 0 else 0.0
+    return math.ceil(min(max(by_width, math.log2(count) + 1), MOST_BINS))
 
 
 def _binned(df: DataFrame, column: str, bins: int, *extra: Column) -> DataFrame:
@@ -263,11 +313,13 @@ def _binned(df: DataFrame, column: str, bins: int, *extra: Column) -> DataFrame:
     return placed.groupBy("bin", *limits.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def histogram(df: DataFrame, column: str = "price", bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, column: str = "price", bins: int | None = None) -> DataFrame:
     """Equal-width bins ``(bin, low, high, n)``; the last one includes the maximum.
 
-    Bins without values do not appear; a constant column has a single bin.
+    Without a number of bins, ``automatic_bins`` finds it. Bins without values do not appear; a
+    constant column has a single bin.
     """
+    bins = automatic_bins(df, column) if bins is None else bins
     width = (F.col("hi") - F.col("lo")) / bins
     return (
         _binned(df, column, bins)
@@ -281,18 +333,27 @@ def histogram(df: DataFrame, column: str = "price", bins: int = 20) -> DataFrame
     )
 
 
-def density(df: DataFrame, column: str = "price", bins: int = 20, points: int = 51) -> DataFrame:
+def density(
+    df: DataFrame,
+    column: str = "price",
+    bins: int | None = None,
+    points: int = 51,
+    bandwidth: float | None = None,
+) -> DataFrame:
     """Gaussian density ``(x, density)`` on an even grid from minimum to maximum.
 
     Evaluated on the histogram bins, so the kernel runs bins x points times and not once per
-    row. The bandwidth is the sample deviation times n^(-1/5).
+    row. Without a number of bins, ``automatic_bins`` finds it; without a bandwidth, it is the sample
+    deviation times n^(-1/5). A column that does not vary gives no rows.
     """
+    bins = automatic_bins(df, column) if bins is None else bins
     total, std = F.count("value").alias("total"), F.stddev_samp("value").alias("std")
     span = F.col("hi") - F.col("lo")
-    bandwidth = F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
+    scott = F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
+    width = scott if bandwidth is None else F.when(F.col("std") > 0, F.lit(float(bandwidth)))
     centres = (
         _binned(df, column, bins, total, std)
-        .withColumn("bandwidth", bandwidth)
+        .withColumn("bandwidth", width)
         .where("bandwidth > 0")
         .withColumn("centre", F.col("lo") + span * (F.col("bin") - 0.5) / bins)
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
@@ -309,12 +370,12 @@ def density(df: DataFrame, column: str = "price", bins: int = 20, points: int =
     )
 
 
-def basic_eda(df: DataFrame, rounds: int = ROUNDS) -> dict[str, DataFrame]:
-    """The exploratory profile of a sales table as lazy plans; ``rounds`` as in ``describe_numeric``."""
+def basic_eda(df: DataFrame) -> dict[str, DataFrame]:
+    """The exploratory profile of a sales table; the figures of the two summaries are computed at once."""
     return {
         "column_profile": column_profile(df),
-        "numeric_describe": describe_numeric(df, rounds=rounds),
-        "timestamp_describe": describe_timestamps(df, rounds=rounds),
+        "numeric_describe": describe_numeric(df),
+        "timestamp_describe": describe_timestamps(df),
         "correlation_matrix": correlation_matrix(df),
         "price_histogram": histogram(df, "price"),
         "price_density": density(df, "price"),

@@ -687,7 +687,7 @@ FROM featured"""
     )
     micros = "epoch_us(order_date)"
     moments = f"""SELECT 'order_date' AS "column", count(order_date) AS "count",
-    date_trunc('minute', make_timestamp(CAST(avg({micros}) AS BIGINT))) AS mean,
+    make_timestamp(CAST(sum(CAST({micros} AS HUGEINT)) // count(order_date) AS BIGINT)) AS mean,
     min(order_date) AS "min",
     make_timestamp(CAST({quartile(micros, 0.25)} AS BIGINT)) AS p25,
     make_timestamp(CAST({quartile(micros, 0.5)} AS BIGINT)) AS p50,
@@ -704,48 +704,53 @@ FROM featured"""
         for i, a in enumerate(PROFILE_COLUMNS)
         for j, b in enumerate(PROFILE_COLUMNS)
     )
-    bins = HISTOGRAM_BINS
-    binned = _cte(
-        SALES,
-        "limits",
-        """SELECT min(price) AS lo, max(price) AS hi, count(price) AS total,
-    stddev_samp(price) * power(count(price), -0.2) AS bw FROM sales""",
-    )
-    binned = _cte(
-        binned,
-        "bins",
-        f"""SELECT CAST(least(1 + floor((price - lo) / (hi - lo) * {bins}), {bins}) AS BIGINT)
-    AS bin, lo, hi, total, bw, count(*) AS n FROM sales CROSS JOIN limits
+    limits = f"""SELECT min(price) AS lo, max(price) AS hi, count(price) AS total,
+    stddev_samp(price) * power(count(price), -0.2) AS bw,
+    {HISTOGRAM_BINS} AS bins FROM sales"""
+    width = f"(2 * ({quartile('price', 0.75)} - {quartile('price', 0.25)}) / power(count(price), 1.0 / 3))"
+    auto = f"ceil(greatest((max(price) - min(price)) / {width}, log2(count(price)) + 1))"
+
+    def placed(limits):
+        binned = _cte(
+            _cte(SALES, "limits", limits),
+            "bins",
+            """SELECT CAST(least(1 + floor((price - lo) / (hi - lo) * bins), bins) AS BIGINT)
+    AS bin, lo, hi, total, bw, bins, count(*) AS n FROM sales CROSS JOIN limits
     WHERE price IS NOT NULL GROUP BY ALL""",
-    )
-    grid = _cte(
-        binned,
-        "grid",
-        f"""SELECT *, lo + (hi - lo) * (bin - 0.5) / {bins} AS centre,
+        )
+        grid = _cte(
+            binned,
+            "grid",
+            f"""SELECT *, lo + (hi - lo) * (bin - 0.5) / bins AS centre,
     unnest(generate_series(0, {DENSITY_POINTS - 1})) AS point FROM bins""",
-    )
-    grid = _cte(
-        grid,
-        "placed",
-        f"SELECT *, lo + (hi - lo) / {DENSITY_POINTS - 1} * point AS x FROM grid",
-    )
-    return {
-        "numeric_describe": _with(PROFILED, describe),
-        "timestamp_describe": _with(SALES, moments),
-        "correlation_matrix": _with(
-            _cte(PROFILED, "pairs", f"SELECT {pairs} FROM featured"), matrix
-        ),
-        "price_histogram": _with(
+        )
+        grid = _cte(
+            grid,
+            "placed",
+            f"SELECT *, lo + (hi - lo) / {DENSITY_POINTS - 1} * point AS x FROM grid",
+        )
+        return _with(
             binned,
-            f"""SELECT bin, round(lo + (hi - lo) / {bins} * (bin - 1), 6) AS low,
-    round(lo + (hi - lo) / {bins} * bin, 6) AS high, n FROM bins""",
-        ),
-        "price_density": _with(
+            """SELECT bin, round(lo + (hi - lo) / bins * (bin - 1), 6) AS low,
+    round(lo + (hi - lo) / bins * bin, 6) AS high, n FROM bins""",
+        ), _with(
             grid,
             """SELECT round(x, 6) AS x,
     round(sum(n * exp(-0.5 * ((x - centre) / bw) * ((x - centre) / bw))
         / (total * bw * sqrt(2 * pi()))), 9) AS density FROM placed GROUP BY point, x""",
+        )
+
+    fixed, found = placed(limits), placed(limits.replace(f"{HISTOGRAM_BINS} AS bins", f"{auto} AS bins"))
+    return {
+        "numeric_describe": _with(PROFILED, describe),
+        "timestamp_describe": _with(SALES, moments),
+        "correlation_matrix": _with(
+            _cte(PROFILED, "pairs", f"SELECT {pairs} FROM featured"), matrix
         ),
+        "price_histogram": fixed[0],
+        "price_density": fixed[1],
+        "price_histogram_auto": found[0],
+        "price_density_auto": found[1],
     }
 
 

@@ -408,10 +408,7 @@ def numeric_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timestamp_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales_view(spark, sf_dir, ["order_date"])
-    # The mean is a sum of doubles; seconds of it differ with the order of the rows.
-    summary = profiling.describe_timestamps(rows)
-    return summary.withColumn("mean", F.date_trunc("minute", "mean").cast("timestamp_ntz"))
+    return profiling.describe_timestamps(sales_view(spark, sf_dir, ["order_date"]))
 
 
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,6 +427,16 @@ def price_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_rounded(curve, "x"), "density", places=9)
 
 
+def price_histogram_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = profiling.histogram(sales_view(spark, sf_dir, ["price"]), "price")
+    return _rounded(bins, "low", "high")
+
+
+def price_density_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = profiling.density(sales_view(spark, sf_dir, ["price"]), "price", points=DENSITY_POINTS)
+    return _rounded(_rounded(curve, "x"), "density", places=9)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "clean_sales": clean_sales,
@@ -489,4 +496,6 @@ def all_queries() -> dict[str, Query]:
         "correlation_matrix": correlation_matrix,
         "price_histogram": price_histogram,
         "price_density": price_density,
+        "price_histogram_auto": price_histogram_auto,
+        "price_density_auto": price_density_auto,
     }
