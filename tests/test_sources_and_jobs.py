@@ -13,7 +13,7 @@ from tillroll.plans.pipeline import run_pipeline
 from tillroll.plans.recovery_run import run_scenario
 from tillroll.plans.slice_report import filter_choices, slice_report
 from tillroll.schema import ALERT_SCHEMA, CLEAN_SCHEMA, RAW_COLUMNS
-from tillroll.sources import readers, writers
+from tillroll.sources import readers, runs, writers
 
 MOMENT = datetime(2024, 5, 1, tzinfo=UTC)
 
@@ -293,3 +293,203 @@ def test_clean_csv_takes_whole_dates_only(spark, tmp_path):
 
 def test_raw_table_of_the_fixtures_has_the_contract_columns(spark):
     assert raw(spark, DIRTY).columns == RAW_COLUMNS
+
+
+def counted(calls, function):
+    def call(*args, **kwargs):
+        calls.append(function.__name__)
+        return function(*args, **kwargs)
+
+    return call
+
+
+@pytest.fixture
+def scans(monkeypatch):
+    """The scans of the raw table that a run makes, by the function that makes them."""
+    calls = []
+    for name in ("save_processed_data", "inspect_raw", "violating_rows"):
+        monkeypatch.setattr(pipeline, name, counted(calls, getattr(pipeline, name)))
+    return calls
+
+
+def test_a_report_run_reads_the_raw_table_once(spark, tmp_path, scans):
+    source = write_csv(tmp_path / "raw.csv", DECISION)
+    paths = run_pipeline(spark, source, str(tmp_path / "out"), on_violation="report", with_profile=False)
+    assert scans == ["save_processed_data"]
+    metrics = json_record(paths["metrics"])
+    assert (metrics["raw_row_count"], metrics["clean_row_count"]) == (4, 4)
+    scans.clear()
+    broken = write_csv(tmp_path / "broken.csv", DIRTY)
+    run_pipeline(spark, broken, str(tmp_path / "out"), on_violation="report", with_profile=False)
+    assert scans == ["save_processed_data", "violating_rows"]
+
+
+def test_observed_counts_equal_those_of_a_scan(spark, tmp_path):
+    source = write_csv(tmp_path / "raw.csv", [*DIRTY, *DECISION, LONG_LINE])
+    raw_table = readers.load_raw_sales_data(spark, source)
+    found = pipeline.write_inspected(raw_table, str(tmp_path / "clean"), "auto")
+    assert found == pipeline.inspect_raw(raw_table, "auto")
+    assert found.rules["row_malformed"] == 1 and found.integral == ("order_id", "product_id")
+
+
+def test_a_lost_executor_does_not_change_the_counts(spark, tmp_path, monkeypatch):
+    """Rows observed twice disagree with the rows written, and the raw table is counted by itself."""
+    decoded = pipeline.decoded
+    twice = lambda counts, formats: decoded({k: 2 * v for k, v in counts.items()}, formats)
+    monkeypatch.setattr(pipeline, "decoded", twice)
+    source = write_csv(tmp_path / "raw.csv", DECISION)
+    found = pipeline.write_inspected(readers.load_raw_sales_data(spark, source), str(tmp_path / "clean"))
+    assert (found.raw_rows, found.clean_rows) == (4, 4)
+
+
+def test_a_run_stopped_midway_is_not_seen(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    first = run_pipeline(spark, write_csv(tmp_path / "a.csv", DECISION), out, with_profile=False)
+    assert runs.published_outputs(spark, out) == first
+
+    def stop(*args):
+        raise KeyboardInterrupt
+
+    other = write_csv(tmp_path / "b.csv", DECISION[:2])
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "save_reports", stop)  # the clean table is there, the reports are not
+        with pytest.raises(KeyboardInterrupt):
+            run_pipeline(spark, other, out, with_profile=False)
+    assert len(list((tmp_path / "out" / "runs").iterdir())) == 2
+    assert runs.published_outputs(spark, out) == first
+    assert readers.read_clean_table(spark, out).count() == 4
+    second = run_pipeline(spark, other, out, with_profile=False)
+    assert runs.published_outputs(spark, out) == second
+    assert readers.read_clean_table(spark, out).count() == 2
+    assert readers.read_clean_table(spark, first["processed"]).count() == 4  # a reader of the older run goes on
+    run_alerts(spark, out, str(tmp_path / "alerts"))  # jobs follow the newest run
+    assert runs.expire_runs(spark, out, keep=1) == [first["processed"].split("/")[-2]]
+    assert runs.published_outputs(spark, out) == second and not Path(first["processed"]).exists()
+
+
+def test_a_failed_gate_leaves_no_folder_of_its_run(spark, tmp_path):
+    out = tmp_path / "out"
+    paths = run_pipeline(spark, write_csv(tmp_path / "a.csv", DECISION), str(out), with_profile=False)
+    with pytest.raises(ValueError, match="Quality gate failed"):
+        run_pipeline(spark, write_csv(tmp_path / "b.csv", DIRTY[1:]), str(out), on_violation="report")
+    assert [p.name for p in (out / "runs").iterdir()] == [paths["processed"].split("/")[-2]]
+    assert readers.read_clean_table(spark, str(out)).count() == 4
+
+
+def test_manifests(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert runs.published_outputs(spark, out) is None and runs.published_path(spark, out, "x") == out
+    run = runs.new_run(out)
+    with pytest.raises(ValueError, match="outside"):
+        runs.publish(spark, run, {"x": str(tmp_path / "elsewhere")})
+    runs.publish(spark, run, {"x": run.path("x")})
+    assert runs.published_path(spark, out, "x") == run.path("x")
+    with pytest.raises(ValueError, match="published"):
+        runs.discard(spark, run)
+    assert runs.published_outputs(spark, out, "other") is None
+    with pytest.raises(ValueError, match="keep"):
+        runs.expire_runs(spark, out, 0)
+
+
+DATED = "{},{},10,Home,100.0,10,2,North,Card,4.8,50,90.0,180.0"
+
+
+def dated(spark, tmp_path, *dates):
+    lines = [DATED.format(i, d) for i, d in enumerate(dates)]
+    return readers.load_raw_sales_data(spark, write_csv(tmp_path / "dated.csv", lines))
+
+
+@pytest.mark.parametrize(
+    ("dates", "expected"),
+    [
+        (["2024-01-15", "2024-2-3"], "y-M-d"),
+        (["03/04/2024", "25/04/2024", "x"], "d/M/yyyy"),
+        (["03/04/2024", "04/25/2024"], "M/d/yyyy"),
+        (["25-04-2024", "01-02-2024"], "d-M-yyyy"),
+        (["25.04.2024"], "d.M.yyyy"),
+        (["2024-01-15 10:30:00", "2024-01-16 00:00:00", "2024-01-17"], "yyyy-M-d H:m:s"),
+        (["05/05/2024", "06/06/2024"], "d/M/yyyy"),  # both readings agree
+        (["03/04/2024", "25/04/2024", "2024-01-15"], "d/M/yyyy"),  # the other one is no date of this column
+        (["x", None], "y-M-d"),
+    ],
+)
+def test_the_dates_vote_for_their_format(spark, tmp_path, dates, expected):
+    table = dated(spark, tmp_path, *dates)
+    found = pipeline.inspect_raw(table, "auto")
+    assert found.date_format == expected
+    kept = pipeline.clean_sales_data(table, found.date_format).count()
+    assert found.clean_rows == kept
+
+
+@pytest.mark.parametrize(
+    ("dates", "message"),
+    [
+        (["03/04/2024", "05/06/2024"], "ambiguous"),
+        (["25/04/2024", "04/25/2024", "04/26/2024"], "mixed"),
+        (["25-04-2024", "04-25-2024"], "mixed"),
+    ],
+)
+def test_mixed_and_ambiguous_dates_are_errors(spark, tmp_path, dates, message):
+    table = dated(spark, tmp_path, *dates)
+    with pytest.raises(ValueError, match=message):
+        pipeline.inspect_raw(table, "auto")
+    assert pipeline.inspect_raw(table, "d/M/yyyy").raw_rows == len(dates)  # a named format decides
+    source = str(tmp_path / "dated.csv")
+    for mode in ("fail", "report"):
+        with pytest.raises(ValueError, match=message):
+            run_pipeline(spark, source, str(tmp_path / mode), on_violation=mode, date_format="auto")
+    assert runs.published_outputs(spark, str(tmp_path / "report")) is None
+
+
+def test_files_of_two_date_orders(spark, tmp_path):
+    """One file day first and one month first are a mixed table, whichever file is read first."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_csv(folder / "a.csv", [DATED.format(1, "25/04/2024")])
+    write_csv(folder / "b.csv", [DATED.format(2, "04/25/2024")])
+    with pytest.raises(ValueError, match="mixed"):
+        run_pipeline(spark, str(folder), str(tmp_path / "out"), date_format="auto")
+
+
+def test_a_wrong_guess_is_written_again(spark, tmp_path, scans):
+    lines = [DATED.format(i, d) for i, d in [(1, "05/04/2024"), ("2.5", "04/25/2024"), (3, "04/26/2024")]]
+    source = write_csv(tmp_path / "raw.csv", lines)
+    paths = run_pipeline(
+        spark, source, str(tmp_path / "out"), on_violation="report", date_format="auto", with_profile=False
+    )
+    assert scans[:2] == ["save_processed_data", "save_processed_data"]
+    stored = readers.read_clean_table(spark, paths["processed"])
+    assert sorted(r["order_id"] for r in stored.collect()) == [1.0, 2.5, 3.0]
+    assert {r["order_date"].day for r in stored.collect()} == {4, 25, 26}
+
+
+def test_large_ids_stay_apart(spark, tmp_path):
+    ids = [2**53, 2**53 + 1, -(2**63), " 7 "]
+    source = write_csv(tmp_path / "raw.csv", [DATED.format(i, "2024-01-15") for i in ids])
+    paths = run_pipeline(spark, source, str(tmp_path / "out"), with_profile=False)
+    stored = readers.read_clean_table(spark, paths["processed"])
+    assert dict(stored.dtypes)["order_id"] == "bigint"
+    assert sorted(r["order_id"] for r in stored.collect()) == [-(2**63), 7, 2**53, 2**53 + 1]
+    summary = spark.read.parquet(f"{paths['tables']}/kpi_summary")
+    assert {r["metric"]: r["value"] for r in summary.collect()}["total_orders"] == 4
+    # One number that is not whole, or too large, makes the column one of doubles.
+    for other in ("1.5", "1e3", str(2**63)):
+        source = write_csv(tmp_path / "raw.csv", [DATED.format(i, "2024-01-15") for i in (1, other)])
+        assert pipeline.inspect_raw(readers.load_raw_sales_data(spark, source)).integral == ("product_id",)
+
+
+def test_violations_name_the_place_of_their_row(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    bad = ",2024-01-15,10,Home,-1,10,2,North,Card,4.8,50,90.0,180.0"
+    write_csv(folder / "a.csv", [bad, bad, DECISION[0], bad])
+    write_csv(folder / "b.csv", [bad])
+    placed = readers.load_raw_sales_data(spark, str(folder), with_place=True)
+    rows = validation.violating_rows(placed).where("rule = 'price_ge_0'").collect()
+    assert len(rows) == 4 and {r["order_id"] for r in rows} == {None}
+    assert len({(r["source_file"], r["block_start"], r["position"]) for r in rows}) == 4
+    of_a = sorted(r["position"] for r in rows if r["source_file"].endswith("a.csv"))
+    assert [p - of_a[0] for p in of_a] == [0, 1, 3]
+    paths = run_pipeline(spark, str(folder), str(tmp_path / "out"), on_violation="report", with_profile=False)
+    assert {"source_file", "block_start", "position"} <= set(spark.read.parquet(paths["violations"]).columns)
+    assert "_place" not in pipeline.clean_sales_data(placed).columns

@@ -12,6 +12,23 @@ from tillroll.schema import MALFORMED, MISSING_TOKENS
 NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))\s*$"
 
 ISO_DATE = "y-M-d"
+#: Formats a column of dates is tried against where none is named; the first is the usual one.
+DATE_FORMATS = [
+    ISO_DATE,
+    "yyyy/M/d",
+    "d/M/yyyy",
+    "M/d/yyyy",
+    "d-M-yyyy",
+    "M-d-yyyy",
+    "d.M.yyyy",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d'T'H:m:s",
+]
+#: Pairs of them that read some dates in two ways.
+SWAPPED_FORMATS = [("d/M/yyyy", "M/d/yyyy"), ("d-M-yyyy", "M-d-yyyy")]
+
+ID_COLUMNS = ["order_id", "product_id"]
+WHOLE_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def quoted(name: str) -> str:
@@ -43,6 +60,11 @@ def to_number(df: DataFrame, name: str, keep_integral: bool = False) -> Column:
     return column.cast("double")
 
 
+def whole_number(column: Column) -> Column:
+    """The text as BIGINT, null where it is not a whole number that fits."""
+    return F.when(column.rlike(WHOLE_PATTERN), column.try_cast("bigint"))
+
+
 def to_moment(df: DataFrame, name: str, date_format: str = ISO_DATE) -> Column:
     """The column as a zone-less timestamp, null where the text does not follow the format."""
     column, kind = F.col(name), df.schema[name].dataType

@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions import a_number, clip, ratio_or_zero, to_moment, to_number
-from tillroll.functions.coerce import ISO_DATE
+from tillroll.functions.coerce import ID_COLUMNS, ISO_DATE, whole_number
 from tillroll.operators.contracts import require_columns
-from tillroll.schema import MALFORMED, NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS, PLACE
 
 
 #: Limits that cleaning puts on values.
 CLIPPED = {"discount_percent": (0.0, 100.0), "rating": (0.0, 5.0)}
 
 
-def coerce_types(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
+def coerce_types(
+    df: DataFrame, date_format: str = ISO_DATE, integral: Collection[str] = ()
+) -> DataFrame:
     """Parse the date and the numeric columns; what cannot be parsed becomes null.
 
-    The date format is an argument: guessing it from the first row has no meaning for a
-    table that is read in parallel.
+    The date format is an argument, as are the text columns that hold whole numbers only, which
+    become BIGINT (a DOUBLE would merge ids above 2**53). Both are facts of a whole column, which
+    ``inspect_raw`` finds in one scan.
     """
     typed = {
-        name: to_number(df, name, keep_integral=name.endswith("_id")) for name in NUMBER_COLUMNS
+        name: whole_number(F.col(name))
+        if name in integral and isinstance(df.schema[name].dataType, T.StringType)
+        else to_number(df, name, keep_integral=name in ID_COLUMNS)
+        for name in NUMBER_COLUMNS
     }
     return df.withColumns({"order_date": to_moment(df, "order_date", date_format), **typed})
 
@@ -42,16 +49,19 @@ def usable_row(value: Callable[[str], Column] = F.col) -> Column:
 
 def well_formed(df: DataFrame) -> DataFrame:
     """Without the lines that had too few or too many fields, whose values mean nothing."""
+    df = df.drop(PLACE)
     if MALFORMED not in df.columns:
         return df
     return df.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
-def clean_sales_data(df: DataFrame, date_format: str = ISO_DATE) -> DataFrame:
+def clean_sales_data(
+    df: DataFrame, date_format: str = ISO_DATE, integral: Collection[str] = ()
+) -> DataFrame:
     """Coerce, drop unusable rows, clip discount and rating, recompute price and revenue."""
     require_columns(df)
     return (
-        coerce_types(well_formed(df), date_format)
+        coerce_types(well_formed(df), date_format, integral)
         .where(usable_row())
         .withColumns({name: clip(F.col(name), *limits) for name, limits in CLIPPED.items()})
         .withColumn(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tillroll.functions import to_number
 from tillroll.operators.contracts import require_columns
-from tillroll.schema import MALFORMED, NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS, PLACE
 
 NOT_NULL = [
     "order_id",
@@ -109,7 +109,9 @@ def schema_violations(df: DataFrame, profile: str = "full") -> DataFrame:
 def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
     """One row per broken rule and input row: the order id, the rule and the offending text.
 
-    Of a malformed line the text is the whole line, which also names it.
+    Where the table says what place a row has (see ``load_raw_sales_data``), so does the result:
+    ``source_file``, ``block_start`` and ``position`` name the row also where its order id is null or
+    repeated. Of a malformed line the text is the whole line.
     """
     require_columns(df, MINIMAL_COLUMNS) if profile == "minimal" else require_columns(df)
     rules = raw_rules(df, profile)
@@ -124,7 +126,11 @@ def violating_rows(df: DataFrame, profile: str = "full") -> DataFrame:
         )
         for rule in rules
     ]
-    return with_parsed(df).select("order_id", F.inline(F.array_compact(F.array(*found))))
+    place = []
+    if PLACE in df.columns:
+        shown = {"file": "source_file", "block": "block_start", "position": "position"}
+        place = [F.col(f"{PLACE}.{name}").alias(label) for name, label in shown.items()]
+    return with_parsed(df).select("order_id", *place, F.inline(F.array_compact(F.array(*found))))
 
 
 def validate_raw_sales_data(df: DataFrame, profile: str = "full") -> DataFrame:

@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tillroll import __version__
-from tillroll.functions import clip, to_moment
-from tillroll.functions.coerce import ISO_DATE
-from tillroll.operators.cleaning import CLIPPED, clean_sales_data, usable_row
+from tillroll.functions.coerce import ID_COLUMNS, ISO_DATE
+from tillroll.operators.cleaning import clean_sales_data
 from tillroll.operators.contracts import enforce_raw_contract
 from tillroll.operators.features import build_features
+from tillroll.operators.inspection import (
+    Inspection,
+    candidate_formats,
+    decoded,
+    inspect_raw,
+    inspected_columns,
+    inspection_counts,
+    probable,
+)
 from tillroll.operators.kpis import build_executive_summary, collect_product_metrics
 from tillroll.operators.profiling import basic_eda
 from tillroll.operators.recommendations import build_actionable_recommendations
@@ -24,16 +31,10 @@ from tillroll.operators.reports import (
 )
 from tillroll.operators.spikes import alerts_from_profile, discount_profile
 from tillroll.operators.totals import overall_part, sales_totals
-from tillroll.operators.validation import (
-    gate_rules,
-    parsed,
-    raise_on_gate,
-    raw_rules,
-    violating_rows,
-    with_parsed,
-)
-from tillroll.schema import CONTRACT_VERSION, MALFORMED
+from tillroll.operators.validation import gate_rules, raise_on_gate, violating_rows
+from tillroll.schema import CONTRACT_VERSION
 from tillroll.sources.readers import load_raw_sales_data, read_clean_table
+from tillroll.sources.runs import discard, new_run, publish
 from tillroll.sources.writers import (
     export_contract_snapshot,
     export_discount_spike_alerts,
@@ -46,37 +47,43 @@ from tillroll.sources.writers import (
 VIOLATION_MODES = ("fail", "report")
 
 
-def inspect_raw(raw: DataFrame, date_format: str = ISO_DATE) -> dict:
-    """Row count, usable rows, broken rules and failed gates, all from one scan of the raw table.
-
-    The gates look at the values that cleaning would keep, so they are known before anything is
-    written.
-    """
-
-    def value(name: str) -> Column:
-        return to_moment(raw, name, date_format) if name == "order_date" else parsed(name)
-
-    def cleaned(name: str) -> Column:
-        return clip(value(name), *CLIPPED[name]) if name in CLIPPED else value(name)
-
-    whole = F.col(MALFORMED).isNull() if MALFORMED in raw.columns else F.lit(True)
-    usable = whole & usable_row(value)
-    rules = [F.count_if(rule.breach).alias(rule.name) for rule in raw_rules(raw)]
-    gates = [F.count_if(usable & rule.breach).alias(rule.name) for rule in gate_rules(cleaned)]
-    record = with_parsed(raw).agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.struct(F.count_if(usable).alias("row_count"), *gates).alias("gates"),
-        F.struct(*rules).alias("rules"),
-    )
-    return record.first().asDict(recursive=True)
-
-
 def store(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table beside the output and go on from the stored copy."""
     save_table(df, path)
     return df.sparkSession.read.parquet(path)
 
 
+def write_inspected(raw: DataFrame, path: str, date_format: str = ISO_DATE) -> Inspection:
+    """Write the clean table and inspect the raw one, in a single scan of it.
+
+    The counts are observed while the rows pass on their way to the clean table. Date format and id
+    types are guessed before, from the first date and as whole numbers; where the observed column says
+    otherwise, the clean table is written once more. A lost executor may let rows be counted twice;
+    the rows written tell, and then the raw table is inspected by a scan of its own.
+    """
+    formats = candidate_formats(raw, date_format)
+    guess = (probable(raw, formats), tuple(ID_COLUMNS))
+    seen = Observation()
+    counts = inspection_counts(raw, formats, gate_rules)
+    watched = inspected_columns(raw, formats)
+    added = [name for name in watched.columns if name not in raw.columns]
+    clean = clean_sales_data(watched.observe(seen, *counts), *guess).drop(*added)
+    written = _write_counted(clean, path)
+    # A plan that turns out empty is replaced as a whole, counts included.
+    found = decoded(seen.get, formats) if written else inspect_raw(raw, date_format, gate_rules)
+    if (found.date_format, found.integral) != guess:
+        written = _write_counted(clean_sales_data(raw, found.date_format, found.integral), path)
+    if found.clean_rows != written:
+        found = inspect_raw(raw, date_format, gate_rules)
+    return found
+
+
+def _write_counted(clean: DataFrame, path: str) -> int:
+    """Store the clean table; the rows in it, by the footers of its files."""
+    save_processed_data(clean, path)
+    return clean.sparkSession.read.schema(clean.schema).parquet(path).count()
+
+
 def run_pipeline(
     spark: SparkSession,
     in_path: str,
@@ -91,39 +98,47 @@ def run_pipeline(
 ) -> dict[str, str]:
     """Read, check, clean and store the sales table, then write every report from it.
 
-    The raw table is scanned twice (inspection and cleaning write). The reports read the
-    stored clean table; those that need per-dimension totals share one stored result.
-    With ``on_violation="report"`` broken rules are written down and the run goes on. The quality
-    gates come before the clean table is replaced. ``multi_line`` is for files with line breaks
-    inside quotes.
+    With ``on_violation="fail"`` the raw table is inspected first and nothing is written where it
+    breaks a rule or a gate. With ``"report"`` it is read once, on its way into the clean table, and
+    once more only to list broken rows. The reports read the stored clean table; those that need
+    per-dimension totals share one stored result.
+
+    All outputs go into a folder of the run and are published together when the last one is
+    written: a run that fails or is stopped leaves what readers see as it was. Give ``out_path`` to
+    the readers and to the other jobs to follow the newest whole run, or the returned paths to keep
+    to this one. ``date_format="auto"`` takes the format that the dates follow. ``multi_line`` is for
+    files with line breaks inside quotes.
     """
     if on_violation not in VIOLATION_MODES:
         raise ValueError(f"on_violation must be one of {', '.join(VIOLATION_MODES)}")
-    paths = {
-        "contract": f"{out_path}/contract",
-        "processed": f"{out_path}/processed",
-        "tables": f"{out_path}/tables",
-        "metrics": f"{out_path}/metrics",
-        "alerts": f"{out_path}/alerts",
-    }
+    run = new_run(out_path)
+    paths = {name: run.path(name) for name in ("contract", "processed", "tables", "metrics", "alerts")}
     raw = load_raw_sales_data(spark, in_path, multi_line)
     enforce_raw_contract(raw)
-    counts = inspect_raw(raw, date_format)
-    raw_rows, clean_rows = counts["raw_rows"], counts["gates"]["row_count"]
-    broken = {name: count for name, count in counts["rules"].items() if count}
-    if broken and on_violation == "fail":
-        listing = ", ".join(f"{name}: {count}" for name, count in broken.items())
-        raise ValueError(f"Raw data failed the schema check ({listing})")
-    if broken:
-        paths["violations"] = save_table(violating_rows(raw), f"{out_path}/violations")
-    raise_on_gate(counts["gates"])
+    if on_violation == "fail":
+        found = inspect_raw(raw, date_format, gate_rules)
+        if found.broken:
+            listing = ", ".join(f"{name}: {count}" for name, count in found.broken.items())
+            raise ValueError(f"Raw data failed the schema check ({listing})")
+        raise_on_gate(found.gates)
+        clean = clean_sales_data(raw, found.date_format, found.integral)
+        save_processed_data(clean, paths["processed"])
+    else:
+        try:
+            found = write_inspected(raw, paths["processed"], date_format)
+            raise_on_gate(found.gates)
+        except ValueError:
+            discard(spark, run)
+            raise
+        if found.broken:
+            placed = load_raw_sales_data(spark, in_path, multi_line, with_place=True)
+            paths["violations"] = save_table(violating_rows(placed), run.path("violations"))
     export_contract_snapshot(spark, paths["contract"], CONTRACT_VERSION)
-    save_processed_data(clean_sales_data(raw, date_format), paths["processed"])
 
     featured = build_features(read_clean_table(spark, paths["processed"]))
-    totals = store(sales_totals(featured), f"{out_path}/shared/sales_totals")
+    totals = store(sales_totals(featured), run.path("shared/sales_totals"))
     overall = overall_part(totals)
-    months = store(sales_trend_over_time(featured), f"{out_path}/shared/monthly_revenue")
+    months = store(sales_trend_over_time(featured), run.path("shared/monthly_revenue"))
     reports = {
         "executive_summary": build_executive_summary(featured, overall),
         "discount_opportunities": rank_discount_opportunities(featured, totals=totals),
@@ -136,14 +151,15 @@ def run_pipeline(
         reports |= basic_eda(featured)
     save_reports(reports, paths["tables"])
     metrics = collect_product_metrics(
-        raw_rows,
-        clean_rows,
+        found.raw_rows,
+        found.clean_rows,
         featured,
         pipeline_version=pipeline_version,
         generated_at=generated_at,
         totals=totals,
     )
     save_product_metrics(metrics, paths["metrics"])
-    profile = store(discount_profile(featured), f"{out_path}/shared/discount_profile")
+    profile = store(discount_profile(featured), run.path("shared/discount_profile"))
     export_discount_spike_alerts(alerts_from_profile(profile), paths["alerts"])
+    publish(spark, run, paths)
     return paths

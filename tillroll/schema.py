@@ -28,6 +28,9 @@ NUMBER_COLUMNS = [name for name in RAW_COLUMNS if name not in ("order_date", *TE
 #: Holds the whole line of a delimited file where it has too few or too many fields.
 MALFORMED = "_malformed_line"
 
+#: Where a raw row stands: its file, the block of the file that was read, and a number that rises within it.
+PLACE = "_place"
+
 DIMENSIONS = ["product_category", "customer_region", "payment_method"]
 
 MONEY_COLUMNS = ["total_revenue", "gross_revenue", "discount_value"]

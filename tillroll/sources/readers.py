@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions import blank_missing, to_number
-from tillroll.schema import MALFORMED, NUMBER_COLUMNS
+from tillroll.schema import MALFORMED, NUMBER_COLUMNS, PLACE
+from tillroll.sources.runs import published_path
 
 
 #: A whole date, with or without a time: Spark's cast alone would also take "2024".
@@ -42,14 +43,27 @@ def _text_table(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     return spark.read.options(**options, **kept).schema(schema).csv(path)
 
 
-def load_raw_sales_data(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def load_raw_sales_data(
+    spark: SparkSession, path: str, multi_line: bool = False, with_place: bool = False
+) -> DataFrame:
     """The raw table: all columns as text, missing-value tokens as null.
 
+    ``with_place`` adds a column ``PLACE`` that no two rows share: the file, the place in the file
+    where its block begins, and a number that rises from row to row of the block.
+
     Lines with too few or too many fields are marked in column ``MALFORMED``. ``multi_line`` allows
     line breaks inside quotes, but such files cannot be split; without it, the parts of such a line
     are malformed lines.
     """
-    return blank_missing(_text_table(spark, path, multi_line))
+    table = _text_table(spark, path, multi_line)
+    if with_place:
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("position"),
+        )
+        table = table.select("*", place.alias(PLACE))
+    return blank_missing(table)
 
 
 def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -67,9 +81,12 @@ def read_clean_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 
 def read_clean_table(spark: SparkSession, path: str) -> DataFrame:
-    """The processed table as written by ``save_processed_data``, with year and month."""
+    """The processed table as written by ``save_processed_data``, with year and month.
+
+    ``path`` is the table, or the output of ``run_pipeline``, of which the newest whole run is read.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(published_path(spark, path, "processed"))
     except AnalysisException as error:
         if _missing_path(error):
             raise FileNotFoundError(f"Processed sales data not found: {path}") from error
