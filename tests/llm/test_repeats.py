@@ -91,8 +91,8 @@ def test_least_of_and_between():
     rng = np.random.default_rng(9)
     values = rng.integers(0, 50, 400).astype(np.int16)
     assert repeats.least_of(values, 7).tolist() == [values[i : i + 7].min() for i in range(394)]
-    first = rng.integers(0, 399, 300)
-    last = np.minimum(first + rng.integers(0, 200, 300), 399)
+    first = np.append(rng.integers(0, 399, 300), [0, 0])
+    last = np.append(np.minimum(first[:300] + rng.integers(0, 400, 300), 399), [399, 0])
     want = [values[a : b + 1].min() for a, b in zip(first, last)]
     assert repeats._least_between(values, first, last).tolist() == want
 

@@ -29,9 +29,11 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -49,7 +51,11 @@ BLOCK = 16_384
 #: Passages in a stretch, where too many share an anchor, level by level.
 WIDTHS = (25, 5, 1)
 #: Bytes that are hashed together, about; a longer text is cut, with all its passages whole.
-BUFFER = 1 << 20
+BUFFER = 1 << 18
+#: Rows that a task hands on at once, about.
+CHUNK = 8192
+#: More than any place in a text.
+FAR = 1 << 40
 _PLACE_BITS = np.uint64(2 * BUFFER - 1)
 #: Any odd number; the hash of a string is that of its bytes as digits to this base, mod 2^64.
 BASE = 0x9E3779B97F4A7C15
@@ -184,17 +190,26 @@ CONTENTS = "grp long, key long, col long, n long, content binary"
 CONTENT_COLUMNS = ["grp", "key", "col", "n", "content"]
 
 
+def _batches(rows: Iterator[tuple], kinds: list[pa.DataType], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of bounded size."""
+    while chunk := list(islice(rows, CHUNK)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*chunk), kinds)], names)
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the stretches that are listed for each text."""
-    kinds = [*[pa.int64()] * 4, pa.binary()]
+
+    def contents(batch: pa.RecordBatch) -> Iterator[tuple]:
+        texts, found = _bodies(batch), batch.column("found")
+        listed = found.flatten()
+        names = ("grp", "key", "col", "n", "start", "passages")
+        columns = (listed.field(name).to_numpy().tolist() for name in names)
+        owners = pc.list_parent_indices(found).to_pylist()
+        for owner, grp, key, col, n, start, passages in zip(owners, *columns):
+            yield grp, key, col, n, texts[owner][start : start + passages + LENGTH - 1]
+
     for batch in batches:
-        out = [
-            (f["grp"], f["key"], f["col"], f["n"], text[f["start"] : f["start"] + f["passages"] + LENGTH - 1])
-            for text, found in zip(_bodies(batch), batch.column("found").to_pylist())
-            for f in found
-        ]
-        columns = zip(*out) if out else [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], CONTENT_COLUMNS)
+        yield from _batches(contents(batch), [*[pa.int64()] * 4, pa.binary()], CONTENT_COLUMNS)
 
 
 def insert_columns(
@@ -236,7 +251,7 @@ def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
     out = values[last]
     level, size = values, 1
     spans = last - first + 1
-    while len(spans) and size < spans.max():
+    while len(spans) and 2 * size <= spans.max():
         level = np.minimum(level[: len(level) - size], level[size:])
         size *= 2
         here = (spans >= size) & (spans < 2 * size)
@@ -292,22 +307,21 @@ PIECES = ", ".join([*[f"{name} long" for name in PIECE_COLUMNS[:-1]], "content b
 def _narrower(width: int):
     """Stretches of at most ``width`` passages, grouped by all the bytes that these can share."""
 
+    def pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for grp, key, col, n, content in zip(*(batch.column(c).to_pylist() for c in CONTENT_COLUMNS)):
+            last = col + len(content) - LENGTH
+            for cell in range((col + PLACES - 1) // width, (last + PLACES - 1) // width + 1):
+                begin = cell * width - PLACES + 1
+                end = begin + width - 1
+                low, high = max(col, begin), min(last, end)
+                piece = content[low - col : high - col + LENGTH]
+                core = struct.pack("<qq", grp, cell) + content[end - col : begin - col + LENGTH]
+                group, held = (xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in (core, piece))
+                yield grp, key, low - col, n, group, held, low, piece
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [*[pa.int64()] * 7, pa.binary()]
         for batch in batches:
-            out = []
-            for grp, key, col, n, content in zip(*(batch.column(c).to_pylist() for c in CONTENT_COLUMNS)):
-                last = col + len(content) - LENGTH
-                for cell in range((col + PLACES - 1) // width, (last + PLACES - 1) // width + 1):
-                    begin = cell * width - PLACES + 1
-                    end = begin + width - 1
-                    low, high = max(col, begin), min(last, end)
-                    piece = content[low - col : high - col + LENGTH]
-                    core = struct.pack("<qq", grp, cell) + content[end - col : begin - col + LENGTH]
-                    group, held = (xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in (core, piece))
-                    out.append((grp, key, low - col, n, group, held, low, piece))
-            columns = zip(*out) if out else [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], PIECE_COLUMNS)
+            yield from _batches(pieces(batch), [*[pa.int64()] * 7, pa.binary()], PIECE_COLUMNS)
 
     return split
 
@@ -333,38 +347,54 @@ def repeated_passages(contents: DataFrame, widths: tuple[int, ...] = WIDTHS) ->
     return found.union(up.select("whole_grp", "whole_key", place, "flags"))
 
 
-def _spans(found: list[dict] | None) -> list[dict]:
-    """The maximal runs of bytes that the repeated passages cover; without flags all of a stretch are."""
-    parts = []
-    for f in found or ():
-        if f["flags"] is None:
-            parts.append((f["start"], f["start"] + f["passages"] - 1))
-        else:
-            edges = np.flatnonzero(np.diff(np.frombuffer(f["flags"], np.int8), prepend=0, append=0))
-            parts += zip((f["start"] + edges[::2]).tolist(), (f["start"] + edges[1::2] - 1).tolist())
-    if not parts:
-        return []
-    first, last = np.array(sorted(parts)).T
-    reach = np.maximum.accumulate(last) + LENGTH
-    opens = np.flatnonzero(np.append(True, first[1:] > reach[:-1]))
-    closes = np.append(opens[1:], len(first)) - 1
-    return [{"start": s, "end": e} for s, e in zip(first[opens].tolist(), reach[closes].tolist())]
+def _spans(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, begin and end of the maximal runs of bytes that repeated passages cover, by text and begin.
+
+    Without flags all passages of a stretch are repeated.
+    """
+    listed = found.flatten()
+    owner = pc.list_parent_indices(found).to_numpy().astype(np.int64)
+    start, passages = (listed.field(name).to_numpy() for name in ("start", "passages"))
+    flags = listed.field("flags")
+    whole = flags.is_null().to_numpy(zero_copy_only=False)
+    owners, first, last = [owner[whole]], [start[whole]], [(start + passages - 1)[whole]]
+    for i in np.flatnonzero(~whole).tolist():
+        edges = np.flatnonzero(np.diff(np.frombuffer(flags[i].as_py(), np.int8), prepend=0, append=0))
+        owners.append(np.full(len(edges) // 2, owner[i]))
+        first.append(start[i] + edges[::2])
+        last.append(start[i] + edges[1::2] - 1)
+    owner, first, last = map(np.concatenate, (owners, first, last))
+    order = np.lexsort((first, owner))
+    owner, first, last = owner[order], first[order], last[order]
+    # No run reaches from one text into the next.
+    reach = np.maximum.accumulate(owner * FAR + last + LENGTH)
+    opens = np.ones(len(owner), bool)
+    opens[1:] = owner[1:] * FAR + first[1:] > reach[:-1]
+    opens = np.flatnonzero(opens)
+    closes = np.append(opens[1:], len(owner))[: len(opens)] - 1
+    return owner[opens], first[opens], reach[closes] - owner[opens] * FAR
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
-        texts = _bodies(batch)
-        spans = [_spans(found) for found in batch.column("found").to_pylist()]
-        kept = []
-        for text, cut in zip(texts, spans):
-            bounds = [0, *(p for s in cut for p in (s["start"], s["end"])), len(text)]
+        owner, begin, end = _spans(batch.column("found"))
+        counts = np.bincount(owner, minlength=batch.num_rows)
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        spans = pa.ListArray.from_arrays(
+            pa.array(offsets), pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], ["start", "end"])
+        )
+        unpack = zstandard.ZstdDecompressor().decompress
+        kept, sizes = [], []
+        for i, body in enumerate(batch.column("body").to_pylist()):
+            text = unpack(body)
+            mine = slice(offsets[i], offsets[i + 1])
+            bounds = [0, *np.column_stack((begin[mine], end[mine])).ravel().tolist(), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2])))
+            sizes.append(len(text))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
-             pa.array(spans, spans_type), pa.array(kept, pa.binary())],
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), spans, pa.array(kept, pa.binary())],
             ["doc_id", "n_bytes", "spans", "kept"],
-        )
+        )
 
 
 def _rows_among(rows: DataFrame, named: DataFrame) -> DataFrame:
