@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.schema import MONEY_COLUMNS
 
-MONEY_TYPE = "decimal(18,6)"
+MONEY_TYPE = "decimal(28,6)"
 
 
 def money_sum(value: Column | str) -> Column:
@@ -51,10 +51,18 @@ def clip(value: Column, low: float | None = None, high: float | None = None) ->
 def exact_money(df: DataFrame) -> DataFrame:
     """Carry the money columns as DECIMAL so that totals are reproducible to the last digit.
 
-    What a DECIMAL cannot hold, such as infinity, becomes null.
+    Infinity, which no DECIMAL holds, becomes null; a finite amount that is too large, from 10^22 on,
+    is an error.
     """
     present = [name for name in MONEY_COLUMNS if name in df.columns]
-    return df.withColumns({name: F.col(name).try_cast(MONEY_TYPE) for name in present})
+    return df.withColumns({name: _exact(F.col(name)) for name in present})
+
+
+def _exact(value: Column) -> Column:
+    exact = value.try_cast(MONEY_TYPE)
+    finite = F.abs(value.cast("double")) < float("inf")
+    lost = F.raise_error(F.concat(F.lit("Amount is too large for exact sums: "), value.cast("string")))
+    return F.when(exact.isNull() & finite, lost.cast(MONEY_TYPE)).otherwise(exact)
 
 
 def unpivot_record(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions import clip, to_moment
+from tillroll.functions import clip, to_moment, to_number
 from tillroll.functions.coerce import DATE_FORMATS, ID_COLUMNS, SWAPPED_FORMATS, whole_number
 from tillroll.operators.cleaning import CLIPPED, usable_row
 from tillroll.operators.validation import gate_rules, parsed, raw_rules, with_parsed
@@ -132,6 +132,17 @@ def inspect_raw(raw: DataFrame, date_format: str = DATE_FORMATS[0], gates=gate_r
     return decoded(inspected_columns(raw, formats).agg(*counts).first().asDict(), formats)
 
 
+def integral_ids(raw: DataFrame) -> tuple[str, ...]:
+    """The text id columns that hold whole numbers only, from one scan of these columns."""
+    names = [name for name in ID_COLUMNS if isinstance(raw.schema[name].dataType, T.StringType)]
+    broken = [
+        F.count_if(to_number(raw, name).isNotNull() & whole_number(F.col(name)).isNull()).alias(name)
+        for name in names
+    ]
+    row = raw.agg(*broken).first() if names else {}
+    return tuple(name for name in names if not row[name])
+
+
 def probable(raw: DataFrame, formats: Sequence[str]) -> str:
     """The first format that the first date there is follows; a guess, to be held against the votes."""
     if len(formats) == 1:

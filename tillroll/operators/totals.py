@@ -95,14 +95,7 @@ def sales_totals(df: DataFrame, *measures: str) -> DataFrame:
     """
     measures = measures or (*ADDITIVE, ORDERS)
     rows = ensure_revenue_columns(df)
-    partial = [F.count(F.lit(1)).alias("row_count")]
-    for source in {SOURCES[name]: None for name in measures if name in SOURCES}:
-        partial.append(F.sum(source).alias(f"{source}_sum"))
-        partial.append(F.count(source).alias(f"{source}_count"))
-    totals = _sets(
-        rows.groupBy(*DIMENSIONS).agg(*partial),
-        [_merged(name).alias(name) for name in measures if name != ORDERS],
-    )
+    totals = merged_totals(rows.groupBy(*DIMENSIONS).agg(*partial_sums(*measures)), *measures)
     if ORDERS not in measures:
         return totals
     orders = _orders_per_key(df).withColumnsRenamed({"dimension": "set_name", "key": "set_key"})
@@ -110,6 +103,26 @@ def sales_totals(df: DataFrame, *measures: str) -> DataFrame:
     return totals.join(orders, matched).select("dimension", "key", *measures)
 
 
+def partial_sums(*measures: str) -> list[Column]:
+    """Row count, and sum and count of every source column the measures need; aggregates that add up."""
+    measures = measures or tuple(ADDITIVE)
+    partial = [F.count(F.lit(1)).alias("row_count")]
+    for source in {SOURCES[name]: None for name in measures if name in SOURCES}:
+        partial.append(F.sum(source).alias(f"{source}_sum"))
+        partial.append(F.count(source).alias(f"{source}_count"))
+    return partial
+
+
+def merged_totals(partials: DataFrame, *measures: str, by_dimension: bool = True) -> DataFrame:
+    """Rows ``(dimension, key, ...)`` of the additive measures, from rows of ``partial_sums``."""
+    measures = [name for name in measures or tuple(ADDITIVE) if name != ORDERS]
+    merged = [_merged(name).alias(name) for name in measures]
+    if by_dimension:
+        return _sets(partials, merged)
+    whole = partials.agg(*merged)
+    return whole.select(F.lit(OVERALL).alias("dimension"), F.lit(None).cast("string").alias("key"), *measures)
+
+
 def _orders_per_key(df: DataFrame) -> DataFrame:
     """Distinct orders per dimension value and overall.
 

@@ -6,13 +6,26 @@ from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tillroll.operators.cube import (
+    Cube,
+    build_cube,
+    cube_overall,
+    cube_share,
+    cube_totals,
+    slice_cube,
+)
 from tillroll.operators.features import build_features, dimension_values, slice_sales
-from tillroll.operators.kpis import slice_share, summarize_kpis
+from tillroll.operators.kpis import kpi_summary, slice_share, summarize_kpis
 from tillroll.operators.recommendations import build_actionable_recommendations
 from tillroll.operators.recovery import recovery_display, simulate_leakage_recovery
 from tillroll.operators.reports import (
     build_executive_tables,
+    category_performance,
+    monthly_trend,
+    payment_performance,
+    regional_performance,
     revenue_by,
     sales_trend_over_time,
     top_categories_by_sales,
@@ -68,6 +81,49 @@ def slice_report(
     }
 
 
+def store_cube(sales: DataFrame, out_path: str) -> Cube:
+    """Store the cube of the processed table under ``out_path``; ``read_cube`` reads it again.
+
+    Cells and bitmaps are partitioned by year and month, as the sales are.
+    """
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out_path}/{name}"
+        if "month" not in df.columns:
+            return store(df, path)
+        spread = df.hint("rebalance", F.col("year"), F.col("month"))
+        spread.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return build_cube(sales, keep)
+
+
+def cube_report(cube: Cube, **bounds) -> dict[str, DataFrame]:
+    """The report tables of a slice that follow from the cube, without a look at the sales rows.
+
+    Equal to those of ``slice_report``. Discount spikes, the audit and the profile need the rows and
+    are not among them.
+    """
+    part = slice_cube(cube, **bounds)
+    totals = cube_totals(part)
+    overall = cube_overall(part)
+    revenue = part.cells.select("order_date", F.col("total_revenue_sum").alias("total_revenue"))
+    months = sales_trend_over_time(revenue)
+    return {
+        "share_of_total": cube_share(cube, **bounds),
+        "kpis": summarize_kpis(part.cells, overall),
+        "kpi_summary": kpi_summary(part.cells, overall),
+        "category_performance": category_performance(part.cells, totals),
+        "regional_performance": regional_performance(part.cells, totals),
+        "payment_performance": payment_performance(part.cells, totals),
+        "revenue_by_region": revenue_by(part.cells, "customer_region", totals),
+        "revenue_by_payment": revenue_by(part.cells, "payment_method", totals),
+        "top_categories": top_categories_by_sales(part.cells, totals=totals),
+        "recommendations": build_actionable_recommendations(part.cells, totals=totals),
+        "monthly_trend": monthly_trend(revenue, months),
+    }
+
+
 def filter_choices(sales: DataFrame) -> dict[str, DataFrame]:
     """The values a reader can pick per dimension."""
     return {name: dimension_values(sales, name) for name in DIMENSIONS}

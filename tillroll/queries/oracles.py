@@ -8,6 +8,7 @@ from tillroll.queries.registry import (
     DENSITY_POINTS,
     GENERATED_AT,
     HISTOGRAM_BINS,
+    LARGE_ID,
     OVERRIDES,
     PROFILE_COLUMNS,
     SLICE,
@@ -58,9 +59,9 @@ def _number(value: str) -> str:
 
 
 CLEAN = f"""{RAW}, typed AS (
-    SELECT TRY_CAST(order_id AS DOUBLE) AS order_id,
+    SELECT TRY_CAST(order_id AS BIGINT) AS order_id,
            TRY_CAST(order_date AS TIMESTAMP) AS order_date,
-           TRY_CAST(product_id AS DOUBLE) AS product_id, product_category,
+           TRY_CAST(product_id AS BIGINT) AS product_id, product_category,
            TRY_CAST(price AS DOUBLE) AS price,
            TRY_CAST(discount_percent AS DOUBLE) AS discount_percent,
            TRY_CAST(quantity_sold AS DOUBLE) AS quantity_sold,
@@ -112,11 +113,16 @@ PROFILED = f"""{SALES}, partly_rated AS (
 
 def _money(column: str, condition: str = "") -> str:
     where = f" FILTER (WHERE {condition})" if condition else ""
-    return f"coalesce(CAST(sum(TRY_CAST({column} AS DECIMAL(18,6))){where} AS DOUBLE), 0)"
+    return f"coalesce(CAST(sum({_exact(column)}){where} AS DOUBLE), 0)"
+
+
+def _exact(column: str) -> str:
+    """Infinity is left out; what else does not fit is an error."""
+    return f"CASE WHEN NOT isinf(CAST({column} AS DOUBLE)) THEN CAST({column} AS DECIMAL(28,6)) END"
 
 
 def _mean_money(column: str) -> str:
-    return f"round({_money(column)} / count(TRY_CAST({column} AS DECIMAL(18,6))), 6)"
+    return f"round({_money(column)} / count({_exact(column)}), 6)"
 
 
 def _ratio(numerator: str, denominator: str) -> str:
@@ -256,6 +262,13 @@ def _quality_oracles() -> dict[str, str]:
     )
     return {
         "clean_sales": _with(CLEAN, "SELECT * FROM clean"),
+        "large_order_ids": _with(
+            CLEAN.replace(
+                "TRY_CAST(order_id AS BIGINT)", f"{LARGE_ID} + TRY_CAST(order_id AS BIGINT) // 2"
+            ),
+            "SELECT count(*) AS row_count, count(DISTINCT order_id) AS orders, min(order_id) AS lowest, "
+            "max(order_id) AS highest FROM clean",
+        ),
         "clean_retention": _with(CLEAN, retention),
         "features": _with(
             f"{SALES}, {_features('sales')}", "SELECT * EXCLUDE (product_brand) FROM featured"
@@ -321,6 +334,7 @@ def _kpi_oracles() -> dict[str, str]:
         ),
         "slice_kpis": _with(sliced, KPI_RECORD),
         "slice_share": _with(SALES, share),
+        "slice_cube": _with(sliced, f"SELECT * FROM ({KPI_RECORD}) CROSS JOIN ({share})"),
         "slice_rows": _with(
             SALES,
             f"""SELECT order_id, order_date, total_revenue, product_category, customer_region,
@@ -422,6 +436,10 @@ def _report_oracles() -> dict[str, str]:
         "regional_performance": tickets("customer_region"),
         "payment_performance": tickets("payment_method"),
         "executive_tables": _with(SALES, bundle),
+        "slice_cube_totals": _with(
+            _cte(SALES, "part", f"SELECT * FROM sales WHERE {SLICE_CONDITION}"),
+            bundle.replace("FROM sales", "FROM part"),
+        ),
         "revenue_by_region": revenue("customer_region"),
         "revenue_by_payment": revenue("payment_method"),
         "leakage_by_category": _with(leaks, "SELECT * FROM leaks ORDER BY discount_value DESC"),

@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import exact_money
+from tillroll.operators import cube as cubes
 from tillroll.operators import features as fe
 from tillroll.operators import kpis, profiling, recommendations, recovery, reports, spikes
 from tillroll.operators import totals as tt
 from tillroll.operators import validation
+from tillroll.functions.coerce import ID_COLUMNS
 from tillroll.operators.cleaning import clean_sales_data, retention
+from tillroll.operators.inspection import integral_ids
 from tillroll.schema import DIMENSIONS, RAW_COLUMNS
+from tillroll.sources.scratch import Scratch
 from tillroll.sources.star import DEFECTS, raw_sales_view, sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +57,8 @@ PROFILE_COLUMNS = [
 ]
 BUNDLE_EXTRA = ["order_id", "order_date", "discount_percent", "rating", *DIMENSIONS]
 HISTOGRAM_BINS = 20
+#: From here on a DOUBLE does not hold every whole number.
+LARGE_ID = 2**53
 DENSITY_POINTS = 51
 
 MEASURES = ["price", "quantity_sold", "total_revenue"]
@@ -66,8 +72,9 @@ def _sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of the cleaned raw table."""
-    return fe.build_features(clean_sales_data(raw_sales_view(spark, sf_dir)))
+    """Features of the cleaned raw table, whose ids are whole numbers by its making."""
+    raw = raw_sales_view(spark, sf_dir)
+    return fe.build_features(clean_sales_data(raw, integral=ID_COLUMNS))
 
 
 def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +94,22 @@ def _wide(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_sales_data(raw_sales_view(spark, sf_dir))
+    raw = raw_sales_view(spark, sf_dir)
+    return clean_sales_data(raw, integral=integral_ids(raw))
+
+
+def large_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders of the cleaned table where ids are too large for a DOUBLE."""
+    raw = raw_sales_view(spark, sf_dir)
+    large = F.lit(LARGE_ID) + F.floor(F.col("order_id").cast("bigint") / 2)
+    raw = raw.withColumn("order_id", large.cast("string"))
+    clean = clean_sales_data(raw, integral=integral_ids(raw))
+    return clean.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("order_id").alias("orders"),
+        F.min("order_id").alias("lowest"),
+        F.max("order_id").alias("highest"),
+    )
 
 
 def clean_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +168,7 @@ def executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_sales_view(spark, sf_dir)
-    featured = exact_money(fe.build_features(clean_sales_data(raw)))
+    featured = exact_money(fe.build_features(clean_sales_data(raw, integral=ID_COLUMNS)))
     return kpis.collect_product_metrics(retention(raw), None, featured, generated_at=GENERATED_AT)
 
 
@@ -202,6 +224,25 @@ def slice_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.slice_share(rows, **SLICE)
 
 
+def _cube(spark: SparkSession, sf_dir: str) -> cubes.Cube:
+    rows = _sales(spark, sf_dir, "order_id", "order_date", "rating", *DIMENSIONS)
+    return cubes.build_cube(rows, Scratch(spark, "cube").keep)
+
+
+def slice_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs and share of a slice, answered by the stored daily cube."""
+    cube = _cube(spark, sf_dir)
+    part = cubes.slice_cube(cube, **SLICE)
+    record = kpis.summarize_kpis(part.cells, cubes.cube_overall(part))
+    return _rounded(record, "avg_rating").crossJoin(cubes.cube_share(cube, **SLICE))
+
+
+def slice_cube_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the slice per dimension value and overall, answered by the stored daily cube."""
+    part = cubes.slice_cube(_cube(spark, sf_dir), **SLICE)
+    return _rounded(cubes.cube_totals(part), "avg_ticket", "avg_rating")
+
+
 def dimension_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fe.dimension_values(sales_view(spark, sf_dir, ["payment_method"]), "payment_method")
 
@@ -386,8 +427,9 @@ def scenario_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scenario_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate for every category from default and overrides, then the breakdown at these rates."""
     rows = _sales(spark, sf_dir, "product_category")
-    rates = recovery.recovery_rates(rows, DEFAULT_RATE, OVERRIDES)
-    breakdown = recovery.simulate_leakage_recovery(rows, rates)
+    leaks = reports.leakage_by_category(rows)
+    rates = recovery.recovery_rates(leaks, DEFAULT_RATE, OVERRIDES)
+    breakdown = recovery.recovery_breakdown(leaks, rates)
     return _rounded(breakdown, "expected_uplift", "simulated_revenue")
 
 
@@ -440,6 +482,7 @@ def price_density_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "clean_sales": clean_sales,
+        "large_order_ids": large_order_ids,
         "clean_retention": clean_retention,
         "features": features,
         "schema_violations": schema_violations,
@@ -464,6 +507,8 @@ def all_queries() -> dict[str, Query]:
         "slice_rows": slice_rows,
         "slice_kpis": slice_kpis,
         "slice_share": slice_share,
+        "slice_cube": slice_cube,
+        "slice_cube_totals": slice_cube_totals,
         "dimension_values": dimension_values,
         "date_bounds": date_bounds,
         "monthly_trend": monthly_trend,
