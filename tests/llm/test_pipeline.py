@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from tillroll.llm import decontaminate, mixing, secrets, simhash, toxicity
+from tillroll.llm import decontaminate, mixing, near_copies, secrets, toxicity
 from tillroll.llm.queries import llm_oracles, llm_queries
 
-from test_simhash import classes_of, near_pairs, plain_fingerprint
+from test_near_copies import classes
 
 SMALL = "/root/testdata/sf0.001"
 available = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables not present")
@@ -42,12 +42,9 @@ def test_each_stage_against_brute_force(spark):
 
     table = spark.createDataFrame(list(map(lambda r: tuple(r[c] for c in columns), rows.values())), docs.schema)
     kept = stages["simhash_near_dedup"](spark, table, SMALL)
-    codes = {i: plain_fingerprint(r["text"]) for i, r in rows.items()}
-    roots = classes_of(sorted(set(codes.values())), near_pairs(sorted(set(codes.values()))))
-    least = {}
-    for i in sorted(codes):
-        least.setdefault(roots[codes[i]], i)
-    rows = {i: r for i, r in rows.items() if i in set(least.values())}
+    ids = sorted(rows)
+    least = {ids[place] for place in classes([rows[i]["text"] for i in ids])}
+    rows = {i: r for i, r in rows.items() if i in least}
     assert kept.columns == columns
     assert {r["doc_id"]: r.asDict() for r in kept.collect()} == rows
 
@@ -87,6 +84,6 @@ def test_run_is_the_stages(spark):
 
 
 def test_operators_have_own_modules():
-    assert {m.__name__ for m in (simhash, toxicity, decontaminate, secrets, mixing)} == {
-        f"tillroll.llm.{n}" for n in ("simhash", "toxicity", "decontaminate", "secrets", "mixing")
+    assert {m.__name__ for m in (near_copies, toxicity, decontaminate, secrets, mixing)} == {
+        f"tillroll.llm.{n}" for n in ("near_copies", "toxicity", "decontaminate", "secrets", "mixing")
     }

@@ -44,9 +44,14 @@ ALL_BITS = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def text_fingerprint(text: str | None) -> int:
     """Signed 64-bit fingerprint; zero for a null text and a text without words."""
+    return text_fingerprints(text, 1)[0]
+
+
+def text_fingerprints(text: str | None, count: int) -> list[int]:
+    """So many independent fingerprints, each of the hashes of the one before, mixed; zeros without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return [0] * count
     if len(words) < SHINGLE_WORDS:
         words = [b" ".join(words)]
         span = 1
@@ -57,7 +62,7 @@ def text_fingerprint(text: str | None) -> int:
     joined = b" ".join(words)
     n = len(words) - span + 1
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
+    ones = np.zeros((count, 64), np.int64)
     for at in range(0, n, CHUNK):
         stop = min(n, at + CHUNK)
         hashes = np.array(
@@ -69,9 +74,21 @@ def text_fingerprint(text: str | None) -> int:
             ],
             dtype="<u8",
         )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
+        for number in range(count):
+            if number:
+                hashes = _mixed(hashes)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[number] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<i8").ravel().tolist()
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other 64 bits of the same shingles (the finaliser of splitmix64)."""
+    h = hashes ^ (hashes >> np.uint64(30))
+    h = h * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
 def text_hash(text_col: str) -> F.Column:
@@ -86,10 +103,15 @@ def fingerprint(texts: pd.Series) -> pd.Series:
 
 def routes(blocks: int = BLOCKS, differences: int = MAX_DIFFERENCES) -> list[int]:
     """Masks, as signed longs, of all choices of ``blocks - differences`` whole blocks."""
+    return masks(blocks, blocks - differences)
+
+
+def masks(blocks: int, whole: int) -> list[int]:
+    """Masks, as signed longs, of all choices of ``whole`` of the blocks."""
     cuts = np.linspace(0, 64, blocks + 1).round().astype(int)
     parts = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(cuts[:-1], cuts[1:])]
-    masks = [sum(choice) for choice in combinations(parts, blocks - differences)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    chosen = [sum(choice) for choice in combinations(parts, whole)]
+    return [m - (1 << 64) if m >> 63 else m for m in chosen]
 
 
 def gray_rank(fp: F.Column) -> F.Column:
@@ -195,12 +217,48 @@ def _forest(u: np.ndarray, v: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray,
     return signed[moved], signed[label[moved]]
 
 
+def _nearest_forest(u: np.ndarray, v: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links that takes near pairs before far ones; each link is one of those given.
+
+    So the links of it within any distance span what all links within that distance do.
+    """
+    signed = fps.view(np.int64)
+    apart = np.bitwise_count(fps[u] ^ fps[v])
+    label = np.arange(len(fps))
+    us: list[int] = []
+    vs: list[int] = []
+    for distance in np.unique(apart):
+        here = np.flatnonzero(apart == distance)
+        here = here[label[u[here]] != label[v[here]]]
+        ends = np.sort(np.column_stack((label[u[here]], label[v[here]])), axis=1)
+        _, first = np.unique(ends[:, 0] * len(fps) + ends[:, 1], return_index=True)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        for link in here[first].tolist():
+            a, b = root(int(label[u[link]])), root(int(label[v[link]]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                us.append(u[link])
+                vs.append(v[link])
+        if parent:
+            moved = np.arange(len(fps))
+            for x in parent:
+                moved[x] = root(x)
+            label = moved[label]
+    return signed[us], signed[vs]
+
+
 PAGE_SCHEMA = "a long, b long, route int, key long, first long, mask long, pattern long, fps array<long>"
 
 
-def _page_rows(route, key, rank, fps, store, limit) -> dict:
+def _page_rows(route, key, rank, fps, store, limit, forest) -> dict:
     tree = PatternTree(fps)
-    a, b = _forest(*tree_links(tree, tree, limit), fps)
+    a, b = forest(*tree_links(tree, tree, limit), fps)
     n = len(a)
     out = {"a": a.tolist(), "b": b.tolist()}
     for name in ("route", "key", "first", "mask", "pattern", "fps"):
@@ -222,7 +280,7 @@ def _page_rows(route, key, rank, fps, store, limit) -> dict:
     return out
 
 
-def _cut_pages(page: int, limit: int):
+def _cut_pages(page: int, limit: int, forest=_forest):
     """Links within each page of a sorted partition, and the pages that can have neighbours.
 
     A key that begins or ends a partition may go on in another one; its pages are handed on, and
@@ -241,7 +299,7 @@ def _cut_pages(page: int, limit: int):
 
         def close(run, store):
             route, key, ranks, fps = run
-            rows = _page_rows(route, key, int(ranks[0]), fps, store, limit)
+            rows = _page_rows(route, key, int(ranks[0]), fps, store, limit, forest)
             return pa.RecordBatch.from_pydict(rows, schema) if rows["a"] else None
 
         for batch in batches:
@@ -277,40 +335,47 @@ def _cut_pages(page: int, limit: int):
     return cut
 
 
-def _compare_pages(limit: int):
+def _compare_pages(limit: int, forest=_forest):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y in zip(batch.column("fps"), batch.column("other")):
                 left = x.values.to_numpy().view(np.uint64)
                 right = y.values.to_numpy().view(np.uint64)
                 links = tree_links(PatternTree(left), PatternTree(right), limit)
-                a, b = _forest(*links, np.concatenate((left, right)))
+                a, b = forest(*links, np.concatenate((left, right)))
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
     return compare
 
 
 def near_links(
-    fingerprints: DataFrame, blocks: int = BLOCKS, page: int = PAGE, limit: int = MAX_DIFFERENCES
+    fingerprints: DataFrame,
+    blocks: int = BLOCKS,
+    page: int = PAGE,
+    limit: int = MAX_DIFFERENCES,
+    whole: int | None = None,
 ) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints (column fp) with at most ``limit`` bits apart.
 
     The links span the components of the full link graph; within a group they are a forest, not
-    all pairs.
+    all pairs. With ``whole``, routes ask for so many whole blocks in common, which may be more than
+    ``limit`` differing bits leave: then not every pair meets, and the links are pairs of
+    fingerprints themselves, near ones first, that something else may be asked of.
     """
-    masks = F.array(
+    forest = _forest if whole is None else _nearest_forest
+    routed = F.array(
         *[
             F.struct(F.lit(i).alias("route"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-            for i, m in enumerate(routes(blocks, limit))
+            for i, m in enumerate(masks(blocks, blocks - limit if whole is None else whole))
         ]
     )
-    routed = fingerprints.select("fp", gray_rank(F.col("fp")).alias("rank"), F.explode(masks).alias("m"))
+    routed = fingerprints.select("fp", gray_rank(F.col("fp")).alias("rank"), F.explode(routed).alias("m"))
     ordered = (
         routed.select("m.route", "m.key", "rank", "fp")
         .repartitionByRange("route", "key", "rank")
         .sortWithinPartitions("route", "key", "rank")
     )
-    pages = settle(ordered.mapInArrow(_cut_pages(page, limit), PAGE_SCHEMA), "pages")
+    pages = settle(ordered.mapInArrow(_cut_pages(page, limit, forest), PAGE_SCHEMA), "pages")
     within = pages.filter("a is not null").select("a", "b")
     roots = pages.filter("a is null").drop("a", "b")
     other = roots.select(
@@ -322,7 +387,7 @@ def near_links(
     pairs = roots.join(other, ["route", "key"]).filter(
         (F.col("first") < F.col("first_2")) & (apart <= limit)
     )
-    across = pairs.select("fps", "other").mapInArrow(_compare_pages(limit), "a long, b long")
+    across = pairs.select("fps", "other").mapInArrow(_compare_pages(limit, forest), "a long, b long")
     return within.union(across)
 
 
