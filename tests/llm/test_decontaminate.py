@@ -31,6 +31,69 @@ def test_verbatim_and_reparameterised(spark):
     assert not any(item == 1 for _, item in rows)
 
 
+TOM = "Tom has 5 apples. Tom gives 3 to Ann. Tom buys 12 pears. How many fruits does Tom have?"
+
+
+def test_names_that_open_sentences(spark):
+    """An exchanged name is one throughout, also where it opens a sentence."""
+    bob = TOM.replace("Tom", "Bob").replace("5", "8").replace("3", "2").replace("12", "41").replace("Ann", "Eve")
+    mixed = "Tom has 5 apples. Bob gives 3 to Ann. Max buys 12 pears. How many fruits does Zoe have?"
+    rows = found(spark, [bob, f"Intro words here. {bob} And more.", mixed, "Bob has many pears. How nice they are."], [TOM, ITEM])
+    assert {k: r["kind"] for k, r in rows.items()} == {(0, 0): "reparameterised", (1, 0): "reparameterised"}
+    assert rows[(0, 0)]["coverage"] == 1.0
+
+
+def test_texts_in_one_case(spark):
+    docs = [t.lower() for t in (TOM, ITEM)] + [t.upper() for t in (TOM, ITEM)]
+    rows = found(spark, docs, [TOM, ITEM])
+    assert set(rows) == {(0, 0), (1, 1), (2, 0), (3, 1)}
+    lower = ITEM.lower().replace("40", "95").replace("250", "80")
+    assert set(found(spark, [lower], [ITEM])) == {(0, 0)}
+
+
+def test_common_windows_are_not_joined_with_every_item(spark, monkeypatch):
+    """A window that all items share is asked of none of them; the rare ones are."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = ["what is the value of the sum of " + " ".join(word() for _ in range(12)) for _ in range(60)]
+    docs = ["well what is the value of the sum of things " + word() for _ in range(80)] + [f"{word()} {items[7]}"]
+    pairs = []
+    settled = decontaminate.settle
+
+    def watch(df, label):
+        stored = settled(df, label)
+        if label == "gate-passed":
+            pairs.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(decontaminate, "settle", watch)
+    assert set(found(spark, docs, items)) == {(80, 7)}
+    assert pairs == [1]
+
+
+def test_the_gate_loses_nothing(spark):
+    """Coverage and runs just at the bars, in every place of an item."""
+    rng = random.Random(22)
+    words = [f"{a}{b}{c}" for a in "bcdf" for b in "aeiou" for c in "klm"]
+    items = [" ".join(rng.choices(words, k=k)) for k in (5, 7, 9, 14, 30, 41)]
+    docs = []
+    for item in items:
+        tokens = item.split()
+        for start in range(len(tokens)):
+            for length in (13, len(tokens) - 1, len(tokens) - 2):
+                docs.append(" ".join(["zzz", *tokens[start : start + length], "yyy"]))
+    got = set(found(spark, docs, items))
+    for d, doc in enumerate(docs):
+        have = doc.split()
+        held = {tuple(have[i : i + 5]) for i in range(len(have) - 4)}
+        for i, item in enumerate(items):
+            want = item.split()
+            grams = [tuple(want[p : p + 5]) for p in range(len(want) - 4)]
+            hit = [g in held for g in grams]
+            run = max((len(r) for r in "".join("x" if h else " " for h in hit).split()), default=0)
+            assert ((d, i) in got) == (sum(hit) >= 0.8 * len(grams) or run + 4 >= 13)
+
+
 def test_slots_must_agree(spark):
     item = "take 5 apples then add 5 pears and share 5 plums among 9 friends but keep 5 nuts for 9 others at home"
     good = item.replace("5", "71").replace("9", "12")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -72,6 +73,43 @@ def test_context_finds_what_patterns_do_not(spark):
     assert rows[0]["spans"] == "guess:12:24"
 
 
+PROSE = [
+    "Remember that patience is important: the token is case-sensitive, as a case may be sensitive.",
+    "It is important to remember the case of a sensitive word, and patience helps.",
+    "Patience, says the manual, is important. Remember it in each sensitive case.",
+]
+SAID = ["the token is case-sensitive here", "the secret is patience", "Passwords: Remember to change", "the password is important",
+        "a token issued today", "the credentials isolatedvalue99x"]
+
+
+def test_words_of_the_corpus_are_cheap(spark):
+    """What stands in running text is no secret, nor what merely begins like a context."""
+    texts = [*SAID, *PROSE, "passphrase: vT9$zKw2#Xq7", "the secret is zqxvkjwpfh"]
+    rows = secrets.secret_spans(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["n_guess"] for r in rows] == [0] * 9 + [1, 1]
+    clean = secrets.redact_secrets(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["text"] for r in clean][:9] == texts[:9]
+
+
+def test_a_secret_in_many_copies_is_no_word(spark):
+    """Words are counted outside the values, so that copies of a document do not make its secret cheap."""
+    texts = ["pwd = zqxvkjwpfh"] * 40 + ["pwd = gatherings", "gatherings", "Gatherings!", "the gatherings"]
+    rows = secrets.secret_spans(documents(spark, texts)).orderBy("doc_id").collect()
+    assert [r["n_guess"] for r in rows] == [1] * 40 + [0] * 4
+
+
+def test_guesses_of_words_follow_their_share(spark):
+    texts = ["alpha betagamma"] * 30 + ["deltaepsilon zeta"] * 3 + ["pwd = betagamma1", "pwd = deltaepsilon1"]
+    docs = documents(spark, texts)
+    values = spark.createDataFrame([("betagamma1",), ("deltaepsilon1",)], "value string")
+    counts = {"betagamma": 30, "deltaepsilon": 3}
+    total = 33 * 2 + 2
+    want = {v: secrets.guess_cost(v, {w: math.log10(total / n) for w, n in counts.items()}) for v in ("betagamma1", "deltaepsilon1")}
+    assert want["betagamma1"] < want["deltaepsilon1"] < 10
+    assert secrets.dear_values(docs, values).count() == 0
+    assert secrets.dear_values(documents(spark, ["x"]), values).count() == 2
+
+
 def test_redaction(spark):
     docs = documents(spark, ["a token = abcdef1 b", "clean", "x " + "0a" * 20 + " y"])
     rows = secrets.redact_secrets(docs).orderBy("doc_id").collect()

@@ -8,6 +8,16 @@ must agree: each value of the item stands for one and the same value of the docu
 throughout. So a question is found again when its names and figures have been exchanged, but not
 where its slots are filled at random; there only windows with equal values count.
 
+Whether a capitalised word that opens a sentence is a name cannot be seen, nor which words of a text
+in one case are names. So windows have variants: on both sides one in which opening words are slots
+too, and of items one in which names are plain words. Windows meet in any variant; the slots are
+checked all the same.
+
+Only documents that pass a gate are joined in full. Who holds ``COVERAGE`` of an item's windows holds
+one of any set of more windows than may be missed, and who holds ``RUN_WORDS`` words in a row one of
+every so many windows. Of each item the rarest of such windows are asked for first, so that a
+window that is common among items is not joined with all of them.
+
 A document is contaminated by an item if it holds at least ``COVERAGE`` of the item's windows, or
 ``RUN_WORDS`` template words of it in a row.
 
@@ -72,8 +82,8 @@ class _Codes(dict):
 _codes = _Codes()
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Template words and slot values (0: no slot) of a text, as hashes."""
+def _parts(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of a text, their slots (0: none) and whether they are capitalised and open a sentence."""
     tokens = _TOKEN.findall(text or "")
     codes = np.fromiter(map(_codes.__getitem__, tokens), np.int64, len(tokens))
     kind = codes & 7
@@ -83,9 +93,34 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         1,
         np.where((kind == _UNIT) & (before == _NUMBER), 2, np.where((kind == _TITLE) & (before != _MARK), 3, 0)),
     )
-    word = codes >> 3
     keep = kind != _MARK
-    return np.where(slot > 0, slot, word)[keep], np.where(slot > 0, word, 0)[keep]
+    return (codes >> 3)[keep], slot[keep], ((kind == _TITLE) & (before == _MARK))[keep]
+
+
+def _filled(word: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.where(slot > 0, slot, word), np.where(slot > 0, word, 0)
+
+
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Template words and slot values (0: no slot) of a text, as hashes."""
+    word, slot, _ = _parts(text)
+    return _filled(word, slot)
+
+
+def window_variants(text: str | None, of_item: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, places and slot values of a text's windows, then of those that a variant changes."""
+    word, slot, opening = _parts(text)
+    variants = [(slot, None), (np.where(opening, 3, slot), opening)]
+    if of_item:
+        variants.append((np.where(slot == 3, 0, slot), slot == 3))
+    for changed_slot, changed in variants:
+        words, values = _filled(word, changed_slot)
+        keys = window_keys(words, values)
+        at = np.arange(len(keys))
+        if changed is not None and len(keys):
+            counts = np.concatenate(([0], np.cumsum(changed)))
+            at = at[counts[np.minimum(at + WINDOW, len(word))] > counts[at]]
+        yield keys[at], at, values
 
 
 def window_keys(words: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -115,33 +150,59 @@ _ARROW = pa.schema(
 
 
 def _windows(bits=None):
-    """Windows of texts; with ``bits``, only those that the filter lets through."""
+    """Windows of items; with ``bits``, those of documents that the filter lets through."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if bits is None else bits.value
         for batch in batches:
             out: dict[str, list] = {name: [] for name in _ARROW.names}
             for owner, digest, text in zip(*(batch.column(c).to_pylist() for c in ("owner", "text_hash", "text"))):
-                words, values = template(text)
-                keys = window_keys(words, values)
-                at = np.arange(len(keys))
-                if known is not None:
-                    at = np.flatnonzero(let_through(known, keys))
-                if not len(at):
-                    continue
-                held = [values[i : i + WINDOW] for i in at]
-                out["owner"] += [owner] * len(at)
-                out["text_hash"] += [digest] * len(at)
-                out["key"] += keys[at].tolist()
-                out["at"] += at.tolist()
-                out["n_windows"] += [len(keys)] * len(at)
-                out["slots"] += [v.tolist() if v.any() else [] for v in held]
+                n_windows = 0
+                for keys, at, values in window_variants(text, known is None):
+                    n_windows = n_windows or len(keys)
+                    if known is not None and len(keys):
+                        here = let_through(known, keys)
+                        keys, at = keys[here], at[here]
+                    if not len(at):
+                        continue
+                    held = [values[i : i + WINDOW] for i in at]
+                    out["owner"] += [owner] * len(at)
+                    out["text_hash"] += [digest] * len(at)
+                    out["key"] += keys.tolist()
+                    out["at"] += at.tolist()
+                    out["n_windows"] += [n_windows] * len(at)
+                    out["slots"] += [v.tolist() if v.any() else [] for v in held]
             if out["key"]:
                 yield pa.RecordBatch.from_pydict(out, _ARROW)
 
     return rows
 
 
+def _gate(items: DataFrame) -> DataFrame:
+    """``item_id, item_hash, item_key`` of the windows one of which every holder of the item has.
+
+    Of the item's places as many as may be missed and one more, those whose windows the fewest items
+    hold, and one place of every ``RUN_WORDS - WINDOW + 1``; all variants of these places.
+    """
+    held = items.groupBy("item_key").agg(F.count_distinct("item_id", "item_hash").alias("held"))
+    item = ["item_id", "item_hash"]
+    counted = items.join(held, "item_key")
+    places = counted.groupBy(*item, "item_windows", "item_at").agg(F.max("held").alias("held"))
+    # An item's windows are one text's, not a group that grows with the tables.
+    listed = places.groupBy(*item, "item_windows").agg(F.array_sort(F.collect_list(F.struct("held", "item_at"))).alias("all"))
+    # A hair less, so that rounding does not ask for a window too many.
+    missed = F.col("item_windows") - F.ceil(F.col("item_windows") * COVERAGE - 1e-9)
+    rarest = F.slice("all", 1, (missed + 1).cast("int"))["item_at"]
+    every = RUN_WORDS - WINDOW + 1
+    spaced = F.filter(F.col("all")["item_at"], lambda at: at % every == every - 1)
+    chosen = listed.select(
+        F.col("item_id").alias("g_id"), F.col("item_hash").alias("g_hash"),
+        F.explode(F.array_union(rarest, spaced)).alias("g_at"),
+    )
+    same = items["item_id"].eqNullSafe(chosen["g_id"]) & (items["item_hash"] == chosen["g_hash"]) & (items["item_at"] == chosen["g_at"])
+    return items.join(chosen, same, "left_semi").select(*item, "item_key").distinct()
+
+
 def _texts(df: DataFrame, id_col: str) -> DataFrame:
     return df.select(
         F.col(id_col).cast("long").alias("owner"), text_hash("text").alias("text_hash"), F.col("text")
@@ -180,8 +241,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "benchmark-windows",
     )
     bits = spark.sparkContext.broadcast(key_filter(items.select(F.col("item_key").alias("key"))))
-    hits = _texts(docs, "doc_id").mapInArrow(_windows(bits), _SCHEMA)
-    met = hits.join(items, hits["key"] == items["item_key"])
+    hits = settle(_texts(docs, "doc_id").mapInArrow(_windows(bits), _SCHEMA).distinct(), "window-hits")
+    gate = settle(_gate(items), "gate-windows").withColumnRenamed("item_key", "key")
+    passed = settle(
+        hits.select("owner", "text_hash", "key").distinct().join(gate, "key")
+        .select(*[F.col(c).alias(f"g_{c}") for c in ("owner", "text_hash", "item_id", "item_hash")])
+        .distinct(),
+        "gate-passed",
+    )
+    own = hits["owner"].eqNullSafe(passed["g_owner"]) & (hits["text_hash"] == passed["g_text_hash"])
+    asked = hits.join(passed, own)
+    met = asked.join(
+        items,
+        (asked["key"] == items["item_key"])
+        & (asked["g_item_hash"] == items["item_hash"])
+        & asked["g_item_id"].eqNullSafe(items["item_id"]),
+    )
     same = F.col("slots") == F.col("item_slots")
     pairs = F.filter(
         F.arrays_zip(F.col("item_slots").alias("was"), F.col("slots").alias("now")),
@@ -236,10 +311,17 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(bad, same, "left_anti")
 
 
-def _windows_sql(name: str, table: str, id_col: str) -> str:
+def _windows_sql(name: str, table: str, id_col: str, of_item: bool = False) -> str:
     """CTEs that end in ``<name>``: a row per window with key, place, count and slot values."""
     units = ", ".join(f"'{unit}'" for unit in sorted(UNITS))
-    spread = f"OVER (PARTITION BY id, text ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)"
+    variants = [("slot", "false"), ("CASE WHEN opening THEN 3 ELSE slot END", "opening")]
+    if of_item:
+        variants.append(("CASE WHEN slot = 3 THEN 0 ELSE slot END", "slot = 3"))
+    variants = " UNION ALL ".join(
+        f"SELECT id, text, i, token, {number} AS variant, {slot} AS slot, {changed} AS changed FROM {name}_slots WHERE kind <> 'mark'"
+        for number, (slot, changed) in enumerate(variants)
+    )
+    spread = f"OVER (PARTITION BY id, text, variant ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)"
     return f"""
 {name}_tokens AS (
   SELECT id, text, unnest(l) AS token, generate_subscripts(l, 1) AS i
@@ -254,22 +336,24 @@ def _windows_sql(name: str, table: str, id_col: str) -> str:
 ),
 {name}_slots AS (
   SELECT *, CASE WHEN kind = 'number' THEN 1 WHEN kind = 'unit' AND before = 'number' THEN 2
-    WHEN kind = 'title' AND before <> 'mark' THEN 3 ELSE 0 END AS slot
+    WHEN kind = 'title' AND before <> 'mark' THEN 3 ELSE 0 END AS slot,
+    kind = 'title' AND before = 'mark' AS opening
   FROM (SELECT *, lag(kind, 1, 'mark') OVER (PARTITION BY id, text ORDER BY i) AS before FROM {name}_kinds)
 ),
 {name}_words AS (
   SELECT id, text, CASE WHEN slot > 0 THEN '<' || slot || '>' ELSE lower(token) END AS word,
-    CASE WHEN slot > 0 THEN lower(token) ELSE '' END AS value,
-    row_number() OVER (PARTITION BY id, text ORDER BY i) - 1 AS pos,
-    count(*) OVER (PARTITION BY id, text) AS n
-  FROM {name}_slots WHERE kind <> 'mark'
+    CASE WHEN slot > 0 THEN lower(token) ELSE '' END AS value, variant, changed,
+    row_number() OVER (PARTITION BY id, text, variant ORDER BY i) - 1 AS pos,
+    count(*) OVER (PARTITION BY id, text, variant) AS n
+  FROM ({variants})
 ),
 {name} AS (
   SELECT id, text, pos, n - least(n, {WINDOW}) + 1 AS n_windows, vals,
     array_to_string(ws, ' ') || CASE WHEN len(list_filter(vals, lambda v: v = '')) < {MIN_LITERALS}
       THEN '|' || array_to_string(vals, ' ') ELSE '' END AS key
-  FROM (SELECT *, list(word) {spread} AS ws, list(value) {spread} AS vals FROM {name}_words)
-  WHERE pos <= n - least(n, {WINDOW})
+  FROM (SELECT *, list(word) {spread} AS ws, list(value) {spread} AS vals, bool_or(changed) {spread} AS touched
+    FROM {name}_words)
+  WHERE pos <= n - least(n, {WINDOW}) AND (variant = 0 OR touched)
 )"""
 
 
@@ -277,7 +361,7 @@ def contaminated_sql(docs: str = "documents", benchmark: str = "benchmark") -> s
     """The rows of ``contaminated`` (without the text hash) for DuckDB."""
     pair = "id, text, item_id, item_text, n_windows"
     return f"""
-WITH {_windows_sql("d", docs, "doc_id")}, {_windows_sql("b", benchmark, "item_id")},
+WITH {_windows_sql("d", docs, "doc_id")}, {_windows_sql("b", benchmark, "item_id", True)},
 met AS (
   SELECT d.id, d.text, b.id AS item_id, b.text AS item_text, b.n_windows, b.pos, d.pos - b.pos AS shift,
     b.vals = d.vals AS same, b.vals AS was, d.vals AS now

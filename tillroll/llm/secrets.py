@@ -6,7 +6,11 @@ value into words, dates, repeats, keyboard walks, sequences and brute-force span
 product of the guesses is smallest. Words that stand for a secret (``changeme``) or plain words
 stay cheap and are left alone; random values are dear.
 
-Every text is worked on by itself, so no row meets another one and nothing is shuffled.
+The words are those of the corpus. A word that stands in a share p of all places where documents
+hold different words takes at most 1/p guesses of someone who tries frequent words first. Only words
+that the values themselves may be cut into are counted, over all documents, and outside of such
+values, so that copies of a document do not make a word of its secret. Texts without such a value
+are worked on by themselves.
 """
 
 from __future__ import annotations
@@ -14,16 +18,26 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
+from collections.abc import Collection, Iterator, Mapping
+from types import MappingProxyType
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+
+from tillroll.llm.common import key_filter, let_through, settle
 
 KINDS = ("assign", "access", "hex")
 #: Values with at least this many guesses, as a power of ten, are secrets.
 MIN_GUESSES_LOG10 = 10.0
 MIN_VALUE = 8
+#: Documents a word must stand in before it counts as one.
+FREQUENT_WORD = 3
 #: Dictionary words are looked up to this length; longer words are cut.
 MAX_WORD = 16
 
@@ -40,7 +54,7 @@ _CONTEXT_NAMES = (
     "secret", "token", "apikey", "api_key", "api-key",
 )
 _CONTEXT = re.compile(
-    rf"""(?<![A-Za-z0-9])(?:{"|".join(_CONTEXT_NAMES)})s?["']?(?:\x20{{0,4}}(?:[:=]|=>)|\x20is:?)\x20{{0,4}}["']?([^\s"',;<>]+)""",
+    rf"""(?<![A-Za-z0-9])(?:{"|".join(_CONTEXT_NAMES)})s?["']?(?:\x20{{0,4}}(?:=>|[:=])\x20{{0,4}}|\x20is:?\x20{{1,4}})["']?([^\s"',;<>]+)""",
     re.ASCII | re.IGNORECASE,
 )
 
@@ -63,6 +77,7 @@ _DATE = re.compile(
     r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?"
     r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d"
 )
+_WORD = re.compile(r"[^\W\d_]+")
 _LOG_DATE = math.log10(365 * 120)
 _LOG_START = math.log10(47)
 
@@ -90,9 +105,11 @@ def _beside(a: str, b: str) -> bool:
     return p is not None and q is not None and a != b and max(abs(p[0] - q[0]), abs(p[1] - q[1])) <= 1
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, words: Mapping[str, float] = MappingProxyType({})) -> float:
     """Least guesses, as a power of ten, over all cuts of ``value`` into known spans.
 
+    ``words`` has the guesses, as powers of ten, of words beyond ``COMMON_WORDS``.
+
     A brute-force span pays for each of its characters; a known span pays its own cost and one
     guess in ten for being chosen. The program is linear in the length: words are of bounded
     length, and of a run (repeat, walk, sequence) each place has one longest end.
@@ -109,14 +126,12 @@ def guess_cost(value: str) -> float:
         here = best[i]
         best[i + 1] = min(best[i + 1], here + _brute(value[i]))
         for j in range(i + 2, min(n, i + MAX_WORD) + 1):
-            rank = _RANK.get(low[i:j])
-            leet = 0.0
-            if rank is None:
-                rank, leet = _RANK.get(plain[i:j]), math.log10(2)
-            if rank is not None:
-                part = value[i:j]
-                case = 0.0 if part == low[i:j] or part.isupper() or part.istitle() else j - i
-                cost = math.log10(rank + 1) + leet + case * math.log10(2)
+            part = value[i:j]
+            case = 0.0 if part == low[i:j] or part.isupper() or part.istitle() else j - i
+            for word, leet in {plain[i:j]: math.log10(2), low[i:j]: 0.0}.items():
+                rank = _RANK.get(word)
+                known = math.inf if rank is None else math.log10(rank + 1)
+                cost = min(known, words.get(word, math.inf)) + leet + case * math.log10(2)
                 best[j] = min(best[j], here + cost + 1)
         for ends, start in ((repeats, _brute(value[i])), (walks, _LOG_START), (rising, 1.0), (falling, 1.3)):
             j = ends[i]
@@ -139,23 +154,42 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def guessed_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Values in a credential context, outside the known spans, that are dear to guess."""
+def context_spans(text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Values in a credential context, outside the known spans: the value, its start and end."""
     lower = text.lower()
     if not any(name in lower for name in _CONTEXT_NAMES):
         return []
     found = []
     for m in _CONTEXT.finditer(text):
-        start, end = m.span(1)
+        start = m.start(1)
         value = m[1].rstrip(".!?:)]}*#%&$")
         end = start + len(value)
-        if len(value) < MIN_VALUE or any(s < end and start < e for _, s, e in known):
-            continue
-        if guess_cost(value) >= MIN_GUESSES_LOG10:
-            found.append(("guess", start, end))
+        if len(value) >= MIN_VALUE and not any(s < end and start < e for _, s, e in known):
+            found.append((value, start, end))
     return found
 
 
+def parts_of(value: str) -> set[str]:
+    """The words that a value may be cut into: runs of three letters or more, also behind usual swaps."""
+    low = value.lower()
+    return {
+        form[i:j]
+        for form in (low, low.translate(_LEET))
+        for i in range(len(form))
+        for j in range(i + 3, min(len(form), i + MAX_WORD) + 1)
+        if form[i:j].isalpha()
+    }
+
+
+def corpus_words(text: str) -> set[str]:
+    """The different words of a text outside the values that stand in a credential context."""
+    out, at = [], 0
+    for _, start, end in context_spans(text, []):
+        out.append(text[at:start])
+        at = end
+    return set(_WORD.findall(" ".join([*out, text[at:]]).lower()))
+
+
 def _written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -170,13 +204,18 @@ RESULT = StructType(
 )
 
 
+def guessed_spans(text: str, known: list[tuple[str, int, int]], dear: Collection[str]) -> list[tuple[str, int, int]]:
+    """Those of the values in a credential context that are ``dear`` to guess."""
+    return [("guess", start, end) for value, start, end in context_spans(text, known) if value in dear] if len(dear) else []
+
+
 @F.pandas_udf(RESULT)
-def find_secrets(texts: pd.Series) -> pd.DataFrame:
+def find_secrets(texts: pd.Series, dear: pd.Series) -> pd.DataFrame:
     rows = []
-    for text in texts:
+    for text, values in zip(texts, dear):
         text = text or ""
         base = base_spans(text)
-        more = guessed_spans(text, base)
+        more = guessed_spans(text, base, values)
         order = (*KINDS, "guess")
         spans = sorted(base + more, key=lambda s: (s[1], order.index(s[0])))
         counts = [sum(s[0] == kind for s in base) for kind in KINDS]
@@ -186,13 +225,13 @@ def find_secrets(texts: pd.Series) -> pd.DataFrame:
 
 
 @F.pandas_udf(StringType())
-def _redacted(texts: pd.Series) -> pd.Series:
+def _redacted(texts: pd.Series, dear: pd.Series) -> pd.Series:
     out = []
-    for text in texts:
+    for text, values in zip(texts, dear):
         if text:
             base = base_spans(text)
             merged: list[list[int]] = []
-            for _, start, end in sorted(base + guessed_spans(text, base), key=lambda s: s[1]):
+            for _, start, end in sorted(base + guessed_spans(text, base, values), key=lambda s: s[1]):
                 if merged and start < merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], end)
                 else:
@@ -203,14 +242,105 @@ def _redacted(texts: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _context_values(texts: pd.Series) -> pd.Series:
+    return pd.Series([[v for v, *_ in context_spans(x, base_spans(x))] if x else [] for x in texts], dtype=object)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _parts(values: pd.Series) -> pd.Series:
+    return pd.Series([sorted(parts_of(value)) for value in values], dtype=object)
+
+
+@F.pandas_udf(DoubleType())
+def _costs(values: pd.Series, words: pd.Series, counts: pd.Series, totals: pd.Series) -> pd.Series:
+    out = []
+    for value, parts, seen, total in zip(values, words, counts, totals):
+        guesses = {w: math.log10(total / n) for w, n in zip(parts, seen)}
+        out.append(guess_cost(value, guesses))
+    return pd.Series(out, dtype="float64")
+
+
+def _word_counts(bits):
+    """In how many documents each word stands that may be asked for, and, as the empty word, the sum over all words."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: Counter[str] = Counter()
+            for text in batch.column("text").to_pylist():
+                words = corpus_words(text or "")
+                held[""] += len(words)
+                held.update(w for w in words if 2 < len(w) <= MAX_WORD)
+            words = list(held)
+            keys = np.array([_word_key(w) for w in words], np.int64)
+            here = let_through(bits.value, keys)
+            here[0] = True
+            kept = [w for w, keep in zip(words, here.tolist()) if keep]
+            yield pa.RecordBatch.from_pydict({"word": kept, "n": [held[w] for w in kept]})
+
+    return counts
+
+
+def _word_key(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) - (1 << 63)
+
+
+@F.pandas_udf(LongType())
+def _word_keys(words: pd.Series) -> pd.Series:
+    return pd.Series([_word_key(w) for w in words], dtype="int64")
+
+
+def dear_values(texts: DataFrame, values: DataFrame) -> DataFrame:
+    """The stored, distinct ``values`` (column value) that are dear to guess, by the words of all ``texts``."""
+    spark = texts.sparkSession
+    parts = settle(values.select("value", F.explode(_parts("value")).alias("word")), "value-parts")
+    bits = key_filter(parts.select("word").distinct().select(_word_keys("word").alias("key")))
+    shared = spark.sparkContext.broadcast(bits)
+    seen = texts.select("text").mapInArrow(_word_counts(shared), "word string, n long")
+    seen = settle(seen.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    total = seen.filter("word = ''").agg(F.coalesce(F.max("n"), F.lit(1)).alias("total"))
+    known = (
+        parts.join(seen.filter(F.col("n") >= FREQUENT_WORD), "word")
+        .groupBy("value")
+        .agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
+    )
+    asked = values.join(known, "value", "left").crossJoin(total)
+    nothing = F.array().cast("array<string>"), F.array().cast("array<long>")
+    cost = _costs("value", F.coalesce("words", nothing[0]), F.coalesce("counts", nothing[1]), "total")
+    return settle(asked.select("value", cost.alias("cost")).filter(F.col("cost") >= MIN_GUESSES_LOG10), "dear-values")
+
+
+def _with_dear_values(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows of ``docs`` as columns c0, c1, ..., ``body`` and the dear values in it, ``dear``.
+
+    Only rows that hold a value in a credential context meet the table of values.
+    """
+    names = docs.columns
+    columns = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)]
+    rows = docs.select(*columns, F.col("text").alias("body"), _context_values(F.col("text")).alias("found"))
+    none = F.array().cast("array<string>").alias("dear")
+    held = settle(rows.filter(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()), "context-rows")
+    out = rows.filter(F.size("found") == 0).select(*rows.columns[:-1], none)
+    if held.isEmpty():
+        return docs.select(*columns, F.col("text").alias("body"), none), names
+    placed = held.select("row", F.explode(F.array_distinct("found")).alias("value"))
+    values = settle(placed.select("value").distinct(), "context-values")
+    dear = placed.join(dear_values(docs, values), "value").groupBy("row").agg(F.collect_list("value").alias("values"))
+    met = held.join(dear, "row", "left").select(
+        *rows.columns[:-1], F.coalesce("values", F.array().cast("array<string>")).alias("dear")
+    )
+    return out.unionByName(met), names
+
+
 def secret_spans(docs: DataFrame) -> DataFrame:
     """``doc_id`` and, per row, counts of the base kinds, digest of the base spans, all spans.
 
     Spans are ``kind:start:end`` in code points, ends exclusive, by start and then kind. A null
-    or empty text has none. Repeated rows and null ids give rows like any other; an empty table
-    gives no rows. Other columns are ignored, whatever their names.
+    or empty text has none; a text of any length is read whole. Repeated rows and null ids give rows
+    like any other; an empty table gives no rows. Other columns are ignored, whatever their names.
     """
-    return docs.select("doc_id", find_secrets(F.col("text")).alias("found")).select("doc_id", "found.*")
+    rows, names = _with_dear_values(docs.select("doc_id", "text"))
+    return rows.select(F.col("c0").alias("doc_id"), find_secrets("body", "dear").alias("found")).select("doc_id", "found.*")
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
@@ -219,8 +349,12 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     No row goes, since the rest of a text is as good as before. Null texts stay null; a column
     ``n_chars`` is brought up to date.
     """
-    changed = docs.withColumn("text", _redacted(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
-    return changed
+    rows, names = _with_dear_values(docs)
+    places = [F.col(f"c{i}") for i in range(len(names))]
+    clean = rows.withColumn("body", _redacted("body", "dear"))
+    for i, name in enumerate(names):
+        if name == "text":
+            places[i] = F.col("body")
+        elif name == "n_chars":
+            places[i] = F.length("body").cast(docs.schema["n_chars"].dataType)
+    return clean.select(*[place.alias(name) for place, name in zip(places, names)])
