@@ -1,4 +1,7 @@
 import inspect
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -87,3 +90,17 @@ def test_slice_dates_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in physical(
         driver.queries()["slice_rows"](spark, SMALL)
     )
+
+
+@pytest.mark.parametrize("left", ["nothing", "emptied", "pipeline"])
+def test_the_entry_does_without_the_training_data_package(tmp_path, left):
+    """Without the package, with an emptied folder of it, and with the pipeline file left behind."""
+    home = Path(driver.__file__).parent
+    shutil.copytree(home / "tillroll", tmp_path / "tillroll", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(home / "__spark_entry__.py", tmp_path)
+    if left != "nothing":
+        (tmp_path / "tillroll" / "llm" / "__pycache__").mkdir(parents=True)
+    if left == "pipeline" and (home / "corpus_pipeline.py").exists():
+        shutil.copy(home / "corpus_pipeline.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'clean_sales' in q and 'pipeline' not in q; e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
