@@ -8,20 +8,16 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.scratch import shared_folder
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder for stored intermediate tables, shared by driver and executors.
-
-    ``spark.checkpoint.dir`` wins, then a folder set on the context. Where neither is set, as in
-    tests, the warehouse is used, which every node reaches too.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    root = named or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/tables"
+    """The folder for stored intermediate tables, shared by driver and executors; see ``shared_folder``."""
+    return f"{shared_folder(spark)}/tables"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,9 +1,12 @@
 """License scans: TF-IDF cosine to templates, then inheritance down the directory tree.
 
-A text that speaks of a license is looked at in parts: each line with a cue word (long lines in
-overlapping windows), and the whole text, which tells licence files from files with a header. Each
-part is a sparse vector over its words, weighted by how rare a word is among the templates, and is
-held against every template by the cosine. The best template from ``SURE`` on names the license.
+A text that speaks of a license is looked at as one sequence of words, so that neither line breaks
+nor comment marks matter. Where a word stands that is rare among the templates, a window is
+laid over the words as the template lies around it, of the template's own length. Each window, and
+the whole text, which tells licence files from files with a header, is a sparse vector over its
+words, weighted by how rare a word is among the templates, and is held against every template by the
+cosine. Of the templates from ``SURE`` on the best one names the license; a long template counts for
+a little more, since more words agree.
 A file whose whole text is such a template, or whose name says so, licenses its directory; files
 without a license of their own inherit that of the nearest directory above them.
 
@@ -26,10 +29,9 @@ from tillroll.llm.simhash import text_hash
 SURE = 0.75
 #: From here on a whole text is nothing but a license.
 FILE_SURE = 0.95
-#: Words of a window, and the step from one to the next, in lines longer than a window.
-WINDOW_WORDS = 24
-WINDOW_STEP = 8
-CUE = r"(?i)licen[cs]e|copyright|spdx|permission is hereby|public domain|cc0|cc by|cc-by"
+#: Rarest words of a template by which windows are laid over a text.
+ANCHORS = 2
+CUE = r"(?i)licen[cs]e|copyright|spdx|permission\s|redistribution|public\s+domain|cc0|cc by|cc-by"
 LICENCE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([._-][a-z0-9.-]+)?$"
 _WORD = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
 
@@ -72,7 +74,41 @@ TEMPLATES = [
     ("CC0-1.0", "Released under CC0 1.0 Universal, dedicated to the public domain."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Released under the ISC License."),
+    ("ISC", "Licensed under the ISC License."),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted",
+    ),
+    (
+        "BSD-3-Clause",
+        "Use of this source code is governed by a BSD-style license that can be found in the "
+        "LICENSE file.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met",
+    ),
+    (
+        "BSD-3-Clause",
+        "may be used to endorse or promote products derived from this software without specific "
+        "prior written permission",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ),
+    # Without the lines around it, this does not say which version.
+    ("GPL", "it under the terms of the GNU General Public License as published by"),
 ]
+TEMPLATES += [(spdx, f"SPDX-License-Identifier: {spdx}") for spdx in dict.fromkeys(name for name, _ in TEMPLATES)]
 
 
 def template_vectors() -> tuple[list[tuple[int, str, str, float]], dict[str, float], float]:
@@ -88,28 +124,54 @@ def template_vectors() -> tuple[list[tuple[int, str, str, float]], dict[str, flo
     return rows, rarity, math.log(1 + n) + 1
 
 
+def template_anchors() -> dict[str, list[tuple[int, int]]]:
+    """For each anchor word the places it has in a template and the template's length."""
+    _, rarity, _ = template_vectors()
+    out: dict[str, set[tuple[int, int]]] = {}
+    for _, text in TEMPLATES:
+        words = re.findall(_WORD, text.lower())
+        rarest = sorted(dict.fromkeys(words), key=lambda word: -rarity[word])[:ANCHORS]
+        for word in rarest:
+            out.setdefault(word, set()).add((words.index(word), len(words)))
+    return {word: sorted(places) for word, places in sorted(out.items())}
+
+
+def template_lengths() -> list[int]:
+    return [len(re.findall(_WORD, text.lower())) for _, text in TEMPLATES]
+
+
 def _words(text: F.Column) -> F.Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
 def _parts(files: DataFrame) -> DataFrame:
-    """``file, part, whole, words`` of the texts with a cue: their lines, and themselves."""
-    cued = files.filter(F.col("text").rlike(CUE)).select("file", "text")
-    lines = cued.select(
-        "file", F.posexplode(F.filter(F.split("text", r"\R"), lambda line: line.rlike(CUE))).alias("line", "text")
-    ).select("file", "line", _words(F.col("text")).alias("words"))
-    last = F.greatest(F.size("words") - WINDOW_WORDS + WINDOW_STEP - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), last, F.lit(WINDOW_STEP))
-    windows = lines.select("file", "line", F.explode(starts).alias("at"), "words").select(
+    """``file, part, whole, words`` of the texts with a cue: windows laid at their anchors, and themselves."""
+    cued = files.filter(F.col("text").rlike(CUE)).select("file", _words(F.col("text")).alias("words"))
+    anchors = F.create_map(
+        *[
+            entry
+            for word, places in template_anchors().items()
+            for entry in (
+                F.lit(word),
+                F.array(*[F.struct(F.lit(at).alias("at"), F.lit(size).alias("size")) for at, size in places]),
+            )
+        ]
+    )
+
+    def laid(word: F.Column, place: F.Column) -> F.Column:
+        return F.transform(
+            F.coalesce(F.try_element_at(anchors, word), F.array().cast("array<struct<at:int,size:int>>")),
+            lambda a: F.struct(F.greatest(place - a["at"], F.lit(0)).alias("start"), a["size"].alias("size")),
+        )
+
+    windows = cued.select("file", "words", F.explode(F.array_distinct(F.flatten(F.transform("words", laid)))).alias("w"))
+    windows = windows.select(
         "file",
-        F.concat_ws(":", "line", "at").alias("part"),
+        F.concat_ws(":", "w.start", "w.size").alias("part"),
         F.lit(False).alias("whole"),
-        F.slice("words", F.col("at") + 1, F.lit(WINDOW_WORDS)).alias("words"),
-    )
-    whole = cued.select(
-        "file", F.lit("whole").alias("part"), F.lit(True).alias("whole"), _words(F.col("text")).alias("words")
+        F.slice("words", F.col("w.start") + 1, F.col("w.size")).alias("words"),
     )
-    return windows.union(whole)
+    return windows.union(cued.select("file", F.lit("whole").alias("part"), F.lit(True).alias("whole"), "words"))
 
 
 def best_templates(files: DataFrame) -> DataFrame:
@@ -132,8 +194,13 @@ def best_templates(files: DataFrame) -> DataFrame:
         .agg((F.sum(F.col("t.w") * F.col("weight")) / F.first("norm")).alias("score"))
         .filter(F.col("score") >= SURE)
     )
-    best = F.max(F.struct("score", (-F.col("template")).alias("earlier"), "spdx")).alias("best")
-    return scored.groupBy("file", "whole").agg(best).select("file", "whole", "best.spdx", "best.score")
+    lengths = F.array(*[F.lit(n) for n in template_lengths()])
+    rank = F.col("score") * (1 - 1 / (lengths[F.col("template")] + 2.0))
+    # Sums of equal terms may differ in the last digits.
+    best = F.max(
+        F.struct(F.round(rank, 9).alias("rank"), (-F.col("template")).alias("earlier"), "spdx", "score")
+    ).alias("best")
+    return scored.groupBy("file", "whole").agg(best).select("file", "whole", "best.spdx", "best.score", "best.rank")
 
 
 def _ancestors(directory: F.Column) -> F.Column:
@@ -171,7 +238,7 @@ def license_scan(files: DataFrame, path: F.Column, id_col: str = "doc_id") -> Da
     )
     file = F.struct("path", "text_hash").alias("file")
     found = settle(best_templates(named.select(file, "text")), "license-parts")
-    score = F.struct("score", "spdx")
+    score = F.struct("rank", "spdx", "score")
     own = settle(
         found.groupBy("file").agg(
             F.max(F.when(F.col("whole"), score)).alias("whole"),
@@ -213,28 +280,29 @@ def scan_sql(table: str, path: str, places: int) -> str:
     rows, rarity, other = template_vectors()
     vectors = ", ".join(f"({place}, '{spdx}', '{word}', {weight!r}::DOUBLE)" for place, spdx, word, weight in rows)
     known = ", ".join(f"('{word}', {value!r}::DOUBLE)" for word, value in sorted(rarity.items()))
+    anchors = ", ".join(f"('{word}', {at}, {n})" for word, places in template_anchors().items() for at, n in places)
+    sizes = ", ".join(f"({place}, {n})" for place, n in enumerate(template_lengths()))
     words = f"regexp_extract_all(lower({{0}}), '{_WORD}')".format
     below = f"regexp_replace(regexp_extract({{0}}, '^(.*)/[^/]*$', 1), '^/+|/+$', '', 'g')".format
     return f"""
 WITH vectors(template, spdx, word, weight) AS (VALUES {vectors}),
 known(word, rarity) AS (VALUES {known}),
+anchors(word, place, size) AS (VALUES {anchors}),
+sizes(template, size) AS (VALUES {sizes}),
 named AS (
   SELECT doc_id, {path} AS path, coalesce(text, '') AS text, {below(path)} AS directory FROM {table}
 ),
 cued AS (SELECT DISTINCT path, text FROM named WHERE regexp_matches(text, '{CUE}')),
-lines AS (
-  SELECT path, text, generate_subscripts(l, 1) AS line, unnest(l) AS content
-  FROM (SELECT path, text, string_split_regex(text, '\r\n|[\n\r]') AS l FROM cued)
-),
-windows AS (
-  SELECT path, text, line, w,
-    unnest(range(0, greatest(len(w) - {WINDOW_WORDS} + {WINDOW_STEP} - 1, 0) + 1, {WINDOW_STEP})) AS start
-  FROM (SELECT *, {words("content")} AS w FROM lines WHERE regexp_matches(content, '{CUE}'))
+worded AS (SELECT path, text, {words("text")} AS w FROM cued),
+placed AS (
+  SELECT DISTINCT path, text, greatest(i - 1 - a.place, 0) AS start, a.size
+  FROM (SELECT path, text, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM worded) t
+  JOIN anchors a USING (word)
 ),
 parts AS (
-  SELECT path, text, line || ':' || start AS part, false AS whole,
-    list_slice(w, start + 1, start + {WINDOW_WORDS}) AS w FROM windows
-  UNION ALL SELECT path, text, 'whole', true, {words("text")} FROM cued
+  SELECT path, text, start || ':' || size AS part, false AS whole, list_slice(w, start + 1, start + size) AS w
+  FROM placed JOIN worded USING (path, text)
+  UNION ALL SELECT path, text, 'whole', true, w FROM worded
 ),
 terms AS (
   SELECT path, text, part, whole, word, count(*) AS tf
@@ -250,16 +318,19 @@ scored AS (
   GROUP BY path, text, part, whole, template, spdx
   HAVING sum(w * weight) / any_value(norm) >= {SURE}
 ),
+ranked AS (
+  SELECT *, round(score * (1 - 1 / (size + 2.0)), 9) AS rank FROM scored JOIN sizes USING (template)
+),
 best AS (
-  SELECT path, text, whole, arg_max(spdx, (score, -template)) AS spdx, max(score) AS score
-  FROM scored GROUP BY ALL
+  SELECT path, text, whole, max((rank, -template, spdx, score)) AS b FROM ranked GROUP BY ALL
 ),
+best_parts AS (SELECT path, text, whole, b[1] AS rank, b[3] AS spdx, b[4] AS score FROM best),
 own AS (
   SELECT path, text, coalesce(max(CASE WHEN whole THEN score END), max(score)) AS score,
     coalesce(max(CASE WHEN whole THEN spdx END), max(spdx)) AS spdx,
     coalesce(max(CASE WHEN whole THEN score END) >= {FILE_SURE}, false)
       OR regexp_matches(path, '{LICENCE_NAME}') AS is_file
-  FROM best GROUP BY path, text
+  FROM best_parts GROUP BY path, text
 ),
 homes AS (SELECT {below("path")} AS home, min(spdx) AS spdx FROM own WHERE is_file GROUP BY ALL),
 inherited AS (
