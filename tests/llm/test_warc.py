@@ -5,6 +5,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import warc
 
@@ -58,8 +59,8 @@ def test_round_trip(spark, tmp_path):
 
 def test_archives_hold_valid_records(spark, tmp_path):
     path = tmp_path / "w"
-    warc.write_archives(pages_of(spark, PAGES), str(path), records_per_file=2)
-    files = sorted(Path(path).glob("*.gz"))
+    warc.write_archives(pages_of(spark, PAGES), str(path), bytes_per_file=700)
+    files = sorted(Path(path).rglob("*.gz"))
     assert len(files) >= 5
     total = 0
     for file in files:
@@ -70,10 +71,62 @@ def test_archives_hold_valid_records(spark, tmp_path):
     assert total == len(PAGES)
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    """Large pages do not pile up in one archive; a page above the bound has its own."""
+    rows = [(i, f"http://h.net/{i}", f"{i:05d}" * (6_000 if i % 5 else 30_000)) for i in range(40)]
+    path = tmp_path / "w"
+    warc.write_archives(pages_of(spark, rows), str(path), bytes_per_file=100_000)
+    sizes = [len(gzip.decompress(file.read_bytes())) for file in path.rglob("*.gz")]
+    assert max(sizes) < 100_000 + 160_000 and sum(sizes) > 40 * 30_000
+    assert {r["page_id"] for r in warc.read_runs(spark, str(path)).collect()} == set(range(40))
+
+
+FOREIGN = [
+    b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 9\r\n\r\nsome\r\n\r\nx\r\n\r\n",
+    b"WARC/1.0\r\nwarc-type: request\r\nWARC-Target-URI: http://www.Example.com/A#b\r\nContent-Length: 18\r\n\r\nGET / HTTP/1.1\r\n\r\n\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type:response\r\nWARC-Target-URI: <http://www.Example.com/A#b>\r\nWARC-Date: 2020-01-01T00:00:00Z\r\n"
+    b"WARC-Payload-Digest: sha1:ABCDEF\r\nWARC-Record-ID: <urn:uuid:1-2>\r\nContent-Type: application/http;msgtype=response\r\n"
+    b"Content-Length: 48\r\n\r\nHTTP/1.1 200 OK\r\nServer:x\r\nNoColon\r\n\r\nhello, you\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: dns:example.com\r\nContent-Type: text/dns\r\nContent-Length: 5\r\n\r\n1.2.3\r\n\r\n",
+    b"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Target-URI: http://example.com/\r\nWARC-Payload-Digest: sha1:QQ\r\n"
+    b"WARC-Refers-To: <urn:uuid:1-2>\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+]
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """Records that are no captures are passed over; what a header does not say is worked out or left out."""
+    (tmp_path / "other.warc.gz").write_bytes(gzip.compress(b"".join(FOREIGN)))
+    rows = {r["url"]: r for r in warc.read_runs(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"http://www.Example.com/A#b", "dns:example.com", "http://example.com/"}
+    page = rows["http://www.Example.com/A#b"]
+    assert (page["url_key"], page["payload_bytes"], page["page_id"]) == ("com,example)/a", 10, None)
+    assert page["payload_digest"] == hashlib.sha256(b"hello, you").hexdigest()
+    again = rows["http://example.com/"]
+    assert (again["record_type"], again["payload_bytes"], again["payload_digest"]) == ("revisit", None, "sha1:QQ")
+    assert warc.capture_index(warc.read_runs(spark, str(tmp_path))).count() == 3
+
+
+def test_url_keys_in_python_and_spark(spark):
+    urls = ["http://www2.Example.com", "https://a.b.c/x?Y=1#z", "x", "", "ftp://h:21/p#", "http://h?q", "dns:example.com", "//h/x"]
+    table = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in table.select(warc.url_key(F.col("url"))).collect()] == [warc.plain_url_key(u) for u in urls]
+
+
+def test_runs_are_merged_as_they_come():
+    """Blocks of a run that are in order are not sorted again, in whatever order the blocks come."""
+    import pyarrow as pa
+
+    rows = [(None, "", f"k{i:03d}", "d", "response", 1, "x", None, f"a{i % 3}", i) for i in range(90)]
+    blocks = [[r for r in rows if r[8] == a][part * 10 : part * 10 + 10] for part in (2, 0, 1) for a in ("a1", "a0", "a2")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*b), warc._FIELDS)], schema=warc._ARROW) for b in blocks]
+    merged = [row for batch in warc._merge_runs(iter(batches)) for row in batch.column("url_key").to_pylist()]
+    assert merged == [r[2] for r in rows]
+
+
 def test_damage_is_noticed(spark, tmp_path):
     path = tmp_path / "w"
     warc.write_archives(pages_of(spark, PAGES[:1]), str(path))
-    data = gzip.decompress(max(Path(path).glob("*.gz"), key=lambda f: f.stat().st_size).read_bytes())
+    data = gzip.decompress(max(Path(path).rglob("*.gz"), key=lambda f: f.stat().st_size).read_bytes())
     for damaged in (data.replace(b"<p>", b"<q>"), data[:-3], data[:200], b"x" + data):
         with pytest.raises(ValueError):
             list(warc.parse_archive(io.BytesIO(damaged), "x"))
@@ -90,7 +143,7 @@ def test_loser_tree_merges(k):
 def test_order_over_many_ranges(spark, tmp_path):
     rows = [(i, f"http://h{i % 3}.net/{i % 7}", f"page {i}") for i in range(400)]
     path = str(tmp_path / "w")
-    warc.write_archives(pages_of(spark, rows), path, records_per_file=30)
+    warc.write_archives(pages_of(spark, rows), path, bytes_per_file=9000)
     index = warc.capture_index(warc.read_runs(spark, path), per_range=50)
     assert index.rdd.getNumPartitions() == 8
     got = [(r["url_key"], r["captured_at"], r["page_id"]) for r in index.collect()]

@@ -3,10 +3,11 @@
 Writing: payloads are hashed; of records with equal payloads of at least ``MIN_REVISIT`` bytes the
 one with the smallest id is a response, the others revisit it. Spark's text writer lays the records
 down (the blank lines that end a WARC record are its line separator) in gzip files of a bounded
-number of records, through Spark's own commit protocol: a lost executor leaves no half archive.
+number of bytes, through Spark's own commit protocol: a lost executor leaves no half archive.
 
-Reading: one file at a time, record by record, by the lengths in the headers. The captures of one
-file, sorted by URL key and timestamp, are a run. Runs are dealt out by ranges of (URL key,
+Reading: one file at a time, record by record, by the lengths in the headers. Archives of other
+writers are read too: records that are no captures are passed over, and what a header does not say
+is left out or worked out from the record. The captures of one file, sorted by URL key and timestamp, are a run. Runs are dealt out by ranges of (URL key,
 timestamp, id), so a URL with very many captures is cut over several ranges, and in each range
 the runs that reach into it are merged by a loser tree. Ranges follow one another, so the result
 is one globally ordered capture history.
@@ -16,12 +17,16 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import math
+import re
 from collections.abc import Iterator
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
@@ -29,7 +34,8 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from tillroll.llm.common import scratch_path, settle
 
 MIN_REVISIT = 100
-RECORDS_PER_FILE = 2_000
+#: Bytes of records in one archive, before compression, until which records are added to it.
+BYTES_PER_FILE = 64 << 20
 #: Captures that one range of the merge holds, about; a capture of the index has some 200 bytes.
 CAPTURES_PER_RANGE = 100_000
 #: First capture date where a page brings none; ids count seconds from here.
@@ -112,7 +118,22 @@ def _record() -> F.Column:
     )
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def _numbered(bytes_per_file: int):
+    """The records with the number of their archive, which none shares with another task."""
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, size = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("value")).to_numpy().astype(np.int64)
+            begins = size + np.cumsum(lengths) - lengths
+            size += int(lengths.sum())
+            archives = pa.array([f"{task:06d}-{number:06d}" for number in (begins // bytes_per_file).tolist()])
+            yield pa.RecordBatch.from_arrays([batch.column("value"), archives], ["value", "archive"])
+
+    return numbered
+
+
+def write_archives(pages: DataFrame, path: str, bytes_per_file: int = BYTES_PER_FILE) -> None:
     """Write a record per row of ``pages`` (page_id, url, html; captured_at if there is one).
 
     A null html is an empty payload, a null url an empty one. Records of fewer than ``MIN_REVISIT``
@@ -134,9 +155,10 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
     (
         revisits(rows)
         .select(_record().alias("value"))
-        .write.option("lineSep", SEPARATOR)
+        .mapInArrow(_numbered(bytes_per_file), "value string, archive string")
+        .write.partitionBy("archive")
+        .option("lineSep", SEPARATOR)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_file)
         .text(path)
     )
 
@@ -154,53 +176,82 @@ _ARROW = pa.schema(_FIELDS)
 
 
 def _page_number(uri: str) -> int | None:
-    name = uri.strip("<>").rpartition(":")[2]
-    return None if name == "none" else int(name)
+    """The id in a record's name, where this writer gave it."""
+    name = uri.strip("<>").removeprefix("urn:page:")
+    return int(name) if name.lstrip("-").isdigit() else None
+
+
+def plain_url_key(url: str) -> str:
+    """``url_key`` of one URL, for records that do not bring it."""
+    bare = re.sub(r"#.*$", "", re.sub(r"^[a-z][a-z0-9+.-]*://", "", url.lower()))
+    host, rest = re.match(r"([^/?]*)(.*)$", bare, re.DOTALL).groups()
+    return ",".join(reversed(re.sub(r"^www\d*\.", "", host).split("."))) + ")" + (rest or "/")
 
 
 def _headers(stream: BinaryIO) -> tuple[str, dict[str, str], int]:
-    """First line, fields and length of a header block; length 0 at the end of the stream only."""
+    """First line, fields (names in lower case) and length of a header block; length 0 at the end of the stream only."""
     first = stream.readline()
     if not first:
         return "", {}, 0
     length, fields = len(first), {}
-    while first.strip() and (line := stream.readline()) != b"\r\n":
+    while first.strip():
+        line = stream.readline()
         if not line:
             raise ValueError("the archive ends within a header")
         length += len(line)
-        name, value = line.decode("utf-8").rstrip("\r\n").split(": ", 1)
-        fields[name] = value
-    return first.decode("utf-8").rstrip("\r\n"), fields, length + 2
+        if not line.strip():
+            break
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        fields[name.strip().lower()] = value.strip()
+    return first.decode("utf-8", "replace").strip(), fields, length
 
 
 def parse_archive(stream: BinaryIO, name: str) -> Iterator[tuple]:
-    """The records of one archive, in the order of ``CAPTURE_SCHEMA``; one record is held at a time."""
+    """The captures of one archive, in the order of ``CAPTURE_SCHEMA``; one record is held at a time.
+
+    Captures are responses and revisits; other records are passed over. The digest of a response is
+    that of the payload read, and is held against the header's where that is a SHA-256. A revisit
+    has the digest of its header, with its algorithm unless it is SHA-256, and the size its HTTP header
+    tells, or none.
+    """
     at = 0
     while True:
         version, head, head_size = _headers(stream)
         if not head_size:
             return
-        if version != "WARC/1.1":
+        if not version.startswith("WARC/") or "content-length" not in head:
             raise ValueError(f"{name}: no WARC record at {at}")
-        block_size = int(head["Content-Length"])
-        _, http, http_size = _headers(stream)
-        payload = stream.read(block_size - http_size)
-        digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
-        size = int(http["Content-Length"])
-        if head["WARC-Type"] == "response":
-            if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"{name}: the payload at {at} is not what its header says")
-        if stream.read(4) != b"\r\n\r\n":
+        block_size = int(head["content-length"])
+        block = stream.read(block_size)
+        if len(block) != block_size or stream.read(4) != b"\r\n\r\n":
             raise ValueError(f"{name}: the record at {at} does not end where it should")
-        refers = head.get("WARC-Refers-To")
-        yield (
-            _page_number(head["WARC-Record-ID"]), head["WARC-Target-URI"], head["X-Url-Key"],
-            head["WARC-Date"], head["WARC-Type"], size, digest,
-            _page_number(refers) if refers else None, name, at,
-        )
+        if head.get("warc-type") in ("response", "revisit"):
+            yield _capture(head, block, name, at)
         at += head_size + block_size + 4
 
 
+def _capture(head: dict[str, str], block: bytes, name: str, at: int) -> tuple:
+    body = io.BytesIO(block)
+    http: dict[str, str] = {}
+    if "application/http" in head.get("content-type", ""):
+        _, http, _ = _headers(body)
+    payload = body.read()
+    claimed = head.get("warc-payload-digest", "")
+    told = http.get("content-length", "")
+    size, digest = (int(told) if told.isdigit() else None), claimed.removeprefix("sha256:")
+    if head["warc-type"] == "response":
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+        if claimed.startswith("sha256:") and claimed != f"sha256:{digest}":
+            raise ValueError(f"{name}: the payload at {at} is not what its header says")
+    url = head.get("warc-target-uri", "").strip("<>")
+    refers = head.get("warc-refers-to")
+    return (
+        _page_number(head.get("warc-record-id", "")), url, head.get("x-url-key") or plain_url_key(url),
+        head.get("warc-date", ""), head["warc-type"], size, digest,
+        _page_number(refers) if refers else None, name, at,
+    )
+
+
 def _order(row: tuple) -> tuple:
     """URL key, timestamp, id (null first), then the record's own place."""
     return row[2], row[3], row[0] is not None, row[0] or 0, row[8], row[9]
@@ -210,7 +261,7 @@ def _read_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
             with gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer())) as stream:
-                rows = sorted(parse_archive(stream, path.rpartition("/")[2]), key=_order)
+                rows = sorted(parse_archive(stream, "/".join(path.split("/")[-2:])), key=_order)
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, (_, kind) in zip(zip(*rows), _FIELDS)], schema=_ARROW
@@ -269,11 +320,16 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     table = pa.Table.from_batches(held).combine_chunks()
     columns = [table.column(c).to_pylist() for c in ("url_key", "captured_at", "page_id", "archive", "record_offset")]
-    runs: dict[str, list[tuple]] = {}
+    runs: list[list[tuple]] = []
+    last = None
     for i, (key, date, page, archive, offset) in enumerate(zip(*columns)):
-        runs.setdefault(archive, []).append((key, date, page is not None, page or 0, archive, offset, i))
-    # What a shuffle brings from one run is in order but for the blocks it came in.
-    merged = LoserTree([iter(sorted(run)) for run in runs.values()])
+        row = (key, date, page is not None, page or 0, archive, offset, i)
+        # What a shuffle brings of a run is in order but for the blocks it came in: each is a run.
+        if last is None or last[4] != archive or row < last:
+            runs.append([])
+        runs[-1].append(row)
+        last = row
+    merged = LoserTree([iter(run) for run in runs])
     order = np.fromiter((row[-1] for row in merged), np.int64, table.num_rows)
     for batch in table.take(pa.array(order)).to_batches(max_chunksize=10_000):
         yield batch
