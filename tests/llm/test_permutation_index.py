@@ -64,6 +64,18 @@ def test_odd_rows(spark):
     assert got == {0: [1, 100, 8], 100: [0, 1, 8]}
 
 
+def test_every_length_is_searched(spark):
+    rows = [(i * 50, [float(i), 1.0]) for i in range(6)] + [(1000 + i * 50, [float(i), 0.0, 2.0]) for i in range(4)] + [(2000, [3.0])]
+    found = permutation_index.nearest(table(spark, rows), F.col("id") % 100 == 0).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {
+        0: [50, 100, 150, 200, 250], 100: [50, 150, 0, 200, 250], 200: [150, 250, 100, 50, 0],
+        1000: [1050, 1100, 1150], 1100: [1050, 1150, 1000],
+    }
+
+
 def test_without_vectors_or_queries(spark):
     assert permutation_index.nearest(table(spark, []), F.col("id") % 100 == 0).count() == 0
     assert permutation_index.nearest(table(spark, [(1, [1.0])]), F.col("id") % 100 == 0).count() == 0

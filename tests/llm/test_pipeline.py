@@ -1,3 +1,5 @@
+import math
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -7,8 +9,11 @@ import corpus_pipeline
 from tillroll.llm import decontaminate, mixing, near_copies, secrets, toxicity
 from tillroll.llm.queries import llm_oracles, llm_queries
 
+from cases import odd_documents
+from test_mixing import draw
 from test_near_copies import classes
 from test_secrets import plain_spans
+from test_toxicity import plain_scores
 
 SMALL = "/root/testdata/sf0.001"
 available = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables not present")
@@ -48,8 +53,14 @@ def test_each_stage_against_brute_force(spark):
     rows = {r["doc_id"]: r.asDict() for r in docs.collect()}
     stages = dict(corpus_pipeline.STAGES)
 
-    scores = toxicity.toxicity_scores(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
-    toxic = {r["doc_id"] for r in scores.collect() if r["score"] >= 0.7}
+    labels = {}
+    for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect():
+        if r["doc_id"] is not None and r["toxic"] is not None:
+            labels[r["doc_id"]] = max(int(r["toxic"] > 0), labels.get(r["doc_id"], 0))
+    scores = plain_scores(spark, {i: r["text"] for i, r in rows.items()}, labels)
+    assert all(abs(score - toxicity.THRESHOLD) > 1e-3 for score in scores.values())
+    toxic = {i for i, score in scores.items() if score >= toxicity.THRESHOLD}
+    assert toxic
     kept = stages["toxicity"](spark, docs, SMALL)
     assert kept.columns == columns
     rows = {i: r for i, r in rows.items() if i not in toxic}
@@ -87,9 +98,35 @@ def test_each_stage_against_brute_force(spark):
             assert r["text"] == blotted and r["n_chars"] == len(blotted)
         assert not plain_spans(r["text"])
 
-    mixed = stages["source_mixing"](spark, clean, SMALL).collect()
-    assert {r["doc_id"] for r in mixed} <= set(rows)
-    assert abs(len(mixed) - len(rows)) < 6 * len(rows) ** 0.5
+    mixed = Counter(r["doc_id"] for r in stages["source_mixing"](spark, clean, SMALL).collect())
+    sizes = Counter(r["source"] for r in rows.values())
+    weights = {source: n**mixing.TEMPERATURE for source, n in sizes.items()}
+    expected = Counter()
+    for i, r in rows.items():
+        share = weights[r["source"]] / sum(weights.values())
+        rate = mixing.EPOCHS * len(rows) * share / sizes[r["source"]]
+        parts = max(math.ceil(rate / mixing.PART_MEAN), 1)
+        expected[i] = sum(draw(42, i, part, rate / parts) for part in range(1, parts + 1))
+    assert mixed == +expected
+
+
+@available
+@pytest.mark.parametrize("name", ORDER)
+def test_odd_rows(spark, name):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing columns and an empty table."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd_documents(spark)
+    found = stage(spark, docs, SMALL)
+    last = ["copy", "mix_key"] if name == ORDER[-1] else []
+    assert found.columns == [c for c in docs.columns if c not in last] + last
+    rows = found.collect()
+    if not last:
+        kept = Counter((r["doc_id"], r["lang"]) for r in rows)
+        assert kept <= Counter((r["doc_id"], r["lang"]) for r in docs.collect())
+        assert {0, 2, 3, 4, 7} <= {r["doc_id"] for r in rows}
+        assert len(rows) == docs.count() or name == "simhash_near_dedup"
+    nothing = stage(spark, odd_documents(spark, []), SMALL)
+    assert nothing.columns == found.columns and nothing.count() == 0
 
 
 @available

@@ -1,8 +1,10 @@
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.llm import toxicity
 
@@ -77,6 +79,102 @@ def test_features_leave_a_texts_own_counts_out():
     assert model.features(alone, 1)[2] < model.features(alone)[2]
 
 
+def plain_model(train, frequent_pair):
+    """Class-conditional Kneser-Ney over dictionaries, from pairs of text and label: the features of a text."""
+    import re
+    from collections import Counter
+
+    words_of = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    pair, word, context = ([Counter(), Counter()] for _ in range(3))
+    for text, y in train:
+        for before, w in zip(["", *words_of(text)], words_of(text)):
+            pair[y][before, w] += 1
+            word[y][w] += 1
+            context[y][before] += 1
+    every = set(pair[0]) | set(pair[1])
+    kinds = Counter(w for _, w in every)
+    shared_total = len(every) + len(kinds) + 1
+    kept = [Counter(), Counter()]
+    for key in every:
+        if pair[0][key] + pair[1][key] >= frequent_pair:
+            for y in (0, 1):
+                kept[y][key[0]] += max(pair[y][key] - 0.75, 0)
+
+    often = {v for v in kinds if word[0][v] + word[1][v] >= toxicity.FREQUENT_WORD}
+    totals = [sum(counts.values()) for counts in word]
+    rests = [total - sum(max(counts[v] - 0.75, 0) for v in often) for total, counts in zip(totals, word)]
+
+    def probability(y, before, w):
+        kept_word = max(word[y][w] - 0.75, 0) if w in often else 0
+        single = (kept_word + rests[y] * (kinds[w] + 1) / shared_total) / totals[y]
+        left = context[y][before] - kept[y][before]
+        n = pair[y][before, w] if pair[0][before, w] + pair[1][before, w] >= frequent_pair else 0
+        double = max(n - 0.75, 0) + left * single
+        return double / context[y][before] if context[y][before] and double > 0 else single
+
+    def features(text):
+        ratio = [
+            math.log(probability(1, b, w)) - math.log(probability(0, b, w))
+            for b, w in zip(["", *words_of(text)], words_of(text))
+        ]
+        if not ratio:
+            return [0.0] * 6
+        strong = sorted(ratio, reverse=True)
+        mean = sum(ratio) / len(ratio)
+        return [mean, sum(max(r, 0) for r in ratio) / len(ratio), *[sum(strong[:k]) for k in (1, 3, 8)], math.log1p(len(ratio))]
+
+    return features
+
+
+def test_ratios_against_plain_kneser_ney(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FREQUENT_PAIR", 3)
+    monkeypatch.setattr(toxicity, "BLOCK_TOKENS", 300)
+    rng = random.Random(17)
+    words = ["the", "a", "old", "dog", "cat", "ran", "vile", "scum", "sat", "on", "mat", "very"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 25))) for _ in range(90)] + ["unseen words only", ""]
+    labels = [int("scum" in t and "vile" in t) for t in texts]
+    docs = documents(spark, texts)
+    model = toxicity.count_model(docs, toxicity.training_rows(labels_of(spark, [(i, 1, y) for i, y in enumerate(labels)])))
+    totals = toxicity._word_totals(model)
+    ratios, unknown = toxicity.token_ratios(model, totals)
+    named = docs.selectExpr("doc_id AS name", "text", "-1 AS toxic").mapInArrow(toxicity._blocks, toxicity.BLOCK_SCHEMA)
+    found = toxicity.text_features(toxicity.settle(named, "t"), ratios, unknown).collect()
+    features = plain_model([(t, y) for i, (t, y) in enumerate(zip(texts, labels)) if not held(i)], 3)
+    assert sorted(r["name"] for r in found) == list(range(len(texts)))
+    for r in found:
+        assert [r[f] for f in toxicity.FEATURES] == pytest.approx(features(texts[r["name"]]), rel=1e-4, abs=1e-4)
+
+
+def plain_scores(spark, docs, labels):
+    """Scores by text of ``docs`` (id to text) from labels (id to 0 or 1), all but the counting in plain Python."""
+    train = sorted(i for i in labels if i in docs and not held(i))
+    features = plain_model([(docs[i] or "", labels[i]) for i in train], toxicity.FREQUENT_PAIR)
+    table = labels_of(spark, [(i, 1, labels[i]) for i in train])
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    model = toxicity.Model(toxicity.count_model(frame, toxicity.training_rows(table)).drop("before", "word").toPandas())
+    sample = np.array([model.features(toxicity.word_numbers(docs[i]), labels[i]) for i in train])
+    known = np.array([labels[i] for i in train], float)
+    order = np.lexsort(np.column_stack((sample, known)).T)
+    weights = toxicity.fit_weights(sample[order], known[order])
+    raw = {i: float(np.clip(np.dot(weights[:-1], features(text or "")) + weights[-1], -30, 30)) for i, text in docs.items()}
+    return {i: 1 / (1 + math.exp(-value)) for i, value in raw.items()}
+
+
+def test_scores_follow_from_features_and_weights(spark):
+    """The whole of it: counts, own share taken off, weights and scores, against plain Python."""
+    texts, labels = corpus(19, 240)
+    table = labels_of(spark, [(i, 1, y) for i, y in enumerate(labels)])
+    rows = toxicity.toxicity_scores(documents(spark, texts), table).collect()
+    want = plain_scores(spark, dict(enumerate(texts)), dict(enumerate(labels)))
+    assert {r["doc_id"]: r["score"] for r in rows} == {i: pytest.approx(score, abs=1e-4) for i, score in want.items()}
+
+
+def test_a_repeated_labelled_id_is_one_calibration_row(spark):
+    docs = documents(spark, ["one text", "other text"] * 40).withColumn("doc_id", F.col("doc_id") % 4)
+    labels = toxicity.training_rows(labels_of(spark, [(i, 1, i % 2) for i in range(4)]))
+    assert toxicity.calibration_texts(docs, labels).count() == labels.count()
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     labels = labels_of(spark, [(0, 1, 1), (0, 1, 0), (None, 1, 1), (3, 1, None), (5, 1, 0), (7, 1, 1), (4, 0, 0), (99, 0, 0)])

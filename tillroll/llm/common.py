@@ -36,6 +36,21 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of texts that go to a Python worker at once, at most.
+TEXT_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have the session hand on texts, which are long rows, in small batches.
+
+    Executor and worker each hold whole batches; at the default of 10,000 rows these are many
+    megabytes a task. A smaller setting is left as it is.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_ROWS)) <= TEXT_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(TEXT_ROWS))
+
+
 def packed(df: DataFrame, *keys: str) -> DataFrame:
     """The rows of ``df`` as one column ``row``, beside copies of the columns ``keys``.
 
@@ -63,10 +78,10 @@ def key_filter(keys: DataFrame) -> np.ndarray:
         )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+        .toArrow()  # as two flat columns: rows of Python objects would be many times as large
     )
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 

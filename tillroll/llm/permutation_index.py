@@ -136,18 +136,28 @@ def nearest(
 
     ``is_query`` is a condition on column ``id``. Score is the Euclidean distance of the vectors in
     double precision; ties go to the smaller id. Rows without an id and vectors that are null, zero,
-    or hold null or non-finite numbers take no part, nor do vectors of another length than
-    most usable rows have (of two such lengths, the greater). Rows with equal ids count once, with the smallest distance. Fewer candidates than ``k``
-    give fewer rows, and tables without a query none. Other columns are ignored.
+    or hold null or non-finite numbers take no part. Vectors of different lengths have no distance:
+    each length is indexed and searched by itself (there should be few). Rows with equal ids count
+    once, with the smallest distance. Fewer candidates than ``k`` give fewer rows, and tables without a
+    query none. Other columns are ignored.
     """
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
-    lengths = rows.groupBy(F.size("vec").alias("length")).count()
-    most = lengths.orderBy(F.desc("count"), F.desc("length")).first()
+    rows = usable(vectors, id_col, vector_col).withColumn("length", F.size("vec"))
+    asked = rows.filter(is_query).select("length").distinct().orderBy("length").collect()
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = None
+    for row in asked:
+        part = _nearest(rows.filter(F.col("length") == row["length"]).drop("length"), is_query, k)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return out
+    # An id with vectors of several lengths has neighbours of each.
+    return found if len(asked) == 1 else _best(found.select("query_id", "vec_id", "score"), k)
+
+
+def _nearest(rows: DataFrame, is_query: F.Column, k: int) -> DataFrame:
+    """The same for usable rows of one length."""
+    spark = rows.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if most is None:
-        return empty
-    rows = rows.filter(F.size("vec") == most["length"])
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
     pivots = np.unique(_matrix(chosen), axis=0)
     queries = settle(rows.filter(is_query).groupBy("id").agg(F.min("vec").alias("vec")), "queries")

@@ -30,8 +30,6 @@ PATTERN_SURE = 0.8
 SUPPORT = 5
 #: A pattern's instances are counted as if one more, of no kind, stood in it.
 DOUBT = 1.0
-#: Characters of a gap that are looked at for the nearest word.
-REACH = 64
 MIN_LENGTH = 5
 #: Matches that one block of the place count holds.
 BLOCK = 256
@@ -49,11 +47,20 @@ OTHER = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9./_:-]{5})[A-Za-z]{0,8}+[0-9][A-Za-z0-9]*
 INSTANCE = f"(?:{PHONE})|(?:{EMAIL})|(?:{CARD})|(?:{OTHER})"
 _BYTE_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"
 _PIECES = "array<struct<value:string,size:int,gap:int,head:string,tail:string>>"
+#: The first and the last word of a gap, whole.
+_FIRST_WORD, _LAST_WORD = r"^\s*+(\S++)", r"(?<!\S)(\S++)\s*+$"
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def _pieces(text: F.Column, pattern: str, wanted: F.Column) -> F.Column:
-    """Matches of a pattern, each with the gap before it, and the gap after the last one."""
+def _pieces(text: F.Column, pattern: str, wanted: F.Column, words: bool = False) -> F.Column:
+    """Matches of a pattern, each with the gap before it, and the gap after the last one.
+
+    With ``words``, the words that begin and end each gap come with it.
+    """
+
+    def word(gap: F.Column, form: str) -> F.Column:
+        return F.lower(F.regexp_extract(gap, form, 1)) if words else F.lit("")
+
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     both = F.zip_with(
         found,
@@ -62,8 +69,8 @@ def _pieces(text: F.Column, pattern: str, wanted: F.Column) -> F.Column:
             v.alias("value"),
             F.coalesce(F.length(v), F.lit(0)).alias("size"),
             F.length(g).alias("gap"),
-            F.left(g, F.lit(REACH)).alias("head"),
-            F.right(g, F.lit(REACH)).alias("tail"),
+            word(g, _FIRST_WORD).alias("head"),
+            word(g, _LAST_WORD).alias("tail"),
         ),
     )
     return F.when(wanted, both).otherwise(F.array().cast(_PIECES))
@@ -149,12 +156,12 @@ def _scan(docs: DataFrame) -> DataFrame:
         hint = hint if kind == "email" else hint & digit
         pieces.append(_pieces(F.col("text"), PATTERNS[kind], hint).alias(kind))
     wanted = digit | F.contains("text", F.lit("@"))
-    pieces.append(_pieces(F.col("text"), INSTANCE, wanted).alias("pieces"))
+    pieces.append(_pieces(F.col("text"), INSTANCE, wanted, words=True).alias("pieces"))
     rows = rows.select("doc_id", "text_hash", *pieces)
     base = [_base_spans(kind).alias(kind) for kind in KINDS]
-    left = F.transform("pieces", lambda x: F.lower(F.regexp_extract(x["tail"], r"(\S+)\s*+$", 1)))
+    left = F.transform("pieces", lambda x: x["tail"])
     after = F.slice(F.col("pieces"), F.lit(2), F.greatest(F.size("pieces"), F.lit(1)))
-    right = F.transform(after, lambda x: F.lower(F.regexp_extract(x["head"], r"^\s*+(\S+)", 1)))
+    right = F.transform(after, lambda x: x["head"])
     spans = _located("pieces")
     instances = F.arrays_zip(spans.alias("span"), left.alias("left"), right.alias("right"))
     kept = F.filter(

@@ -14,6 +14,7 @@ each other, and nothing is shuffled.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 LIMIT = 2048
+#: Pre-tokens of the texts that are counted together, about.
+GATHERED = 200_000
 CACHE_PRE_TOKENS = 500_000
 #: White space as the vocabulary's patterns mean it (Unicode White_Space).
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -127,17 +130,38 @@ class Counter:
         return [p for part in parts for p in _PRE_TOKEN.findall(normalised(part))], marks
 
     def count(self, texts: Iterable[str | None]) -> list[int]:
-        out = []
+        """Tokens of each text. Pre-tokens not met before are merged together, those of many texts at a time."""
+        out: list[int] = []
+        held: list[tuple[list[str], int]] = []
+        size = 0
         for text in texts:
-            pieces, marks = self.pieces(text or "")
-            fresh = list(set(pieces).difference(self.known))
-            if fresh:
-                if len(self.known) + len(fresh) > CACHE_PRE_TOKENS:
-                    self.known.clear()
-                    fresh = list(set(pieces))
-                self.known.update(zip(fresh, self.table.lengths(fresh).tolist()))
-            out.append(marks + sum(map(self.known.__getitem__, pieces)))
-        return out
+            held.append(self.pieces(text or ""))
+            size += len(held[-1][0])
+            if size >= GATHERED:
+                out += self._counted(held)
+                held, size = [], 0
+        return out + self._counted(held)
+
+    def _counted(self, held: list[tuple[list[str], int]]) -> list[int]:
+        distinct = set().union(*(pieces for pieces, _ in held))
+        fresh = list(distinct.difference(self.known))
+        if fresh:
+            if len(self.known) + len(fresh) > CACHE_PRE_TOKENS:
+                self.known.clear()
+                fresh = list(distinct)
+            self.known.update(zip(fresh, self.table.lengths(fresh).tolist()))
+        return [marks + sum(map(self.known.__getitem__, pieces)) for pieces, marks in held]
+
+
+#: Counters of this worker process, by the digest of their vocabulary; the newest only.
+_counters: dict[str, Counter] = {}
+
+
+def _counter(digest: str, table) -> Counter:
+    if digest not in _counters:
+        _counters.clear()
+        _counters[digest] = Counter(table.value)
+    return _counters[digest]
 
 
 def load_table(path: str) -> MergeTable:
@@ -153,13 +177,12 @@ def token_counts(docs: DataFrame, vocabulary_path: str, limit: int = LIMIT) -> D
     their names. The vocabulary file is read by the driver only.
     """
     table = docs.sparkSession.sparkContext.broadcast(load_table(vocabulary_path))
-    counters: list[Counter] = []
+    with open(vocabulary_path, "rb") as file:
+        digest = hashlib.sha256(file.read()).hexdigest()
 
     @F.pandas_udf(LongType())
     def count(texts: pd.Series) -> pd.Series:
-        if not counters:
-            counters.append(Counter(table.value))
-        return pd.Series(counters[0].count(texts), dtype="int64")
+        return pd.Series(_counter(digest, table).count(texts), dtype="int64")
 
     n = docs.select(
         "doc_id",

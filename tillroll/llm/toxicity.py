@@ -8,8 +8,10 @@ expression is judged by what all texts say of it.
 Words and pairs are counted under 64-bit hashes, each with counts of its own, in stored tables that
 grow with the corpus; neither driver nor tasks ever hold them whole. Texts are scored in blocks:
 the distinct words and pairs of a block are joined with the tables, so a frequent pair is asked for
-once per block, and what is found goes back to the block. Counting covers every labelled training
-row. Only the last step, the seven weights that turn log-likelihood ratios into a score, is fitted
+once per block, and what is found goes back to the block. A token's log-likelihood ratio is that of
+its pair where the pair was counted, else the sum of one number of the word before and one of the
+word: these numbers go to the blocks. Only the texts of the calibration sample get counts, since
+their own share is taken off. Counting covers every labelled training row. Only the last step, the seven weights that turn log-likelihood ratios into a score, is fitted
 on a bounded sample: the ``CALIBRATION_ROWS`` training rows with the smallest hash of their id.
 """
 
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import key_filter, let_through, settle
+from tillroll.llm.common import key_filter, let_through, settle, small_batches
 
 #: A pair is its first word, turned by so many bits, xor its second word.
 PAIR_TURN = 21
@@ -35,7 +37,7 @@ PAIR_TURN = 21
 KIND_MARKS = {"word": 0, "context": 0, "pair": 0x1F83D9ABFB41BD6B}
 DISCOUNT = 0.75
 THRESHOLD = 0.7
-CALIBRATION_ROWS = 20_000
+CALIBRATION_ROWS = 5_000
 #: Words and pairs seen less often in both classes together are rare: shared counts judge them.
 #: On check_s, without the bar for pairs held-out recall falls to 0.49 and precision to 0.83.
 FREQUENT_WORD = 3
@@ -46,10 +48,10 @@ CLASSES = ("ordinary", "toxic")
 #: Stands for the label of a text that is scored, not trained on.
 UNLABELLED = -1
 #: Tokens counted before a task hands its counts on.
-FLUSH_TOKENS = 2_000_000
-CACHE_WORDS = 500_000
+FLUSH_TOKENS = 1_000_000
+CACHE_WORDS = 200_000
 #: Tokens of the texts that are looked up together, about; a longer text is a block of its own.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -186,13 +188,42 @@ class Model:
             double = np.maximum(pair[label] - DISCOUNT, 0) + left[label] * single
             seen = (context[label] > 0) & (double > 0)
             ratio += sign * np.log(np.where(seen, double / np.where(seen, context[label], 1), single))
-        strong = np.sort(ratio)[::-1][: max(STRONGEST)]
-        return [
-            float(ratio.mean()),
-            float(np.maximum(ratio, 0).mean()),
-            *[float(strong[:k].sum()) for k in STRONGEST],
-            float(np.log1p(n)),
-        ]
+        return summed_up(ratio)
+
+
+def summed_up(ratio: np.ndarray) -> list[float]:
+    """The features of a text from the log-likelihood ratios of its tokens."""
+    if not len(ratio):
+        return [0.0] * (len(STRONGEST) + 3)
+    strong = np.sort(ratio)[::-1][: max(STRONGEST)]
+    return [
+        float(ratio.mean()),
+        float(np.maximum(ratio, 0).mean()),
+        *[float(strong[:k].sum()) for k in STRONGEST],
+        float(np.log1p(len(ratio))),
+    ]
+
+
+class Ratios:
+    """Log-likelihood ratios by marked key: of a pair, or of a word (``own``) and of it as a context (``after``)."""
+
+    def __init__(self, keys: np.ndarray, own: np.ndarray, after: np.ndarray, unknown: float):
+        order = np.argsort(keys)
+        # The last place stands for what was never counted.
+        self.keys = keys[order]
+        self.own = np.append(own[order].astype(np.float64), unknown)
+        self.after = np.append(after[order].astype(np.float64), 0.0)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.keys, keys)
+        if len(self.keys):
+            place[self.keys[np.minimum(place, len(self.keys) - 1)] != keys] = len(self.keys)
+        return place
+
+    def features(self, words: np.ndarray) -> list[float]:
+        pair = self._place(pair_numbers(words) ^ np.int64(KIND_MARKS["pair"]))
+        single = self.own[self._place(words)] + self.after[self._place(words_before(words))]
+        return summed_up(np.where(pair < len(self.keys), self.own[pair], single))
 
 
 def word_totals(words: pd.DataFrame) -> dict[str, float]:
@@ -288,7 +319,7 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     chosen = able.mapInArrow(pack, "doc_id long, text binary")
     return chosen.join(labels.hint("merge"), F.col("doc_id") == F.col("label_id")).select(
-        "text", "toxic"
+        "label_id", "text", "toxic"
     )
 
 
@@ -303,6 +334,7 @@ def count_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The counts behind ``Model``, stored: a row per frequent pair, per context and per word."""
     counted = settle(
         _labelled(docs, labels)
+        .select("text", "toxic")
         .mapInArrow(_count_pairs, "before long, word long, ordinary long, toxic long")
         .groupBy("before", "word")
         .agg(*[F.sum(c).alias(c) for c in CLASSES]),
@@ -311,12 +343,13 @@ def count_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
     sums = [*CLASSES, "kept_ordinary", "kept_toxic", "kinds"]
 
-    def rows(kind: str, key: F.Column, kept: list[F.Column], kinds: F.Column) -> DataFrame:
+    def rows(kind: str, key: F.Column, kept: list[F.Column], kinds: F.Column, *more: str) -> DataFrame:
         values = [*[F.col(c).cast("double") for c in CLASSES], *kept, kinds]
         return counted.select(
             F.lit(kind).alias("kind"),
             key.alias("bucket"),
             *[value.alias(name) for name, value in zip(sums, values)],
+            *more,
         )
 
     often = F.col("ordinary") + F.col("toxic") >= FREQUENT_PAIR
@@ -327,8 +360,63 @@ def count_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
     single = settle(
         single.groupBy("kind", "bucket").agg(*[F.sum(c).alias(c) for c in sums]), "word-counts"
     )
-    pairs = settle(rows("pair", _pair_column(), [zero, zero], zero).filter(often), "frequent-pairs")
-    return pairs.unionByName(single)
+    pairs = settle(rows("pair", _pair_column(), [zero, zero], zero, "before", "word").filter(often), "frequent-pairs")
+    return pairs.unionByName(single, allowMissingColumns=True)
+
+
+def token_ratios(model: DataFrame, totals: dict[str, float]) -> tuple[DataFrame, float]:
+    """``marked, own, after`` of every counted word and pair, stored, and the ratio of a word never seen.
+
+    The same formulas as in ``Model``, without a text's own share.
+    """
+    total = {c: max(totals[c], 1.0) for c in CLASSES}
+    rest = {c: total[c] - totals[f"kept_{c}"] for c in CLASSES}
+    everywhere = totals["kinds"] + totals["words"] + 1
+
+    def part(kind: str, prefix: str) -> DataFrame:
+        names = [*CLASSES, "kept_ordinary", "kept_toxic", "kinds"]
+        chosen = model.filter(F.col("kind") == kind)
+        return chosen.select(F.col("bucket").alias(f"{prefix}_key"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+
+    def single(c: str) -> F.Column:
+        often = F.coalesce(F.col("w_ordinary") + F.col("w_toxic"), F.lit(0.0)) >= FREQUENT_WORD
+        kept = F.when(often, F.greatest(F.col(f"w_{c}") - DISCOUNT, F.lit(0.0))).otherwise(0.0)
+        shared = (F.coalesce("w_kinds", F.lit(0.0)) + 1) / everywhere
+        return (kept + F.lit(rest[c]) * shared) / total[c]
+
+    def left(c: str) -> F.Column:
+        return F.coalesce(F.col(f"c_{c}") - F.col(f"c_kept_{c}"), F.lit(0.0))
+
+    def kept_weight(c: str) -> F.Column:
+        """What of a context's weight goes to words it was not counted with; all of it where it was never seen."""
+        return F.when(left(c) > 0, left(c) / F.col(f"c_{c}")).otherwise(1.0)
+
+    def paired(c: str) -> F.Column:
+        double = F.greatest(F.col(f"p_{c}") - DISCOUNT, F.lit(0.0)) + left(c) * single(c)
+        seen = (F.coalesce(f"c_{c}", F.lit(0.0)) > 0) & (double > 0)
+        return F.when(seen, double / F.col(f"c_{c}")).otherwise(single(c))
+
+    def ratio(value) -> F.Column:
+        return (F.log(value("toxic")) - F.log(value("ordinary"))).cast("float")
+
+    words, contexts = part("word", "w"), part("context", "c")
+    alone = words.join(contexts, F.col("w_key") == F.col("c_key"), "full").select(
+        F.coalesce("w_key", "c_key").bitwiseXOR(F.lit(KIND_MARKS["word"])).alias("marked"),
+        ratio(single).alias("own"),
+        ratio(kept_weight).alias("after"),
+    )
+    pairs = model.filter(F.col("kind") == "pair").select("bucket", "before", "word", *[F.col(c).alias(f"p_{c}") for c in CLASSES])
+    pairs = (
+        pairs.join(words, F.col("word") == F.col("w_key"))
+        .join(contexts, F.col("before") == F.col("c_key"))
+        .select(
+            F.col("bucket").bitwiseXOR(F.lit(KIND_MARKS["pair"])).alias("marked"),
+            ratio(paired).alias("own"),
+            F.lit(0.0).cast("float").alias("after"),
+        )
+    )
+    unknown = np.log(rest["toxic"] / total["toxic"]) - np.log(rest["ordinary"] / total["ordinary"])
+    return settle(alone.unionByName(pairs), "token-ratios"), float(unknown)
 
 
 BLOCK_SCHEMA = "block long, names binary, toxic binary, sizes binary, vocabulary binary, words binary"
@@ -374,58 +462,75 @@ def _texts_of_block(vocabulary: bytes, sizes: bytes, words: bytes) -> list[np.nd
     return np.split(numbers, np.cumsum(np.frombuffer(sizes, np.int64))[:-1])
 
 
-def text_features(blocks: DataFrame, model: DataFrame, totals: dict[str, float]) -> DataFrame:
-    """``name, toxic`` and the features of each text of the stored ``blocks``.
+FEATURES = [f"f{i}" for i in range(len(STRONGEST) + 3)]
+FEATURE_SCHEMA = ", ".join(["name long", "toxic long", *[f"{name} double" for name in FEATURES]])
 
-    Where toxic is not ``UNLABELLED``, the text is a training text, and its own counts are taken off. A filter of fixed
-    size keeps pairs that the model does not have from the join, or most of them.
-    """
-    spark = blocks.sparkSession
-    pairs = model.filter(F.col("kind") == "pair")
-    known = spark.sparkContext.broadcast(key_filter(pairs.select(F.col("bucket").alias("key"))))
+
+def _asked(known, kinds: tuple[str, ...]):
+    """The distinct marked keys of each block, those that the filter lets through."""
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
+                vocabulary = np.frombuffer(row["vocabulary"], np.int64)
                 texts = _texts_of_block(row["vocabulary"], row["sizes"], row["words"])
-                wanted = np.unique(np.concatenate([pair_numbers(x) for x in texts]))
-                wanted = wanted[let_through(known.value, wanted)]
-                words = np.frombuffer(row["vocabulary"], np.int64)
-                for kind, keys in (("pair", wanted), ("word", np.append(words, 0))):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "block": np.full(len(keys), row["block"], np.int64),
-                            "asked": keys ^ np.int64(KIND_MARKS[kind]),
-                        }
-                    )
-
-    names = [f"f{i}" for i in range(len(STRONGEST) + 3)]
+                keys = {"pair": np.unique(np.concatenate([pair_numbers(x) for x in texts])), "word": np.append(vocabulary, 0)}
+                for kind in kinds:
+                    marked = keys[kind] ^ np.int64(KIND_MARKS[kind])
+                    marked = marked[let_through(known.value, marked)]
+                    block = np.full(len(marked), row["block"], np.int64)
+                    yield pa.RecordBatch.from_pydict({"block": block, "asked": marked})
+
+    return asked
+
+
+def _scored_texts(block: pa.Table, features) -> pa.Table:
+    """The rows of ``FEATURE_SCHEMA`` for the texts of the blocks in a table."""
+    names, labels, rows = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+    for row in block.to_pylist():
+        names.append(np.frombuffer(row["names"], np.int64))
+        labels.append(np.frombuffer(row["toxic"], np.int64))
+        texts = _texts_of_block(row["vocabulary"], row["sizes"], row["words"])
+        rows += [features(words, label) for words, label in zip(texts, labels[-1].tolist())]
+    columns = np.array(rows, np.float64).reshape(len(rows), len(FEATURES)).T
+    return pa.table([np.concatenate(names), np.concatenate(labels), *columns], ["name", "toxic", *FEATURES])
+
+
+def text_features(blocks: DataFrame, ratios: DataFrame, unknown: float) -> DataFrame:
+    """``name, toxic`` and the features of each text of the stored ``blocks``.
+
+    A filter of fixed size keeps words and pairs that were not counted from the join, or most of them.
+    """
+    known = blocks.sparkSession.sparkContext.broadcast(key_filter(ratios.select(F.col("marked").alias("key"))))
 
     def features(block: pa.Table, found: pa.Table) -> pa.Table:
-        counts = Model(found.drop_columns(["block"]).to_pandas(), totals)
-        keys, labels, rows = [], [], []
-        for row in block.to_pylist():
-            keys.append(np.frombuffer(row["names"], np.int64))
-            labels.append(np.frombuffer(row["toxic"], np.int64))
-            for words, label in zip(
-                _texts_of_block(row["vocabulary"], row["sizes"], row["words"]), labels[-1].tolist()
-            ):
-                rows.append(counts.features(words, None if label == UNLABELLED else label))
-        columns = np.array(rows, np.float64).reshape(len(rows), len(names)).T
-        ends = [np.concatenate([np.empty(0, np.int64), *x]) for x in (keys, labels)]
-        return pa.table([*ends, *columns], ["name", "toxic", *names])
-
-    wanted = blocks.mapInArrow(asked, "block long, asked long")
+        columns = [found.column(c).to_numpy() for c in ("marked", "own", "after")]
+        model = Ratios(*columns, unknown)
+        return _scored_texts(block, lambda words, label: model.features(words))
+
+    wanted = blocks.mapInArrow(_asked(known, ("pair", "word")), "block long, asked long")
+    found = wanted.join(ratios, F.col("asked") == F.col("marked")).select("block", "marked", "own", "after")
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(features, FEATURE_SCHEMA)
+
+
+def calibration_features(blocks: DataFrame, model: DataFrame, totals: dict[str, float]) -> DataFrame:
+    """The same for blocks of training texts, each without its own counts."""
     mark = F.lit(0)
     for kind, value in KIND_MARKS.items():
         mark = F.when(F.col("kind") == kind, F.lit(value)).otherwise(mark)
-    marked = model.withColumn("marked", F.col("bucket").bitwiseXOR(mark)).drop("bucket")
-    found = wanted.join(marked, wanted["asked"] == marked["marked"]).select(
+    marked = model.withColumn("marked", F.col("bucket").bitwiseXOR(mark)).drop("bucket", "before", "word")
+    known = blocks.sparkSession.sparkContext.broadcast(key_filter(marked.select(F.col("marked").alias("key"))))
+
+    def features(block: pa.Table, found: pa.Table) -> pa.Table:
+        counts = Model(found.drop_columns(["block"]).to_pandas(), totals)
+        return _scored_texts(block, counts.features)
+
+    wanted = blocks.mapInArrow(_asked(known, ("pair", "word")), "block long, asked long")
+    found = wanted.join(marked, F.col("asked") == F.col("marked")).select(
         "block", "kind", F.col("asked").bitwiseXOR(mark).alias("bucket"),
         *CLASSES, "kept_ordinary", "kept_toxic", "kinds",
     )
-    schema = ", ".join(["name long", "toxic long", *[f"{name} double" for name in names]])
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(features, schema)
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(features, FEATURE_SCHEMA)
 
 
 def calibration_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -434,8 +539,11 @@ def calibration_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     first = settle(
         labels.orderBy(order, "label_id").limit(CALIBRATION_ROWS), "calibration-labels"
     )
-    # Equal texts are as many rows as there are: a name of its own each.
-    return _labelled(docs, first).select(F.monotonically_increasing_id().alias("name"), "text", "toxic")
+    # One text a label: where its id is repeated, that of the least hash.
+    chosen = _labelled(docs, first).groupBy("label_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic")
+    )
+    return chosen.select(F.col("label_id").alias("name"), "text", "toxic")
 
 
 def text_name(text: F.Column) -> F.Column:
@@ -445,29 +553,30 @@ def text_name(text: F.Column) -> F.Column:
 
 def text_scores(docs: DataFrame, labels: DataFrame) -> DataFrame | None:
     """``name, score`` of each distinct text, stored; None without training rows of both classes."""
+    small_batches(docs.sparkSession)
     train = settle(training_rows(labels), "toxic-labels")
     model = count_model(docs, train)
     totals = _word_totals(model)
     texts = docs.select(
         text_name(F.col("text")).alias("name"), "text", F.lit(UNLABELLED).alias("toxic")
     )
-    known = calibration_texts(docs, train).mapInArrow(_blocks, BLOCK_SCHEMA)
-    blocks = settle(known.unionByName(texts.mapInArrow(_blocks, BLOCK_SCHEMA)), "text-blocks")
-    features = settle(text_features(blocks, model, totals), "text-features")
-    labelled = features.filter(F.col("toxic") != UNLABELLED)
-    sample = labelled.select(*features.columns[2:], "toxic").toPandas().to_numpy(np.float64)
+    known = settle(calibration_texts(docs, train).mapInArrow(_blocks, BLOCK_SCHEMA), "calibration-blocks")
+    sample = settle(calibration_features(known, model, totals), "calibration-features")
+    sample = sample.select(*FEATURES, "toxic").toPandas().to_numpy(np.float64)
     if len(np.unique(sample[:, -1])) < 2:
         return None
     # A fixed order keeps sums, and so the last bits of the weights, the same in every run.
     sample = sample[np.lexsort(sample.T)]
     weights = fit_weights(sample[:, :-1], sample[:, -1]).tolist()
+    ratios, unknown = token_ratios(model, totals)
+    blocks = settle(texts.mapInArrow(_blocks, BLOCK_SCHEMA), "text-blocks")
+    features = text_features(blocks, ratios, unknown)
     raw = F.lit(weights[-1])
     for i, weight in enumerate(weights[:-1]):
         raw = raw + F.col(f"f{i}") * F.lit(weight)
     raw = F.greatest(F.least(raw, F.lit(30.0)), F.lit(-30.0))
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-raw))
-    found = features.filter(F.col("toxic") == UNLABELLED)
-    return settle(found.groupBy("name").agg(F.max(score).alias("score")), "text-scores")
+    return settle(features.groupBy("name").agg(F.max(score).alias("score")), "text-scores")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
