@@ -1,4 +1,5 @@
 from datetime import UTC, date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -268,6 +269,13 @@ def test_share_of_total(spark):
 def test_exact_money_gives_the_same_reports(spark):
     table = featured(spark, TABLES)
     exact = exact_money(table)
-    assert dict(exact.dtypes)["total_revenue"] == "decimal(18,6)"
+    assert dict(exact.dtypes)["total_revenue"] == "decimal(28,6)"
     assert values(reports.category_performance(exact)) == values(reports.category_performance(table))
     assert record(kpis.summarize_kpis(exact)) == record(kpis.summarize_kpis(table))
+
+
+def test_exact_money_is_wide_and_fails_on_overflow(spark):
+    rows = spark.createDataFrame([(1e15,), (float("inf"),), (None,), (-2.5,)], "total_revenue double")
+    assert [r[0] for r in exact_money(rows).collect()] == [10**15, None, None, Decimal("-2.5")]
+    with pytest.raises(Exception, match="too large"):
+        exact_money(spark.createDataFrame([(1e23,)], "total_revenue double")).collect()
