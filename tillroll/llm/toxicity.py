@@ -515,21 +515,23 @@ def text_features(blocks: DataFrame, ratios: DataFrame, unknown: float) -> DataF
 
 def calibration_features(blocks: DataFrame, model: DataFrame, totals: dict[str, float]) -> DataFrame:
     """The same for blocks of training texts, each without its own counts."""
-    mark = F.lit(0)
-    for kind, value in KIND_MARKS.items():
+    kinds = list(KIND_MARKS)
+    mark, code = F.lit(0), F.lit(0)
+    for number, (kind, value) in enumerate(KIND_MARKS.items()):
         mark = F.when(F.col("kind") == kind, F.lit(value)).otherwise(mark)
-    marked = model.withColumn("marked", F.col("bucket").bitwiseXOR(mark)).drop("bucket", "before", "word")
+        code = F.when(F.col("kind") == kind, F.lit(number)).otherwise(code)
+    sums = [*CLASSES, "kept_ordinary", "kept_toxic", "kinds"]
+    marked = model.select(F.col("bucket").bitwiseXOR(mark).alias("marked"), code.cast("tinyint").alias("code"), "bucket", *sums)
     known = blocks.sparkSession.sparkContext.broadcast(key_filter(marked.select(F.col("marked").alias("key"))))
 
     def features(block: pa.Table, found: pa.Table) -> pa.Table:
-        counts = Model(found.drop_columns(["block"]).to_pandas(), totals)
-        return _scored_texts(block, counts.features)
+        # Kinds as numbers: as strings they would be larger than all the rest.
+        rows = pd.DataFrame({name: found.column(name).to_numpy() for name in ("bucket", *sums)})
+        rows["kind"] = pd.Categorical.from_codes(found.column("code").to_numpy(), kinds)
+        return _scored_texts(block, Model(rows, totals).features)
 
     wanted = blocks.mapInArrow(_asked(known, ("pair", "word")), "block long, asked long")
-    found = wanted.join(marked, F.col("asked") == F.col("marked")).select(
-        "block", "kind", F.col("asked").bitwiseXOR(mark).alias("bucket"),
-        *CLASSES, "kept_ordinary", "kept_toxic", "kinds",
-    )
+    found = wanted.join(marked, F.col("asked") == F.col("marked")).select("block", "code", "bucket", *sums)
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(features, FEATURE_SCHEMA)
 
 
