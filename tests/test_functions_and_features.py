@@ -15,6 +15,8 @@ from tillroll.operators.features import (
 )
 from tillroll.operators.profiling import correlation_matrix
 from tillroll.operators.reports import category_performance, data_quality_audit
+from tillroll.operators.cleaning import clean_sales_data
+from tillroll.schema import RAW_COLUMNS
 
 
 def parsed(spark, texts):
@@ -136,3 +138,26 @@ def test_infinite_prices_count_as_missing_differences(spark):
     assert audit["null_values"] == 1
     pairs = {(r["x"], r["y"]): r["r"] for r in correlation_matrix(rows, ["discount_value", "rating"]).collect()}
     assert pairs[("discount_value", "discount_value")] is None
+
+
+def test_cleaned_values_are_computed_once(spark):
+    """Features name a parsed value many times over; only one place in the plan may parse it."""
+    raw = spark.createDataFrame([("2024-02-29", "2.5")], "order_date string, price string")
+    others = {name: F.lit("1") for name in RAW_COLUMNS if name not in raw.columns}
+    rows = build_features(clean_sales_data(raw.withColumns(others)))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    after = plan[: plan.index("Generate inline")]
+    assert "RLIKE" not in after and "cast(price" not in after and "date_format" not in after
+    assert (rows.first()["month_name"], rows.first()["day_of_week"]) == ("February", "Thursday")
+
+
+def test_names_of_months_and_days(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1999-12-20', DATE'2001-01-10')) AS day")
+    rows = days.select(F.col("day").cast("timestamp_ntz").alias("order_date")).withColumns(
+        {name: F.lit(1.0) for name in ("price", "quantity_sold", "total_revenue")}
+    )
+    named = build_features(rows)
+    wrong = (F.col("month_name") != F.date_format("order_date", "MMMM")) | (
+        F.col("day_of_week") != F.date_format("order_date", "EEEE")
+    )
+    assert named.where(F.coalesce(wrong, F.lit(True))).count() == 0

@@ -3,6 +3,7 @@ from tillroll.functions.measures import (
     a_number,
     clip,
     deviation_or_zero,
+    evaluated_once,
     exact_money,
     money_sum,
     ratio_or_zero,
@@ -14,6 +15,7 @@ __all__ = [
     "blank_missing",
     "clip",
     "deviation_or_zero",
+    "evaluated_once",
     "exact_money",
     "money_sum",
     "ratio_or_zero",
