@@ -279,3 +279,18 @@ def test_exact_money_is_wide_and_fails_on_overflow(spark):
     assert [r[0] for r in exact_money(rows).collect()] == [10**15, None, None, Decimal("-2.5")]
     with pytest.raises(Exception, match="too large"):
         exact_money(spark.createDataFrame([(1e23,)], "total_revenue double")).collect()
+
+
+def test_totals_of_orders_without_id_and_with_several_keys(spark):
+    """One order in two regions counts in both and once overall; a region without order ids has none."""
+    rows = [(1, "A", "North", "Card"), (1, "A", "South", None), (2, "B", "South", "Card"), (None, "A", "East", "Card")]
+    names = "order_id long, product_category string, customer_region string, payment_method string"
+    table = spark.createDataFrame([row + (1.0, 1.0, 1.0, 1.0, 0.0) for row in rows], names + (
+        ", total_revenue double, quantity_sold double, price double, gross_revenue double, discount_value double"
+    ))
+    found = sales_totals(table, "row_count", "total_orders")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("overall", None, 4, 2), ("product_category", "A", 3, 1), ("product_category", "B", 1, 1),
+         ("customer_region", "North", 1, 1), ("customer_region", "South", 2, 2), ("customer_region", "East", 1, 0),
+         ("payment_method", "Card", 3, 2)], key=str,
+    )

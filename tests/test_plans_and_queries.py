@@ -63,6 +63,15 @@ def test_the_audit_shuffles_bare_order_ids(spark):
     assert keyed and partial and all("functions=[]" in line for line in partial)
 
 
+@available
+@pytest.mark.parametrize("name", ["executive_tables", "executive_bundle"])
+def test_totals_hold_no_pair_of_order_and_key(spark, name):
+    """A task that removes duplicates of such pairs holds one for each key of each order."""
+    plan = physical(driver.queries()[name](spark, SMALL)).split("+- == Initial Plan ==")[0]
+    keyed = [line for line in plan.splitlines() if "Aggregate(keys=[order_id" in line]
+    assert keyed and not [line for line in keyed if "dimension" in line.split("functions=")[0]]
+
+
 SPIKES = [
     "scored_profile", "scored_profile_day", "discount_spikes_daily", "discount_spikes_region",
     "discount_spikes_brand_month", "alert_severity_counts", "alert_run_status", "alert_export_rows",
