@@ -96,3 +96,30 @@ def test_scratch_tables(spark):
     scratch = Scratch(spark, "x")
     assert scratch.path.startswith(shared_folder(spark))
     assert scratch.keep(spark.range(3), "t").count() == 3
+
+
+def test_no_bitmap_is_shuffled_or_sorted_while_it_is_made(spark, sales):
+    plans = {}
+
+    def keep(table, name):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        return spark.createDataFrame(table.collect(), table.schema)
+
+    cubes.build_cube(sales, keep)
+    after = plans["orders"].split("partial_bitmap_construct_agg")[0]
+    assert "Exchange" not in after and "Sort " not in after
+
+
+def test_one_order_of_many_days_and_cells_is_counted_once(spark, tmp_path):
+    """Also where its rows repeat, and where parts of a cell are null."""
+    table = spark.range(900).select(
+        F.lit(7).cast("long").alias("order_id"),
+        F.when(F.col("id") % 10 > 0, F.timestamp_add("DAY", F.col("id") % 50, F.lit("2024-01-01").cast("timestamp_ntz"))).alias("order_date"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("c"), F.col("id") % 7)).alias("product_category"),
+        F.lit("North").alias("customer_region"),
+        F.lit(None).cast("string").alias("payment_method"),
+        *[F.lit(1.0).alias(n) for n in ("price", "quantity_sold", "total_revenue", "rating", "gross_revenue", "discount_value")],
+    )
+    store_cube(table, str(tmp_path))
+    found = cubes.cube_totals(cubes.read_cube(spark, str(tmp_path))).select("row_count", "total_orders").collect()
+    assert sum(row.row_count for row in found) == 900 + 900 + 600 and {row.total_orders for row in found} == {1}

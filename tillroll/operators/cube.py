@@ -35,13 +35,15 @@ def build_cube(sales: DataFrame, keep: Keep) -> Cube:
     """The cube of a sales table. ``keep`` stores its tables: order numbers, cells and bitmaps.
 
     Rows without a date or a dimension value have cells of their own, with that part null; rows
-    without an order id count in the sums only. An order id that many rows share is one row before
-    anything is shuffled by it.
+    without an order id count in the sums only. An order id that many rows share is one row a day,
+    with the cells it has there, before anything is shuffled by it. Bitmaps are made where all orders
+    of one have come together, so that none is shuffled or sorted.
     """
     rows = ensure_revenue_columns(sales).withColumn("order_date", F.to_date("order_date"))
     cells = keep(_dated(rows.groupBy(*CELL).agg(*partial_sums())), "cells")
-    places = rows.where(F.col("order_id").isNotNull()).select("order_id", *CELL).distinct()
-    first = places.groupBy("order_id").agg(F.min("order_date").alias("first_day"))
+    ordered = rows.where(F.col("order_id").isNotNull())
+    days = ordered.groupBy("order_id", "order_date").agg(F.collect_set(F.struct(*DIMENSIONS)).alias("cells"))
+    first = ordered.groupBy("order_id").agg(F.min("order_date").alias("first_day"))
     # Numbers are drawn once, when they are stored.
     numbers = keep(
         first.repartitionByRange("first_day", "order_id")
@@ -50,8 +52,10 @@ def build_cube(sales: DataFrame, keep: Keep) -> Cube:
         "order_numbers",
     )
     bitmaps = (
-        places.join(numbers, "order_id")
-        .groupBy(*CELL, F.bitmap_bucket_number("number").alias("bucket"))
+        days.join(numbers, "order_id")
+        .select("order_date", "number", F.bitmap_bucket_number("number").alias("bucket"), F.inline("cells"))
+        .repartition(*CELL, "bucket")
+        .groupBy(*CELL, "bucket")
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bitmap"))
     )
     return Cube(cells, keep(_dated(bitmaps), "orders"))
