@@ -1,7 +1,7 @@
 import math
 import random
 import statistics
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -249,3 +249,34 @@ def test_timestamps_are_exact_for_late_dates(spark):
     )
     (row,) = profiling.describe_timestamps(rows, [0.5]).collect()
     assert (row["min"].microsecond, row["p50"].microsecond, row["max"].microsecond) == (999997, 999998, 999999)
+
+
+def test_brackets_are_counted_outside_of_expressions(spark, monkeypatch):
+    """Some hundreds of functions a row for the columns of a sales table; only the first scan sketches."""
+
+    def refused(*_):
+        raise AssertionError("values are gathered by an expression")
+
+    monkeypatch.setattr(profiling.F, "collect_list", refused)
+    table = spark.range(1001).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).alias("b"))
+    found = {row["column"]: (row["p25"], row["p50"], row["p75"]) for row in profiling.describe_numeric(table).collect()}
+    assert found == {"a": (250.0, 500.0, 750.0), "b": (1.0, 3.0, 5.0)}
+
+
+@pytest.mark.parametrize("gathered, points", [(20_000, 2_000), (10, 20)])
+def test_quantiles_where_brackets_are_thinned(spark, monkeypatch, gathered, points):
+    """With few values gathered, later scans cut through the brackets; nulls, infinities and one frequent value."""
+    monkeypatch.setattr(profiling, "GATHERED", gathered)
+    monkeypatch.setattr(profiling, "POINTS", points)
+    monkeypatch.setattr(profiling, "MARGIN", 0.05)
+    rng = np.random.default_rng(3)
+    values = [*rng.normal(size=6000).tolist(), *[0.25] * 2500, *[float("inf"), float("-inf")] * 20]
+    rng.shuffle(values)
+    table = spark.createDataFrame([(v, None if v > 1 else v) for v in values], "a double, b double").repartition(5)
+    for row in profiling.describe_numeric(table, [0.1, 0.25, 0.5, 0.9]).collect():
+        kept = np.array([v for v in values if row["column"] == "a" or v <= 1])
+        want = np.quantile(kept, [0.1, 0.25, 0.5, 0.9]).tolist()
+        assert [row[name] for name in ("p10", "p25", "p50", "p90")] == pytest.approx(want)
+    micros = spark.createDataFrame([(datetime(2024, 1, 1) + timedelta(microseconds=i),) for i in range(4001)], "t timestamp_ntz")
+    row = profiling.describe_timestamps(micros).first()
+    assert row["p25"] == datetime(2024, 1, 1, 0, 0, 0, 1000) and row["p50"] == datetime(2024, 1, 1, 0, 0, 0, 2000)

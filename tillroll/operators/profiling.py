@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ SPREAD = [i / 500 for i in range(501)]
 MOST_BINS = 10_000
 #: Values of a bracket that are gathered at most, about.
 GATHERED = 20_000
+#: Values that stand for more, with weights, that a task hands on of a bracket.
+POINTS = 2_000
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -107,22 +111,74 @@ def _first_scan(values: DataFrame, kind: str, quantiles: Sequence[float], exact:
 
 
 def _next_scan(values: DataFrame, kind: str, brackets: list[_Rank]) -> list[tuple]:
-    """Per bracket: how many values lie below, on its ends and inside, and those inside, or a sketch of them."""
-    record = []
-    for number, bracket in enumerate(brackets):
-        value, low, high = F.col(f"v{bracket.column}"), F.lit(bracket.low), F.lit(bracket.high)
-        inside = F.when((value > low) & (value < high), value)
-        few = bracket.inside <= GATHERED
-        shown = F.collect_list(inside) if few else _sketched(inside, kind, SPREAD)
-        record += [
-            F.count_if(value < low).alias(f"below{number}"),
-            F.count_if(value == low).alias(f"at{number}"),
-            F.count(inside).alias(f"inside{number}"),
-            F.count_if(value == high).alias(f"end{number}"),
-            shown.alias(f"shown{number}"),
-        ]
-    row = values.agg(*record).first()
-    return [row[5 * number : 5 * number + 5] for number in range(len(brackets))]
+    """Per bracket: how many values lie below, on its ends and inside, and those inside, or cuts through them.
+
+    A batch of a column is held against all its brackets at once; as expressions these would be some
+    hundreds of functions a row. A task hands on one row per bracket, with the values inside or, where
+    these would be more than ``GATHERED``, evenly chosen ones with weights. The rows of a bracket are
+    merged, and one reaches the driver.
+    """
+    asked = [(f"v{b.column}", b.low, b.high, b.inside <= GATHERED) for b in brackets]
+    names = list(dict.fromkeys(name for name, *_ in asked))
+    dtype = np.int64 if kind == "bigint" else np.float64
+    counted = ["below", "at", "inside", "end"]
+    points, spread = POINTS, np.array(SPREAD)
+
+    def thinned(shown: np.ndarray, weights: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted; of more than ``most`` values the least, the greatest and others at even steps of weight."""
+        order = np.argsort(shown)
+        shown, weights = shown[order], weights[order]
+        if len(shown) <= most:
+            return shown, weights
+        reached = np.cumsum(weights)
+        ends = np.append(0, np.searchsorted(reached, reached[-1] * np.arange(1, most) / (most - 1)))
+        ends = np.unique(np.minimum(ends, len(shown) - 1))
+        return shown[ends], np.diff(reached[ends], prepend=0)
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(asked), len(counted)), np.int64)
+        held = [[(np.empty(0, dtype), np.empty(0, np.int64))] for _ in asked]
+        sizes = [0] * len(asked)
+
+        def packed(number: int) -> None:
+            parts = [np.concatenate(x) for x in zip(*held[number])]
+            held[number] = [parts if asked[number][-1] else thinned(*parts, points)]
+            sizes[number] = len(held[number][0][0])
+
+        for batch in batches:
+            columns = {name: batch.column(name).drop_null().to_numpy() for name in names}
+            for number, (name, low, high, _) in enumerate(asked):
+                value = columns[name]
+                inside = value[(value > low) & (value < high)]
+                found = [np.count_nonzero(value < low), np.count_nonzero(value == low), len(inside), np.count_nonzero(value == high)]
+                counts[number] += found
+                if len(inside):
+                    held[number].append((inside, np.ones(len(inside), np.int64)))
+                    sizes[number] += len(inside)
+                if not asked[number][-1] and sizes[number] > 50 * points:
+                    packed(number)
+        for number in range(len(asked)):
+            packed(number)
+        shown, weights = ([list(part[0][place]) for part in held] for place in (0, 1))
+        lists = [pa.array(shown, pa.list_(pa.from_numpy_dtype(dtype))), pa.array(weights, pa.list_(pa.int64()))]
+        columns = [pa.array(np.arange(len(asked))), *[pa.array(x) for x in counts.T], *lists]
+        yield pa.RecordBatch.from_arrays(columns, ["number", *counted, "shown", "weights"])
+
+    def of_bracket(table: pa.Table) -> pa.Table:
+        number = table.column("number")[0].as_py()
+        sums = [[sum(table.column(name).to_pylist())] for name in counted]
+        shown, weights = (table.column(name).combine_chunks().flatten().to_numpy() for name in ("shown", "weights"))
+        shown, weights = thinned(shown, weights, len(shown))
+        if not asked[number][-1] and len(shown):
+            reached = np.cumsum(weights)
+            shown = shown[np.minimum(np.searchsorted(reached, spread * reached[-1]), len(shown) - 1)]
+        columns = [[number], *sums, pa.array([shown], pa.list_(pa.from_numpy_dtype(dtype)))]
+        return pa.table(columns, ["number", *counted, "shown"])
+
+    sums = "number long, " + ", ".join(f"{name} long" for name in counted) + f", shown array<{kind}>"
+    parts = values.select(*names).mapInArrow(of_task, f"{sums}, weights array<long>")
+    rows = {row["number"]: row for row in parts.groupBy("number").applyInArrow(of_bracket, sums).toArrow().to_pylist()}
+    return [tuple(rows[number][name] for name in (*counted, "shown")) for number in range(len(asked))]
 
 
 def _narrowed(rank: _Rank, scan: tuple, fact: dict) -> None:
@@ -140,7 +196,7 @@ def _narrowed(rank: _Rank, scan: tuple, fact: dict) -> None:
         if rank.inside <= GATHERED:
             rank.found = sorted(shown)[place - 1]
         else:
-            # The ends of the sketch are the least and the greatest value inside.
+            # The first cut and the last one are the least and the greatest value inside.
             low = [cut for part, cut in zip(SPREAD, shown) if part <= place / inside - MARGIN]
             high = [cut for part, cut in zip(SPREAD, shown) if part >= place / inside + MARGIN]
             rank.low, rank.high = (low or shown)[-1 if low else 0], (high or shown)[0 if high else -1]
@@ -196,10 +252,11 @@ def _described(
     A quantile sits at one or two ranks of the sorted column. The first scan takes the moments and a
     sketch of fixed size, which brackets these ranks; the second counts what lies below each bracket
     and on its ends, and gathers the few values inside. Where these would be more than ``GATHERED``
-    (above some millions of rows), a scan sketches them instead, and the bracket shrinks by two orders;
-    where the rank lies outside, the bracket moves. Counts decide, so the result is exact. Each scan is
-    one aggregate over whole columns: nothing is shuffled but one buffer per task, no values are sorted,
-    and one row reaches the driver.
+    (above some millions of rows), evenly chosen ones stand for them, and the bracket shrinks by two
+    orders; where the rank lies outside, the bracket moves. Counts decide, so the result is exact. The
+    first scan is one aggregate over whole columns, and the later ones hold batches against the brackets:
+    nothing is shuffled but one buffer per task, or per bracket and task, and a row per bracket reaches
+    the driver.
     """
     if not names:
         return []
