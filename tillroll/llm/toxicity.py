@@ -331,34 +331,37 @@ def _texts_of(batch: pa.RecordBatch) -> Iterator[str]:
 
 
 def count_model(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The counts behind ``Model``, stored: a row per frequent pair, per context and per word.
-
-    Each pair, once counted, becomes the rows that it adds to; the pairs themselves, most of which occur
-    once, are not stored.
-    """
-    counted = (
+    """The counts behind ``Model``, stored: a row per frequent pair, per context and per word."""
+    counted = settle(
         _labelled(docs, labels)
         .select("text", "toxic")
         .mapInArrow(_count_pairs, "before long, word long, ordinary long, toxic long")
         .groupBy("before", "word")
-        .agg(*[F.sum(c).alias(c) for c in CLASSES])
+        .agg(*[F.sum(c).alias(c) for c in CLASSES]),
+        "pair-counts",
     )
-    zero, none = F.lit(0.0), F.lit(None).cast("long")
+    zero = F.lit(0.0)
     sums = [*CLASSES, "kept_ordinary", "kept_toxic", "kinds"]
 
-    def row(kind: str, key: F.Column, kept: list[F.Column], kinds: F.Column, before=none, word=none) -> F.Column:
+    def rows(kind: str, key: F.Column, kept: list[F.Column], kinds: F.Column, *more: str) -> DataFrame:
         values = [*[F.col(c).cast("double") for c in CLASSES], *kept, kinds]
-        named = [value.alias(name) for name, value in zip(sums, values)]
-        return F.struct(F.lit(kind).alias("kind"), key.alias("bucket"), before.alias("before"), word.alias("word"), *named)
+        return counted.select(
+            F.lit(kind).alias("kind"),
+            key.alias("bucket"),
+            *[value.alias(name) for name, value in zip(sums, values)],
+            *more,
+        )
 
     often = F.col("ordinary") + F.col("toxic") >= FREQUENT_PAIR
     kept = [F.when(often, F.greatest(F.col(c) - DISCOUNT, zero)).otherwise(zero) for c in CLASSES]
-    single = [row("context", F.col("before"), kept, zero), row("word", F.col("word"), [zero, zero], F.lit(1.0))]
-    pair = row("pair", _pair_column(), [zero, zero], zero, F.col("before"), F.col("word"))
-    rows = counted.select(F.inline(F.when(often, F.array(*single, pair)).otherwise(F.array(*single))))
-    # Pairs are told apart by their words: two may have one number.
-    model = rows.groupBy("kind", "bucket", "before", "word").agg(*[F.sum(c).alias(c) for c in sums])
-    return settle(model, "model-counts")
+    single = rows("context", F.col("before"), kept, zero).unionByName(
+        rows("word", F.col("word"), [zero, zero], F.lit(1.0))
+    )
+    single = settle(
+        single.groupBy("kind", "bucket").agg(*[F.sum(c).alias(c) for c in sums]), "word-counts"
+    )
+    pairs = settle(rows("pair", _pair_column(), [zero, zero], zero, "before", "word").filter(often), "frequent-pairs")
+    return pairs.unionByName(single, allowMissingColumns=True)
 
 
 def token_ratios(model: DataFrame, totals: dict[str, float]) -> tuple[DataFrame, float]:
