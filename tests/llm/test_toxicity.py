@@ -199,3 +199,68 @@ def test_every_word_and_pair_has_counts_of_its_own(spark, monkeypatch):
     pairs = got[got["kind"] == "pair"]
     assert len(words) == len(pairs) == 500 * len(train)
     assert set(words["ordinary"] + words["toxic"]) == set(pairs["ordinary"] + pairs["toxic"]) == {1}
+
+
+def test_all_counts_against_plain_counting(spark, monkeypatch):
+    """Every sum of every context, word and frequent pair, from many parts and small batches of counts."""
+    from collections import Counter
+
+    monkeypatch.setattr(toxicity, "FREQUENT_PAIR", 3)
+    monkeypatch.setattr(toxicity, "FLUSH_TOKENS", 200)
+    monkeypatch.setattr(toxicity, "PART_BYTES", 1000)
+    rng = random.Random(23)
+    words = ["the", "a", "old", "dog", "cat", "ran", "vile", "scum", "sat", "on", "mat", "very"]
+    words += [f"{a}{b}rare" for a in "bcdfg" for b in "aeiou"]
+    texts = [" ".join(rng.choices(words, [5] * 12 + [1] * 25, k=rng.randrange(1, 40))) for _ in range(150)] + ["", "?"]
+    labels = [i % 3 == 0 for i in range(len(texts))]
+    table = labels_of(spark, [(i, 1, int(y)) for i, y in enumerate(labels)])
+    got = toxicity.count_model(documents(spark, texts), toxicity.training_rows(table)).collect()
+    pair = [Counter(), Counter()]
+    for i, (text, y) in enumerate(zip(texts, labels)):
+        if not held(i):
+            found = toxicity.word_numbers(text)
+            pair[y].update(zip(toxicity.words_before(found).tolist(), found.tolist()))
+    want = {}
+    for before, word in set(pair[0]) | set(pair[1]):
+        counts = [pair[y][before, word] for y in (0, 1)]
+        kept = [max(n - 0.75, 0) if sum(counts) >= 3 else 0 for n in counts]
+        for key, more in ((("context", before), [*counts, *kept, 0]), (("word", word), [*counts, 0, 0, 1])):
+            want[key] = [a + b for a, b in zip(want.get(key, [0] * 5), more)]
+        if sum(counts) >= 3:
+            want["pair", before, word] = [*counts, 0, 0, 0]
+    rows = {(r["kind"], *((r["before"], r["word"]) if r["kind"] == "pair" else (r["bucket"],))): [r[c] for c in toxicity.SUMS] for r in got}
+    assert len(rows) == len(got) and rows == want
+    pairs = [r for r in got if r["kind"] == "pair"]
+    numbers = toxicity._paired(*[np.array([r[c] for r in pairs], np.int64) for c in ("before", "word")])
+    assert pairs and numbers.tolist() == [r["bucket"] for r in pairs]
+
+
+def test_texts_that_need_more_than_the_head_score_the_same(spark, monkeypatch):
+    texts, labels = corpus(29, 240)
+    texts += ["", "unseen words only", "scumlike"]
+    table = labels_of(spark, [(i, 1, y) for i, y in enumerate(labels)])
+    docs = documents(spark, texts)
+    scores = lambda: {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, table).collect()}
+    want, blocks, put = scores(), [], toxicity.settle
+    monkeypatch.setattr(toxicity, "settle", lambda df, label: (blocks.append(label), put(df, label))[1])
+    assert scores() == want and "text-blocks" not in blocks
+    for rows in (1, 300):
+        monkeypatch.setattr(toxicity, "HEAD_ROWS", rows)
+        assert scores() == {i: pytest.approx(score, abs=1e-12) for i, score in want.items()}
+    assert blocks.count("text-blocks") == 2
+
+
+def test_pairs_are_counted_without_a_table_of_all(spark, monkeypatch):
+    """Of the tables that are stored, none has a row for each pair, most of which occur once."""
+    texts, labels = corpus(31, 300)
+    sizes, put = {}, toxicity.settle
+
+    def settle(df, label):
+        stored = put(df, label)
+        sizes[label] = stored.count()
+        return stored
+
+    monkeypatch.setattr(toxicity, "settle", settle)
+    toxicity.text_scores(documents(spark, texts), labels_of(spark, [(i, 1, y) for i, y in enumerate(labels)]))
+    found = [toxicity.word_numbers(t) for i, t in enumerate(texts) if not held(i)]
+    assert max(sizes.values()) < len(np.unique(np.concatenate([toxicity.pair_numbers(x) for x in found]))) / 4
