@@ -124,3 +124,15 @@ def test_odd_rows(spark):
     assert clean.columns == docs.columns and clean.count() == docs.count()
     assert next(r for r in clean.collect() if r["doc_id"] == 7)["text"].endswith("[SECRET]")
     assert secrets.redact_secrets(odd_documents(spark, [])).count() == 0
+
+
+def test_no_task_holds_two_python_workers(spark):
+    """One Python step on rows without a context, one on the others; a second in a row is a second worker a task."""
+    docs = documents(spark, ["pwd = Xq7#vT9$zKw2 end", "a token = abcdef1 b", "clean", ""])
+    for rows in (secrets.redact_secrets(docs), secrets.secret_spans(docs)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 2
+    held = secrets._with_context(docs.withColumnRenamed("text", "body_in"))
+    assert held._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    found = [r["text"] for r in secrets.redact_secrets(docs).orderBy("doc_id").collect()]
+    assert found == ["pwd = [SECRET] end", "a [SECRET] b", "clean", ""]

@@ -209,8 +209,11 @@ def guessed_spans(text: str, known: list[tuple[str, int, int]], dear: Collection
     return [("guess", start, end) for value, start, end in context_spans(text, known) if value in dear] if len(dear) else []
 
 
-@F.pandas_udf(RESULT)
-def find_secrets(texts: pd.Series, dear: pd.Series) -> pd.DataFrame:
+BODY = StructType([StructField("body", StringType())])
+
+
+def _listed(texts: pd.Series, dear: pd.Series) -> pd.DataFrame:
+    """The columns of ``RESULT`` for texts and the dear values in each."""
     rows = []
     for text, values in zip(texts, dear):
         text = text or ""
@@ -224,8 +227,8 @@ def find_secrets(texts: pd.Series, dear: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=RESULT.names)
 
 
-@F.pandas_udf(StringType())
-def _redacted(texts: pd.Series, dear: pd.Series) -> pd.Series:
+def _redacted(texts: pd.Series, dear: pd.Series) -> pd.DataFrame:
+    """The texts with secrets blotted out."""
     out = []
     for text, values in zip(texts, dear):
         if text:
@@ -239,14 +242,33 @@ def _redacted(texts: pd.Series, dear: pd.Series) -> pd.Series:
             for start, end in reversed(merged):
                 text = f"{text[:start]}[SECRET]{text[end:]}"
         out.append(text)
-    return pd.Series(out, dtype=object)
+    return pd.DataFrame({"body": pd.Series(out, dtype=object)})
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _context_values(texts: pd.Series) -> pd.Series:
+def _values_in(texts: pd.Series) -> pd.Series:
     return pd.Series([[v for v, *_ in context_spans(x, base_spans(x))] if x else [] for x in texts], dtype=object)
 
 
+# Not pushed below its own result: a filter on it would run it in a second Python step of the same task.
+_context_values = F.pandas_udf(_values_in, ArrayType(StringType())).asNondeterministic()
+
+
+def _first_look(work, kind: StructType):
+    """The values in a credential context, ``found``, beside what ``work`` gives where none of them is dear.
+
+    Both come from one Python worker: a task with two such steps in a row holds two workers, which stay
+    with the executor afterwards.
+    """
+
+    def look(texts: pd.Series) -> pd.DataFrame:
+        plain = work(texts, pd.Series([()] * len(texts), dtype=object))
+        return pd.DataFrame({"found": _values_in(texts), **plain})
+
+    # See ``_context_values``.
+    fields = [StructField("found", ArrayType(StringType())), *kind.fields]
+    return F.pandas_udf(look, StructType(fields)).asNondeterministic()
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def _parts(values: pd.Series) -> pd.Series:
     return pd.Series([sorted(parts_of(value)) for value in values], dtype=object)
@@ -310,26 +332,32 @@ def dear_values(texts: DataFrame, values: DataFrame) -> DataFrame:
     return settle(asked.select("value", cost.alias("cost")).filter(F.col("cost") >= MIN_GUESSES_LOG10), "dear-values")
 
 
-def _with_dear_values(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """The rows of ``docs`` as columns c0, c1, ..., ``body`` and the dear values in it, ``dear``.
+def _with_context(rows: DataFrame) -> DataFrame:
+    """The rows with a value in a credential context in ``body_in``, these values, and a number."""
+    found = rows.withColumn("found", _context_values("body_in")).filter(F.size("found") > 0)
+    return found.withColumn("row", F.monotonically_increasing_id())
+
+
+def _worked_on(docs: DataFrame, work, kind: StructType) -> DataFrame:
+    """The rows of ``docs`` as columns c0, c1, ..., with the columns ``kind`` that ``work`` makes of the texts.
 
     Only rows that hold a value in a credential context meet the table of values.
     """
-    names = docs.columns
-    columns = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)]
-    rows = docs.select(*columns, F.col("text").alias("body"), _context_values(F.col("text")).alias("found"))
-    none = F.array().cast("array<string>").alias("dear")
-    held = settle(rows.filter(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id()), "context-rows")
-    out = rows.filter(F.size("found") == 0).select(*rows.columns[:-1], none)
+    columns = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
+    rows = docs.select(*columns, F.col("text").alias("body_in"))
+    kept = rows.columns[:-1]
+    seen = rows.select(*kept, _first_look(work, kind)("body_in").alias("seen"))
+    plain = seen.filter(F.size("seen.found") == 0).select(*kept, *[f"seen.{name}" for name in kind.names])
+    held = settle(_with_context(rows), "context-rows")
     if held.isEmpty():
-        return docs.select(*columns, F.col("text").alias("body"), none), names
+        return plain
     placed = held.select("row", F.explode(F.array_distinct("found")).alias("value"))
     values = settle(placed.select("value").distinct(), "context-values")
     dear = placed.join(dear_values(docs, values), "value").groupBy("row").agg(F.collect_list("value").alias("values"))
-    met = held.join(dear, "row", "left").select(
-        *rows.columns[:-1], F.coalesce("values", F.array().cast("array<string>")).alias("dear")
-    )
-    return out.unionByName(met), names
+    none = F.array().cast("array<string>")
+    done = F.pandas_udf(work, kind)("body_in", F.coalesce("values", none))
+    met = held.join(dear, "row", "left").select(*kept, done.alias("done"))
+    return plain.unionByName(met.select(*kept, "done.*"))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:
@@ -339,8 +367,8 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     or empty text has none; a text of any length is read whole. Repeated rows and null ids give rows
     like any other; an empty table gives no rows. Other columns are ignored, whatever their names.
     """
-    rows, names = _with_dear_values(docs.select("doc_id", "text"))
-    return rows.select(F.col("c0").alias("doc_id"), find_secrets("body", "dear").alias("found")).select("doc_id", "found.*")
+    rows = _worked_on(docs.select("doc_id", "text"), _listed, RESULT)
+    return rows.select(F.col("c0").alias("doc_id"), *RESULT.names)
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
@@ -349,12 +377,12 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     No row goes, since the rest of a text is as good as before. Null texts stay null; a column
     ``n_chars`` is brought up to date.
     """
-    rows, names = _with_dear_values(docs)
+    names = docs.columns
+    rows = _worked_on(docs, _redacted, BODY)
     places = [F.col(f"c{i}") for i in range(len(names))]
-    clean = rows.withColumn("body", _redacted("body", "dear"))
     for i, name in enumerate(names):
         if name == "text":
             places[i] = F.col("body")
         elif name == "n_chars":
             places[i] = F.length("body").cast(docs.schema["n_chars"].dataType)
-    return clean.select(*[place.alias(name) for place, name in zip(places, names)])
+    return rows.select(*[place.alias(name) for place, name in zip(places, names)])
