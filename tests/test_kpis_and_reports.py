@@ -4,11 +4,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from samples import API, BASE, METRICS, TABLES, featured, raw, record, typed, values
+from samples import API, BASE, DIRTY, METRICS, TABLES, featured, raw, record, typed, values
 from tillroll.functions import exact_money
 from tillroll.operators import kpis, reports
+from tillroll.operators.cleaning import clean_sales_data, marked_sales_data, retention
 from tillroll.operators.contracts import missing_metric_fields
 from tillroll.operators.totals import overall_part, sales_totals
+from tillroll.schema import MALFORMED
 
 NULL_KEY = "9,2024-02-20,10,,50.0,0,1,,,3.0,5,50.0,50.0"
 
@@ -294,3 +296,30 @@ def test_totals_of_orders_without_id_and_with_several_keys(spark):
          ("customer_region", "North", 1, 1), ("customer_region", "South", 2, 2), ("customer_region", "East", 1, 0),
          ("payment_method", "Card", 3, 2)], key=str,
     )
+
+
+def test_product_metrics_of_raw_rows_in_one_pass(spark):
+    """As from the cleaned rows, where dropped rows have dates, categories, orders and amounts of their own."""
+    lines = [
+        *TABLES, *DIRTY, ",2024-03-05,1,Home,10,0,1,North,Card,1,1,1,1",
+        "8,2031-01-01,9,Toys,1e30,0,-1,North,Card,1,1,1,1",
+        "9,1999-01-01,9,Garden,5,N/A,1,North,Card,1,1,1,1",
+    ]
+    for rows in (raw(spark, lines), raw(spark, lines).where("false")):
+        clean = exact_money(featured_of(rows))
+        moment = datetime(2024, 3, 1, tzinfo=UTC)
+        want = record(kpis.collect_product_metrics(retention(rows), None, clean, generated_at=moment))
+        marked = exact_money(kpis.ensure_revenue_columns(marked_sales_data(rows, "order_id", "product_category")))
+        assert record(kpis.marked_product_metrics(marked, generated_at=moment)) == want
+    assert want["raw_row_count"] == 0
+
+
+def featured_of(rows):
+    return kpis.ensure_revenue_columns(clean_sales_data(rows))
+
+
+def test_malformed_rows_count_as_raw_rows_only(spark):
+    rows = raw(spark, BASE).withColumn(MALFORMED, F.lit(None).cast("string"))
+    rows = rows.unionByName(rows.withColumn(MALFORMED, F.lit("a,b")))
+    row = record(kpis.marked_product_metrics(marked_sales_data(rows, "order_id", "product_category")))
+    assert (row["raw_row_count"], row["clean_row_count"], row["total_revenue"]) == (2, 1, 180.0)

@@ -113,3 +113,9 @@ def test_the_entry_does_without_the_training_data_package(tmp_path, left):
         shutil.copy(home / "corpus_pipeline.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'clean_sales' in q and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=60)
+
+
+@available
+def test_product_metrics_parse_the_raw_table_once(spark):
+    plan = physical(driver.queries()["product_metrics"](spark, SMALL)).split("+- == Initial Plan ==")[-1]
+    assert plan.count("lineitem.parquet") == 1
