@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -9,10 +10,11 @@ import corpus_pipeline
 from tillroll.llm import decontaminate, mixing, near_copies, secrets, toxicity
 from tillroll.llm.queries import llm_oracles, llm_queries
 
-from cases import odd_documents
+from cases import documents, odd_documents
 from test_mixing import draw
-from test_near_copies import classes
+from test_near_copies import alike, classes, collection
 from test_secrets import plain_spans
+from test_simhash import classes_of, plain_fingerprint
 from test_toxicity import plain_scores
 
 SMALL = "/root/testdata/sf0.001"
@@ -129,6 +131,49 @@ def test_odd_rows(spark, name):
     assert nothing.columns == found.columns and nothing.count() == 0
 
 
+def near_duplicates(texts):
+    """Pairs linked by SimHash, and by five-word similarity, of all pairs."""
+    codes = [plain_fingerprint(x) for x in texts]
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    by_code = {(i, j) for i, j in pairs if (codes[i] ^ codes[j]).bit_count() <= 3}
+    return by_code, {(i, j) for i, j in pairs if alike(texts[i], texts[j])}
+
+
+def refrains(rng):
+    """Texts of one fingerprint each, whatever their endings; a short form of the last is its near copy only."""
+    texts = []
+    for name in ("x", "y", "z"):
+        refrain = [f"{name}{i % 3}" for i in range(300)]
+        endings = [[f"{name}end{rng.randrange(10**6)}" for _ in range(40)] for _ in range(4)]
+        texts += [" ".join(refrain + ending) for ending in endings]
+        texts.append(" ".join(refrain[:9] + endings[-1]))
+    return texts
+
+
+def test_near_duplicates_by_simhash_as_well(spark):
+    """Texts that SimHash links go although their five-word similarity is low; links of both kinds hold a class together."""
+    texts = refrains(random.Random(7)) + collection(9, 25)
+    by_code, by_words = near_duplicates(texts)
+    assert by_code - by_words and by_words - by_code
+    want = classes_of(range(len(texts)), by_code | by_words)
+    assert want[4] == want[0] and (0, 4) not in by_code | by_words
+    assert len(set(want.values())) < len(set(classes_of(range(len(texts)), by_words).values()))
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, documents(spark, texts), SMALL)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_near_duplicates_by_simhash_without_ids(spark):
+    """The row with an id stays; of null ids only, one; a repeated row with the smallest id once."""
+    texts = refrains(random.Random(8))
+    rows = [(None, texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[5]), (None, texts[6]), (9, "quite other words")]
+    docs = odd_documents(spark, [(i, text, "en", "a") for i, text in rows])
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(found) == 3 and {(5, texts[1]), (9, "quite other words")} < set(found)
+    assert {text for i, text in found if i is None} < {texts[5], texts[6]}
+
+
 @available
 def test_run_is_the_stages(spark):
     result = corpus_pipeline.run(spark, SMALL)

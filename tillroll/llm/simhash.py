@@ -391,6 +391,31 @@ def near_links(
     return within.union(across)
 
 
+def fingerprint_classes(nodes: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """``fp, least, root`` for distinct fingerprints (columns fp, least), stored; ``root`` names those that are linked."""
+    labels = settle(connected_components(near_links(nodes, blocks)), "labels")
+    return settle(
+        nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
+            "fp", "least", F.coalesce("root", "fp").alias("root")
+        ),
+        "rooted",
+    )
+
+
+def text_links(texts: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between texts (columns node, fp: BIGINT) whose fingerprints are linked, stored.
+
+    Each class of linked fingerprints is a star around its smallest node.
+    """
+    nodes = settle(texts.groupBy("fp").agg(F.min("node").alias("least")), "distinct-fingerprints")
+    rooted = fingerprint_classes(nodes)
+    heads = rooted.groupBy("root").agg(F.min("least").alias("a"))
+    heads = settle(rooted.join(heads, "root").select("fp", "a"), "heads")
+    return settle(
+        texts.join(heads, "fp").filter("a <> node").select("a", F.col("node").alias("b")), "fingerprint-links"
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS
 ) -> DataFrame:
@@ -410,13 +435,7 @@ def near_duplicates(
         "fingerprints",
     )
     nodes = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    labels = settle(connected_components(near_links(nodes, blocks)), "labels")
-    rooted = settle(
-        nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
-            "fp", "least", F.coalesce("root", "fp").alias("root")
-        ),
-        "rooted",
-    )
+    rooted = fingerprint_classes(nodes, blocks)
     named = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     classes = settle(rooted.join(named, "root").select("fp", "component_id"), "classes")
     return marked.join(classes, "fp").select(
